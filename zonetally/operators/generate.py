@@ -24,9 +24,16 @@ def rank_by(items: DataFrame, order: str, chunk: Column, out: str = "rank") -> D
 
 
 def cumulative_intervals(items: DataFrame, order: str, chunk: Column) -> DataFrame:
-    """Gives each item the part [lo, hi) of the unit interval that its probability fills."""
+    """Gives each item the part [lo, hi) of the unit interval that its probability fills.
+
+    Each part begins where the one before ends and the last ends at 1, so every
+    number in [0, 1) lies in exactly one of them.
+    """
+    last = items.agg(F.max(order)).scalar()
     summed = prefix.running_sum(items, [], [order], chunk, F.col("probability"), "hi")
-    return summed.withColumn("lo", F.col("hi") - F.col("probability"))
+    closed = summed.withColumn("hi", F.when(F.col(order) == last, 1.0).otherwise(F.least("hi", F.lit(1.0))))
+    bounded = prefix.previous(closed, [], [order], chunk, {"lo": F.col("hi")})
+    return bounded.withColumn("lo", F.coalesce("lo", F.lit(0.0)))
 
 
 def sample_items(draws: DataFrame, u: str, items: DataFrame, cells: int = 1024) -> DataFrame:
@@ -36,9 +43,8 @@ def sample_items(draws: DataFrame, u: str, items: DataFrame, cells: int = 1024)
     cells whatever the weights, so even an item with a third of the weight is
     spread over a third of the cells.
     """
-    # one cell more on each side takes up rounding at the ends of an interval
-    first = F.greatest(F.floor(F.col("lo") * cells) - 1, F.lit(0))
-    last = F.least(F.floor(F.col("hi") * cells) + 1, F.lit(cells - 1))
+    first = F.floor(F.col("lo") * cells)
+    last = F.least(F.floor(F.col("hi") * cells), F.lit(cells - 1))
     spread = items.withColumn("_cell", F.explode(F.sequence(first, last)))
     placed = draws.withColumn("_cell", F.floor(F.col(u) * cells))
     return (

@@ -99,17 +99,10 @@ def samples(events: DataFrame, group: str, latency_window: int = D.LATENCY_WINDO
     return newest_of_few(listed, [group, "kind"], "ts", "event_id", F.col("_limit")).drop("_limit")
 
 
-def _kind(sample: DataFrame, *kinds: str) -> DataFrame:
-    return sample.where(F.col("kind").isin(*kinds))
-
-
-def recent_rate(sample: DataFrame, totals: DataFrame, group: str, kind: str, out: str, seconds: float = 10.0) -> DataFrame:
-    """Rows per second in the last seconds before `as_of`, from a capped list of times."""
-    return (
-        _kind(sample, kind).join(totals.select(group, "as_of"), group)
-        .groupBy(group)
-        .agg((F.count_if(F.col("ts") >= F.col("as_of") - seconds) / F.lit(float(seconds))).alias(out))
-    )
+def recent_rate(kind: str, seconds: float = 10.0) -> Column:
+    """Rows per second in the last seconds before `as_of`, as an aggregate over samples."""
+    recent = (F.col("kind") == kind) & (F.col("ts") >= F.col("as_of") - seconds)
+    return F.count_if(recent) / F.lit(float(seconds))
 
 
 def run_totals(events: DataFrame, group: str, start: float | None = None, as_of: float | None = None) -> DataFrame:
@@ -118,49 +111,48 @@ def run_totals(events: DataFrame, group: str, start: float | None = None, as_of:
     return events.groupBy(group).agg(*counters(), begin.alias("start"), end.alias("as_of"))
 
 
-def latency_stats(sample: DataFrame, group: str, digits: int = 3) -> DataFrame:
-    """Percentiles of hits, misses and both together, and the two means."""
-    def only(kind: str) -> Column:
-        return F.when(F.col("kind") == kind, F.col("value"))
+def latency_stats(digits: int = 3) -> list[Column]:
+    """Percentiles of hits, misses, both together and end to end, and two means, over samples."""
+    def only(*kinds: str) -> Column:
+        return F.when(F.col("kind").isin(*kinds), F.col("value"))
 
-    return _kind(sample, "hit", "miss").groupBy(group).agg(
-        *sample_percentiles(only("hit"), "hit_", digits=digits), *sample_percentiles(only("miss"), "miss_", digits=digits),
-        *sample_percentiles(F.col("value"), "all_", digits=digits),
+    lists = {"hit_": only("hit"), "miss_": only("miss"), "all_": only("hit", "miss"), "e2e_": only("e2e")}
+    return [
+        *[c for prefix_, v in lists.items() for c in sample_percentiles(v, prefix_, digits=digits)],
         F.coalesce(F.avg(only("hit")), F.lit(0.0)).alias("mean_hit_ms"),
         F.coalesce(F.avg(only("miss")), F.lit(0.0)).alias("mean_miss_ms"),
-    )
+    ]
+
+
+def run_samples(events: DataFrame, group: str, start: float | None = None, as_of: float | None = None,
+                latency_window: int = D.LATENCY_WINDOW, times_window: int = D.TIMES_WINDOW):
+    """Totals of each run next to its samples, grouped by run: ready for the aggregates above."""
+    totals = run_totals(events, group, start, as_of)
+    sample = samples(events, group, latency_window, times_window)
+    return totals.join(sample, group, "left").groupBy(*totals.columns)
 
 
 def run_summary(events: DataFrame, group: str, start: float | None = None, as_of: float | None = None,
                 latency_window: int = D.LATENCY_WINDOW, times_window: int = D.TIMES_WINDOW,
                 percentile_digits: int = 3) -> DataFrame:
     """All KPIs of each run as one flat row. `events` must be normalised."""
-    totals = run_totals(events, group, start, as_of)
-    sample = samples(events, group, latency_window, times_window)
-    e2e = _kind(sample, "e2e").groupBy(group).agg(
-        *sample_percentiles(F.col("value"), "e2e_", digits=percentile_digits))
-    joined = totals
-    for part in (
-        latency_stats(sample, group, percentile_digits), e2e,
-        recent_rate(sample, totals, group, "requests", "_recent"),
-        recent_rate(sample, totals, group, "processed", "_recent_processed"),
-    ):
-        joined = joined.join(part, group, "left")
+    joined = run_samples(events, group, start, as_of, latency_window, times_window).agg(
+        *latency_stats(percentile_digits),
+        recent_rate("requests").alias("_recent"), recent_rate("processed").alias("_recent_processed"))
     hits, misses, total = F.col("hits"), F.col("misses"), F.col("hits") + F.col("misses")
-    mean_hit = F.coalesce("mean_hit_ms", F.lit(0.0))
-    mean_miss = F.coalesce("mean_miss_ms", F.lit(0.0))
+    mean_hit, mean_miss = F.col("mean_hit_ms"), F.col("mean_miss_ms")
     percentiles = [f"{k}_{p}" for k in ("hit", "miss", "all", "e2e") for p in ("p50", "p95", "p99")]
     return joined.select(
         group, F.round(F.col("as_of") - F.col("start"), 2).alias("elapsed_sec"),
         "hits", "misses", "errors", total.alias("total_requests"), *hit_rates(hits, misses),
         F.round(throughput(total, F.col("start"), F.col("as_of")), 2).alias("throughput_qps_total"),
-        F.round(F.coalesce("_recent", F.lit(0.0)), 2).alias("throughput_qps_recent_10s"),
+        F.round("_recent", 2).alias("throughput_qps_recent_10s"),
         *percentiles,
         F.round(mean_hit, 3).alias("mean_t_cache_ms"), F.round(mean_miss, 3).alias("mean_t_db_ms"),
         time_saved(hits, total, mean_hit, mean_miss).alias("cache_efficiency"),
         "processed", "recovered", "retried", "dead_lettered",
         F.round(throughput(F.col("processed"), F.col("start"), F.col("as_of")), 2).alias("throughput_processed_qps_total"),
-        F.round(F.coalesce("_recent_processed", F.lit(0.0)), 2).alias("throughput_processed_qps_recent_10s"),
+        F.round("_recent_processed", 2).alias("throughput_processed_qps_recent_10s"),
         *finish_rates(), F.col("as_of").alias("snapshot_ts"),
     )
 
@@ -168,15 +160,14 @@ def run_summary(events: DataFrame, group: str, start: float | None = None, as_of
 def by_query_type(events: DataFrame, group: str, latency_window: int = D.LATENCY_WINDOW,
                   percentile_digits: int = 3) -> DataFrame:
     """Hits, misses, hit rate and percentiles for each of the five types, also the unused ones."""
-    answered = events.where(F.col("event").isin("hit", "miss"))
-    counts = answered.where(F.col("query_type").isin(D.QUERY_TYPES)).groupBy(group, "query_type").agg(
+    counts = events.groupBy(group, "query_type").agg(
         F.count_if(_is("hit")).alias("hits"), F.count_if(_is("miss")).alias("misses"))
     latency = (
-        _kind(samples(events, group, latency_window), *D.QUERY_TYPES)
+        samples(events, group, latency_window).where(F.col("kind").isin(D.QUERY_TYPES))
         .groupBy(group, F.col("kind").alias("query_type"))
         .agg(*sample_percentiles(F.col("value"), suffix="_ms", digits=percentile_digits))
     )
-    grid = events.select(group).distinct().withColumn(
+    grid = counts.select(group).distinct().withColumn(
         "query_type", F.explode(F.array(*[F.lit(q) for q in D.QUERY_TYPES])))
     hits, misses = F.coalesce("hits", F.lit(0)), F.coalesce("misses", F.lit(0))
     return (

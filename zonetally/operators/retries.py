@@ -30,14 +30,16 @@ def route(attempts: DataFrame, max_retries: int = D.MAX_RETRIES) -> DataFrame:
     return attempts.select("*", *[c.alias(k) for k, c in cols.items()])
 
 
-def message_history(attempts: DataFrame, max_retries: int = D.MAX_RETRIES) -> DataFrame:
+def message_history(attempts: DataFrame, max_retries: int = D.MAX_RETRIES, also_by: list[Column] | None = None) -> DataFrame:
     """Final state of each message from its numbered attempts (1, 2, ...).
 
     A message ends with its first success or its last allowed failure; attempts
-    after that do not belong to it. Two aggregation steps, no ordering of rows.
+    after that do not belong to it. All facts are aggregates that do not depend on
+    the order of rows, so the same function serves a table and a stream; a stream
+    adds a time window in `also_by` to let old messages go.
     """
     first_ok = F.min(F.when(F.col("ok"), F.col("attempt")))
-    facts = attempts.groupBy("uuid").agg(
+    facts = attempts.groupBy("uuid", *(also_by or [])).agg(
         first_ok.alias("_ok"), F.max("attempt").alias("_seen"), F.min("ts").alias("first_ts"),
         *[F.max(F.when(F.col("attempt") == i, F.col("ts"))).alias(f"_t{i}") for i in range(1, max_retries + 1)],
     )

@@ -241,9 +241,8 @@ with {norm_sql('run')}, {sample_sql()}, t as (select label, max(ts) as as_of fro
 select s.label as run, round(count(*) filter (where ts >= as_of - 86400) / 86400, 8) as qps
 from smp s join t using (label) where kind = 'requests' group by 1""", E)
 def _(spark, d):
-    e = events(spark, d)
-    out = K.recent_rate(K.samples(e, "run"), K.run_totals(e, "run"), "run", "requests", "qps", 86400.0)
-    return rounded(out, 8, "qps")
+    out = K.run_samples(events(spark, d), "run").agg(K.recent_rate("requests", 86400.0).alias("qps"))
+    return rounded(out.select("run", "qps"), 8, "qps")
 
 
 @query("agg16_finish_rates", f"""

@@ -18,7 +18,7 @@ B, ZB = ("buildings",), ("zones", "buildings")
 
 
 @query("src01_buildings_scan", """
-select zone_id, count(*) as n, round(sum(area_in_meters), 3) as total_area, max(confidence) as top_confidence
+select zone_id, count(*) as n, round(sum(area_in_meters), 4) as total_area, max(confidence) as top_confidence
 from buildings group by zone_id""", B)
 def _(spark, d):
     path = scratch_path(spark, "buildings")
@@ -26,7 +26,7 @@ def _(spark, d):
     out = read_buildings(spark, path).groupBy("zone_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("area_in_meters").alias("total_area"),
         F.max("confidence").alias("top_confidence"))
-    return rounded(out, 3, "total_area")
+    return rounded(out, 4, "total_area")
 
 
 @query("flt01_confidence_floor", """
@@ -113,11 +113,11 @@ def _(spark, d):
 
 @query("agg02_zone_area", """
 select z.zone_id, 0.36::double as confidence_min, round(coalesce(avg(area_in_meters), 0), 4) as avg_area,
-  round(coalesce(sum(area_in_meters), 0), 3) as total_area, count(b.zone_id) as n
+  round(coalesce(sum(area_in_meters), 0), 4) as total_area, count(b.zone_id) as n
 from zones z left join buildings b on b.zone_id = z.zone_id and confidence >= 0.36::double group by z.zone_id""", ZB)
 def _(spark, d):
     out = Z.area_totals(buildings(spark, d), Z.zone_dimension(spark), FLOOR)
-    return rounded(rounded(out, 4, "avg_area"), 3, "total_area")
+    return rounded(out, 4, "avg_area", "total_area")
 
 
 @query("agg03_zone_density", """

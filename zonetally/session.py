@@ -28,7 +28,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/zonetally/{name}-{uuid.uuid4().hex}"
 
 
-def build_session(app: str = "zonetally", master: str | None = None, cores: int | None = None) -> SparkSession:
+def build_session(app: str = "zonetally", master: str | None = None, partitions: int | None = None,
+                  conf: dict[str, str] | None = None) -> SparkSession:
     """Session as the operators expect it: UTC, AQE with skew handling."""
     builder = (
         SparkSession.builder.appName(app)
@@ -40,8 +41,10 @@ def build_session(app: str = "zonetally", master: str | None = None, cores: int
     )
     if master:
         builder = builder.master(master)
-    if cores:
-        builder = builder.config("spark.sql.shuffle.partitions", str(cores))
+    if partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    for name, value in (conf or {}).items():
+        builder = builder.config(name, value)
     return builder.getOrCreate()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,9 +39,9 @@ def file_stream(spark: SparkSession, path: str, topic: str | None = None, files_
     return reader.load(path).select(F.lit(None).cast("string").alias("key"), "value", F.lit(topic).alias("topic"))
 
 
-def topics_together(*streams: DataFrame) -> DataFrame:
-    """Several topics as one input."""
-    first, *rest = streams
+def together(*inputs: DataFrame) -> DataFrame:
+    """Several inputs with the same columns as one, duplicates kept."""
+    first, *rest = inputs
     for other in rest:
         first = first.unionByName(other)
     return first
@@ -71,10 +72,17 @@ def read_snapshots(spark: SparkSession, *paths: str) -> DataFrame:
     The label falls back to the name of the file or of its label folder. Paths
     without a match are skipped.
     """
-    raw = (
-        spark.read.schema(schemas.SNAPSHOT_FILE).option("multiLine", True).option("ignoreMissingFiles", True)
-        .json(list(paths))
-    )
+    frames = []
+    for path in paths:
+        reader = spark.read.schema(schemas.SNAPSHOT_FILE).option("multiLine", True).option("recursiveFileLookup", True)
+        try:
+            frames.append(reader.json(path))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    if not frames:
+        frames.append(spark.createDataFrame([], schemas.SNAPSHOT_FILE))
+    raw = together(*frames)
     whole = F.struct(*[F.col(f.name) for f in schemas.SNAPSHOT_SUMMARY.fields])
     inner = F.struct(*[F.col(f"summary.{f.name}").alias(f.name) for f in schemas.SNAPSHOT_SUMMARY.fields])
     name = F.regexp_extract(F.input_file_name(), r"snap_([^/]+)\.json$", 1)

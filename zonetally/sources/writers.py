@@ -56,7 +56,10 @@ def compact(spark: SparkSession, path: str, key: str, schema: T.StructType, targ
 
 
 def save_snapshots(documents: DataFrame, path: str) -> None:
-    """One JSON folder per label. A later save of a label replaces it and leaves the others."""
+    """One JSON folder per label. A later save of a label replaces it and leaves the others.
+
+    `documents` has one row per label; `newest_per_label` makes it so.
+    """
     named = documents.withColumn("label_dir", C.safe_label(F.col("label")))
     (
         named.repartition("label_dir").write.mode("overwrite")
