@@ -1 +1 @@
-"""DataFrame operators; none of them runs an action."""
+"""DataFrame operators. They only build plans, but for `answer_requests`, which looks first."""

@@ -105,10 +105,17 @@ def recent_rate(kind: str, seconds: float = 10.0) -> Column:
     return F.count_if(recent) / F.lit(float(seconds))
 
 
+def _type_counters() -> list[Column]:
+    return [
+        F.count_if(_is(event) & (F.col("query_type") == q)).alias(f"{q}_{name}")
+        for q in D.QUERY_TYPES for event, name in (("hit", "hits"), ("miss", "misses"))
+    ]
+
+
 def run_totals(events: DataFrame, group: str, start: float | None = None, as_of: float | None = None) -> DataFrame:
     begin = F.min("ts") if start is None else F.lit(float(start))
     end = F.max("ts") if as_of is None else F.lit(float(as_of))
-    return events.groupBy(group).agg(*counters(), begin.alias("start"), end.alias("as_of"))
+    return events.groupBy(group).agg(*counters(), *_type_counters(), begin.alias("start"), end.alias("as_of"))
 
 
 def latency_stats(digits: int = 3) -> list[Column]:
@@ -119,6 +126,7 @@ def latency_stats(digits: int = 3) -> list[Column]:
     lists = {"hit_": only("hit"), "miss_": only("miss"), "all_": only("hit", "miss"), "e2e_": only("e2e")}
     return [
         *[c for prefix_, v in lists.items() for c in sample_percentiles(v, prefix_, digits=digits)],
+        *[c for q in D.QUERY_TYPES for c in sample_percentiles(only(q), f"{q}_", digits=digits)],
         F.coalesce(F.avg(only("hit")), F.lit(0.0)).alias("mean_hit_ms"),
         F.coalesce(F.avg(only("miss")), F.lit(0.0)).alias("mean_miss_ms"),
     ]
@@ -132,17 +140,24 @@ def run_samples(events: DataFrame, group: str, start: float | None = None, as_of
     return totals.join(sample, group, "left").groupBy(*totals.columns)
 
 
-def run_summary(events: DataFrame, group: str, start: float | None = None, as_of: float | None = None,
-                latency_window: int = D.LATENCY_WINDOW, times_window: int = D.TIMES_WINDOW,
-                percentile_digits: int = 3) -> DataFrame:
-    """All KPIs of each run as one flat row. `events` must be normalised."""
-    joined = run_samples(events, group, start, as_of, latency_window, times_window).agg(
+def run_facts(events: DataFrame, group: str, start: float | None = None, as_of: float | None = None,
+              latency_window: int = D.LATENCY_WINDOW, times_window: int = D.TIMES_WINDOW,
+              percentile_digits: int = 3) -> DataFrame:
+    """Everything the summary and the per-type block are made of, one row per run.
+
+    `events` must be normalised. A reader of some columns pays only for those.
+    """
+    return run_samples(events, group, start, as_of, latency_window, times_window).agg(
         *latency_stats(percentile_digits),
         recent_rate("requests").alias("_recent"), recent_rate("processed").alias("_recent_processed"))
+
+
+def run_summary(facts: DataFrame, group: str, *also: str | Column) -> DataFrame:
+    """All KPIs of each run as one flat row."""
     hits, misses, total = F.col("hits"), F.col("misses"), F.col("hits") + F.col("misses")
     mean_hit, mean_miss = F.col("mean_hit_ms"), F.col("mean_miss_ms")
     percentiles = [f"{k}_{p}" for k in ("hit", "miss", "all", "e2e") for p in ("p50", "p95", "p99")]
-    return joined.select(
+    return facts.select(
         group, F.round(F.col("as_of") - F.col("start"), 2).alias("elapsed_sec"),
         "hits", "misses", "errors", total.alias("total_requests"), *hit_rates(hits, misses),
         F.round(throughput(total, F.col("start"), F.col("as_of")), 2).alias("throughput_qps_total"),
@@ -153,28 +168,24 @@ def run_summary(events: DataFrame, group: str, start: float | None = None, as_of
         "processed", "recovered", "retried", "dead_lettered",
         F.round(throughput(F.col("processed"), F.col("start"), F.col("as_of")), 2).alias("throughput_processed_qps_total"),
         F.round("_recent_processed", 2).alias("throughput_processed_qps_recent_10s"),
-        *finish_rates(), F.col("as_of").alias("snapshot_ts"),
+        *finish_rates(), F.col("as_of").alias("snapshot_ts"), *also,
     )
 
 
-def by_query_type(events: DataFrame, group: str, latency_window: int = D.LATENCY_WINDOW,
-                  percentile_digits: int = 3) -> DataFrame:
-    """Hits, misses, hit rate and percentiles for each of the five types, also the unused ones."""
-    counts = events.groupBy(group, "query_type").agg(
-        F.count_if(_is("hit")).alias("hits"), F.count_if(_is("miss")).alias("misses"))
-    latency = (
-        samples(events, group, latency_window).where(F.col("kind").isin(D.QUERY_TYPES))
-        .groupBy(group, F.col("kind").alias("query_type"))
-        .agg(*sample_percentiles(F.col("value"), suffix="_ms", digits=percentile_digits))
-    )
-    grid = counts.select(group).distinct().withColumn(
-        "query_type", F.explode(F.array(*[F.lit(q) for q in D.QUERY_TYPES])))
-    hits, misses = F.coalesce("hits", F.lit(0)), F.coalesce("misses", F.lit(0))
-    return (
-        grid.join(counts, [group, "query_type"], "left").join(latency, [group, "query_type"], "left")
-        .select(group, "query_type", hits.alias("hits"), misses.alias("misses"), (hits + misses).alias("total"),
-                hit_rates(hits, misses)[0], "p50_ms", "p95_ms", "p99_ms")
-    )
+def type_blocks() -> list[Column]:
+    """A struct per query type, over the facts of a run; unused types have zeros and nulls."""
+    def block(q: str) -> Column:
+        hits, misses = F.col(f"{q}_hits"), F.col(f"{q}_misses")
+        return F.struct(
+            F.lit(q).alias("query_type"), hits.alias("hits"), misses.alias("misses"), (hits + misses).alias("total"),
+            hit_rates(hits, misses)[0], *[F.col(f"{q}_{p}").alias(f"{p}_ms") for p in ("p50", "p95", "p99")])
+
+    return [block(q) for q in D.QUERY_TYPES]
+
+
+def by_query_type(facts: DataFrame, group: str) -> DataFrame:
+    """Hits, misses, hit rate and percentiles of each of the five types, one row per type."""
+    return facts.select(group, F.inline(F.array(*type_blocks())))
 
 
 def window_kpis(records: DataFrame, time: str = "event_time", length: str = "1 minute", slide: str = "30 seconds") -> DataFrame:

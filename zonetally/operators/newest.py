@@ -11,7 +11,7 @@ def _ranked(df: DataFrame, groups: list[str], seconds: str, tie: str, n: Column)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def newest_of_few(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int | Column, slot_seconds: float = 1.0) -> DataFrame:
+def newest_of_few(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int | Column, slot_seconds: float = 60.0) -> DataFrame:
     """Newest N rows where the groups come from a short fixed list.
 
     Rows are counted per group and time slot first, which needs no row shuffle.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from zonetally.functions import domains as D
 from zonetally.functions.columns import path_or
+from zonetally.operators.kpis import run_summary, type_blocks
 
 PERCENTILE_NAMES = ("p50", "p95", "p99")
 
@@ -15,16 +16,15 @@ def _percentiles(prefix: str) -> Column:
     return F.struct(*[F.col(f"{prefix}_{p}").alias(p) for p in PERCENTILE_NAMES])
 
 
-def by_query_map(by_query: DataFrame, group: str) -> DataFrame:
-    block = F.struct("hits", "misses", "total", "hit_rate", "p50_ms", "p95_ms", "p99_ms")
-    return by_query.groupBy(group).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("query_type", block)))).alias("by_query"))
+def _by_query() -> Column:
+    blocks = {b: type_blocks()[i] for i, b in enumerate(D.QUERY_TYPES)}
+    entries = [v for q, b in blocks.items() for v in (F.lit(q), b.dropFields("query_type"))]
+    return F.create_map(*entries)
 
 
-def documents(summary: DataFrame, by_query: DataFrame, queue: DataFrame | None, group: str,
-              extra: dict[str, str] | None = None) -> DataFrame:
-    """One nested document per run from its flat KPIs, its per-type block and its queue health."""
-    joined = summary.join(by_query_map(by_query, group), group, "left")
+def documents(facts: DataFrame, queue: DataFrame | None, group: str, extra: dict[str, str] | None = None) -> DataFrame:
+    """One nested document per run from its facts and its queue health."""
+    joined = run_summary(facts, group, _by_query().alias("by_query"))
     health = F.lit(None).cast("struct<backlog_total:bigint,peak_backlog:bigint,recovery_time_sec:double,draining:boolean>")
     if queue is not None:
         block = F.struct("backlog_total", F.col("peak_backlog").cast("bigint").alias("peak_backlog"), "recovery_time_sec", "draining")

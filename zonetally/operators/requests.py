@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from zonetally.functions import columns as C
 from zonetally.functions import domains as D
 from zonetally.operators.zones import winner
+from zonetally.session import store
+
+BUCKETS = "array<struct<bucket:int,min:double,max:double,count:bigint>>"
 
 CELLS = 100          # confidence cells per unit; a floor on a cell edge needs no rows again
 ALL_ROWS = -1        # level of a floor that keeps every row
-FEW_BINS = 64        # histograms up to this many bins are counted from a broadcast list
+FEW_BINS = 64        # histograms up to this many bins are counted in the common pass
+NO_BINS = 0          # marks the confidence cells among the histogram counts
 
 
 def typed_params(df: DataFrame, schema, params: str = "params") -> DataFrame:
@@ -57,31 +61,46 @@ def _cell(confidence: Column) -> Column:
     return F.when(usable, F.least(cell, F.lit(CELLS))).otherwise(F.lit(ALL_ROWS))
 
 
-def floor_table(buildings: DataFrame, zones: DataFrame) -> DataFrame:
-    """Count and area of every zone at every floor that lies on a cell edge.
+def cell_counts(buildings: DataFrame, bins: list[int]) -> DataFrame:
+    """Counts per zone for all floors and histograms, from one pass over the buildings.
 
-    One pass over the buildings; the result has zones x (CELLS + 2) rows whatever
-    the size of the input, which is what bounds the broadcasts below.
+    Each building counts once in its confidence cell and once in its bin of every
+    listed histogram. The result has at most zones x (CELLS + 2 + sum of bins) rows
+    whatever the size of the input, which is what bounds the broadcasts below.
     """
-    cells = (
+    places = F.array(
+        F.struct(F.lit(NO_BINS).alias("bins"), _cell(F.col("confidence")).alias("level")),
+        *[F.struct(F.lit(n).alias("bins"), C.bin_index(F.col("confidence"), F.lit(n)).alias("level")) for n in bins],
+    )
+    area = F.when(F.col("bins") == NO_BINS, F.col("area_in_meters"))
+    return (
         buildings.where(F.col("zone_id").isin(D.ZONE_IDS))
-        .groupBy("zone_id", _cell(F.col("confidence")).alias("level"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("area_in_meters").alias("area"))
+        .select("zone_id", "area_in_meters", F.inline(places)).where(F.col("level").isNotNull())
+        .groupBy("zone_id", "bins", "level").agg(F.count(F.lit(1)).alias("n"), F.sum(area).alias("area"))
     )
+
+
+def floor_arrays(cells: DataFrame, zones: DataFrame) -> DataFrame:
+    """One row per zone; `floors` holds count and area at every level, ALL_ROWS first."""
     grid = zones.select("zone_id", "area_km2", F.explode(F.sequence(F.lit(ALL_ROWS), F.lit(CELLS + 1))).alias("level"))
     above = Window.partitionBy("zone_id").orderBy(F.desc("level"))
-    return grid.join(cells, ["zone_id", "level"], "left").select(
+    levels = grid.join(cells.where(F.col("bins") == NO_BINS), ["zone_id", "level"], "left").select(
         "zone_id", "area_km2", "level",
         F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n"),
-        F.coalesce(F.sum("area").over(above), F.lit(0.0)).alias("area"),
-    )
+        F.coalesce(F.sum("area").over(above), F.lit(0.0)).alias("area"))
+    return levels.groupBy("zone_id", "area_km2").agg(
+        F.array_sort(F.collect_list(F.struct("level", "n", "area"))).alias("floors"))
+
+
+def _at_level(level: Column) -> Column:
+    return F.element_at("floors", level - ALL_ROWS + 1)
 
 
 def _edge_level(minimum: Column) -> Column:
     """Level of a floor on a cell edge; null for a floor between edges."""
-    nearest = F.round(minimum * CELLS).cast("int")
+    nearest = F.round(minimum * CELLS)
     on_edge = (nearest / F.lit(float(CELLS)) == minimum) & (nearest <= CELLS)
-    return F.when(minimum <= 0, F.lit(ALL_ROWS)).when(on_edge, nearest)
+    return F.when(minimum <= 0, F.lit(ALL_ROWS)).when(on_edge, nearest.cast("int"))
 
 
 def _off_edge_totals(asked: DataFrame, buildings: DataFrame, floors: DataFrame) -> DataFrame:
@@ -94,112 +113,125 @@ def _off_edge_totals(asked: DataFrame, buildings: DataFrame, floors: DataFrame)
         .groupBy("zone_id", "confidence_min")
         .agg(F.count(F.lit(1)).alias("n_in"), F.sum("area_in_meters").alias("area_in"))
     )
-    above = floors.withColumn("level", F.col("level") - 1)
+    above = _at_level(F.col("level") + 1)
     return (
-        pairs.join(F.broadcast(above), ["zone_id", "level"])
+        pairs.join(F.broadcast(floors), "zone_id")
         .join(inside, ["zone_id", "confidence_min"], "left")
         .select("zone_id", "confidence_min", "area_km2",
-                (F.col("n") + F.coalesce("n_in", F.lit(0))).alias("n"),
-                (F.col("area") + F.coalesce("area_in", F.lit(0.0))).alias("area"))
+                (above["n"] + F.coalesce("n_in", F.lit(0))).alias("n"),
+                (above["area"] + F.coalesce("area_in", F.lit(0.0))).alias("area"))
     )
 
 
-def _side(table: DataFrame, side: str, keys: list[str]) -> DataFrame:
-    named = table.select(
-        F.col("zone_id").alias(f"zone_{side}"), *keys,
-        *[F.col(c).alias(f"{c}_{side}") for c in ("n", "area", "area_km2")])
-    return named
-
-
-def answer_floors(requests: DataFrame, buildings: DataFrame, zones: DataFrame) -> DataFrame:
-    """Answers of count, area, density and comparison requests.
-
-    Floors on a cell edge are looked up in the small floor table and never meet
-    the buildings; only the distinct other floors go through a join with them.
-    """
-    floors = floor_table(buildings, zones)
-    asked = requests.where(F.upper("query_type").isin("Q1", "Q2", "Q3", "Q4")).withColumn(
-        "level", _edge_level(F.col("confidence_min")))
-    on_edge, between = asked.where(F.col("level").isNotNull()), asked.where(F.col("level").isNull()).drop("level")
-
-    direct = (
-        on_edge.join(F.broadcast(_side(floors, "a", ["level"])), ["zone_a", "level"])
-        .join(F.broadcast(_side(floors, "b", ["level"])), ["zone_b", "level"], "left").drop("level")
-    )
-    both = between.select(F.col("zone_a").alias("zone_id"), "confidence_min").unionByName(
-        between.where(F.upper("query_type") == "Q4").select(F.col("zone_b").alias("zone_id"), "confidence_min"))
-    totals = _off_edge_totals(both, buildings, floors)
-    looked_up = (
-        between.join(_side(totals, "a", ["confidence_min"]), ["zone_a", "confidence_min"])
-        .join(_side(totals, "b", ["confidence_min"]), ["zone_b", "confidence_min"], "left")
-    )
+def _floor_answers(located: DataFrame) -> DataFrame:
+    """Results from the totals at both sides' floors (n_a, area_a, area_km2_a, n_b, area_km2_b)."""
     kind = F.upper("query_type")
 
     def dens(side: str) -> Column:
         n, area = F.col(f"n_{side}"), F.col(f"area_km2_{side}")
         return F.when(area > 0, n / area).otherwise(0.0)
 
-    density_a, density_b = dens("a"), dens("b")
-    return direct.unionByName(looked_up).select(
+    a, b = dens("a"), dens("b")
+    return located.select(
         "request_id", "cache_key", "query_type",
         F.when(kind.isin("Q1", "Q2", "Q3"), F.col("n_a")).alias("n"),
         F.when(kind == "Q2", F.when(F.col("n_a") > 0, F.col("area_a") / F.col("n_a")).otherwise(0.0)).alias("avg_area"),
         F.when(kind == "Q2", F.col("area_a")).alias("total_area"),
-        F.when(kind.isin("Q3", "Q4"), density_a).alias("density_a"),
-        F.when(kind == "Q4", density_b).alias("density_b"),
-        F.when(kind == "Q4", winner(F.col("zone_a"), F.col("zone_b"), density_a, density_b)).alias("winner"),
+        F.when(kind.isin("Q3", "Q4"), a).alias("density_a"),
+        F.when(kind == "Q4", b).alias("density_b"),
+        F.when(kind == "Q4", winner(F.col("zone_a"), F.col("zone_b"), a, b)).alias("winner"),
     )
 
 
-def request_histograms(requests: DataFrame, buildings: DataFrame) -> DataFrame:
-    """One row per (zone, bins) asked for, with its ordered buckets.
+def _answers_on_edges(asked: DataFrame, floors: DataFrame) -> DataFrame:
+    a, b = (
+        F.broadcast(floors.select(*[F.col(c).alias(f"{c}_{side}") for c in floors.columns]).withColumnRenamed(
+            f"zone_id_{side}", f"zone_{side}"))
+        for side in "ab")
+    joined = asked.join(a, "zone_a").join(b, "zone_b", "left")
 
-    Up to FEW_BINS bins the question list has at most zones x FEW_BINS numbers
-    and travels to the buildings; longer histograms meet buildings that were
-    first counted per confidence value.
-    """
-    asked = (
-        requests.where((F.upper("query_type") == "Q5") & F.col("zone_a").isin(D.ZONE_IDS))
-        .select(F.col("zone_a").alias("zone_id"), F.col("bins").cast("int").alias("bins"))
-        .where(F.col("bins") > 0).distinct()
-    )
-    few = asked.where(F.col("bins") <= FEW_BINS).groupBy("zone_id").agg(F.collect_list("bins").alias("_bins"))
-    index = C.bin_index(F.col("confidence"), F.col("bins")).alias("bucket")
-    short = (
-        buildings.join(F.broadcast(few), "zone_id")
-        .select("zone_id", "confidence", F.explode("_bins").alias("bins"))
-        .groupBy("zone_id", "bins", index).agg(F.count(F.lit(1)).alias("n"))
-    )
-    profile = buildings.groupBy("zone_id", "confidence").agg(F.count(F.lit(1)).alias("n"))
-    long = (
-        profile.join(asked.where(F.col("bins") > FEW_BINS), "zone_id")
-        .groupBy("zone_id", "bins", index).agg(F.sum("n").alias("n"))
-    )
-    counts = short.unionByName(long).where(F.col("bucket").isNotNull())
-    grid = asked.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)))
+    def at(side: str, field: str) -> Column:
+        return F.element_at(f"floors_{side}", F.col("level") - ALL_ROWS + 1)[field].alias(f"{field}_{side}")
+
+    return _floor_answers(joined.select(
+        *asked.columns, at("a", "n"), at("a", "area"), "area_km2_a", at("b", "n"), "area_km2_b"))
+
+
+def _answers_between_edges(asked: DataFrame, buildings: DataFrame, floors: DataFrame) -> DataFrame:
+    """Each request looks its one or two zones up in one table of totals."""
+    sides = F.array_compact(F.array(
+        F.struct(F.lit("a").alias("side"), F.col("zone_a").alias("zone_id")),
+        F.when(F.upper("query_type") == "Q4", F.struct(F.lit("b").alias("side"), F.col("zone_b").alias("zone_id")))))
+    spread = asked.select("*", F.inline(sides))
+    found = spread.join(_off_edge_totals(spread, buildings, floors), ["zone_id", "confidence_min"])
+
+    def of(side: str, field: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col(field))).alias(f"{field}_{side}")
+
+    return _floor_answers(found.groupBy(*asked.columns).agg(
+        of("a", "n"), of("a", "area"), of("a", "area_km2"), of("b", "n"), of("b", "area_km2")))
+
+
+def _bucket_arrays(counts: DataFrame, asked: DataFrame) -> DataFrame:
+    """Ordered buckets of each (zone_id, bins), empty ones included."""
+    grid = asked.withColumn("level", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)))
     bucket = F.struct(
-        "bucket", (F.col("bucket") / F.col("bins")).alias("min"),
-        ((F.col("bucket") + 1) / F.col("bins")).alias("max"), F.coalesce("n", F.lit(0)).alias("count"))
+        F.col("level").alias("bucket"), (F.col("level") / F.col("bins")).alias("min"),
+        ((F.col("level") + 1) / F.col("bins")).alias("max"), F.coalesce("n", F.lit(0)).alias("count"))
     return (
-        grid.join(counts, ["zone_id", "bins", "bucket"], "left")
+        grid.join(counts.select("zone_id", "bins", "level", "n"), ["zone_id", "bins", "level"], "left")
         .groupBy("zone_id", "bins").agg(F.array_sort(F.collect_list(bucket)).alias("buckets"))
     )
 
 
-def answer_histograms(requests: DataFrame, buildings: DataFrame) -> DataFrame:
-    table = request_histograms(requests, buildings)
-    return (
-        requests.where(F.upper("query_type") == "Q5").withColumn("bins", F.col("bins").cast("int"))
-        .join(table.withColumnRenamed("zone_id", "zone_a"), ["zone_a", "bins"])
-        .select("request_id", "cache_key", "query_type", "buckets")
-    )
+def _long_histograms(asked: DataFrame, buildings: DataFrame) -> DataFrame:
+    """Histograms of many bins, from buildings first counted per confidence value."""
+    wanted = asked.select(F.col("zone_a").alias("zone_id"), "bins").distinct()
+    profile = buildings.groupBy("zone_id", "confidence").agg(F.count(F.lit(1)).alias("n"))
+    level = C.bin_index(F.col("confidence"), F.col("bins")).alias("level")
+    counts = profile.join(wanted, "zone_id").groupBy("zone_id", "bins", level).agg(F.sum("n").alias("n"))
+    return _bucket_arrays(counts, wanted)
+
+
+def _histogram_answers(asked: DataFrame, arrays: DataFrame) -> DataFrame:
+    return asked.join(arrays.withColumnRenamed("zone_id", "zone_a"), ["zone_a", "bins"]).select(
+        "request_id", "cache_key", "query_type", "buckets")
 
 
 def answer_requests(requests: DataFrame, buildings: DataFrame, zones: DataFrame) -> DataFrame:
-    """All valid requests with their answers; one job for any number of them."""
+    """All valid requests with their answers, for any number of them.
+
+    A first look at the requests finds out which histograms are asked for and
+    whether any request needs more than the common counts. The buildings are then
+    read once, into a small stored table; requests meet only that table, without a
+    shuffle. Floors between cell edges and long histograms read the buildings again,
+    and only if there are any.
+    """
+    spark = requests.sparkSession
     valid = with_key(with_reject_reason(requests).where(F.col("reject_reason").isNull()).drop("reject_reason"))
-    return answer_floors(valid, buildings, zones).unionByName(
-        answer_histograms(valid, buildings), allowMissingColumns=True)
+    valid = valid.withColumns({"bins": F.col("bins").cast("int"), "level": _edge_level(F.col("confidence_min"))})
+    is_histogram = F.upper("query_type") == "Q5"
+    is_long, between = is_histogram & (F.col("bins") > FEW_BINS), ~is_histogram & F.col("level").isNull()
+    asked = valid.agg(
+        F.collect_set(F.when(is_histogram & F.col("bins").between(1, FEW_BINS), F.col("bins"))).alias("bins"),
+        F.count_if(is_long).alias("long"), F.count_if(between).alias("between")).first()
+
+    cells = store(spark, cell_counts(buildings, sorted(asked["bins"])), "cells")
+    floors = floor_arrays(cells, zones)
+    parts = [_answers_on_edges(valid.where(~is_histogram & F.col("level").isNotNull()), floors)]
+    if asked["bins"]:
+        listed = F.explode(F.array(*[F.lit(n) for n in sorted(asked["bins"])]))
+        arrays = _bucket_arrays(cells, zones.select("zone_id", listed.alias("bins")))
+        parts.append(_histogram_answers(valid.where(is_histogram & ~is_long), F.broadcast(arrays)))
+    if asked["between"]:
+        parts.append(_answers_between_edges(valid.where(between).drop("level"), buildings, floors))
+    if asked["long"]:
+        many = valid.where(is_long)
+        parts.append(_histogram_answers(many, _long_histograms(many, buildings)))
+    answers = parts[0].withColumn("buckets", F.lit(None).cast(BUCKETS))
+    for part in parts[1:]:
+        answers = answers.unionByName(part, allowMissingColumns=True)
+    return answers
 
 
 def look_up(requests: DataFrame, results: DataFrame) -> DataFrame:

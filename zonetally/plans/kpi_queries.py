@@ -166,13 +166,14 @@ def _(spark, d):
 
 @query("agg08_by_query_type", f"with {norm_sql('all_runs')}, {sample_sql()}, {by_query_sql()} select * from by_query", E)
 def _(spark, d):
-    return K.by_query_type(events(spark, d).withColumn("label", F.col("all_runs")), "label", percentile_digits=4)
+    facts = K.run_facts(events(spark, d), "all_runs", percentile_digits=4)
+    return K.by_query_type(facts, "all_runs").withColumnRenamed("all_runs", "label")
 
 
 @query("jn06_dense_query_types", f"with {norm_sql('run')}, {sample_sql()}, {by_query_sql()} select label, query_type, hits, misses, total, hit_rate from by_query", E)
 def _(spark, d):
-    return K.by_query_type(events(spark, d).withColumn("label", F.col("run")), "label").select(
-        "label", "query_type", "hits", "misses", "total", "hit_rate")
+    return K.by_query_type(K.run_facts(events(spark, d), "run"), "run").select(
+        F.col("run").alias("label"), "query_type", "hits", "misses", "total", "hit_rate")
 
 
 @query("agg09_exact_percentiles", f"""
@@ -210,7 +211,7 @@ def _(spark, d):
 @query("agg11_mean_latencies", f"""
 with {summary_sql('run')} select label as run, mean_t_cache_ms, mean_t_db_ms from summary""", E)
 def _(spark, d):
-    return K.run_summary(events(spark, d), "run").select("run", "mean_t_cache_ms", "mean_t_db_ms")
+    return K.run_summary(K.run_facts(events(spark, d), "run"), "run").select("run", "mean_t_cache_ms", "mean_t_db_ms")
 
 
 @query("agg12_hit_rates", """
@@ -224,7 +225,7 @@ def _(spark, d):
 
 @query("agg13_time_saved", f"with {summary_sql('run')} select label as run, cache_efficiency from summary", E)
 def _(spark, d):
-    return K.run_summary(events(spark, d), "run").select("run", "cache_efficiency")
+    return K.run_summary(K.run_facts(events(spark, d), "run"), "run").select("run", "cache_efficiency")
 
 
 @query("agg14_throughput", """
@@ -253,7 +254,8 @@ def _(spark, d):
 
 @query("agg16_run_summary", f"with {summary_sql('run', 500, 1000)} select label as run, * exclude (label) from summary", E)
 def _(spark, d):
-    return K.run_summary(events(spark, d), "run", latency_window=500, times_window=1000, percentile_digits=4)
+    facts = K.run_facts(events(spark, d), "run", latency_window=500, times_window=1000, percentile_digits=4)
+    return K.run_summary(facts, "run")
 
 
 # ---- sliding windows ---------------------------------------------------------

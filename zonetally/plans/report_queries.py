@@ -30,8 +30,7 @@ GRID = """grid as (select p.policy, s.size, t.dist, concat_ws('_', p.policy, s.s
 
 def run_docs(spark, d):
     """A document per cell of the report grid."""
-    e = events(spark, d)
-    return R.documents(K.run_summary(e, "run", percentile_digits=4), K.by_query_type(e, "run", percentile_digits=4), None, "run")
+    return R.documents(K.run_facts(events(spark, d), "run", percentile_digits=4), None, "run")
 
 
 def scenario_docs(spark, d):
@@ -40,8 +39,7 @@ def scenario_docs(spark, d):
     e = events(spark, d).where(~sync | F.col("event").isin("hit", "miss", "error"))
     work = spans(spark, d, seconds_per_value=6).where(~sync)
     queue = B.recovery(B.in_flight(work, "scenario", "start_sec", "end_sec"), "scenario")
-    summary = K.run_summary(e, "scenario", percentile_digits=4)
-    return R.documents(summary, K.by_query_type(e, "scenario", percentile_digits=4), queue, "scenario")
+    return R.documents(K.run_facts(e, "scenario", percentile_digits=4), queue, "scenario")
 
 
 @query("set04_run_grid", f"with {GRID} select g.*, coalesce(hits, 0) + coalesce(misses, 0) as requests from grid g left join runs r on r.policy = g.policy and r.size = g.size and r.dist = g.dist", ("runs",))

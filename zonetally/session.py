@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -28,6 +28,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/zonetally/{name}-{uuid.uuid4().hex}"
 
 
+def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the scratch folder: computed once, safe from lost executors."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def build_session(app: str = "zonetally", master: str | None = None, partitions: int | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Session as the operators expect it: UTC, AQE with skew handling."""
