@@ -87,25 +87,28 @@ def build_requests(rows: DataFrame, row_id: str, distribution: str = "zipf", s:
     if distribution not in ("zipf", "uniform"):
         raise ValueError(f"unknown distribution: {distribution}")
 
-    def draw(items: list, salt: str) -> Column:
+    def number(salt: str) -> Column:
+        return C.uniform01(F.lit(seed), F.lit(salt), F.col(row_id))
+
+    def chosen(u: str, items: list) -> Column:
         weights = C.zipf_weights(len(items), s) if distribution == "zipf" else [1.0] * len(items)
-        return C.pick(C.uniform01(F.lit(seed), F.lit(salt), F.col(row_id)), items, weights)
-
-    zone_b = F.coalesce(*[
-        F.when(F.col(f"_b{i}") != F.col("zone_a"), F.col(f"_b{i}")) for i in range(ZONE_DRAWS)
-    ], F.element_at(
-        F.array_except(F.array(*[F.lit(z) for z in D.ZONE_IDS]), F.array("zone_a")),
-        F.floor(C.uniform01(F.lit(seed), F.lit("other"), F.col(row_id)) * (len(D.ZONE_IDS) - 1)).cast("int") + 1,
-    ))
+        return C.pick(F.col(u), items, weights)
+
+    # the numbers are columns of their own, so that each is hashed once and not per comparison
     kind = F.col("query_type")
-    return (
-        rows.withColumn("query_type", draw(D.QUERY_POPULARITY, "type"))
-        .withColumn("zone_a", draw(D.ZONE_POPULARITY, "zone"))
-        .withColumns({f"_b{i}": draw(D.ZONE_POPULARITY, f"pair{i}") for i in range(ZONE_DRAWS)})
-        .select(
-            *rows.columns, "query_type", "zone_a",
-            F.when(kind == "Q4", zone_b).alias("zone_b"),
-            F.when(kind != "Q5", draw(D.CONFIDENCE_LEVELS, "floor")).alias("confidence_min"),
-            F.when(kind == "Q5", draw(D.BIN_LEVELS, "bins")).alias("bins"),
-        )
+    drawn = (
+        rows.withColumns({f"_u_{salt}": number(salt) for salt in ("type", "zone", "floor", "bins")})
+        .withColumns({"query_type": chosen("_u_type", D.QUERY_POPULARITY), "zone_a": chosen("_u_zone", D.ZONE_POPULARITY)})
+        .withColumns({f"_u_b{i}": F.when(kind == "Q4", number(f"pair{i}")) for i in range(ZONE_DRAWS)})
+        .withColumns({f"_b{i}": chosen(f"_u_b{i}", D.ZONE_POPULARITY) for i in range(ZONE_DRAWS)})
+    )
+    others = F.array_except(F.array(*[F.lit(z) for z in D.ZONE_IDS]), F.array("zone_a"))
+    any_other = F.element_at(others, F.floor(number("other") * (len(D.ZONE_IDS) - 1)).cast("int") + 1)
+    zone_b = F.coalesce(
+        *[F.when(F.col(f"_b{i}") != F.col("zone_a"), F.col(f"_b{i}")) for i in range(ZONE_DRAWS)], any_other)
+    return drawn.select(
+        *rows.columns, "query_type", "zone_a",
+        F.when(kind == "Q4", zone_b).alias("zone_b"),
+        F.when(kind != "Q5", chosen("_u_floor", D.CONFIDENCE_LEVELS)).alias("confidence_min"),
+        F.when(kind == "Q5", chosen("_u_bins", D.BIN_LEVELS)).alias("bins"),
     )

@@ -74,29 +74,61 @@ def throughput(count: Column, start: Column, end: Column) -> Column:
     return F.when(end > start, count / (end - start)).otherwise(0.0)
 
 
+LATENCY_LISTS = ["hit", "miss", *D.QUERY_TYPES, "e2e"]
+TIME_LISTS = ["requests", "processed"]
+
+
+def _memberships(answered: Column, processed: Column, has_e2e: Column) -> dict[str, Column]:
+    """Which lists an event belongs to."""
+    by_type = {q: answered & (F.col("query_type") == q) for q in D.QUERY_TYPES}
+    return {"hit": _is("hit"), "miss": _is("miss"), **by_type, "e2e": processed & has_e2e,
+            "requests": answered, "processed": processed}
+
+
 def samples(events: DataFrame, group: str, latency_window: int = D.LATENCY_WINDOW,
-            times_window: int = D.TIMES_WINDOW) -> DataFrame:
+            times_window: int = D.TIMES_WINDOW, slot_seconds: float = 60.0) -> DataFrame:
     """Newest rows of every list the KPIs look at: (group, kind, ts, event_id, value).
 
     Kinds: hit, miss, Q1..Q5 and e2e keep latencies, requests and processed keep
-    times. All lists are cut in one pass; `group` must come from a short list.
+    times. Works as `newest_of_few` does, for all lists at once: events are counted
+    per time slot, the counts give each list of a group its first slot, and only
+    events from such slots on are put into lists. `group` comes from a short fixed
+    list of runs; the table of first slots has one row for each.
     """
-    known_type = F.col("query_type").isin(D.QUERY_TYPES)
-    answered = F.col("event").isin("hit", "miss")
-
-    def entry(cond: Column, kind: Column | str, value: Column, n: int) -> Column:
-        kind = F.lit(kind) if isinstance(kind, str) else kind
-        return F.when(cond, F.struct(kind.alias("kind"), value.cast("double").alias("value"), F.lit(n).alias("_limit")))
-
-    entries = F.array_compact(F.array(
-        entry(answered, F.col("event"), F.col("latency_ms"), latency_window),
-        entry(answered & known_type, F.col("query_type"), F.col("latency_ms"), latency_window),
-        entry(answered, "requests", F.col("ts"), times_window),
-        entry(_is("processed"), "processed", F.col("ts"), times_window),
-        entry(_is("processed") & F.col("end_to_end_ms").isNotNull(), "e2e", F.col("end_to_end_ms"), latency_window),
-    ))
-    listed = events.where(answered | _is("processed")).select(group, "ts", "event_id", F.inline(entries))
-    return newest_of_few(listed, [group, "kind"], "ts", "event_id", F.col("_limit")).drop("_limit")
+    limits = {k: latency_window for k in LATENCY_LISTS} | {k: times_window for k in TIME_LISTS}
+    answered, processed = F.col("event").isin("hit", "miss"), _is("processed")
+    slot = F.floor(F.col("ts") / F.lit(float(slot_seconds)))
+    relevant = events.where(answered | processed).withColumns(
+        {"_slot": slot, "_e2e": processed & F.col("end_to_end_ms").isNotNull()})
+    member = _memberships(answered, processed, F.col("_e2e"))
+
+    def lists(value: dict[str, Column]) -> Column:
+        entry = {k: F.when(member[k] & value.get("if_" + k, F.lit(True)),
+                           F.struct(F.lit(k).alias("kind"), F.lit(limits[k]).alias("_limit"))) for k in limits}
+        return F.explode(F.array_compact(F.array(*entry.values())))
+
+    newer = Window.partitionBy(group, "kind").orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (
+        relevant.groupBy(group, "event", "query_type", "_e2e", "_slot").agg(F.count(F.lit(1)).alias("_n"))
+        .select(group, "_slot", "_n", lists({}).alias("_l")).select(group, "_slot", "_n", "_l.*")
+        .groupBy(group, "kind", "_limit", "_slot").agg(F.sum("_n").alias("_n"))
+        .withColumn("_newer", F.coalesce(F.sum("_n").over(newer), F.lit(0))).where(F.col("_newer") < F.col("_limit"))
+        .groupBy(group).agg(*[F.min(F.when(F.col("kind") == k, F.col("_slot"))).alias(f"_cut_{k}") for k in limits])
+    )
+    recent = {k: F.col("_slot") >= F.col(f"_cut_{k}") for k in limits}
+    in_any = F.lit(False)
+    for k in limits:
+        in_any = in_any | (member[k] & recent[k])
+    value = F.when(F.col("kind").isin(TIME_LISTS), F.col("ts")).when(F.col("kind") == "e2e", F.col("end_to_end_ms")).otherwise(
+        F.col("latency_ms"))
+    newest = Window.partitionBy(group, "kind").orderBy(F.desc("ts"), F.desc("event_id"))
+    return (
+        relevant.join(F.broadcast(cuts), group).where(in_any)
+        .select(group, "ts", "event_id", "latency_ms", "end_to_end_ms", lists({"if_" + k: recent[k] for k in limits}).alias("_l"))
+        .select(group, "ts", "event_id", "latency_ms", "end_to_end_ms", "_l.*")
+        .select(group, "kind", "ts", "event_id", value.alias("value"), "_limit", F.row_number().over(newest).alias("_rn"))
+        .where(F.col("_rn") <= F.col("_limit")).drop("_limit", "_rn")
+    )
 
 
 def recent_rate(kind: str, seconds: float = 10.0) -> Column:

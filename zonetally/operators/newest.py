@@ -45,3 +45,15 @@ def newest_of_many(df: DataFrame, groups: list[str], seconds: str, tie: str, n:
     chunked = df.withColumn("_chunk", F.floor(F.col(seconds) / F.lit(float(chunk_seconds))))
     survivors = _ranked(chunked, [*groups, "_chunk"], seconds, tie, n).drop("_chunk")
     return _ranked(survivors, groups, seconds, tie, n)
+
+
+def newest_overall(df: DataFrame, seconds: str, tie: str, n: int, slot_seconds: float = 60.0) -> DataFrame:
+    """The newest N rows of all. The cut-off is one value, so the scan can filter by it."""
+    slot = F.floor(F.col(seconds) / F.lit(float(slot_seconds)))
+    newer = Window.orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+    cut = (
+        df.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_newer", F.coalesce(F.sum("_n").over(newer), F.lit(0))).where(F.col("_newer") < n)
+        .agg(F.min("_slot")).scalar()
+    )
+    return df.where(slot >= cut).orderBy(F.desc(seconds), F.desc(tie)).limit(n)

@@ -15,7 +15,6 @@ BUCKETS = "array<struct<bucket:int,min:double,max:double,count:bigint>>"
 CELLS = 100          # confidence cells per unit; a floor on a cell edge needs no rows again
 ALL_ROWS = -1        # level of a floor that keeps every row
 FEW_BINS = 64        # histograms up to this many bins are counted in the common pass
-NO_BINS = 0          # marks the confidence cells among the histogram counts
 
 
 def typed_params(df: DataFrame, schema, params: str = "params") -> DataFrame:
@@ -58,33 +57,61 @@ def _cell(confidence: Column) -> Column:
         .otherwise(guess)
     )
     usable = confidence.isNotNull() & ~F.isnan(confidence) & (confidence >= 0)
-    return F.when(usable, F.least(cell, F.lit(CELLS))).otherwise(F.lit(ALL_ROWS))
+    return F.when(usable, F.when(confidence >= 1, F.lit(CELLS)).otherwise(cell)).otherwise(F.lit(ALL_ROWS))
+
+
+def confidence_edges(bins: list[int]) -> list[float]:
+    """Edges of all cells and of all bins, as the bins compute them."""
+    cells = {k / float(CELLS) for k in range(CELLS + 1)}
+    return sorted(cells | {i * (1.0 / n) for n in bins for i in range(1, n)})
+
+
+BEYOND = 2.0  # stands for any confidence above 1
 
 
 def cell_counts(buildings: DataFrame, bins: list[int]) -> DataFrame:
-    """Counts per zone for all floors and histograms, from one pass over the buildings.
+    """Count and area per zone between neighbouring edges: (zone_id, lower, n, area).
 
-    Each building counts once in its confidence cell and once in its bin of every
-    listed histogram. The result has at most zones x (CELLS + 2 + sum of bins) rows
-    whatever the size of the input, which is what bounds the broadcasts below.
+    Every floor on a cell edge and every listed histogram follows from these counts,
+    so one pass and one aggregate over the buildings serve all requests. The result
+    has at most zones x (edges + 2) rows whatever the size of the input, which is what
+    bounds the broadcasts below. `lower` is null where no positive floor holds.
     """
-    places = F.array(
-        F.struct(F.lit(NO_BINS).alias("bins"), _cell(F.col("confidence")).alias("level")),
-        *[F.struct(F.lit(n).alias("bins"), C.bin_index(F.col("confidence"), F.lit(n)).alias("level")) for n in bins],
-    )
-    area = F.when(F.col("bins") == NO_BINS, F.col("area_in_meters"))
+    edges = confidence_edges(bins)
+    inner: list[list[float]] = [[] for _ in range(CELLS + 1)]
+    first: list[int] = []
+    for position, edge in enumerate(edges):
+        if edge == len(first) / float(CELLS):
+            first.append(position)
+        else:
+            inner[len(first) - 1].append(edge)
+
+    def of_cell(values: list) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_cell") + 1)
+
+    position = of_cell(first)
+    for j in range(max(map(len, inner))):
+        step = of_cell([row[j] if j < len(row) else BEYOND for row in inner])
+        position = position + (F.col("confidence") >= step).cast("int")
+    lower = F.element_at(F.array(*[F.lit(e) for e in edges]), F.col("_position") + 1)
     return (
         buildings.where(F.col("zone_id").isin(D.ZONE_IDS))
-        .select("zone_id", "area_in_meters", F.inline(places)).where(F.col("level").isNotNull())
-        .groupBy("zone_id", "bins", "level").agg(F.count(F.lit(1)).alias("n"), F.sum(area).alias("area"))
+        .select("zone_id", "confidence", "area_in_meters", _cell(F.col("confidence")).alias("_cell"))
+        .select("zone_id", "area_in_meters", F.when(F.col("confidence") > 1, len(edges))
+                .when(F.col("_cell") >= 0, position).alias("_position"))
+        .groupBy("zone_id", "_position").agg(F.count(F.lit(1)).alias("n"), F.sum("area_in_meters").alias("area"))
+        .select("zone_id", F.when(F.col("_position") == len(edges), BEYOND)
+                .when(F.col("_position").isNotNull(), lower).alias("lower"), "n", "area")
     )
 
 
 def floor_arrays(cells: DataFrame, zones: DataFrame) -> DataFrame:
     """One row per zone; `floors` holds count and area at every level, ALL_ROWS first."""
     grid = zones.select("zone_id", "area_km2", F.explode(F.sequence(F.lit(ALL_ROWS), F.lit(CELLS + 1))).alias("level"))
+    per_level = cells.groupBy("zone_id", _cell(F.col("lower")).alias("level")).agg(
+        F.sum("n").alias("n"), F.sum("area").alias("area"))
     above = Window.partitionBy("zone_id").orderBy(F.desc("level"))
-    levels = grid.join(cells.where(F.col("bins") == NO_BINS), ["zone_id", "level"], "left").select(
+    levels = grid.join(per_level, ["zone_id", "level"], "left").select(
         "zone_id", "area_km2", "level",
         F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n"),
         F.coalesce(F.sum("area").over(above), F.lit(0.0)).alias("area"))
@@ -220,8 +247,10 @@ def answer_requests(requests: DataFrame, buildings: DataFrame, zones: DataFrame)
     floors = floor_arrays(cells, zones)
     parts = [_answers_on_edges(valid.where(~is_histogram & F.col("level").isNotNull()), floors)]
     if asked["bins"]:
-        listed = F.explode(F.array(*[F.lit(n) for n in sorted(asked["bins"])]))
-        arrays = _bucket_arrays(cells, zones.select("zone_id", listed.alias("bins")))
+        listed = F.explode(F.array(*[F.lit(n) for n in sorted(asked["bins"])])).alias("bins")
+        level = C.bin_index(F.col("lower"), F.col("bins")).alias("level")
+        counts = cells.select("zone_id", "lower", "n", listed).groupBy("zone_id", "bins", level).agg(F.sum("n").alias("n"))
+        arrays = _bucket_arrays(counts, zones.select("zone_id", listed))
         parts.append(_histogram_answers(valid.where(is_histogram & ~is_long), F.broadcast(arrays)))
     if asked["between"]:
         parts.append(_answers_between_edges(valid.where(between).drop("level"), buildings, floors))

@@ -140,6 +140,8 @@ def store_times(requests: DataFrame, seconds: str, ttl_seconds: Column) -> DataF
         "cache_key", F.round(F.col(seconds) * 1e6).cast("bigint").alias("us"),
         (ttl_seconds * 1e6).cast("bigint").alias("ttl_us"))
     times = times.withColumn("chunk", F.floor(F.col("us") / (F.col("ttl_us") * CHUNK_TTLS)))
+    # the join below asks for this; said here, both readers of `placed` share one shuffle
+    times = times.where(F.col("cache_key").isNotNull() & F.col("chunk").isNotNull())
     placed = times.repartition("cache_key", "chunk")
     steps = placed.sortWithinPartitions("cache_key", "chunk", "us").mapInPandas(
         _summarise, "cache_key string, chunk bigint, entry_us bigint, exit_us bigint")

@@ -13,8 +13,15 @@ from zonetally.functions import domains as D
 from zonetally.operators import prefix
 
 
+# Declared, so that opening a table needs no job that looks into its files.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": "l_suppkey bigint, l_quantity double, l_extendedprice double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _zone_of(n) -> Column:

@@ -9,7 +9,7 @@ from zonetally.functions import columns as C
 from zonetally.functions import domains as D
 from zonetally.operators import kpis as K
 from zonetally.operators import prefix
-from zonetally.operators.newest import newest_of_few, newest_of_many
+from zonetally.operators.newest import newest_of_many, newest_overall
 from zonetally.operators.percentiles import exact_percentiles, sample_percentiles
 from zonetally.plans.fixtures import query_events, table
 from zonetally.plans.registry import query, rounded
@@ -164,10 +164,10 @@ def _(spark, d):
 
 # ---- by type, percentiles, means, rates --------------------------------------
 
-@query("agg08_by_query_type", f"with {norm_sql('all_runs')}, {sample_sql()}, {by_query_sql()} select * from by_query", E)
+@query("agg08_by_query_type", f"with {norm_sql('scenario')}, {sample_sql()}, {by_query_sql()} select * from by_query", E)
 def _(spark, d):
-    facts = K.run_facts(events(spark, d), "all_runs", percentile_digits=4)
-    return K.by_query_type(facts, "all_runs").withColumnRenamed("all_runs", "label")
+    facts = K.run_facts(events(spark, d), "scenario", percentile_digits=4)
+    return K.by_query_type(facts, "scenario").withColumnRenamed("scenario", "label")
 
 
 @query("jn06_dense_query_types", f"with {norm_sql('run')}, {sample_sql()}, {by_query_sql()} select label, query_type, hits, misses, total, hit_rate from by_query", E)
@@ -183,29 +183,29 @@ def _(spark, d):
 
 
 @query("agg09_sample_percentiles", f"""
-with {norm_sql('all_runs')}, {sample_sql()} select kind, {_three('v', '')} from smp where kind in ('hit', 'miss', 'e2e') group by 1""", E)
+with {norm_sql('scenario')}, {sample_sql()} select label, kind, {_three('v', '')} from smp where kind in ('hit', 'miss', 'e2e') group by 1, 2""", E)
 def _(spark, d):
-    smp = K.samples(events(spark, d), "all_runs").where(F.col("kind").isin("hit", "miss", "e2e"))
-    return smp.groupBy("kind").agg(*sample_percentiles(F.col("value"), digits=4))
+    smp = K.samples(events(spark, d), "scenario").where(F.col("kind").isin("hit", "miss", "e2e"))
+    return smp.groupBy(F.col("scenario").alias("label"), "kind").agg(*sample_percentiles(F.col("value"), digits=4))
 
 
 @query("agg10_pooled_percentiles", f"""
-with {norm_sql('all_runs')}, {sample_sql(300)} select label, count(*) as n, {_three('v', '')}
+with {norm_sql('scenario')}, {sample_sql(300)} select label, count(*) as n, {_three('v', '')}
 from smp where kind in ('hit', 'miss') group by 1""", E)
 def _(spark, d):
-    return _pooled(spark, d, 300).groupBy(F.col("all_runs").alias("label")).agg(
+    return _pooled(spark, d, 300).groupBy(F.col("scenario").alias("label")).agg(
         F.count(F.lit(1)).alias("n"), *sample_percentiles(F.col("value"), digits=4))
 
 
 def _pooled(spark, d, window):
-    smp = K.samples(events(spark, d), "all_runs", window)
+    smp = K.samples(events(spark, d), "scenario", window)
     return smp.where(F.col("kind") == "hit").unionByName(smp.where(F.col("kind") == "miss"))
 
 
 @query("set01_pooled_samples", f"""
-with {norm_sql('all_runs')}, {sample_sql(300)} select event_id, kind, v as value from smp where kind in ('hit', 'miss')""", E)
+with {norm_sql('scenario')}, {sample_sql(300)} select label, event_id, kind, v as value from smp where kind in ('hit', 'miss')""", E)
 def _(spark, d):
-    return _pooled(spark, d, 300).select("event_id", "kind", "value")
+    return _pooled(spark, d, 300).select(F.col("scenario").alias("label"), "event_id", "kind", "value")
 
 
 @query("agg11_mean_latencies", f"""
@@ -322,9 +322,9 @@ def _(spark, d):
 # ---- ordered windows ---------------------------------------------------------
 
 @query("win01_newest_per_list", f"""
-with {norm_sql('all_runs')}, {sample_sql(300, 700)} select label, kind, event_id, v as value from smp""", E)
+with {norm_sql('scenario')}, {sample_sql(300, 700)} select label, kind, event_id, v as value from smp""", E)
 def _(spark, d):
-    return K.samples(events(spark, d), "all_runs", 300, 700).select(F.col("all_runs").alias("label"), "kind", "event_id", "value")
+    return K.samples(events(spark, d), "scenario", 300, 700).select(F.col("scenario").alias("label"), "kind", "event_id", "value")
 
 
 @query("win01_newest_per_user", """
@@ -345,7 +345,7 @@ def _(spark, d):
 @query("srt02_newest_results", """
 select event_id, cache from (select *, row_number() over (order by ts desc, event_id desc) as rn from query_events) where rn <= 200""", E)
 def _(spark, d):
-    return newest_of_few(query_events(spark, d), ["all_runs"], "ts", "event_id", 200).select("event_id", "cache")
+    return newest_overall(query_events(spark, d), "ts", "event_id", 200).select("event_id", "cache")
 
 
 def evictions(spark, d):
