@@ -97,8 +97,8 @@ def cell_counts(buildings: DataFrame, bins: list[int]) -> DataFrame:
     return (
         buildings.where(F.col("zone_id").isin(D.ZONE_IDS))
         .select("zone_id", "confidence", "area_in_meters", _cell(F.col("confidence")).alias("_cell"))
-        .select("zone_id", "area_in_meters", F.when(F.col("confidence") > 1, len(edges))
-                .when(F.col("_cell") >= 0, position).alias("_position"))
+        .select("zone_id", "area_in_meters", F.when(
+            F.col("_cell") >= 0, F.when(F.col("confidence") > 1, len(edges)).otherwise(position)).alias("_position"))
         .groupBy("zone_id", "_position").agg(F.count(F.lit(1)).alias("n"), F.sum("area_in_meters").alias("area"))
         .select("zone_id", F.when(F.col("_position") == len(edges), BEYOND)
                 .when(F.col("_position").isNotNull(), lower).alias("lower"), "n", "area")

@@ -174,7 +174,7 @@ stored as (select cache_key, max(created_at) as stored_at from k where created_a
 
 
 def _stored(spark, d):
-    k = keyed(spark, d).where(F.col("cache_key").isNotNull())
+    k = keyed(spark, d).where(F.col("query_type") != "Q6")
     stored = k.where(F.col("created_at") < CUT).groupBy("cache_key").agg(F.max("created_at").alias("stored_at"))
     return k.where(F.col("created_at") >= CUT), stored
 
@@ -220,7 +220,7 @@ flag as (select request_id, k.cache_key, case when f.us is not null and row_numb
 
 
 def timed(spark, d):
-    return keyed(spark, d).where(F.col("cache_key").isNotNull())
+    return keyed(spark, d).where(F.col("query_type") != "Q6")
 
 
 def _long_ttl():

@@ -233,7 +233,7 @@ REQUEST = T.StructType([
 
 @query("str11_hit_or_miss_stream", TTL + "select request_id, cache_key, cache from flag", RQ)
 def _(spark, d):
-    keyed = with_key(requests(spark, d)).where(F.col("cache_key").isNotNull()).select(
+    keyed = with_key(requests(spark, d)).where(F.col("query_type") != "Q6").select(
         "request_id", "cache_key", F.round(F.col("created_at") * 1e6).cast("bigint").alias("us"),
         (_long_ttl().cast("bigint") * 1000000).alias("ttl_us"))
     stream = parse_json(_text_stream(spark, _json(keyed)), REQUEST)
