@@ -57,7 +57,7 @@ def test_newest(spark, series, n):
     df = spark.createDataFrame(series.assign(t=series["t"].round(0)))
     want = series.assign(t=series["t"].round(0)).sort_values(["t", "id"], ascending=False)
     per_group = set(want.groupby("g").head(n)["id"])
-    assert {r["id"] for r in newest_of_few(df, ["g"], "t", "id", n, 50.0).collect()} == per_group
+    assert {r["id"] for r in newest_of_few(df, "g", ["hot", "a", "b", "c", "d"], "t", "id", n, 50.0).collect()} == per_group
     assert {r["id"] for r in newest_of_many(df, ["g"], "t", "id", n, 100.0).collect()} == per_group
     assert {r["id"] for r in newest_overall(df, "t", "id", n, 50.0).collect()} == set(want.head(n)["id"])
 

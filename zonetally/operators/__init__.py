@@ -1 +1,5 @@
-"""DataFrame operators. They only build plans, but for `answer_requests`, which looks first."""
+"""DataFrame operators.
+
+They only build plans; `requests.answer_requests` and `generate.sample_items` also
+look at the size of what they would broadcast.
+"""

@@ -65,16 +65,15 @@ def recovery(backlog: DataFrame, key: str, chunk_seconds: float = 3600.0) -> Dat
     segments = (
         running_peak(backlog, key, chunk_seconds)
         .groupBy(key, "peak").agg(F.min("t").alias("peak_time"), first_zero.alias("zero_time"),
-                            F.max(F.struct("t", "total")).alias("_now"))
+                                  F.max("t").alias("end"), F.max_by("total", "t").alias("total"))
     )
-    recovered = (F.col("peak") > 0) & F.col("zero_time").isNotNull()
-    newest = F.max(F.struct("peak", "peak_time", "zero_time"))
-    newest_recovered = F.max(F.when(recovered, F.struct("peak", "peak_time", "zero_time")))
-    out = segments.groupBy(key).agg(newest.alias("_last"), newest_recovered.alias("_done"), F.max("_now").alias("_now"))
-    some = F.col("_last.peak") > 0
+    recovered = F.when((F.col("peak") > 0) & F.col("zero_time").isNotNull(), F.col("peak"))
+    out = segments.groupBy(key).agg(
+        F.max("peak").alias("_peak"), F.max_by("peak_time", "peak").alias("_time"), F.max_by("zero_time", "peak").alias("_zero"),
+        F.max_by(F.col("zero_time") - F.col("peak_time"), recovered).alias("_recovery"), F.max_by("total", "end").alias("_now"))
+    some = F.col("_peak") > 0
     return out.select(
-        key, F.col("_now.total").alias("backlog_total"), F.col("_last.peak").alias("peak_backlog"),
-        F.when(some, F.col("_last.peak_time")).alias("peak_time"),
-        F.round(F.col("_done.zero_time") - F.col("_done.peak_time"), 2).alias("recovery_time_sec"),
-        (some & F.col("_last.zero_time").isNull()).alias("draining"),
+        key, F.col("_now").alias("backlog_total"), F.col("_peak").alias("peak_backlog"),
+        F.when(some, F.col("_time")).alias("peak_time"), F.round("_recovery", 2).alias("recovery_time_sec"),
+        (some & F.col("_zero").isNull()).alias("draining"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from zonetally.functions import columns as C
 from zonetally.functions import domains as D
 from zonetally.operators import prefix
+from zonetally.session import store
 
 
 def zipf_probabilities(items: DataFrame, rank: str, s: float = 1.2) -> DataFrame:
@@ -36,19 +37,27 @@ def cumulative_intervals(items: DataFrame, order: str, chunk: Column) -> DataFra
     return bounded.withColumn("lo", F.coalesce("lo", F.lit(0.0)))
 
 
-def sample_items(draws: DataFrame, u: str, items: DataFrame, cells: int = 1024) -> DataFrame:
+FEW_ITEMS = 100_000
+
+
+def sample_items(draws: DataFrame, u: str, items: DataFrame) -> DataFrame:
     """Weighted sampling with replacement: the item whose interval holds each draw's number.
 
     Both sides meet on cells of the unit interval. Draws are uniform over the
     cells whatever the weights, so even an item with a third of the weight is
-    spread over a third of the cells.
+    spread over a third of the cells. The items are stored once and counted: up to
+    FEW_ITEMS they travel to the draws, beyond that both sides are shuffled by many
+    more cells.
     """
+    items = store(draws.sparkSession, items, "items")
+    few = items.count() <= FEW_ITEMS
+    cells = 1 << 10 if few else 1 << 17
     first = F.floor(F.col("lo") * cells)
     last = F.least(F.floor(F.col("hi") * cells), F.lit(cells - 1))
     spread = items.withColumn("_cell", F.explode(F.sequence(first, last)))
     placed = draws.withColumn("_cell", F.floor(F.col(u) * cells))
     return (
-        placed.join(spread, "_cell")
+        placed.join(F.broadcast(spread) if few else spread, "_cell")
         .where((F.col(u) >= F.col("lo")) & (F.col(u) < F.col("hi"))).drop("_cell", "lo", "hi")
     )
 

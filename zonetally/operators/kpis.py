@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from zonetally.functions import columns as C
 from zonetally.functions import domains as D
 from zonetally.operators import prefix
-from zonetally.operators.newest import newest_of_few
+from zonetally.operators.newest import newest_of_many
 from zonetally.operators.percentiles import sample_percentiles
 
 
@@ -86,14 +86,14 @@ def _memberships(answered: Column, processed: Column, has_e2e: Column) -> dict[s
 
 
 def samples(events: DataFrame, group: str, latency_window: int = D.LATENCY_WINDOW,
-            times_window: int = D.TIMES_WINDOW, slot_seconds: float = 60.0) -> DataFrame:
+            times_window: int = D.TIMES_WINDOW, slot_seconds: float = 60.0, few_runs: bool = False) -> DataFrame:
     """Newest rows of every list the KPIs look at: (group, kind, ts, event_id, value).
 
     Kinds: hit, miss, Q1..Q5 and e2e keep latencies, requests and processed keep
     times. Works as `newest_of_few` does, for all lists at once: events are counted
     per time slot, the counts give each list of a group its first slot, and only
-    events from such slots on are put into lists. `group` comes from a short fixed
-    list of runs; the table of first slots has one row for each.
+    events from such slots on are put into lists. The table of first slots has one
+    row per run; `few_runs` says that a fixed list bounds them, so it may be broadcast.
     """
     limits = {k: latency_window for k in LATENCY_LISTS} | {k: times_window for k in TIME_LISTS}
     answered, processed = F.col("event").isin("hit", "miss"), _is("processed")
@@ -123,7 +123,7 @@ def samples(events: DataFrame, group: str, latency_window: int = D.LATENCY_WINDO
         F.col("latency_ms"))
     newest = Window.partitionBy(group, "kind").orderBy(F.desc("ts"), F.desc("event_id"))
     return (
-        relevant.join(F.broadcast(cuts), group).where(in_any)
+        relevant.join(F.broadcast(cuts) if few_runs else cuts, group).where(in_any)
         .select(group, "ts", "event_id", "latency_ms", "end_to_end_ms", lists({"if_" + k: recent[k] for k in limits}).alias("_l"))
         .select(group, "ts", "event_id", "latency_ms", "end_to_end_ms", "_l.*")
         .select(group, "kind", "ts", "event_id", value.alias("value"), "_limit", F.row_number().over(newest).alias("_rn"))
@@ -165,21 +165,27 @@ def latency_stats(digits: int = 3) -> list[Column]:
 
 
 def run_samples(events: DataFrame, group: str, start: float | None = None, as_of: float | None = None,
-                latency_window: int = D.LATENCY_WINDOW, times_window: int = D.TIMES_WINDOW):
-    """Totals of each run next to its samples, grouped by run: ready for the aggregates above."""
+                latency_window: int = D.LATENCY_WINDOW, times_window: int = D.TIMES_WINDOW,
+                runs: list[str] | None = None) -> GroupedData:
+    """Totals of each run next to its samples, grouped by run: ready for the aggregates above.
+
+    With `runs`, only the listed runs are looked at, and nothing but samples is shuffled.
+    """
+    if runs is not None:
+        events = events.where(F.col(group).isin(runs))
     totals = run_totals(events, group, start, as_of)
-    sample = samples(events, group, latency_window, times_window)
+    sample = samples(events, group, latency_window, times_window, few_runs=runs is not None)
     return totals.join(sample, group, "left").groupBy(*totals.columns)
 
 
 def run_facts(events: DataFrame, group: str, start: float | None = None, as_of: float | None = None,
               latency_window: int = D.LATENCY_WINDOW, times_window: int = D.TIMES_WINDOW,
-              percentile_digits: int = 3) -> DataFrame:
+              percentile_digits: int = 3, runs: list[str] | None = None) -> DataFrame:
     """Everything the summary and the per-type block are made of, one row per run.
 
     `events` must be normalised. A reader of some columns pays only for those.
     """
-    return run_samples(events, group, start, as_of, latency_window, times_window).agg(
+    return run_samples(events, group, start, as_of, latency_window, times_window, runs).agg(
         *latency_stats(percentile_digits),
         recent_rate("requests").alias("_recent"), recent_rate("processed").alias("_recent_processed"))
 
@@ -238,7 +244,7 @@ def window_kpis(records: DataFrame, time: str = "event_time", length: str = "1 m
 
 def newest_hit_rate(events: DataFrame, group: str, n: int = 200, buffer: int = 1000) -> DataFrame:
     """Hit rate of the newest n answers of each group, out of a buffer of recent results."""
-    newest = newest_of_few(events, [group], "ts", "event_id", min(n, buffer))
+    newest = newest_of_many(events.select(group, "ts", "event_id", "cache"), [group], "ts", "event_id", min(n, buffer))
     return newest.groupBy(group).agg(
         F.count(F.lit(1)).alias("window_size"),
         F.round(C.ratio(F.count_if(F.col("cache") == "HIT"), F.count(F.lit(1))), 4).alias("hit_rate_window"))

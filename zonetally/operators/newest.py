@@ -2,46 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _ranked(df: DataFrame, groups: list[str], seconds: str, tie: str, n: Column) -> DataFrame:
+def _ranked(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int) -> DataFrame:
     w = Window.partitionBy(*groups).orderBy(F.desc(seconds), F.desc(tie))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def newest_of_few(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int | Column, slot_seconds: float = 60.0) -> DataFrame:
-    """Newest N rows where the groups come from a short fixed list.
+def newest_of_few(df: DataFrame, group: str, members: list, seconds: str, tie: str, n: int, slot_seconds: float = 60.0) -> DataFrame:
+    """Newest N rows of each group in a fixed list; other groups are not asked for.
 
     Rows are counted per group and time slot first, which needs no row shuffle.
     The counts give each group a slot from which on its newest N rows lie, and
-    only rows from that slot on are shuffled and ranked. The cut-off table has
-    one row per group, so the caller's fixed list bounds the broadcast. `n` may be
-    a column that is constant within a group.
+    only rows from that slot on are shuffled and ranked. The cut-off table has one
+    row per listed group, which bounds the broadcast.
     """
-    df = df.withColumns({
-        "_slot": F.floor(F.col(seconds) / F.lit(float(slot_seconds))), "_keep": F.lit(n) if isinstance(n, int) else n})
-    newer = (
-        Window.partitionBy(*groups).orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    df = df.where(F.col(group).isin(members)).withColumn("_slot", F.floor(F.col(seconds) / F.lit(float(slot_seconds))))
+    newer = Window.partitionBy(group).orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
     cut = (
-        df.groupBy(*groups, "_slot").agg(F.count(F.lit(1)).alias("_n"), F.max("_keep").alias("_keep"))
+        df.groupBy(group, "_slot").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_newer", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
-        .where(F.col("_newer") < F.col("_keep"))
-        .groupBy(*groups).agg(F.min("_slot").alias("_cut"))
+        .where(F.col("_newer") < n)
+        .groupBy(group).agg(F.min("_slot").alias("_cut"))
     )
-    candidates = df.join(F.broadcast(cut), groups).where(F.col("_slot") >= F.col("_cut")).drop("_slot", "_cut")
-    return _ranked(candidates, groups, seconds, tie, F.col("_keep")).drop("_keep")
+    candidates = df.join(F.broadcast(cut), group).where(F.col("_slot") >= F.col("_cut")).drop("_slot", "_cut")
+    return _ranked(candidates, [group], seconds, tie, n)
 
 
-def newest_of_many(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int | Column, chunk_seconds: float = 86400.0) -> DataFrame:
+def newest_of_many(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int, chunk_seconds: float = 86400.0) -> DataFrame:
     """Newest N rows for any number of groups.
 
     Ranked inside (group, time chunk) first, so that a group with a large part
     of all rows is cut in many tasks before its survivors meet in one.
     """
-    n = F.lit(n) if isinstance(n, int) else n
     chunked = df.withColumn("_chunk", F.floor(F.col(seconds) / F.lit(float(chunk_seconds))))
     survivors = _ranked(chunked, [*groups, "_chunk"], seconds, tie, n).drop("_chunk")
     return _ranked(survivors, groups, seconds, tie, n)

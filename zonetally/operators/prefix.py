@@ -65,17 +65,21 @@ def running_max(df: DataFrame, groups: list[str], order: list[str], chunk: Colum
 
 def previous(df: DataFrame, groups: list[str], order: list[str], chunk: Column, values: dict[str, Column]) -> DataFrame:
     """Values of the row just before this one in its group; null on the first row."""
-    df = df.withColumn(CHUNK, chunk).withColumn("_v", F.struct(*[c.alias(k) for k, c in values.items()]))
+    columns = df.columns
+    df = df.withColumns({CHUNK: chunk, **{f"_v_{k}": c for k, c in values.items()}})
+    # one plain ordering column keeps this a hash aggregate; a struct would sort the rows first
+    by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    chunks = Window.partitionBy(*groups).orderBy(CHUNK)
     carry = (
-        df.groupBy(*groups, CHUNK).agg(F.max_by("_v", F.struct(*order)).alias("_last"))
-        .select(*groups, CHUNK, F.lag("_last").over(Window.partitionBy(*groups).orderBy(CHUNK)).alias("_carry"))
-    )
-    inside = df.withColumn("_in", F.lag("_v").over(_local(groups, order)))
-    joined = _with_carry(inside, carry, groups).withColumn("_prev", F.coalesce("_in", "_carry"))
-    return joined.select(
-        *[c for c in df.columns if c not in (CHUNK, "_v")],
-        *[F.col(f"_prev.{k}").alias(k) for k in values],
+        df.groupBy(*groups, CHUNK)
+        .agg(*[F.max_by(f"_v_{k}", by).alias(f"_last_{k}") for k in values])
+        .select(*groups, CHUNK, *[F.lag(f"_last_{k}").over(chunks).alias(f"_carry_{k}") for k in values])
     )
+    local = _local(groups, order)
+    inside = df.withColumns({"_nth": F.row_number().over(local), **{f"_in_{k}": F.lag(f"_v_{k}").over(local) for k in values}})
+    joined = _with_carry(inside, carry, groups)
+    return joined.select(*columns, *[
+        F.when(F.col("_nth") == 1, F.col(f"_carry_{k}")).otherwise(F.col(f"_in_{k}")).alias(k) for k in values])
 
 
 def rolling_count(df: DataFrame, groups: list[str], seconds: str, span: float, out: str, chunk_width: float | None = None) -> DataFrame:

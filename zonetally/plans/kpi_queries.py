@@ -9,13 +9,14 @@ from zonetally.functions import columns as C
 from zonetally.functions import domains as D
 from zonetally.operators import kpis as K
 from zonetally.operators import prefix
-from zonetally.operators.newest import newest_of_many, newest_overall
+from zonetally.operators.newest import newest_of_few, newest_of_many, newest_overall
 from zonetally.operators.percentiles import exact_percentiles, sample_percentiles
 from zonetally.plans.fixtures import query_events, table
 from zonetally.plans.registry import query, rounded
 from zonetally.sources.readers import parse_json, read_events
 
 E = ("query_events",)
+RUNS = [f"{p}_{s}_{t}" for p in D.POLICIES for s in D.SIZES for t in D.DISTRIBUTIONS]
 NOW = 1706659200.0  # a fixed clock for events without a time
 
 
@@ -166,13 +167,13 @@ def _(spark, d):
 
 @query("agg08_by_query_type", f"with {norm_sql('scenario')}, {sample_sql()}, {by_query_sql()} select * from by_query", E)
 def _(spark, d):
-    facts = K.run_facts(events(spark, d), "scenario", percentile_digits=4)
+    facts = K.run_facts(events(spark, d), "scenario", percentile_digits=4, runs=D.SCENARIOS)
     return K.by_query_type(facts, "scenario").withColumnRenamed("scenario", "label")
 
 
 @query("jn06_dense_query_types", f"with {norm_sql('run')}, {sample_sql()}, {by_query_sql()} select label, query_type, hits, misses, total, hit_rate from by_query", E)
 def _(spark, d):
-    return K.by_query_type(K.run_facts(events(spark, d), "run"), "run").select(
+    return K.by_query_type(K.run_facts(events(spark, d), "run", runs=RUNS), "run").select(
         F.col("run").alias("label"), "query_type", "hits", "misses", "total", "hit_rate")
 
 
@@ -185,7 +186,7 @@ def _(spark, d):
 @query("agg09_sample_percentiles", f"""
 with {norm_sql('scenario')}, {sample_sql()} select label, kind, {_three('v', '')} from smp where kind in ('hit', 'miss', 'e2e') group by 1, 2""", E)
 def _(spark, d):
-    smp = K.samples(events(spark, d), "scenario").where(F.col("kind").isin("hit", "miss", "e2e"))
+    smp = K.samples(events(spark, d), "scenario", few_runs=True).where(F.col("kind").isin("hit", "miss", "e2e"))
     return smp.groupBy(F.col("scenario").alias("label"), "kind").agg(*sample_percentiles(F.col("value"), digits=4))
 
 
@@ -198,7 +199,7 @@ def _(spark, d):
 
 
 def _pooled(spark, d, window):
-    smp = K.samples(events(spark, d), "scenario", window)
+    smp = K.samples(events(spark, d), "scenario", window, few_runs=True)
     return smp.where(F.col("kind") == "hit").unionByName(smp.where(F.col("kind") == "miss"))
 
 
@@ -211,7 +212,7 @@ def _(spark, d):
 @query("agg11_mean_latencies", f"""
 with {summary_sql('run')} select label as run, mean_t_cache_ms, mean_t_db_ms from summary""", E)
 def _(spark, d):
-    return K.run_summary(K.run_facts(events(spark, d), "run"), "run").select("run", "mean_t_cache_ms", "mean_t_db_ms")
+    return K.run_summary(K.run_facts(events(spark, d), "run", runs=RUNS), "run").select("run", "mean_t_cache_ms", "mean_t_db_ms")
 
 
 @query("agg12_hit_rates", """
@@ -225,7 +226,7 @@ def _(spark, d):
 
 @query("agg13_time_saved", f"with {summary_sql('run')} select label as run, cache_efficiency from summary", E)
 def _(spark, d):
-    return K.run_summary(K.run_facts(events(spark, d), "run"), "run").select("run", "cache_efficiency")
+    return K.run_summary(K.run_facts(events(spark, d), "run", runs=RUNS), "run").select("run", "cache_efficiency")
 
 
 @query("agg14_throughput", """
@@ -242,7 +243,7 @@ with {norm_sql('run')}, {sample_sql()}, t as (select label, max(ts) as as_of fro
 select s.label as run, round(count(*) filter (where ts >= as_of - 86400) / 86400, 8) as qps
 from smp s join t using (label) where kind = 'requests' group by 1""", E)
 def _(spark, d):
-    out = K.run_samples(events(spark, d), "run").agg(K.recent_rate("requests", 86400.0).alias("qps"))
+    out = K.run_samples(events(spark, d), "run", runs=RUNS).agg(K.recent_rate("requests", 86400.0).alias("qps"))
     return rounded(out.select("run", "qps"), 8, "qps")
 
 
@@ -254,7 +255,7 @@ def _(spark, d):
 
 @query("agg16_run_summary", f"with {summary_sql('run', 500, 1000)} select label as run, * exclude (label) from summary", E)
 def _(spark, d):
-    facts = K.run_facts(events(spark, d), "run", latency_window=500, times_window=1000, percentile_digits=4)
+    facts = K.run_facts(events(spark, d), "run", latency_window=500, times_window=1000, percentile_digits=4, runs=RUNS)
     return K.run_summary(facts, "run")
 
 
@@ -324,7 +325,15 @@ def _(spark, d):
 @query("win01_newest_per_list", f"""
 with {norm_sql('scenario')}, {sample_sql(300, 700)} select label, kind, event_id, v as value from smp""", E)
 def _(spark, d):
-    return K.samples(events(spark, d), "scenario", 300, 700).select(F.col("scenario").alias("label"), "kind", "event_id", "value")
+    return K.samples(events(spark, d), "scenario", 300, 700, few_runs=True).select(F.col("scenario").alias("label"), "kind", "event_id", "value")
+
+
+@query("win01_newest_per_kind", """
+select event, event_id from (select *, row_number() over (partition by event order by ts desc, event_id desc) as rn from query_events
+  where event in ('hit', 'miss')) where rn <= 500""", E)
+def _(spark, d):
+    e = query_events(spark, d).select("event", "event_id", "ts")
+    return newest_of_few(e, "event", ["hit", "miss"], "ts", "event_id", 500).select("event", "event_id")
 
 
 @query("win01_newest_per_user", """

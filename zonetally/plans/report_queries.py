@@ -10,7 +10,7 @@ from zonetally.operators import backlog as B
 from zonetally.operators import kpis as K
 from zonetally.operators import reports as R
 from zonetally.plans.fixtures import query_events, runs, spans
-from zonetally.plans.kpi_queries import by_query_sql, events, summary_sql
+from zonetally.plans.kpi_queries import RUNS, by_query_sql, events, summary_sql
 from zonetally.plans.queue_queries import recovery_sql
 from zonetally.plans.registry import query, rounded
 from zonetally.session import scratch_path
@@ -30,7 +30,7 @@ GRID = """grid as (select p.policy, s.size, t.dist, concat_ws('_', p.policy, s.s
 
 def run_docs(spark, d):
     """A document per cell of the report grid."""
-    return R.documents(K.run_facts(events(spark, d), "run", percentile_digits=4), None, "run")
+    return R.documents(K.run_facts(events(spark, d), "run", percentile_digits=4, runs=RUNS), None, "run")
 
 
 def scenario_docs(spark, d):
@@ -39,7 +39,7 @@ def scenario_docs(spark, d):
     e = events(spark, d).where(~sync | F.col("event").isin("hit", "miss", "error"))
     work = spans(spark, d, seconds_per_value=6).where(~sync)
     queue = B.recovery(B.in_flight(work, "scenario", "start_sec", "end_sec"), "scenario")
-    return R.documents(K.run_facts(e, "scenario", percentile_digits=4), queue, "scenario")
+    return R.documents(K.run_facts(e, "scenario", percentile_digits=4, runs=D.SCENARIOS), queue, "scenario")
 
 
 @query("set04_run_grid", f"with {GRID} select g.*, coalesce(hits, 0) + coalesce(misses, 0) as requests from grid g left join runs r on r.policy = g.policy and r.size = g.size and r.dist = g.dist", ("runs",))
