@@ -32,18 +32,20 @@ def metric_records(events: DataFrame) -> DataFrame:
     )
 
 
-def _is(event: str) -> Column:
-    return F.col("event") == event
+# What each counter counts. Unknown kinds of events count nowhere.
+COUNTERS = {
+    "hits": "event = 'hit'",
+    "misses": "event = 'miss'",
+    "errors": "event = 'error'",
+    "processed": "event = 'processed'",
+    "retried": "event = 'retry'",
+    "recovered": "(event = 'processed' and from_retry) or event = 'recovered'",
+    "dead_lettered": "event = 'dlq'",
+}
 
 
 def counters() -> list[Column]:
-    """Counter per kind of event. Unknown kinds count nowhere."""
-    recovered = (_is("processed") & F.coalesce("from_retry", F.lit(False))) | _is("recovered")
-    kinds = {
-        "hits": _is("hit"), "misses": _is("miss"), "errors": _is("error"), "processed": _is("processed"),
-        "retried": _is("retry"), "recovered": recovered, "dead_lettered": _is("dlq"),
-    }
-    return [F.count_if(cond).alias(name) for name, cond in kinds.items()]
+    return [F.expr(f"count_if({condition}) as {name}") for name, condition in COUNTERS.items()]
 
 
 def hit_rates(hits: Column, misses: Column, digits: int | None = 4) -> list[Column]:
@@ -77,12 +79,16 @@ def throughput(count: Column, start: Column, end: Column) -> Column:
 LATENCY_LISTS = ["hit", "miss", *D.QUERY_TYPES, "e2e"]
 TIME_LISTS = ["requests", "processed"]
 
-
-def _memberships(answered: Column, processed: Column, has_e2e: Column) -> dict[str, Column]:
-    """Which lists an event belongs to."""
-    by_type = {q: answered & (F.col("query_type") == q) for q in D.QUERY_TYPES}
-    return {"hit": _is("hit"), "miss": _is("miss"), **by_type, "e2e": processed & has_e2e,
-            "requests": answered, "processed": processed}
+# Which lists an event belongs to.
+ANSWERED = "event in ('hit', 'miss')"
+MEMBERS = {
+    "hit": "event = 'hit'",
+    "miss": "event = 'miss'",
+    **{q: f"{ANSWERED} and query_type = '{q}'" for q in D.QUERY_TYPES},
+    "e2e": "event = 'processed' and _e2e",
+    "requests": ANSWERED,
+    "processed": "event = 'processed'",
+}
 
 
 def samples(events: DataFrame, group: str, latency_window: int = D.LATENCY_WINDOW,
@@ -96,38 +102,35 @@ def samples(events: DataFrame, group: str, latency_window: int = D.LATENCY_WINDO
     row per run; `few_runs` says that a fixed list bounds them, so it may be broadcast.
     """
     limits = {k: latency_window for k in LATENCY_LISTS} | {k: times_window for k in TIME_LISTS}
-    answered, processed = F.col("event").isin("hit", "miss"), _is("processed")
-    slot = F.floor(F.col("ts") / F.lit(float(slot_seconds)))
-    relevant = events.where(answered | processed).withColumns(
-        {"_slot": slot, "_e2e": processed & F.col("end_to_end_ms").isNotNull()})
-    member = _memberships(answered, processed, F.col("_e2e"))
+    relevant = events.where(f"{ANSWERED} or event = 'processed'").select(
+        group, "event", "query_type", "ts", "event_id", "latency_ms", "end_to_end_ms",
+        F.expr(f"floor(ts / {float(slot_seconds)}D) as _slot"), F.expr("end_to_end_ms is not null as _e2e"))
 
-    def lists(value: dict[str, Column]) -> Column:
-        entry = {k: F.when(member[k] & value.get("if_" + k, F.lit(True)),
-                           F.struct(F.lit(k).alias("kind"), F.lit(limits[k]).alias("_limit"))) for k in limits}
-        return F.explode(F.array_compact(F.array(*entry.values())))
+    def lists(also: dict[str, str]) -> Column:
+        entries = ", ".join(
+            f"case when {condition} and {also.get(k, 'true')} then struct('{k}' as kind, {limits[k]} as _limit) end"
+            for k, condition in MEMBERS.items())
+        return F.expr(f"inline(array_compact(array({entries})))")
 
     newer = Window.partitionBy(group, "kind").orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
     cuts = (
         relevant.groupBy(group, "event", "query_type", "_e2e", "_slot").agg(F.count(F.lit(1)).alias("_n"))
-        .select(group, "_slot", "_n", lists({}).alias("_l")).select(group, "_slot", "_n", "_l.*")
+        .select(group, "_slot", "_n", lists({}))
         .groupBy(group, "kind", "_limit", "_slot").agg(F.sum("_n").alias("_n"))
-        .withColumn("_newer", F.coalesce(F.sum("_n").over(newer), F.lit(0))).where(F.col("_newer") < F.col("_limit"))
-        .groupBy(group).agg(*[F.min(F.when(F.col("kind") == k, F.col("_slot"))).alias(f"_cut_{k}") for k in limits])
+        .withColumn("_newer", F.coalesce(F.sum("_n").over(newer), F.lit(0))).where("_newer < _limit")
+        .groupBy(group).agg(*[F.expr(f"min(case when kind = '{k}' then _slot end) as _cut_{k}") for k in limits])
     )
-    recent = {k: F.col("_slot") >= F.col(f"_cut_{k}") for k in limits}
-    in_any = F.lit(False)
-    for k in limits:
-        in_any = in_any | (member[k] & recent[k])
-    value = F.when(F.col("kind").isin(TIME_LISTS), F.col("ts")).when(F.col("kind") == "e2e", F.col("end_to_end_ms")).otherwise(
-        F.col("latency_ms"))
+    recent = {k: f"_slot >= _cut_{k}" for k in limits}
     newest = Window.partitionBy(group, "kind").orderBy(F.desc("ts"), F.desc("event_id"))
     return (
-        relevant.join(F.broadcast(cuts) if few_runs else cuts, group).where(in_any)
-        .select(group, "ts", "event_id", "latency_ms", "end_to_end_ms", lists({"if_" + k: recent[k] for k in limits}).alias("_l"))
-        .select(group, "ts", "event_id", "latency_ms", "end_to_end_ms", "_l.*")
-        .select(group, "kind", "ts", "event_id", value.alias("value"), "_limit", F.row_number().over(newest).alias("_rn"))
-        .where(F.col("_rn") <= F.col("_limit")).drop("_limit", "_rn")
+        relevant.join(F.broadcast(cuts) if few_runs else cuts, group)
+        .where(" or ".join(f"({MEMBERS[k]} and {recent[k]})" for k in limits))
+        .select(group, "ts", "event_id", "latency_ms", "end_to_end_ms", lists(recent))
+        .select(group, "kind", "ts", "event_id", "_limit",
+                F.expr("case when kind in ('requests', 'processed') then ts when kind = 'e2e' then end_to_end_ms"
+                       " else latency_ms end as value"),
+                F.row_number().over(newest).alias("_rn"))
+        .where("_rn <= _limit").drop("_limit", "_rn")
     )
 
 
@@ -139,8 +142,8 @@ def recent_rate(kind: str, seconds: float = 10.0) -> Column:
 
 def _type_counters() -> list[Column]:
     return [
-        F.count_if(_is(event) & (F.col("query_type") == q)).alias(f"{q}_{name}")
-        for q in D.QUERY_TYPES for event, name in (("hit", "hits"), ("miss", "misses"))
+        F.expr(f"count_if({COUNTERS[name]} and query_type = '{q}') as {q}_{name}")
+        for q in D.QUERY_TYPES for name in ("hits", "misses")
     ]
 
 
@@ -151,16 +154,16 @@ def run_totals(events: DataFrame, group: str, start: float | None = None, as_of:
 
 
 def latency_stats(digits: int = 3) -> list[Column]:
-    """Percentiles of hits, misses, both together and end to end, and two means, over samples."""
-    def only(*kinds: str) -> Column:
-        return F.when(F.col("kind").isin(*kinds), F.col("value"))
+    """Percentiles of hits, misses, both together, end to end and per type, and two means, over samples."""
+    def only(*kinds: str) -> str:
+        return f"case when kind in ({', '.join(repr(k) for k in kinds)}) then value end"
 
     lists = {"hit_": only("hit"), "miss_": only("miss"), "all_": only("hit", "miss"), "e2e_": only("e2e")}
+    lists |= {f"{q}_": only(q) for q in D.QUERY_TYPES}
     return [
-        *[c for prefix_, v in lists.items() for c in sample_percentiles(v, prefix_, digits=digits)],
-        *[c for q in D.QUERY_TYPES for c in sample_percentiles(only(q), f"{q}_", digits=digits)],
-        F.coalesce(F.avg(only("hit")), F.lit(0.0)).alias("mean_hit_ms"),
-        F.coalesce(F.avg(only("miss")), F.lit(0.0)).alias("mean_miss_ms"),
+        *[c for name, value in lists.items() for c in sample_percentiles(value, name, digits=digits)],
+        F.expr(f"coalesce(avg({only('hit')}), 0D) as mean_hit_ms"),
+        F.expr(f"coalesce(avg({only('miss')}), 0D) as mean_miss_ms"),
     ]
 
 
@@ -210,20 +213,20 @@ def run_summary(facts: DataFrame, group: str, *also: str | Column) -> DataFrame:
     )
 
 
-def type_blocks() -> list[Column]:
-    """A struct per query type, over the facts of a run; unused types have zeros and nulls."""
-    def block(q: str) -> Column:
-        hits, misses = F.col(f"{q}_hits"), F.col(f"{q}_misses")
-        return F.struct(
-            F.lit(q).alias("query_type"), hits.alias("hits"), misses.alias("misses"), (hits + misses).alias("total"),
-            hit_rates(hits, misses)[0], *[F.col(f"{q}_{p}").alias(f"{p}_ms") for p in ("p50", "p95", "p99")])
-
-    return [block(q) for q in D.QUERY_TYPES]
+def type_block(q: str) -> str:
+    """The facts of a run about one query type, as an SQL struct; zeros and nulls for an unused type."""
+    h, m = f"{q}_hits", f"{q}_misses"
+    return (
+        f"named_struct('hits', {h}, 'misses', {m}, 'total', {h} + {m},"
+        f" 'hit_rate', case when {h} + {m} <> 0 then round({h} / ({h} + {m}), 4) end,"
+        f" 'p50_ms', {q}_p50, 'p95_ms', {q}_p95, 'p99_ms', {q}_p99)"
+    )
 
 
 def by_query_type(facts: DataFrame, group: str) -> DataFrame:
     """Hits, misses, hit rate and percentiles of each of the five types, one row per type."""
-    return facts.select(group, F.inline(F.array(*type_blocks())))
+    rows = ", ".join(f"named_struct('query_type', '{q}', 'block', {type_block(q)})" for q in D.QUERY_TYPES)
+    return facts.select(group, F.expr(f"inline(array({rows}))")).select(group, "query_type", "block.*")
 
 
 def window_kpis(records: DataFrame, time: str = "event_time", length: str = "1 minute", slide: str = "30 seconds") -> DataFrame:

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 P50_95_99 = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
 
-def sample_percentiles(value: Column, prefix: str = "", suffix: str = "", digits: int = 3) -> list[Column]:
-    """p50, p95, p99 as aggregates, for groups of bounded size (capped samples)."""
+def sample_percentiles(value: str, prefix: str = "", suffix: str = "", digits: int = 3) -> list[Column]:
+    """p50, p95, p99 of an SQL expression as aggregates, for groups of bounded size (capped samples).
+
+    The three share one aggregate, which Spark evaluates once.
+    """
+    all_three = f"percentile({value}, array({', '.join(f'{p}D' for p in P50_95_99.values())}))"
     return [
-        F.round(F.percentile(value, F.lit(p)), digits).alias(f"{prefix}{name}{suffix}")
-        for name, p in P50_95_99.items()
+        F.expr(f"round({all_three}[{i}], {digits}) as {prefix}{name}{suffix}") for i, name in enumerate(P50_95_99)
     ]
 
 

@@ -7,19 +7,17 @@ from pyspark.sql import functions as F
 
 from zonetally.functions import domains as D
 from zonetally.functions.columns import path_or
-from zonetally.operators.kpis import run_summary, type_blocks
+from zonetally.operators.kpis import run_summary, type_block
 
 PERCENTILE_NAMES = ("p50", "p95", "p99")
 
 
 def _percentiles(prefix: str) -> Column:
-    return F.struct(*[F.col(f"{prefix}_{p}").alias(p) for p in PERCENTILE_NAMES])
+    return F.expr("struct({})".format(", ".join(f"{prefix}_{p} as {p}" for p in PERCENTILE_NAMES)))
 
 
 def _by_query() -> Column:
-    blocks = {b: type_blocks()[i] for i, b in enumerate(D.QUERY_TYPES)}
-    entries = [v for q, b in blocks.items() for v in (F.lit(q), b.dropFields("query_type"))]
-    return F.create_map(*entries)
+    return F.expr("map({})".format(", ".join(f"'{q}', {type_block(q)}" for q in D.QUERY_TYPES)))
 
 
 def documents(facts: DataFrame, queue: DataFrame | None, group: str, extra: dict[str, str] | None = None) -> DataFrame:

@@ -62,7 +62,7 @@ def query_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "click", "hit").when(kind == "view", "miss").when(kind == "purchase", "processed")
         .when(kind == "signup", "retry").when(kind == "error", F.when(k % 2 == 0, "dlq").otherwise("error"))
         .alias("event"),
-        F.when(k % 6 < 5, F.concat(F.lit("q"), (k % 6 + 1).cast("string"))).alias("query_type"),
+        F.element_at(F.array(*[F.lit(f"q{i}") for i in range(1, 6)], F.lit(None)), k % 6 + 1).alias("query_type"),
         F.when(kind.isin("click", "view") & (k % 11 != 0), F.col("value")).alias("latency_ms"),
         F.when((kind == "purchase") & (k % 13 != 0), F.col("value")).alias("end_to_end_ms"),
         (k % 10 == 0).alias("from_retry"), (k % 4).alias("retry_count"),

@@ -187,7 +187,7 @@ def _(spark, d):
 with {norm_sql('scenario')}, {sample_sql()} select label, kind, {_three('v', '')} from smp where kind in ('hit', 'miss', 'e2e') group by 1, 2""", E)
 def _(spark, d):
     smp = K.samples(events(spark, d), "scenario", few_runs=True).where(F.col("kind").isin("hit", "miss", "e2e"))
-    return smp.groupBy(F.col("scenario").alias("label"), "kind").agg(*sample_percentiles(F.col("value"), digits=4))
+    return smp.groupBy(F.col("scenario").alias("label"), "kind").agg(*sample_percentiles("value", digits=4))
 
 
 @query("agg10_pooled_percentiles", f"""
@@ -195,7 +195,7 @@ with {norm_sql('scenario')}, {sample_sql(300)} select label, count(*) as n, {_th
 from smp where kind in ('hit', 'miss') group by 1""", E)
 def _(spark, d):
     return _pooled(spark, d, 300).groupBy(F.col("scenario").alias("label")).agg(
-        F.count(F.lit(1)).alias("n"), *sample_percentiles(F.col("value"), digits=4))
+        F.count(F.lit(1)).alias("n"), *sample_percentiles("value", digits=4))
 
 
 def _pooled(spark, d, window):
