@@ -77,7 +77,7 @@ def test_exact_percentiles(spark):
 # ---- reuse --------------------------------------------------------------------
 
 def chain(times, ttl_us):
-    """Reference result: walk the requests of one key in order."""
+    """The requests of one key, walked in order."""
     until, out = None, []
     for i, t in enumerate(times):
         miss = until is None or t >= until
@@ -118,7 +118,7 @@ def test_reuse_chain_matches_walk(spark, batch):
 # ---- backlog ------------------------------------------------------------------
 
 def monitor(points):
-    """Reference result: peak and recovery of a polled backlog, poll by poll."""
+    """Peak and recovery of a polled backlog, poll by poll."""
     peak, peak_t, done, draining = 0, None, None, False
     for t, total in points:
         if total > peak:
