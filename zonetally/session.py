@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and stage tables.
 
-    A cluster names it in `spark.checkpoint.dir`; only a session without that
+    A cluster names it in `spark.checkpoint.dir`; only a local session without that
     setting (tests on one machine) gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="zonetally-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
