@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonetally.llm import token_files
+from zonetally.llm import packing, token_files
 from zonetally.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,9 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_ids(_table(spark, sf_dir, "documents"), path, _tokenizer("word_bpe_49k.json"))
     read = token_files.with_starts(token_files.checksums(spark, path))
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@_query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
