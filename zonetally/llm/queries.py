@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonetally.llm import packing, token_files
+from zonetally.llm import packing, repeats, sharding, token_files
 from zonetally.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,14 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@_query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id")
+    return sharding.place(docs, [f"shard-{k:03d}" for k in range(256)]).select("doc_id", "slot", "shard")
+
+
+@_query
+def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.judge(_table(spark, sf_dir, "documents"))
