@@ -33,7 +33,7 @@ def _tokenizer(file: str) -> str:
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_ids(_table(spark, sf_dir, "documents"), path, _tokenizer("word_bpe_49k.json"))
-    read = token_files.with_starts(token_files.checksums(spark, path))
+    read = token_files.with_starts(token_files.checksums(spark, path), path)
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -125,9 +125,11 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
     return _decoded(spark, path, "long", pa.int64(), crc).withColumnRenamed("last", "ids_crc32")
 
 
-def with_starts(read: DataFrame) -> DataFrame:
-    """Adds `start`: the ids of all documents before. Sums run inside a shard; shards' totals carry on."""
-    totals = read.groupBy("shard").agg(F.sum("n_tokens").alias("_total"))
+def with_starts(read: DataFrame, path: str) -> DataFrame:
+    """Adds `start`: the ids of all documents before. Sums run inside a shard; shards' totals, read from the sizes in
+    the files alone, carry on."""
+    sizes = F.aggregate("sizes", F.lit(0).cast("long"), lambda total, n: total + n)
+    totals = read.sparkSession.read.schema(_FILE).parquet(path).groupBy("shard").agg(F.sum(sizes).alias("_total"))
     before = totals.select("shard", (F.sum("_total").over(Window.orderBy("shard")) - F.col("_total")).alias("_before"))
     inside = Window.partitionBy("shard").orderBy("place")
     return (read.withColumn("_inside", F.sum("n_tokens").over(inside) - F.col("n_tokens"))
