@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonetally.llm import packing, repeats, sharding, token_files
+from zonetally.llm import near_duplicates, packing, repeats, sharding, token_files
 from zonetally.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.judge(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.group(_table(spark, sf_dir, "documents"))
