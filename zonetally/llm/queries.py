@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonetally.llm import near_duplicates, packing, repeats, sharding, substrings, token_files
+from zonetally.llm import decontamination, near_duplicates, packing, repeats, sharding, substrings, token_files
 from zonetally.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_removed = F.when(F.col("whole"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)))
     kept = F.when(F.col("whole"), F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", "sha256"))
     return rows.join(left, ["doc_id", "tag"], "left").select("doc_id", "n_words", n_removed.alias("n_removed"), kept.alias("kept_sha256"))
+
+
+@_query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumn("score", F.round("score", 6))
