@@ -13,8 +13,7 @@
    share of the item's full score; copies with edits, insertions or
    omissions lower it gradually.
 
-Words are runs of ASCII letters, digits and non-ASCII bytes, ASCII capitals in
-lower case. Null and empty texts, on either side, match nothing; items shorter
+Words are runs of ASCII letters, digits and non-ASCII bytes, in lower case. Null and empty texts, on either side, match nothing; items shorter
 than a gram are one gram; rows with a null doc_id are not reported; documents
 or items that share an id are compared each and reported with the best score;
 empty tables give no rows.
@@ -44,7 +43,7 @@ _PLAIN = bytes(k + 32 if 65 <= k <= 90 else k if 97 <= k <= 122 or 48 <= k <= 57
 
 
 def plain_words(text: bytes) -> list[bytes]:
-    return text.translate(_PLAIN).split()
+    return (text if text.isascii() else text.decode().lower().encode()).translate(_PLAIN).split()
 
 
 class Vocabulary(dict):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonetally.llm import decontamination, near_duplicates, packing, repeats, sharding, substrings, token_files
+from zonetally.llm import decontamination, near_duplicates, packing, repeats, sharding, substrings, token_files, wrappers
 from zonetally.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.withColumn("score", F.round("score", 6))
+
+
+@_query
+def op4_wrapper_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_texts(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
