@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonetally.llm import decontamination, near_duplicates, packing, repeats, sharding, substrings, token_files, wrappers
+from zonetally.llm import decontamination, near_duplicates, packing, personal_data, repeats, sharding, substrings, token_files, wrappers
 from zonetally.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_wrapper_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_texts(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@_query
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find(docs, keep=["doc_id"])
+    counts = [personal_data.number_of("base", kind).alias(f"n_{kind}") for kind in personal_data.BASE]
+    listed = personal_data.listed
+    return found.select("doc_id", *counts, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
