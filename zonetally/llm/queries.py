@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonetally.llm import decontamination, near_duplicates, packing, personal_data, repeats, sharding, substrings, token_files, wrappers
+from zonetally.llm import decontamination, near_duplicates, packing, personal_data, preference, repeats, sharding, substrings, token_files, wrappers
 from zonetally.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,11 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [personal_data.number_of("base", kind).alias(f"n_{kind}") for kind in personal_data.BASE]
     listed = personal_data.listed
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@_query
+def op6_preference_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    scored = preference.score(docs, preference.learn(docs, labels.where(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= preference.CUT).cast("int").alias("predicted"))
