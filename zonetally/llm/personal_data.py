@@ -206,10 +206,11 @@ def detect(found: DataFrame, weights: list[float]) -> DataFrame:
 
 
 def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (all by default) of every row with its `base` and `spans`."""
-    rows = candidates(docs, text)
-    rows = store(docs.sparkSession, rows.select(*(docs.columns if keep is None else keep), "base", "more"), "spans")
-    return detect(rows, train(rows))
+    """The columns `keep` (all by default) of every row with its `base` and `spans`, which replace columns of those names."""
+    names = [c for c in (docs.columns if keep is None else keep) if c not in ("base", "spans")]
+    whole = docs.select(F.struct(*names).alias("row"), F.col(text).alias("text"))
+    rows = store(docs.sparkSession, candidates(whole).drop("text"), "spans")
+    return detect(rows, train(rows)).select(*(F.col(f"row.`{c}`").alias(c) for c in names), "base", "spans")
 
 
 def listed(spans: Column) -> Column:

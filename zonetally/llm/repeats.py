@@ -14,6 +14,8 @@ by its own text, so repeated rows get the same verdict; a null doc_id stays.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -119,20 +121,36 @@ def plain_counts(text: bytes) -> tuple[int, int, int]:
     return len(text.translate(None, _NOT_COUNTED)), len(text) - len(text.translate(None, _SYMBOLS)), len(lines) - len(set(lines))
 
 
+def verdicts(texts: list[bytes], hashes: WordHashes, least: int, most_covered: int, longest: int) -> list[tuple]:
+    """Of each text: words, words in repeated 3-word windows, whether the base rule fails, covered words, the longest
+    repeat, kept."""
+    out = []
+    for _, words in chunks(texts, texts):
+        for triples, spans, most, n in zip(*(x.tolist() for x in chunk_measures(words, hashes, least)), (len(w) for w in words), strict=True):
+            failed = n < 50 or 100 * triples > 50 * n
+            out.append((n, triples, failed, spans, most, not failed and 100 * spans <= most_covered * n and most <= longest))
+    return out
+
+
+def passing(docs: DataFrame, text: str = "text", least: int = LEAST, most_covered: int = MOST_COVERED, longest: int = LONGEST) -> DataFrame:
+    """The rows that are kept, with all their columns; nothing is shuffled."""
+    hashes = WordHashes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.encode() if x else b"" for x in batch[text].to_pylist()]
+            yield batch.filter(pa.array([x[-1] for x in verdicts(texts, hashes, least, most_covered, longest)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def judge(docs: DataFrame, least: int = LEAST, most_covered: int = MOST_COVERED, longest: int = LONGEST) -> DataFrame:
     """The measures and verdict of every document; nothing is shuffled."""
     hashes = WordHashes()
 
     def run(keys: list, texts: list[bytes]) -> pa.RecordBatch:
-        columns: list[list] = [[] for _ in _OUT]
-        for _, words in chunks(keys, texts):
-            for values in zip(*(x.tolist() for x in chunk_measures(words, hashes, least)), (len(w) for w in words), strict=True):
-                triples, spans, most, n = values
-                failed = n < 50 or 100 * triples > 50 * n
-                kept = not failed and 100 * spans <= most_covered * n and most <= longest
-                for column, value in zip(columns, (n, 0, 0, 0, triples, failed, spans, most, kept), strict=True):
-                    column.append(value)
-        columns[1:4] = map(list, zip(*map(plain_counts, texts), strict=True))
+        n, triples, failed, spans, most, kept = zip(*verdicts(texts, hashes, least, most_covered, longest), strict=True)
+        columns = [n, *zip(*map(plain_counts, texts), strict=True), triples, failed, spans, most, kept]
         arrays = [pa.array(keys, pa.int64()), *(pa.array(c, t) for c, t in zip(columns, _OUT.values(), strict=True))]
         return pa.RecordBatch.from_arrays(arrays, ["doc_id", *_OUT])
 

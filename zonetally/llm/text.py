@@ -114,3 +114,13 @@ def chunks(keys: list, texts: list[bytes], lower: bool = False) -> Iterator[tupl
             some_keys, some_words, size = [], [], 0
     if some_keys:
         yield some_keys, some_words
+
+
+#: Ids up to which a list of rows to drop is broadcast; longer ones are joined by shuffle.
+MOST_IDS = 1_000_000
+
+
+def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows whose key isn't in `dropped`, a stored table of one column. Rows with a null key stay."""
+    ids = dropped.select(key).distinct()
+    return docs.join(F.broadcast(ids) if ids.count() <= MOST_IDS else ids, key, "left_anti")
