@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonetally.llm.components import components
-from zonetally.llm.text import WordHashes, chunks, map_texts, mix, ngram_hashes, signed, texts_only
+from zonetally.llm.text import WordHashes, chunks, map_texts, mix, ngram_hashes, only, signed, texts_only
 from zonetally.session import store
 
 SHINGLE = 5
@@ -173,8 +173,7 @@ def prefix_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """Stored sets of the documents in `wanted`."""
     spark = docs.sparkSession
-    some = texts_only(docs).join(wanted.select("doc_id"), "doc_id", "left_semi")
-    return store(spark, shingle_sets(some, size), "shingles")
+    return store(spark, shingle_sets(only(texts_only(docs), wanted), size), "shingles")
 
 
 def group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -116,11 +116,20 @@ def chunks(keys: list, texts: list[bytes], lower: bool = False) -> Iterator[tupl
         yield some_keys, some_words
 
 
-#: Ids up to which a list of rows to drop is broadcast; longer ones are joined by shuffle.
+#: Ids up to which a list of rows to keep or drop is broadcast; longer ones are joined by shuffle.
 MOST_IDS = 1_000_000
 
 
+def _ids(table: DataFrame, key: str) -> DataFrame:
+    ids = table.select(key).distinct()
+    return F.broadcast(ids) if ids.count() <= MOST_IDS else ids
+
+
+def only(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows whose key is in `wanted`, a stored table. Texts aren't shuffled for it while the ids are few."""
+    return docs.join(_ids(wanted, key), key, "left_semi")
+
+
 def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows whose key isn't in `dropped`, a stored table of one column. Rows with a null key stay."""
-    ids = dropped.select(key).distinct()
-    return docs.join(F.broadcast(ids) if ids.count() <= MOST_IDS else ids, key, "left_anti")
+    """The rows whose key isn't in `dropped`, a stored table. Rows with a null key stay."""
+    return docs.join(_ids(dropped, key), key, "left_anti")
