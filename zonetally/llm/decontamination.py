@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonetally.llm.text import map_texts, mix, ngram_hashes, signed, texts_only
+from zonetally.llm.text import map_texts, mix, ngram_hashes, only, signed, texts_only
 from zonetally.session import store
 
 GRAM, SPREAD = 3, 4
@@ -187,6 +187,6 @@ def _block_matches(docs: DataFrame, block: list[tuple[int, list[bytes]]], least:
     met = found.join(seeds, "gram")
     enough = met.groupBy("doc_id", "k").agg(F.countDistinct("item_at").alias("n"))
     wanted_pairs = enough.join(seeds.groupBy("k").agg(F.count("*").alias("all")), "k").where(F.col("n") >= F.least(F.lit(2), F.col("all")))
-    per_doc = met.join(wanted_pairs.select("doc_id", "k"), ["doc_id", "k"], "left_semi").groupBy("doc_id").agg(
-        F.collect_list(F.struct("k", "at", "item_at")).alias("seeds"))
-    return _aligned(texts_only(docs).join(per_doc, "doc_id").select("doc_id", "text", "seeds"), shared, least)
+    per_doc = store(spark, met.join(wanted_pairs.select("doc_id", "k"), ["doc_id", "k"], "left_semi").groupBy("doc_id").agg(
+        F.collect_list(F.struct("k", "at", "item_at")).alias("seeds")), "passages")
+    return _aligned(only(texts_only(docs), per_doc).join(per_doc, "doc_id").select("doc_id", "text", "seeds"), shared, least)
