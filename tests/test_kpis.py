@@ -1,5 +1,3 @@
-from collections import defaultdict, deque
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -27,59 +25,46 @@ def event_rows(seed, n, run="a"):
     return rows
 
 
-def collector(rows, window, times):
-    """Plain counters and bounded lists, event by event."""
-    s = {"n": defaultdict(int), "lists": {}, "h": defaultdict(int), "m": defaultdict(int)}
-
-    def keep(name, value, size):
-        s["lists"].setdefault(name, deque(maxlen=size)).append(value)
-
-    for _run, _i, event, qt, latency, ts, e2e, from_retry, _count, _cache in rows:
-        qt, latency = (qt or "UNK").upper(), latency or 0.0
-        s["n"][event] += 1
-        if event in ("hit", "miss"):
-            s["h" if event == "hit" else "m"][qt] += 1
-            for name in (event, "q" + qt):
-                keep(name, latency, window)
-            keep("times", ts, times)
-        if event == "processed":
-            keep("ptimes", ts, times)
-            if e2e is not None:
-                keep("e2e", e2e, window)
-            s["n"]["recovered"] += bool(from_retry)
-    return s
-
-
-@pytest.mark.parametrize("window,times", [(20, 30), (5000, 20000)])
-def test_facts_match_event_by_event_collection(spark, window, times):
-    runs = {"a": event_rows(1, 400, "a"), "b": event_rows(2, 150, "b")}
+def test_facts_of_whole_runs(spark):
+    runs = {"a": event_rows(1, 400, "a"), None: event_rows(2, 150, None)}
     df = K.normalise(spark.createDataFrame([r for rows in runs.values() for r in rows], EVENTS), 5.0)
-    facts = K.run_facts(df, "run", latency_window=window, times_window=times, percentile_digits=9)
+    facts = K.run_facts(df, "run", percentile_digits=9)
     got = {r["run"]: r for r in K.run_summary(facts, "run").collect()}
     types = {(r["run"], r["query_type"]): r for r in K.by_query_type(facts, "run").collect()}
     for run, rows in runs.items():
-        want, r = collector(rows, window, times), got[run]
-        n, end = want["n"], max(x[5] for x in rows)
-        assert (r["hits"], r["misses"], r["errors"], r["processed"], r["retried"], r["recovered"], r["dead_lettered"]) == tuple(
-            n[k] for k in ("hit", "miss", "error", "processed", "retry", "recovered", "dlq"))
-        pools = {"hit": want["lists"]["hit"], "miss": want["lists"]["miss"], "e2e": want["lists"]["e2e"],
-                 "all": list(want["lists"]["hit"]) + list(want["lists"]["miss"])}
-        for name, pool in pools.items():
-            for p in (50, 95, 99):
-                assert r[f"{name}_p{p}"] == pytest.approx(np.percentile(pool, p), abs=1e-6)
-        assert r["throughput_qps_recent_10s"] == round(sum(t >= end - 10 for t in want["lists"]["times"]) / 10, 2)
-        assert r["throughput_processed_qps_recent_10s"] == round(sum(t >= end - 10 for t in want["lists"]["ptimes"]) / 10, 2)
-        total = n["hit"] + n["miss"]
-        assert r["hit_rate"] == pytest.approx(n["hit"] / total, abs=1e-4)
-        saved = n["hit"] * (np.mean(want["lists"]["miss"]) - np.mean(want["lists"]["hit"])) / total
+        r = got[run]
+        event, latency = np.array([x[2] for x in rows]), np.array([x[4] or 0.0 for x in rows])
+        qt, ts = np.array([(x[3] or "UNK").upper() for x in rows]), np.array([x[5] for x in rows])
+        e2e = np.array([np.nan if x[6] is None else x[6] for x in rows])
+        hit, miss, done = event == "hit", event == "miss", event == "processed"
+        answered, recent = hit | miss, ts >= ts.max() - 10
+        back = np.array([bool(x[7]) for x in rows])
+        assert [r[k] for k in ("hits", "misses", "errors", "processed", "retried", "recovered", "dead_lettered")] == [
+            hit.sum(), miss.sum(), (event == "error").sum(), done.sum(), (event == "retry").sum(),
+            (event == "recovered").sum() + (done & back).sum(), (event == "dlq").sum()]
+        for name, pool in {"hit": latency[hit], "miss": latency[miss], "all": latency[answered], "e2e": e2e[done & ~np.isnan(e2e)]}.items():
+            assert [r[f"{name}_p{p}"] for p in (50, 95, 99)] == pytest.approx(list(np.percentile(pool, (50, 95, 99))), abs=1e-6)
+        assert r["throughput_qps_recent_10s"] == round((answered & recent).sum() / 10, 2)
+        assert r["throughput_processed_qps_recent_10s"] == round((done & recent).sum() / 10, 2)
+        assert r["hit_rate"] == pytest.approx(hit.sum() / answered.sum(), abs=1e-4)
+        saved = hit.sum() * (latency[miss].mean() - latency[hit].mean()) / answered.sum()
         assert r["cache_efficiency"] == pytest.approx(saved, abs=2e-3)
         for q in ("Q1", "Q2", "Q3", "Q4", "Q5"):
-            t, pool = types[(run, q)], want["lists"].get("q" + q)
-            assert (t["hits"], t["misses"]) == (want["h"][q], want["m"][q])
-            assert t["p95_ms"] == (pytest.approx(np.percentile(pool, 95), abs=1e-6) if pool else None)
+            t, pool = types[(run, q)], latency[answered & (qt == q)]
+            assert (t["hits"], t["misses"]) == ((hit & (qt == q)).sum(), (miss & (qt == q)).sum())
+            assert t["p95_ms"] == (pytest.approx(np.percentile(pool, 95), abs=1e-6) if len(pool) else None)
     assert ("a", "UNK") not in types and types[("a", "Q4")]["hit_rate"] is None
 
 
+def test_no_answer_is_left_out(spark):
+    """More answers than any fixed window holds, most of them in the last ten seconds."""
+    df = spark.range(45_000).selectExpr(
+        "'a' as run", "id as event_id", "'hit' as event", "'Q1' as query_type", "double(id % 1000) as latency_ms",
+        "1000D + id / 5000 as ts", "null as end_to_end_ms", "false as from_retry", "0 as retry_count", "'HIT' as cache")
+    r = K.run_summary(K.run_facts(df.withColumn("end_to_end_ms", F.lit(None).cast("double")), "run"), "run").first()
+    assert r["throughput_qps_recent_10s"] == 4500.0 and r["hit_p50"] == 499.5 and r["mean_t_cache_ms"] == 499.5
+
+
 def test_run_without_answers_has_nulls(spark):
     df = K.normalise(spark.createDataFrame([("x", 1, "error", None, None, 10.0, None, None, None, None)], EVENTS), 5.0)
     r = K.run_summary(K.run_facts(df, "run"), "run").first()

@@ -25,10 +25,6 @@ QUERY_POPULARITY = ["Q1", "Q3", "Q2", "Q5", "Q4"]
 TTL_SECONDS = {"Q1": 300, "Q2": 300, "Q3": 180, "Q4": 120, "Q5": 600}
 DEFAULT_TTL_SECONDS = 300
 
-# Newest samples kept per latency group, and per list of event times.
-LATENCY_WINDOW = 5000
-TIMES_WINDOW = 20000
-
 # An attempt with this number is the last one before the dead letter topic.
 MAX_RETRIES = 3
 

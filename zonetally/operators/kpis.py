@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, GroupedData, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonetally.functions import columns as C
 from zonetally.functions import domains as D
 from zonetally.operators import prefix
 from zonetally.operators.newest import newest_of_many
-from zonetally.operators.percentiles import sample_percentiles
+from zonetally.operators.percentiles import P50_95_99, exact_percentiles, same_group
+from zonetally.session import store
 
 
 def normalise(events: DataFrame, now: float | None = None) -> DataFrame:
@@ -91,12 +92,11 @@ MEMBERS = {
 }
 
 
-def samples(events: DataFrame, group: str, latency_window: int = D.LATENCY_WINDOW,
-            times_window: int = D.TIMES_WINDOW, slot_seconds: float = 60.0, few_runs: bool = False) -> DataFrame:
-    """Newest rows of every list the KPIs look at: (group, kind, ts, event_id, value).
+def samples(events: DataFrame, group: str, latency_window: int, times_window: int, slot_seconds: float = 60.0, few_runs: bool = False) -> DataFrame:
+    """The newest rows of every list: (group, kind, ts, event_id, value).
 
-    Kinds: hit, miss, Q1..Q5 and e2e keep latencies, requests and processed keep
-    times. Works as `newest_of_few` does, for all lists at once: events are counted
+    Kinds: hit, miss, Q1..Q5 and e2e keep so many latencies, requests and processed
+    so many times; KPIs of whole runs don't use this. Works as `newest_of_few` does, for all lists at once: events are counted
     per time slot, the counts give each list of a group its first slot, and only
     events from such slots on are put into lists. The table of first slots has one
     row per run; `few_runs` says that a fixed list bounds them, so it may be broadcast.
@@ -134,10 +134,19 @@ def samples(events: DataFrame, group: str, latency_window: int = D.LATENCY_WINDO
     )
 
 
-def recent_rate(kind: str, seconds: float = 10.0) -> Column:
-    """Rows per second in the last seconds before `as_of`, as an aggregate over samples."""
-    recent = (F.col("kind") == kind) & (F.col("ts") >= F.col("as_of") - seconds)
-    return F.count_if(recent) / F.lit(float(seconds))
+RECENT_SECONDS = 10.0
+
+
+def recent_counts(events: DataFrame, group: str, totals: DataFrame, seconds: float = RECENT_SECONDS) -> DataFrame:
+    """The events with `_recent`: whether they lie in the last seconds before their run's `as_of`."""
+    ends = same_group(events, totals.select(group, "as_of"), [group])
+    return ends.withColumn("_recent", F.col("ts") >= F.col("as_of") - F.lit(float(seconds))).drop("as_of")
+
+
+def recent_rate(events: DataFrame, group: str, totals: DataFrame, seconds: float = RECENT_SECONDS) -> DataFrame:
+    """(group, qps): answers per second in the last seconds of each run, out of all its answers."""
+    marked = recent_counts(events.where(ANSWERED), group, totals, seconds)
+    return marked.groupBy(group).agg((F.count_if("_recent") / F.lit(float(seconds))).alias("qps"))
 
 
 def _type_counters() -> list[Column]:
@@ -153,44 +162,51 @@ def run_totals(events: DataFrame, group: str, start: float | None = None, as_of:
     return events.groupBy(group).agg(*counters(), *_type_counters(), begin.alias("start"), end.alias("as_of"))
 
 
-def latency_stats(digits: int = 3) -> list[Column]:
-    """Percentiles of hits, misses, both together, end to end and per type, and two means, over samples."""
-    def only(*kinds: str) -> str:
-        return f"case when kind in ({', '.join(repr(k) for k in kinds)}) then value end"
-
-    lists = {"hit_": only("hit"), "miss_": only("miss"), "all_": only("hit", "miss"), "e2e_": only("e2e")}
-    lists |= {f"{q}_": only(q) for q in D.QUERY_TYPES}
-    return [
-        *[c for name, value in lists.items() for c in sample_percentiles(value, name, digits=digits)],
-        F.expr(f"coalesce(avg({only('hit')}), 0D) as mean_hit_ms"),
-        F.expr(f"coalesce(avg({only('miss')}), 0D) as mean_miss_ms"),
-    ]
+def counted_values(events: DataFrame, group: str, totals: DataFrame) -> DataFrame:
+    """All answers and processed messages as counts: (group, event, query_type, value, n, recent).
 
+    `value` is the latency of an answer and the end-to-end time of a processed message.
+    """
+    relevant = events.where(f"{ANSWERED} or event = 'processed'")
+    value = F.when(F.col("event") == "processed", F.col("end_to_end_ms")).otherwise(F.col("latency_ms"))
+    return recent_counts(relevant, group, totals).groupBy(group, "event", "query_type", value.alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_recent").alias("recent"))
 
-def run_samples(events: DataFrame, group: str, start: float | None = None, as_of: float | None = None,
-                latency_window: int = D.LATENCY_WINDOW, times_window: int = D.TIMES_WINDOW,
-                runs: list[str] | None = None) -> GroupedData:
-    """Totals of each run next to its samples, grouped by run: ready for the aggregates above.
 
-    With `runs`, only the listed runs are looked at, and nothing but samples is shuffled.
-    """
-    if runs is not None:
-        events = events.where(F.col(group).isin(runs))
-    totals = run_totals(events, group, start, as_of)
-    sample = samples(events, group, latency_window, times_window, few_runs=runs is not None)
-    return totals.join(sample, group, "left").groupBy(*totals.columns)
+def latency_lists(counted: DataFrame) -> DataFrame:
+    """The counts by list: hit, miss, all (both), e2e and the query types."""
+    names = {"hit": "event = 'hit'", "miss": "event = 'miss'", "all": ANSWERED, "e2e": "event = 'processed'"}
+    names |= {q: MEMBERS[q] for q in D.QUERY_TYPES}
+    kinds = ", ".join(f"case when {condition} then '{kind}' end" for kind, condition in names.items())
+    return counted.withColumn("kind", F.expr(f"explode(array_compact(array({kinds})))"))
 
 
 def run_facts(events: DataFrame, group: str, start: float | None = None, as_of: float | None = None,
-              latency_window: int = D.LATENCY_WINDOW, times_window: int = D.TIMES_WINDOW,
               percentile_digits: int = 3, runs: list[str] | None = None) -> DataFrame:
-    """Everything the summary and the per-type block are made of, one row per run.
+    """Everything the summary and the per-type block are made of, one row per run, out of all its events.
 
-    `events` must be normalised. A reader of some columns pays only for those.
+    `events` must be normalised. They are read twice: for the totals, and into a stored table of counted values,
+    from which percentiles, means and recent rates follow. With `runs`, only the listed runs are looked at.
     """
-    return run_samples(events, group, start, as_of, latency_window, times_window, runs).agg(
-        *latency_stats(percentile_digits),
-        recent_rate("requests").alias("_recent"), recent_rate("processed").alias("_recent_processed"))
+    if runs is not None:
+        events = events.where(F.col(group).isin(runs))
+    spark = events.sparkSession
+    totals = store(spark, run_totals(events, group, start, as_of), "totals")
+    counted = store(spark, counted_values(events, group, totals), "counted")
+    listed = exact_percentiles(latency_lists(counted), [group, "kind"], "value", digits=percentile_digits, weight="n")
+    kinds = ["hit", "miss", "all", "e2e", *D.QUERY_TYPES]
+    percentiles = listed.groupBy(group).agg(*[
+        F.max(F.when(F.col("kind") == kind, F.col(p))).alias(f"{kind}_{p}") for kind in kinds for p in P50_95_99])
+
+    def total(column: str, condition: str) -> str:
+        return f"sum(case when {condition} then {column} end)"
+
+    plain = counted.groupBy(group).agg(
+        *[F.expr(f"{total('value * n', MEMBERS[k])} / {total('n', MEMBERS[k])} as mean_{k}_ms") for k in ("hit", "miss")],
+        F.expr(f"coalesce({total('recent', ANSWERED)}, 0) / {RECENT_SECONDS}D as _recent"),
+        F.expr(f"coalesce({total('recent', MEMBERS['processed'])}, 0) / {RECENT_SECONDS}D as _recent_processed"))
+    facts = same_group(same_group(totals, percentiles, [group], "left"), plain, [group], "left")
+    return facts.fillna(0.0, ["mean_hit_ms", "mean_miss_ms", "_recent", "_recent_processed"])
 
 
 def run_summary(facts: DataFrame, group: str, *also: str | Column) -> DataFrame:

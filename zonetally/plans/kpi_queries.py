@@ -10,7 +10,7 @@ from zonetally.functions import domains as D
 from zonetally.operators import kpis as K
 from zonetally.operators import prefix
 from zonetally.operators.newest import newest_of_few, newest_of_many, newest_overall
-from zonetally.operators.percentiles import exact_percentiles, sample_percentiles
+from zonetally.operators.percentiles import exact_percentiles
 from zonetally.plans.fixtures import query_events, table
 from zonetally.plans.registry import query, rounded
 from zonetally.sources.readers import parse_json, read_events
@@ -43,22 +43,23 @@ def _three(value: str, name: str, cond: str = "true", suffix: str = "") -> str:
         for n, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)))
 
 
-def sample_sql(lw: int = D.LATENCY_WINDOW, tw: int = D.TIMES_WINDOW) -> str:
+def sample_sql(lw: int | None = None, tw: int | None = None) -> str:
+    """CTE `smp`: all rows of every list, or the newest of each if numbers are given."""
     answered = "event in ('hit', 'miss')"
+    cut = "" if lw is None else "where rn <= lim"
     return f"""listed as (
-  select label, event as kind, ts, event_id, latency_ms as v, {lw} as lim from norm where {answered}
-  union all select label, query_type, ts, event_id, latency_ms, {lw} from norm
+  select label, event as kind, ts, event_id, latency_ms as v, {lw or 0} as lim from norm where {answered}
+  union all select label, query_type, ts, event_id, latency_ms, {lw or 0} from norm
     where {answered} and query_type in ('Q1', 'Q2', 'Q3', 'Q4', 'Q5')
-  union all select label, 'requests', ts, event_id, ts, {tw} from norm where {answered}
-  union all select label, 'processed', ts, event_id, ts, {tw} from norm where event = 'processed'
-  union all select label, 'e2e', ts, event_id, end_to_end_ms, {lw} from norm where event = 'processed' and end_to_end_ms is not null),
-smp as (select * from (select *, row_number() over (partition by label, kind order by ts desc, event_id desc) as rn from listed)
-  where rn <= lim)"""
+  union all select label, 'requests', ts, event_id, ts, {tw or 0} from norm where {answered}
+  union all select label, 'processed', ts, event_id, ts, {tw or 0} from norm where event = 'processed'
+  union all select label, 'e2e', ts, event_id, end_to_end_ms, {lw or 0} from norm where event = 'processed' and end_to_end_ms is not null),
+smp as (select * from (select *, row_number() over (partition by label, kind order by ts desc, event_id desc) as rn from listed) {cut})"""
 
 
-def summary_sql(group: str, lw: int = D.LATENCY_WINDOW, tw: int = D.TIMES_WINDOW, source: str = "query_events") -> str:
+def summary_sql(group: str, source: str = "query_events") -> str:
     """CTEs up to `summary`: one flat row of KPIs per label."""
-    return f"""{norm_sql(group, source)}, {sample_sql(lw, tw)},
+    return f"""{norm_sql(group, source)}, {sample_sql()},
 totals as (select label, {COUNTERS}, min(ts) as start_ts, max(ts) as as_of from norm group by label),
 lat as (select label, {_three('v', 'hit_', "kind = 'hit'")}, {_three('v', 'miss_', "kind = 'miss'")},
   {_three('v', 'all_', "kind in ('hit', 'miss')")}, {_three('v', 'e2e_', "kind = 'e2e'")},
@@ -84,7 +85,7 @@ summary as (select label, round(as_of - start_ts, 2) as elapsed_sec, hits, misse
   from totals left join lat using (label) left join rec using (label))"""
 
 
-def by_query_sql(lw: int = D.LATENCY_WINDOW) -> str:
+def by_query_sql() -> str:
     """CTE after `smp`: the per-type block."""
     return f"""byq as (select l.label, q.query_type, count(*) filter (where event = 'hit') as hits,
   count(*) filter (where event = 'miss') as misses
@@ -186,27 +187,29 @@ def _(spark, d):
 @query("agg09_sample_percentiles", f"""
 with {norm_sql('scenario')}, {sample_sql()} select label, kind, {_three('v', '')} from smp where kind in ('hit', 'miss', 'e2e') group by 1, 2""", E)
 def _(spark, d):
-    smp = K.samples(events(spark, d), "scenario", few_runs=True).where(F.col("kind").isin("hit", "miss", "e2e"))
-    return smp.groupBy(F.col("scenario").alias("label"), "kind").agg(*sample_percentiles("value", digits=4))
+    out = exact_percentiles(_listed(spark, d, "hit", "miss", "e2e"), ["scenario", "kind"], "value", digits=4, weight="n")
+    return out.withColumnRenamed("scenario", "label").drop("n")
+
+
+def _listed(spark, d, *kinds):
+    e = events(spark, d)
+    counted = K.counted_values(e, "scenario", K.run_totals(e, "scenario"))
+    return K.latency_lists(counted).where(F.col("kind").isin(*kinds))
 
 
 @query("agg10_pooled_percentiles", f"""
-with {norm_sql('scenario')}, {sample_sql(300)} select label, count(*) as n, {_three('v', '')}
+with {norm_sql('scenario')}, {sample_sql()} select label, count(*) as n, {_three('v', '')}
 from smp where kind in ('hit', 'miss') group by 1""", E)
 def _(spark, d):
-    return _pooled(spark, d, 300).groupBy(F.col("scenario").alias("label")).agg(
-        F.count(F.lit(1)).alias("n"), *sample_percentiles("value", digits=4))
-
-
-def _pooled(spark, d, window):
-    smp = K.samples(events(spark, d), "scenario", window, few_runs=True)
-    return smp.where(F.col("kind") == "hit").unionByName(smp.where(F.col("kind") == "miss"))
+    out = exact_percentiles(_listed(spark, d, "all"), ["scenario"], "value", digits=4, weight="n")
+    return out.withColumnRenamed("scenario", "label")
 
 
 @query("set01_pooled_samples", f"""
-with {norm_sql('scenario')}, {sample_sql(300)} select label, event_id, kind, v as value from smp where kind in ('hit', 'miss')""", E)
+with {norm_sql('scenario')}, {sample_sql()} select label, event_id, kind, v as value from smp where kind in ('hit', 'miss')""", E)
 def _(spark, d):
-    return _pooled(spark, d, 300).select(F.col("scenario").alias("label"), "event_id", "kind", "value")
+    e = events(spark, d).select(F.col("scenario").alias("label"), "event_id", F.col("event").alias("kind"), F.col("latency_ms").alias("value"))
+    return e.where(F.col("kind") == "hit").unionByName(e.where(F.col("kind") == "miss"))
 
 
 @query("agg11_mean_latencies", f"""
@@ -243,8 +246,8 @@ with {norm_sql('run')}, {sample_sql()}, t as (select label, max(ts) as as_of fro
 select s.label as run, round(count(*) filter (where ts >= as_of - 86400) / 86400, 8) as qps
 from smp s join t using (label) where kind = 'requests' group by 1""", E)
 def _(spark, d):
-    out = K.run_samples(events(spark, d), "run", runs=RUNS).agg(K.recent_rate("requests", 86400.0).alias("qps"))
-    return rounded(out.select("run", "qps"), 8, "qps")
+    e = events(spark, d)
+    return rounded(K.recent_rate(e, "run", K.run_totals(e, "run"), 86400.0), 8, "qps")
 
 
 @query("agg16_finish_rates", f"""
@@ -253,9 +256,9 @@ def _(spark, d):
     return query_events(spark, d).groupBy("run").agg(*K.counters()).select("run", *K.finish_rates())
 
 
-@query("agg16_run_summary", f"with {summary_sql('run', 500, 1000)} select label as run, * exclude (label) from summary", E)
+@query("agg16_run_summary", f"with {summary_sql('run')} select label as run, * exclude (label) from summary", E)
 def _(spark, d):
-    facts = K.run_facts(events(spark, d), "run", latency_window=500, times_window=1000, percentile_digits=4, runs=RUNS)
+    facts = K.run_facts(events(spark, d), "run", percentile_digits=4, runs=RUNS)
     return K.run_summary(facts, "run")
 
 
