@@ -117,15 +117,21 @@ def test_reuse_chain_matches_walk(spark, batch):
 
 # ---- backlog ------------------------------------------------------------------
 
-def monitor(points):
-    """Peak and recovery of a polled backlog, poll by poll."""
-    peak, peak_t, done, draining = 0, None, None, False
-    for t, total in points:
-        if total > peak:
-            peak, peak_t, draining = total, t, True
-        if draining and total == 0 and peak > 0:
-            done, draining = round(t - peak_t, 2), False
-    return peak, peak_t, done, draining
+def peak_and_recovery(points):
+    """By definition: peaks are new maxima above zero; a recovery is the first zero after a peak, counted from the last
+    peak before it; the newest recovery is reported; a backlog drains while its last peak has none."""
+    t, v = np.array([p[0] for p in points]), np.array([p[1] for p in points])
+    earlier = np.maximum.accumulate(np.append(0, v))[:-1]
+    peaks, zeros = np.flatnonzero(v > earlier), np.flatnonzero(v == 0)
+    if not len(peaks):
+        return 0, None, None, False
+    last = peaks[-1]
+    recoveries = [zeros[zeros > p][0] for p in peaks if (zeros > p).any()]
+    done = None
+    if recoveries:
+        newest = max(recoveries)
+        done = round(t[newest] - t[peaks[peaks < newest][-1]], 2)
+    return v.max(), t[last], done, not (zeros > last).any()
 
 
 @pytest.mark.parametrize("width", [1.0, 10.0, 1000.0])
@@ -138,7 +144,7 @@ def test_recovery(spark, width):
     got = {r["k"]: r for r in B.recovery(df, "k", width).collect()}
     for k in series:
         points = [(t, v) for kk, t, v in rows if kk == k]
-        peak, peak_t, done, draining = monitor(points)
+        peak, peak_t, done, draining = peak_and_recovery(points)
         r = got[k]
         assert (r["peak_backlog"], r["peak_time"], r["recovery_time_sec"], r["draining"]) == (peak, peak_t, done, draining), k
         assert r["backlog_total"] == points[-1][1]

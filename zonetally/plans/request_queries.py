@@ -331,14 +331,13 @@ def _requests_sql() -> str:
     def draw(items, salt):
         return _pick_sql(_u_sql("42", f"'{salt}'", "event_id"), items, C.zipf_weights(len(items), 1.2))
 
-    pairs = ", ".join(f"{draw(D.ZONE_POPULARITY, f'pair{i}')} as b{i}" for i in range(G.ZONE_DRAWS))
-    again = ", ".join(f"case when b{i} <> zone_a then b{i} end" for i in range(G.ZONE_DRAWS))
+    pair = _u_sql("42", "'pair'", "event_id")
+    other = " ".join(f"when '{z}' then {_pick_sql(pair, *others)}" for z, others in G.other_zone_choices(1.2).items())
     return f"""
-with q as (select event_id, {draw(D.QUERY_POPULARITY, 'type')} as query_type, {draw(D.ZONE_POPULARITY, 'zone')} as zone_a, {pairs} from events),
-o as (select *, list_filter(['Z1', 'Z2', 'Z3', 'Z4', 'Z5'], lambda z: z <> zone_a)[cast(floor({_u_sql("42", "'other'", "event_id")} * 4) as int) + 1] as other from q)
-select event_id, query_type, zone_a, case when query_type = 'Q4' then coalesce({again}, other) end as zone_b,
+with q as (select event_id, {draw(D.QUERY_POPULARITY, 'type')} as query_type, {draw(D.ZONE_POPULARITY, 'zone')} as zone_a from events)
+select event_id, query_type, zone_a, case when query_type = 'Q4' then case zone_a {other} end end as zone_b,
   case when query_type <> 'Q5' then {draw(D.CONFIDENCE_LEVELS, 'floor')} end as confidence_min,
-  case when query_type = 'Q5' then {draw(D.BIN_LEVELS, 'bins')} end as bins from o"""
+  case when query_type = 'Q5' then {draw(D.BIN_LEVELS, 'bins')} end as bins from q"""
 
 
 @query("gen03_request_table", _requests_sql())
