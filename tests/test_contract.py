@@ -6,7 +6,6 @@ from compare import check, connect
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"agg23_distinct_keys_approximate"}
 
 
 @pytest.fixture(scope="module")
@@ -21,16 +20,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) - set(entry.LLM_QUERIES) == ROWS_ONLY
+    assert set(entry.queries()) - set(entry.oracle_sql()) == set(entry.LLM_QUERIES) - set(entry.LLM_SQL)
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - set(entry.LLM_SQL)))
 def test_same_rows(spark, duck, name):
     assert check(entry.queries()[name](spark, SF), duck, entry.oracle_sql()[name]) == ""
-
-
-def test_approximate_key_count(spark):
-    exact = entry.queries()["agg23_distinct_keys"](spark, SF).first()["n_keys"]
-    approximate = entry.queries()["agg23_distinct_keys_approximate"](spark, SF).first()["n_keys"]
-    assert abs(exact - approximate) <= max(3, 0.03 * exact)

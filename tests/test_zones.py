@@ -47,9 +47,37 @@ def test_empty_zone_has_zero_areas(spark, zones):
     assert (row["avg_area"], row["total_area"], row["n"]) == (0.0, 0.0, 0)
 
 
-def test_unknown_zone_is_an_error(spark):
+def test_unknown_zone_is_an_error(spark, zones):
     with pytest.raises(ValueError):
-        Z.one_zone(frame(spark, []), "Z6")
+        Z.one_zone(frame(spark, []), zones, "Z6")
+
+
+def test_zones_come_from_the_table(spark):
+    six = Z.zone_dimension(spark, [("Z9", "Ninth", 0.0, 1.0, 0.0, 1.0)])
+    b = frame(spark, [("Z9", 0.5, 1.0), ("Z9", 0.7, 2.0), ("Z1", 0.5, 3.0), ("Z8", 0.5, 4.0)])
+    assert {r["zone_id"]: r["count"] for r in Z.building_count(b, six).collect() if r["count"]} == {"Z1": 1, "Z9": 2}
+    assert {r["zone_id"]: r["buildings"] for r in Z.building_totals(b, six).collect()} == {"Z1": 1, "Z9": 2, "all": 3}
+    assert Z.compare_zones(Z.density(b, six)).count() == 30 and Z.other_zones(six).count() == 30
+    assert Z.one_zone(b, six, "Z9").count() == 2
+    assert sum(r["count"] for r in Z.confidence_histogram(b, six, 4).collect()) == 3
+    q = spark.createDataFrame([(1, "Q1", "Z9", None, 0.6, None), (2, "Q1", "Z8", None, 0.0, None)],
+                              "request_id bigint, query_type string, zone_a string, zone_b string, confidence_min double, bins int")
+    assert [(r["request_id"], r["n"]) for r in R.answer_requests(q, b, six).collect()] == [(1, 1)]
+    assert [r["reject_reason"] for r in R.with_reject_reason(q, six).orderBy("request_id").collect()] == [None, "unknown zone"]
+
+
+def test_no_request_is_lost(spark, zones):
+    b = frame(spark, [("Z1", 0.5, 1.0), ("Z1", NAN, 2.0), ("Z1", None, 3.0), ("Z2", 0.9, 1.0)])
+    rows = [(1, "Q1", "Z1", None, None, None), (2, "Q1", "Z1", None, NAN, None), (3, "Q5", "Z1", None, None, 0), (4, "Q5", "Z1", None, NAN, None),
+            (5, "Q5", "Z1", None, None, -3), (6, "Q5", "Z1", None, None, 100_000), (7, "Q4", "Z1", "Z2", 0.5, None), (8, None, "Z1", None, 0.1, None),
+            (9, "Q4", "Z1", None, 0.5, None), (10, "Q2", "Z3", None, 0.3, None)]
+    q = spark.createDataFrame(rows, "request_id bigint, query_type string, zone_a string, zone_b string, confidence_min double, bins int")
+    got = {r["request_id"]: r for r in R.answer_requests(q, b, zones).collect()}
+    why = {r["request_id"]: r["reject_reason"] for r in R.with_reject_reason(q, zones).where("reject_reason is not null").collect()}
+    assert why == {2: "floor is not a number", 3: "bins must be positive", 5: "bins must be positive", 8: "unknown query type", 9: "second zone missing"}
+    assert set(got) | set(why) == set(range(1, 11)) and not set(got) & set(why)
+    assert got[1]["n"] == 3 and [x["count"] for x in got[4]["buckets"]] == [0, 0, 1, 0, 0] and got[7]["winner"] in ("Z1", "Z2")
+    assert len(got[6]["buckets"]) == 100_000 and got[6]["buckets"][50_000]["count"] == 1 and (got[10]["n"], got[10]["avg_area"]) == (0, 0.0)
 
 
 def test_tie_goes_to_second_zone(spark, zones):

@@ -124,15 +124,20 @@ def first_reason(*checks: tuple[Column, str]) -> Column:
     return F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(why)) for ok, why in checks])
 
 
-def request_reject_reason(query_type: Column, zone_a: Column, zone_b: Column) -> Column:
+def request_reject_reason(query_type: Column, zone_a: Column, zone_b: Column, known_a: Column, known_b: Column,
+                          confidence_min: Column, bins: Column) -> Column:
+    """Why a request has no answer. A missing floor or number of bins stands for its default."""
     kind = F.upper(query_type)
-    pair = kind == "Q4"
+    pair, histogram = kind == "Q4", kind == "Q5"
+    floor, n = F.coalesce(confidence_min, F.lit(0.0)), F.coalesce(bins, F.lit(D.DEFAULT_BINS))
     return first_reason(
         (kind.isin(D.QUERY_TYPES), "unknown query type"),
         (zone_a.isNotNull(), "zone missing"),
         (~pair | zone_b.isNotNull(), "second zone missing"),
-        (zone_a.isin(D.ZONE_IDS), "unknown zone"),
-        (~pair | zone_b.isin(D.ZONE_IDS), "unknown second zone"),
+        (known_a, "unknown zone"),
+        (~pair | known_b, "unknown second zone"),
+        (histogram | ~F.isnan(floor), "floor is not a number"),
+        (~histogram | (n >= 1), "bins must be positive"),
     )
 
 

@@ -8,14 +8,7 @@ from pyspark.sql import functions as F
 from zonetally.functions import columns as C
 from zonetally.functions import domains as D
 from zonetally.operators.zones import winner
-from zonetally.session import store
-
-BUCKETS = "array<struct<bucket:int,min:double,max:double,count:bigint>>"
-
-CELLS = 100          # confidence cells per unit; a floor on a cell edge needs no rows again
-ALL_ROWS = -1        # level of a floor that keeps every row
-FEW_BINS = 64        # histograms up to this many bins are counted in the common pass
-
+from zonetally.session import small, store
 
 def typed_params(df: DataFrame, schema, params: str = "params") -> DataFrame:
     """JSON parameters as columns, with their defaults."""
@@ -43,123 +36,107 @@ def with_key(requests: DataFrame) -> DataFrame:
         F.col("query_type"), F.col("zone_a"), F.col("zone_b"), F.col("confidence_min"), F.col("bins")))
 
 
-def with_reject_reason(requests: DataFrame) -> DataFrame:
-    return requests.withColumn("reject_reason", C.request_reject_reason(
-        F.col("query_type"), F.col("zone_a"), F.col("zone_b")))
+def with_reject_reason(requests: DataFrame, zones: DataFrame) -> DataFrame:
+    """Adds `reject_reason`, null for a request that has an answer."""
+    def known(side: str) -> DataFrame:
+        return small(zones.select(F.col("zone_id").alias(f"zone_{side}"), F.lit(True).alias(f"_known_{side}")).distinct())
 
+    reason = C.request_reject_reason(F.col("query_type"), F.col("zone_a"), F.col("zone_b"), F.col("_known_a"), F.col("_known_b"),
+                                     F.col("confidence_min"), F.col("bins"))
+    joined = requests.join(known("a"), "zone_a", "left").join(known("b"), "zone_b", "left")
+    return joined.withColumn("reject_reason", reason).select(*requests.columns, "reject_reason")
 
-def _cell(confidence: Column) -> Column:
-    """Highest cell whose lower edge the confidence reaches; ALL_ROWS if it reaches none."""
-    guess = F.floor(confidence * CELLS).cast("int")
-    cell = (
-        F.when(confidence < guess / F.lit(float(CELLS)), guess - 1)
-        .when(confidence >= (guess + 1) / F.lit(float(CELLS)), guess + 1)
-        .otherwise(guess)
-    )
-    usable = confidence.isNotNull() & ~F.isnan(confidence) & (confidence >= 0)
-    return F.when(usable, F.when(confidence >= 1, F.lit(CELLS)).otherwise(cell)).otherwise(F.lit(ALL_ROWS))
 
+CELLS = 1000  # parts of the confidence scale in which values are put in order, each in a task of its own
 
-def confidence_edges(bins: list[int]) -> list[float]:
-    """Edges of all cells and of all bins, as the bins compute them."""
-    cells = {k / float(CELLS) for k in range(CELLS + 1)}
-    return sorted(cells | {i * (1.0 / n) for n in bins for i in range(1, n)})
 
+def totals_at(points: DataFrame, buildings: DataFrame) -> DataFrame:
+    """(zone_id, x, n, area) at each of the distinct `points` (zone_id, x): buildings of the zone with a confidence of x or more.
 
-BEYOND = 2.0  # stands for any confidence above 1
+    Buildings are first reduced to a row per zone and confidence. These rows and
+    the points are put in order together, cell by cell, and summed from the top;
+    totals of cells carry on. So the work grows with buildings plus points, and not with
+    their product. A building without a usable confidence reaches no point.
+    """
+    x = F.col("confidence").cast("double")
+    values = buildings.where(x.isNotNull() & ~F.isnan(x)).groupBy("zone_id", x.alias("x")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("area_in_meters").alias("area"), F.lit(False).alias("asked"))
+    asked = points.select("zone_id", "x", F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("area"), F.lit(True).alias("asked"))
+    cell = F.floor(F.greatest(F.lit(-1.0), F.least(F.col("x"), F.lit(2.0))) * CELLS)
+    line = values.join(small(points.select("zone_id").distinct()), "zone_id", "left_semi").unionByName(asked).withColumn("cell", cell)
+    higher = Window.partitionBy("zone_id").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    cells = line.groupBy("zone_id", "cell").agg(F.sum("n").alias("n"), F.sum("area").alias("area")).select(
+        "zone_id", "cell", F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("n_above"),
+        F.coalesce(F.sum("area").over(higher), F.lit(0.0)).alias("area_above"))
+    # of equal values, the point comes last and so counts them
+    inside = Window.partitionBy("zone_id", "cell").orderBy(F.desc("x"), "asked").rowsBetween(Window.unboundedPreceding, 0)
+    summed = line.withColumns({"n": F.sum("n").over(inside), "area": F.sum("area").over(inside)})
+    return summed.where("asked").join(cells, ["zone_id", "cell"]).select(
+        "zone_id", "x", (F.col("n") + F.col("n_above")).alias("n"),
+        (F.coalesce("area", F.lit(0.0)) + F.col("area_above")).alias("area"))
+
+
+def floor_totals(asked: DataFrame, buildings: DataFrame, zones: DataFrame) -> DataFrame:
+    """(zone_id, floor, n, area, area_km2) of the distinct `asked` (zone_id, floor). A floor of 0 keeps all rows."""
+    positive = asked.where("floor > 0").withColumnRenamed("floor", "x")
+    some = totals_at(positive, buildings).withColumnRenamed("x", "floor")
+    everything = buildings.groupBy("zone_id").agg(F.count(F.lit(1)).alias("n"), F.sum("area_in_meters").alias("area"))
+    every = asked.where("floor <= 0").join(everything, "zone_id", "left").select(
+        "zone_id", "floor", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("area", F.lit(0.0)).alias("area"))
+    return some.unionByName(every).join(small(zones.select("zone_id", "area_km2")), "zone_id")
+
+
+def histogram_rows(asked: DataFrame, buildings: DataFrame) -> DataFrame:
+    """(zone_id, bins, bucket, min, max, count) of the distinct `asked` (zone_id, bins), a row per bucket.
+
+    A bucket holds what reaches its lower edge less what reaches the next one; the last also holds 1 itself.
+    """
+    bucket, bins = F.col("bucket"), F.col("bins")
+    # a last point just above 1 takes away what lies beyond the scale
+    edge = F.when(bucket == bins, F.lit(1.0 + 2.0**-52)).otherwise(bucket * (F.lit(1.0) / bins))
+    edges = asked.withColumn("bucket", F.explode(F.sequence(F.lit(0), bins))).withColumn("x", edge)
+    reached = totals_at(edges.select("zone_id", "x").distinct(), buildings).select("zone_id", "x", F.col("n").alias("reach"))
+    known = edges.join(reached, ["zone_id", "x"])
+    after = known.select("zone_id", "bins", (bucket - 1).alias("bucket"), F.col("reach").alias("next"))
+    return known.join(after, ["zone_id", "bins", "bucket"]).select(
+        "zone_id", "bins", "bucket", (bucket / bins).alias("min"), ((bucket + 1) / bins).alias("max"),
+        (F.col("reach") - F.col("next")).alias("count"))
 
 
-def cell_counts(buildings: DataFrame, bins: list[int]) -> DataFrame:
-    """Count and area per zone between neighbouring edges: (zone_id, lower, n, area).
+def answer_requests(requests: DataFrame, buildings: DataFrame, zones: DataFrame) -> DataFrame:
+    """All valid requests with their answers; together with `with_reject_reason` every request has one or the other.
 
-    Every floor on a cell edge and every listed histogram follows from these counts,
-    so one pass and one aggregate over the buildings serve all requests. The result
-    has at most zones x (edges + 2) rows whatever the size of the input, which is what
-    bounds the broadcasts below. `lower` is null where no positive floor holds.
+    The distinct floors and histograms that are asked for are answered from the
+    buildings, each once, and stored; then every request looks its own up. Any
+    floor and any number of bins takes the same way.
     """
-    edges = confidence_edges(bins)
-    inner: list[list[float]] = [[] for _ in range(CELLS + 1)]
-    first: list[int] = []
-    for position, edge in enumerate(edges):
-        if edge == len(first) / float(CELLS):
-            first.append(position)
-        else:
-            inner[len(first) - 1].append(edge)
-
-    def of_cell(values: list) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_cell") + 1)
-
-    position = of_cell(first)
-    for j in range(max(map(len, inner))):
-        step = of_cell([row[j] if j < len(row) else BEYOND for row in inner])
-        position = position + (F.col("confidence") >= step).cast("int")
-    lower = F.element_at(F.array(*[F.lit(e) for e in edges]), F.col("_position") + 1)
-    return (
-        buildings.where(F.col("zone_id").isin(D.ZONE_IDS))
-        .select("zone_id", "confidence", "area_in_meters", _cell(F.col("confidence")).alias("_cell"))
-        .select("zone_id", "area_in_meters", F.when(
-            F.col("_cell") >= 0, F.when(F.col("confidence") > 1, len(edges)).otherwise(position)).alias("_position"))
-        .groupBy("zone_id", "_position").agg(F.count(F.lit(1)).alias("n"), F.sum("area_in_meters").alias("area"))
-        .select("zone_id", F.when(F.col("_position") == len(edges), BEYOND)
-                .when(F.col("_position").isNotNull(), lower).alias("lower"), "n", "area")
-    )
-
+    spark = requests.sparkSession
+    judged = with_reject_reason(requests, zones).where(F.col("reject_reason").isNull()).drop("reject_reason")
+    kind = F.upper("query_type")
+    floor = F.greatest(F.coalesce(F.col("confidence_min").cast("double"), F.lit(0.0)), F.lit(0.0))
+    bins = F.coalesce(F.col("bins").cast("int"), F.lit(D.DEFAULT_BINS))
+    valid = with_key(judged).withColumns({"floor": F.when(kind != "Q5", floor), "bins": F.when(kind == "Q5", bins)})
+    valid = store(spark, valid.select("request_id", "cache_key", "query_type", "zone_a", "zone_b", "floor", "bins"), "requests")
 
-def floor_arrays(cells: DataFrame, zones: DataFrame) -> DataFrame:
-    """One row per zone; `floors` holds count and area at every level, ALL_ROWS first."""
-    grid = zones.select("zone_id", "area_km2", F.explode(F.sequence(F.lit(ALL_ROWS), F.lit(CELLS + 1))).alias("level"))
-    per_level = cells.groupBy("zone_id", _cell(F.col("lower")).alias("level")).agg(
-        F.sum("n").alias("n"), F.sum("area").alias("area"))
-    above = Window.partitionBy("zone_id").orderBy(F.desc("level"))
-    levels = grid.join(per_level, ["zone_id", "level"], "left").select(
-        "zone_id", "area_km2", "level",
-        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n"),
-        F.coalesce(F.sum("area").over(above), F.lit(0.0)).alias("area"))
-    return levels.groupBy("zone_id", "area_km2").agg(
-        F.array_sort(F.collect_list(F.struct("level", "n", "area"))).alias("floors"))
-
-
-def _at_level(level: Column) -> Column:
-    return F.element_at("floors", level - ALL_ROWS + 1)
-
-
-def _edge_level(minimum: Column) -> Column:
-    """Level of a floor on a cell edge; null for a floor between edges."""
-    nearest = F.round(minimum * CELLS)
-    on_edge = (nearest / F.lit(float(CELLS)) == minimum) & (nearest <= CELLS)
-    return F.when(minimum <= 0, F.lit(ALL_ROWS)).when(on_edge, nearest.cast("int"))
-
-
-def _off_edge_totals(asked: DataFrame, buildings: DataFrame, floors: DataFrame) -> DataFrame:
-    """Totals for floors between cell edges: the cells above, plus a look into one cell."""
-    pairs = asked.select("zone_id", "confidence_min").distinct().withColumn("level", _cell(F.col("confidence_min")))
-    inside = (
-        buildings.withColumn("level", _cell(F.col("confidence")))
-        .join(pairs, ["zone_id", "level"])
-        .where(F.col("confidence") >= F.col("confidence_min"))
-        .groupBy("zone_id", "confidence_min")
-        .agg(F.count(F.lit(1)).alias("n_in"), F.sum("area_in_meters").alias("area_in"))
-    )
-    above = _at_level(F.col("level") + 1)
-    return (
-        pairs.join(F.broadcast(floors), "zone_id")
-        .join(inside, ["zone_id", "confidence_min"], "left")
-        .select("zone_id", "confidence_min", "area_km2",
-                (above["n"] + F.coalesce("n_in", F.lit(0))).alias("n"),
-                (above["area"] + F.coalesce("area_in", F.lit(0.0))).alias("area"))
-    )
+    sides = F.explode(F.array(F.col("zone_a"), F.when(kind == "Q4", F.col("zone_b"))))
+    floors = valid.where("floor is not null").select(sides.alias("zone_id"), "floor").where("zone_id is not null").distinct()
+    totals = store(spark, floor_totals(floors, buildings, zones), "floors")
+    asked = valid.where("bins is not null").select(F.col("zone_a").alias("zone_id"), "bins").distinct()
+    bucket = F.struct("bucket", "min", "max", "count")
+    arrays = store(spark, histogram_rows(asked, buildings).groupBy("zone_id", "bins").agg(F.array_sort(F.collect_list(bucket)).alias("buckets")), "buckets")
 
+    def of(side: str) -> DataFrame:
+        return totals.select(F.col("zone_id").alias(f"zone_{side}"), "floor", *[F.col(c).alias(f"{c}_{side}") for c in ("n", "area", "area_km2")])
 
-def _floor_answers(located: DataFrame) -> DataFrame:
-    """Results from the totals at both sides' floors (n_a, area_a, area_km2_a, n_b, area_km2_b)."""
-    kind = F.upper("query_type")
+    found = valid.join(of("a"), ["zone_a", "floor"], "left").join(of("b"), ["zone_b", "floor"], "left").join(
+        arrays.withColumnRenamed("zone_id", "zone_a"), ["zone_a", "bins"], "left")
 
     def dens(side: str) -> Column:
         n, area = F.col(f"n_{side}"), F.col(f"area_km2_{side}")
         return F.when(area > 0, n / area).otherwise(0.0)
 
     a, b = dens("a"), dens("b")
-    return located.select(
+    return found.select(
         "request_id", "cache_key", "query_type",
         F.when(kind.isin("Q1", "Q2", "Q3"), F.col("n_a")).alias("n"),
         F.when(kind == "Q2", F.when(F.col("n_a") > 0, F.col("area_a") / F.col("n_a")).otherwise(0.0)).alias("avg_area"),
@@ -167,102 +144,10 @@ def _floor_answers(located: DataFrame) -> DataFrame:
         F.when(kind.isin("Q3", "Q4"), a).alias("density_a"),
         F.when(kind == "Q4", b).alias("density_b"),
         F.when(kind == "Q4", winner(F.col("zone_a"), F.col("zone_b"), a, b)).alias("winner"),
+        "buckets",
     )
 
 
-def _answers_on_edges(asked: DataFrame, floors: DataFrame) -> DataFrame:
-    a, b = (
-        F.broadcast(floors.select(*[F.col(c).alias(f"{c}_{side}") for c in floors.columns]).withColumnRenamed(
-            f"zone_id_{side}", f"zone_{side}"))
-        for side in "ab")
-    joined = asked.join(a, "zone_a").join(b, "zone_b", "left")
-
-    def at(side: str, field: str) -> Column:
-        return F.element_at(f"floors_{side}", F.col("level") - ALL_ROWS + 1)[field].alias(f"{field}_{side}")
-
-    return _floor_answers(joined.select(
-        *asked.columns, at("a", "n"), at("a", "area"), "area_km2_a", at("b", "n"), "area_km2_b"))
-
-
-def _answers_between_edges(asked: DataFrame, buildings: DataFrame, floors: DataFrame) -> DataFrame:
-    """Each request looks its one or two zones up in one table of totals."""
-    sides = F.array_compact(F.array(
-        F.struct(F.lit("a").alias("side"), F.col("zone_a").alias("zone_id")),
-        F.when(F.upper("query_type") == "Q4", F.struct(F.lit("b").alias("side"), F.col("zone_b").alias("zone_id")))))
-    spread = asked.select("*", F.inline(sides))
-    found = spread.join(_off_edge_totals(spread, buildings, floors), ["zone_id", "confidence_min"])
-
-    def of(side: str, field: str) -> Column:
-        return F.max(F.when(F.col("side") == side, F.col(field))).alias(f"{field}_{side}")
-
-    return _floor_answers(found.groupBy(*asked.columns).agg(
-        of("a", "n"), of("a", "area"), of("a", "area_km2"), of("b", "n"), of("b", "area_km2")))
-
-
-def _bucket_arrays(counts: DataFrame, asked: DataFrame) -> DataFrame:
-    """Ordered buckets of each (zone_id, bins), empty ones included."""
-    grid = asked.withColumn("level", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)))
-    bucket = F.struct(
-        F.col("level").alias("bucket"), (F.col("level") / F.col("bins")).alias("min"),
-        ((F.col("level") + 1) / F.col("bins")).alias("max"), F.coalesce("n", F.lit(0)).alias("count"))
-    return (
-        grid.join(counts.select("zone_id", "bins", "level", "n"), ["zone_id", "bins", "level"], "left")
-        .groupBy("zone_id", "bins").agg(F.array_sort(F.collect_list(bucket)).alias("buckets"))
-    )
-
-
-def _long_histograms(asked: DataFrame, buildings: DataFrame) -> DataFrame:
-    """Histograms of many bins, from buildings first counted per confidence value."""
-    wanted = asked.select(F.col("zone_a").alias("zone_id"), "bins").distinct()
-    profile = buildings.groupBy("zone_id", "confidence").agg(F.count(F.lit(1)).alias("n"))
-    level = C.bin_index(F.col("confidence"), F.col("bins")).alias("level")
-    counts = profile.join(wanted, "zone_id").groupBy("zone_id", "bins", level).agg(F.sum("n").alias("n"))
-    return _bucket_arrays(counts, wanted)
-
-
-def _histogram_answers(asked: DataFrame, arrays: DataFrame) -> DataFrame:
-    return asked.join(arrays.withColumnRenamed("zone_id", "zone_a"), ["zone_a", "bins"]).select(
-        "request_id", "cache_key", "query_type", "buckets")
-
-
-def answer_requests(requests: DataFrame, buildings: DataFrame, zones: DataFrame) -> DataFrame:
-    """All valid requests with their answers, for any number of them.
-
-    A first look at the requests finds out which histograms are asked for and
-    whether any request needs more than the common counts. The buildings are then
-    read once, into a small stored table; requests meet only that table, without a
-    shuffle. Floors between cell edges and long histograms read the buildings again,
-    and only if there are any.
-    """
-    spark = requests.sparkSession
-    valid = with_key(with_reject_reason(requests).where(F.col("reject_reason").isNull()).drop("reject_reason"))
-    valid = valid.withColumns({"bins": F.col("bins").cast("int"), "level": _edge_level(F.col("confidence_min"))})
-    is_histogram = F.upper("query_type") == "Q5"
-    is_long, between = is_histogram & (F.col("bins") > FEW_BINS), ~is_histogram & F.col("level").isNull()
-    asked = valid.agg(
-        F.collect_set(F.when(is_histogram & F.col("bins").between(1, FEW_BINS), F.col("bins"))).alias("bins"),
-        F.count_if(is_long).alias("long"), F.count_if(between).alias("between")).first()
-
-    cells = store(spark, cell_counts(buildings, sorted(asked["bins"])), "cells")
-    floors = floor_arrays(cells, zones)
-    parts = [_answers_on_edges(valid.where(~is_histogram & F.col("level").isNotNull()), floors)]
-    if asked["bins"]:
-        listed = F.explode(F.array(*[F.lit(n) for n in sorted(asked["bins"])])).alias("bins")
-        level = C.bin_index(F.col("lower"), F.col("bins")).alias("level")
-        counts = cells.select("zone_id", "lower", "n", listed).groupBy("zone_id", "bins", level).agg(F.sum("n").alias("n"))
-        arrays = _bucket_arrays(counts, zones.select("zone_id", listed))
-        parts.append(_histogram_answers(valid.where(is_histogram & ~is_long), F.broadcast(arrays)))
-    if asked["between"]:
-        parts.append(_answers_between_edges(valid.where(between).drop("level"), buildings, floors))
-    if asked["long"]:
-        many = valid.where(is_long)
-        parts.append(_histogram_answers(many, _long_histograms(many, buildings)))
-    answers = parts[0].withColumn("buckets", F.lit(None).cast(BUCKETS))
-    for part in parts[1:]:
-        answers = answers.unionByName(part, allowMissingColumns=True)
-    return answers
-
-
 def look_up(requests: DataFrame, results: DataFrame) -> DataFrame:
     """HIT with the stored result, or MISS. `results` holds one row per key."""
     stored = results.withColumn("_stored", F.lit(True))
@@ -280,6 +165,6 @@ def already_stored(requests: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def distinct_keys(requests: DataFrame, approximate: bool = False) -> DataFrame:
-    """Number of stored keys; the approximate form keeps one small sketch per task."""
+    """Number of distinct keys; the approximate form keeps one small sketch per task."""
     n = F.approx_count_distinct("cache_key", 0.01) if approximate else F.count_distinct("cache_key")
     return requests.agg(n.cast("bigint").alias("n_keys"))

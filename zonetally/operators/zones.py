@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from zonetally.functions import columns as C
 from zonetally.functions import domains as D
+from zonetally.session import small
 
 
-def zone_dimension(spark: SparkSession) -> DataFrame:
-    """The five zones with their area; a constant relation, safe to broadcast."""
+def zone_dimension(spark: SparkSession, more: list[tuple] | None = None) -> DataFrame:
+    """The five zones, and `more` like them, with their area."""
     rows = ", ".join(
-        f"('{zid}', '{name}', {a}D, {b}D, {c}D, {d}D)" for zid, name, a, b, c, d in D.ZONES
+        f"('{zid}', '{name}', {a}D, {b}D, {c}D, {d}D)" for zid, name, a, b, c, d in [*D.ZONES, *(more or [])]
     )
     zones = spark.sql(
         f"select * from values {rows} as z(zone_id, zone_name, lat_min, lat_max, lon_min, lon_max)"
@@ -21,16 +22,16 @@ def zone_dimension(spark: SparkSession) -> DataFrame:
 
 
 def in_known_zones(buildings: DataFrame, zones: DataFrame) -> DataFrame:
-    return buildings.join(F.broadcast(zones.select("zone_id")), "zone_id", "left_semi")
+    return buildings.join(small(zones.select("zone_id")), "zone_id", "left_semi")
 
 
 def in_unknown_zones(buildings: DataFrame, zones: DataFrame) -> DataFrame:
-    return buildings.join(F.broadcast(zones.select("zone_id")), "zone_id", "left_anti")
+    return buildings.join(small(zones.select("zone_id")), "zone_id", "left_anti")
 
 
-def one_zone(buildings: DataFrame, zone_id: str) -> DataFrame:
+def one_zone(buildings: DataFrame, zones: DataFrame, zone_id: str) -> DataFrame:
     """Rows of a zone; asking for a zone that does not exist is an error."""
-    if zone_id not in D.ZONE_IDS:
+    if zones.where(F.col("zone_id") == zone_id).isEmpty():
         raise ValueError(f"unknown zone: {zone_id}")
     return buildings.where(F.col("zone_id") == zone_id)
 
@@ -44,9 +45,8 @@ def keep_confident(buildings: DataFrame, confidence_min: float) -> DataFrame:
 
 def _per_zone(buildings: DataFrame, zones: DataFrame, confidence_min: float, aggs: list[Column]) -> DataFrame:
     """Aggregates of every zone, also of zones without rows."""
-    known = keep_confident(buildings, confidence_min).where(F.col("zone_id").isin(D.ZONE_IDS))
-    totals = known.groupBy("zone_id").agg(*aggs)
-    return F.broadcast(zones).join(totals, "zone_id", "left")
+    totals = keep_confident(buildings, confidence_min).groupBy("zone_id").agg(*aggs)
+    return zones.join(totals, "zone_id", "left")
 
 
 def building_count(buildings: DataFrame, zones: DataFrame, confidence_min: float = 0.0) -> DataFrame:
@@ -79,14 +79,19 @@ def density(buildings: DataFrame, zones: DataFrame, confidence_min: float = 0.0)
     )
 
 
+def _with_all(rows: DataFrame, zones: DataFrame, out: str) -> DataFrame:
+    """Each row once per zone. Ordered pairs of zones are what is asked for; their number is that of the dimension."""
+    ids = zones.agg(F.collect_set("zone_id")).scalar()
+    return rows.withColumn("_zones", ids).withColumn(out, F.explode("_zones")).drop("_zones")
+
+
 def compare_zones(densities: DataFrame) -> DataFrame:
     """Denser zone of every ordered pair; a tie goes to the second zone."""
-    a = densities.select(F.col("zone_id").alias("zone_a"), "confidence_min",
-                         F.col("density_per_km2").alias("density_a"))
     b = densities.select(F.col("zone_id").alias("zone_b"), F.col("density_per_km2").alias("density_b"))
-    pairs = a.withColumn("zone_b", F.explode(F.array(*[F.lit(z) for z in D.ZONE_IDS])))
+    pairs = _with_all(densities, densities, "zone_b").select(
+        F.col("zone_id").alias("zone_a"), "confidence_min", F.col("density_per_km2").alias("density_a"), "zone_b")
     return (
-        pairs.where(F.col("zone_a") != F.col("zone_b")).join(F.broadcast(b), "zone_b")
+        pairs.where(F.col("zone_a") != F.col("zone_b")).join(small(b), "zone_b")
         .select("zone_a", "zone_b", "confidence_min", "density_a", "density_b",
                 winner(F.col("zone_a"), F.col("zone_b"), F.col("density_a"), F.col("density_b")).alias("winner"))
     )
@@ -102,8 +107,7 @@ def confidence_histogram(buildings: DataFrame, zones: DataFrame, bins: int = D.D
         raise ValueError("bins must be positive")
     n = F.lit(int(bins))
     counts = (
-        buildings.where(F.col("zone_id").isin(D.ZONE_IDS))
-        .select("zone_id", C.bin_index(F.col("confidence"), n).alias("bucket"))
+        buildings.select("zone_id", C.bin_index(F.col("confidence"), n).alias("bucket"))
         .where(F.col("bucket").isNotNull())
         .groupBy("zone_id", "bucket").agg(F.count(F.lit(1)).alias("n"))
     )
@@ -125,16 +129,16 @@ def histogram_arrays(histogram: DataFrame) -> DataFrame:
 def building_totals(buildings: DataFrame, zones: DataFrame) -> DataFrame:
     """Buildings per zone with name and area, and the total over all zones."""
     counts = (
-        buildings.where(F.col("zone_id").isin(D.ZONE_IDS))
-        .rollup("zone_id").agg(F.count(F.lit(1)).alias("buildings"))
+        buildings.groupBy("zone_id").agg(F.count(F.lit(1)).alias("n")).join(small(zones.select("zone_id")), "zone_id", "left_semi")
+        .rollup("zone_id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("buildings"))
     )
-    return counts.join(F.broadcast(zones), "zone_id", "left").select(
+    return counts.join(small(zones), "zone_id", "left").select(
         F.coalesce("zone_id", F.lit("all")).alias("zone_id"), "zone_name", "area_km2", "buildings")
 
 
 def other_zones(zones: DataFrame) -> DataFrame:
     """For each zone, all zones but itself."""
-    pairs = zones.select("zone_id", F.explode(F.array(*[F.lit(z) for z in D.ZONE_IDS])).alias("other"))
+    pairs = _with_all(zones.select("zone_id"), zones, "other")
     return pairs.exceptAll(zones.select("zone_id", F.col("zone_id").alias("other")))
 
 

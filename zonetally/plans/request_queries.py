@@ -99,7 +99,7 @@ def _(spark, d):
     r = requests(spark, d).withColumns({
         "zone_a": F.when(F.col("request_id") % 11 != 0, F.col("zone_a")),
         "zone_b": F.when(F.col("request_id") % 13 != 0, F.col("zone_b"))})
-    return R.with_reject_reason(r).select("request_id", "reject_reason")
+    return R.with_reject_reason(r, Z.zone_dimension(spark)).select("request_id", "reject_reason")
 
 
 @query("flt04_rejected_runs", """
@@ -166,6 +166,36 @@ def _(spark, d):
     return _flat(R.answer_requests(asked, buildings(spark, d), Z.zone_dimension(spark)))
 
 
+def _broken(spark, d):
+    """Requests with missing, unusable and very large parameters."""
+    i = F.col("request_id")
+    return requests(spark, d).withColumns({
+        "confidence_min": F.when(i % 5 == 0, None).when(i % 7 == 0, F.lit(float("nan"))).otherwise(F.col("confidence_min")),
+        "bins": F.when(i % 11 == 0, 0).when(i % 13 == 0, None).when(i % 17 == 0, -3).when(i % 997 == 0, 100_000).otherwise(F.col("bins"))})
+
+
+BROKEN = """select * replace (case when request_id % 5 = 0 then null when request_id % 7 = 0 then 'nan'::double else confidence_min end as confidence_min,
+  case when request_id % 11 = 0 then 0 when request_id % 13 = 0 then null when request_id % 17 = 0 then -3 when request_id % 997 = 0 then 100000 else bins end as bins) from requests"""
+WHY = """case when query_type = 'Q6' then 'unknown query type' when query_type <> 'Q5' and isnan(confidence_min) then 'floor is not a number'
+  when query_type = 'Q5' and bins < 1 then 'bins must be positive' end"""
+
+
+@query("jn04_answers_and_rejects", f"""
+with broken as ({BROKEN}) select case when {WHY} is null then 'answer' else {WHY} end as side, count(*) as n from broken group by 1""", RQ)
+def _(spark, d):
+    """Every request has an answer or a reason why not."""
+    asked, zones = _broken(spark, d), Z.zone_dimension(spark)
+    answers = R.answer_requests(asked, buildings(spark, d), zones).agg(F.count(F.lit(1)).alias("n")).select(F.lit("answer").alias("side"), "n")
+    rejects = R.with_reject_reason(asked, zones).where("reject_reason is not null")
+    return answers.unionByName(rejects.groupBy(F.col("reject_reason").alias("side")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("jn04_answers_with_defaults", _answers_sql(f"""
+select * replace (coalesce(confidence_min, 0) as confidence_min, coalesce(bins, 5) as bins) from ({BROKEN}) where {WHY} is null"""), ALL)
+def _(spark, d):
+    return _flat(R.answer_requests(_broken(spark, d), buildings(spark, d), Z.zone_dimension(spark)))
+
+
 CUT = 1705276800.0  # 2024-01-15
 STORED = f"""
 with k as (select *, {KEY} as cache_key from requests where query_type <> 'Q6'),
@@ -203,9 +233,11 @@ def _(spark, d):
     return R.distinct_keys(keyed(spark, d))
 
 
-@query("agg23_distinct_keys_approximate")
+@query("agg23_distinct_keys_approximate", "select true as within_3_percent", RQ)
 def _(spark, d):
-    return R.distinct_keys(keyed(spark, d), approximate=True)
+    """Whether the sketch lies within 3 % of the exact count (3 keys at least)."""
+    about, exact = (R.distinct_keys(keyed(spark, d), approximate=a).scalar() for a in (True, False))
+    return spark.range(1).select((F.abs(about - exact) <= F.greatest(F.lit(3), exact * 0.03)).alias("within_3_percent"))
 
 
 TTL = f"""

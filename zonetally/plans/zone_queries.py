@@ -43,7 +43,7 @@ def _(spark, d):
 @query("flt02_one_zone", """
 select zone_id, count(*) as n, round(avg(area_in_meters), 4) as avg_area from buildings where zone_id = 'Z2' group by zone_id""", B)
 def _(spark, d):
-    out = Z.one_zone(buildings(spark, d), "Z2").groupBy("zone_id").agg(
+    out = Z.one_zone(buildings(spark, d), Z.zone_dimension(spark), "Z2").groupBy("zone_id").agg(
         F.count(F.lit(1)).alias("n"), F.avg("area_in_meters").alias("avg_area"))
     return rounded(out, 4, "avg_area")
 
@@ -168,3 +168,17 @@ def _(spark, d):
     z = Z.zone_dimension(spark)
     counts = Z.zone_stats(buildings(spark, d), z).select(F.col("zone_id").alias("other"), F.col("buildings").alias("buildings_there"))
     return Z.other_zones(z).join(F.broadcast(counts), "other").select("zone_id", "other", "buildings_there")
+
+
+SIXTH = ("Z6", "Sixth", -33.48, -33.45, -70.70, -70.66)
+SIX = """zs as (select zone_id, area_km2 from zones union all
+  select 'Z6', abs((-33.45::double + 33.48) * 111.32 * (-70.66::double + 70.70) * 111.32 * cos(radians((-33.48::double - 33.45) / 2))))"""
+
+
+@query("agg03_density_with_a_sixth_zone", f"""
+with {SIX} select z.zone_id, count(b.zone_id) as count, round(any_value(area_km2), 6) as area_km2, round(count(b.zone_id) / any_value(area_km2), 6) as density_per_km2
+from zs z left join buildings b on b.zone_id = z.zone_id and confidence >= 0.36::double group by z.zone_id""", ZB)
+def _(spark, d):
+    """Zones come from the given table, also one that no fixed list knows."""
+    out = Z.density(buildings(spark, d), Z.zone_dimension(spark, [SIXTH]), FLOOR)
+    return rounded(out, 6, "area_km2", "density_per_km2").drop("confidence_min")

@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -37,6 +38,15 @@ def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a dimension up to which it is broadcast. They are counted first; larger ones are joined by shuffle.
+MOST_BROADCAST_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """The table, marked for broadcast if it really has few rows."""
+    return F.broadcast(df) if df.limit(MOST_BROADCAST_ROWS + 1).count() <= MOST_BROADCAST_ROWS else df
+
+
 def build_session(app: str = "zonetally", master: str | None = None, partitions: int | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Session as the operators expect it: UTC, AQE with skew handling."""
