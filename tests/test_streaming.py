@@ -12,7 +12,7 @@ from zonetally.operators import kpis as K
 from zonetally.operators import retries as RT
 from zonetally.plans.stream_queries import ATTEMPT, DOCUMENT, REQUEST
 from zonetally.sources.readers import file_stream, parse_json
-from zonetally.sources.writers import compact, read_latest
+from zonetally.sources.writers import compact, kpi_documents, read_latest, write_version
 from zonetally.streaming import jobs as J
 from zonetally.streaming import stateful as ST
 
@@ -53,7 +53,7 @@ def kpis(spark, tmp_path):
 
 def batch_kpis(spark, records):
     df = spark.createDataFrame([tuple(r.values()) for r in records], schemas.METRIC_RECORD).withColumn("event_time", C.event_time())
-    out = K.window_kpis(df).withColumn("doc_id", C.window_doc_id("window_start", "window_end"))
+    out = kpi_documents(K.window_kpis(df))
     return {r["doc_id"]: tuple(r)[:-1] for r in out.collect()}
 
 
@@ -104,10 +104,10 @@ def test_compacted_table_reads_the_same(spark, topic, tmp_path):
         topic.add([record(float(t)) for t in range(0, 100, 9)])
         run(stream, write, tmp_path)
     before = kpis(spark, tmp_path)
-    compact(spark, str(tmp_path / "out"), "doc_id", DOCUMENT, str(tmp_path / "compacted"), 99)
+    compact(spark, str(tmp_path / "out"), "doc_id", DOCUMENT, str(tmp_path / "compacted"))
     rows = spark.read.parquet(str(tmp_path / "compacted"))
     assert rows.count() == len(before)
-    assert {r["doc_id"]: r["events_in_window"] for r in rows.collect()} == {k: v[2] for k, v in before.items()}
+    assert {r["doc_id"]: r["throughput_per_min"] for r in rows.collect()} == {k: v[2] for k, v in before.items()}
 
 
 def test_history_over_several_batches(spark, topic, tmp_path):
@@ -157,3 +157,26 @@ def test_progress_reports(spark):
     df = spark.createDataFrame([(json.dumps(report),)], "value string")
     got = {(r["topic"], r["part"], r["high_offset"], r["committed_offset"]) for r in J.progress_offsets(df).collect()}
     assert got == {("main", 0, 9, 5), ("main", 1, 7, 7), ("retry", 0, 4, 1)}
+
+
+def test_new_checkpoint_wins_over_old_batches(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
+    rows = lambda n, *keys: spark.createDataFrame([(k, n) for k in keys], schema)
+    out = str(tmp_path / "t")
+    write_version(rows(1, "a", "b", None), 5, out, run=100)
+    write_version(rows(2, "a", None), 0, out, run=101)
+    write_version(rows(2, "a", None), 0, out, run=101)
+    assert {tuple(r) for r in read_latest(spark, out, "k", schema).collect()} == {("a", 2), ("b", 1), (None, 2)}
+    compact(spark, out, "k", schema, str(tmp_path / "c"))
+    assert {tuple(r) for r in read_latest(spark, str(tmp_path / "c"), "k", schema).collect()} == {("a", 2), ("b", 1), (None, 2)}
+
+
+def test_kpi_program(spark, topic, tmp_path):
+    from zonetally.streaming import main
+
+    records = [record(float(t)) for t in range(0, 300, 7)]
+    topic.add(records)
+    main.main(["--files", str(topic.path), "--out", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "state"), "--until-empty",
+               "--compact-to", str(tmp_path / "c")])
+    assert kpis(spark, tmp_path) == batch_kpis(spark, records)
+    assert spark.read.parquet(str(tmp_path / "c")).count() == len(kpis(spark, tmp_path))

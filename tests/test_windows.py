@@ -115,6 +115,13 @@ def test_reuse_chain_matches_walk(spark, batch):
         assert [got[r[0]] for r in mine] == chain(us, 10_000_000), key
 
 
+def test_requests_without_key_or_time_are_no_hits(spark):
+    rows = [(1, "a", 0.0), (2, None, 1.0), (3, "a", None), (4, None, None), (5, "a", 1.0), (6, "a", 0.0)]
+    df = spark.createDataFrame(rows, "request_id bigint, cache_key string, at double")
+    got = {r["request_id"]: r["cache"] for r in ttl.hit_or_miss(df, "at", F.lit(10), "request_id").collect()}
+    assert got == {1: "MISS", 2: None, 3: None, 4: None, 5: "HIT", 6: "HIT"}
+
+
 # ---- backlog ------------------------------------------------------------------
 
 def peak_and_recovery(points):

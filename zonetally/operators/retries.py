@@ -30,6 +30,19 @@ def route(attempts: DataFrame, max_retries: int = D.MAX_RETRIES) -> DataFrame:
     return attempts.select("*", *[c.alias(k) for k, c in cols.items()])
 
 
+def messages_to_repeat(attempts: DataFrame, key: Column | str = "key", topics: dict[str, str] | None = None,
+                       max_retries: int = D.MAX_RETRIES) -> DataFrame:
+    """(key, value, topic) of the failed attempts: the message as JSON with the raised count, for the retry topic or,
+    after its last try, for the dead letters."""
+    topics = topics or {"retry": "retry", "dead_letter": "dead_letter"}
+    key = F.col(key) if isinstance(key, str) else key
+    routed = route(attempts, max_retries).where(~F.col("ok"))
+    topic = F.coalesce(*[F.when(F.col("target") == t, F.lit(name)) for t, name in topics.items()])
+    message = F.struct(*[F.col(c) for c in attempts.columns if c not in ("ok", "retry_count")],
+                       F.col("retry_count_after").alias("retry_count"))
+    return routed.select(key.cast("string").alias("key"), F.to_json(message).alias("value"), topic.alias("topic"))
+
+
 def message_history(attempts: DataFrame, max_retries: int = D.MAX_RETRIES, also_by: list[Column] | None = None) -> DataFrame:
     """Final state of each message from its numbered attempts (1, 2, ...).
 

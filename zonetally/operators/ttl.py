@@ -142,7 +142,7 @@ def store_times(requests: DataFrame, seconds: str, ttl_seconds: Column) -> DataF
     times = times.withColumn("chunk", F.floor(F.col("us") / (F.col("ttl_us") * CHUNK_TTLS)))
     # the join below asks for this; said here, both readers of `placed` share one shuffle
     times = times.where(F.col("cache_key").isNotNull() & F.col("chunk").isNotNull())
-    placed = times.repartition("cache_key", "chunk")
+    placed = times.repartition("cache_key", "chunk").distinct()  # equal times count once; no further shuffle
     steps = placed.sortWithinPartitions("cache_key", "chunk", "us").mapInPandas(
         _summarise, "cache_key string, chunk bigint, entry_us bigint, exit_us bigint")
     starts = (
@@ -157,13 +157,15 @@ def store_times(requests: DataFrame, seconds: str, ttl_seconds: Column) -> DataF
 
 
 def hit_or_miss(requests: DataFrame, seconds: str, ttl_seconds: Column, tie: str) -> DataFrame:
-    """Adds `cache`. Of several requests at one store time, the lowest `tie` is the miss."""
+    """Adds `cache`. Of several requests at one store time, the lowest `tie` is the miss. Without a key, a time or a
+    time-to-live a request is neither: its `cache` is null."""
     stores = store_times(requests, seconds, ttl_seconds).withColumn("_store", F.lit(True))
     same_time = Window.partitionBy("cache_key", "stored_us").orderBy(tie)
     return (
         requests.withColumn("stored_us", F.round(F.col(seconds) * 1e6).cast("bigint"))
+        .withColumn("_usable", F.col("cache_key").isNotNull() & F.col("stored_us").isNotNull() & ttl_seconds.isNotNull())
         .join(stores, ["cache_key", "stored_us"], "left")
         .withColumn("_first", F.row_number().over(same_time) == 1)
-        .withColumn("cache", F.when(F.col("_store") & F.col("_first"), "MISS").otherwise("HIT"))
-        .drop("stored_us", "_store", "_first")
+        .withColumn("cache", F.when(F.col("_usable"), F.when(F.col("_store") & F.col("_first"), "MISS").otherwise("HIT")))
+        .drop("stored_us", "_store", "_first", "_usable")
     )

@@ -21,13 +21,14 @@ from zonetally.plans.registry import query, rounded
 from zonetally.plans.request_queries import TTL, _long_ttl
 from zonetally.session import scratch_path
 from zonetally.sources.readers import file_stream, parse_json, together
-from zonetally.sources.writers import kpi_documents, read_latest, topic_records, write_topic_files, write_version
+from zonetally.sources.writers import kpi_documents, read_latest, topic_records, topic_sink, write_topic_files, write_version
 from zonetally.streaming import jobs as J
 from zonetally.streaming import stateful as ST
 
 E, RQ, A = ("query_events",), ("requests",), ("attempts",)
 READABLE = WINDOWS.replace("where event = 'processed'", "where event = 'processed' and event_id % 97 <> 0")
-DOCUMENT = T.StructType([*schemas.WINDOW_KPI.fields, T.StructField("doc_id", T.StringType())])
+DOCUMENT = schemas.KPI_DOCUMENT
+INNER_NAMES = {published: name for name, published in schemas.KPI_NAMES.items()}
 HOUR = {"length": "1 hour", "slide": "30 minutes"}
 
 
@@ -46,7 +47,7 @@ def _json(df):
 
 
 def _latest_kpis(spark, out):
-    return iso_windows(read_latest(spark, out, "doc_id", DOCUMENT).drop("doc_id"))
+    return iso_windows(read_latest(spark, out, "doc_id", DOCUMENT).drop("doc_id").withColumnsRenamed(INNER_NAMES))
 
 
 def _kpis_of(spark, stream, delay):
@@ -91,19 +92,19 @@ def _(spark, d):
 
 @query("snk02_keyed_upsert", WINDOWS + WINDOW_ROWS, E)
 def _(spark, d):
-    """A first version of the windows, a second one that replaces it, and a replay of the second."""
+    """A first run with a high batch number, then a later run that counts from 0 again and replays a batch."""
     out = scratch_path(spark, "upsert")
     full = K.window_kpis(K.metric_records(query_events(spark, d)).withColumn("event_time", C.event_time()), **HOUR)
-    write_version(kpi_documents(full.withColumn("hit_rate", F.lit(0.0))), 0, out)
+    write_version(kpi_documents(full.withColumn("hit_rate", F.lit(0.0))), 5, out, run=1)
     for _attempt in range(2):
-        write_version(kpi_documents(full), 1, out)
+        write_version(kpi_documents(full), 0, out, run=2)
     return _latest_kpis(spark, out)
 
 
 @query("snk03_kpi_contract", WINDOWS + "select strftime(w, '%Y-%m-%dT%H-%M-%S') || '_' || strftime(w + interval 1 hour, '%Y-%m-%dT%H-%M-%S') as doc_id from win group by w", E)
 def _(spark, d):
     full = K.window_kpis(K.metric_records(query_events(spark, d)).withColumn("event_time", C.event_time()), **HOUR)
-    return kpi_documents(full).select("doc_id")
+    return schemas.require_schema(kpi_documents(full), schemas.KPI_DOCUMENT).select("doc_id")
 
 
 @query("str01_watermarked_kpis", READABLE + WINDOW_ROWS, E)
@@ -150,12 +151,12 @@ def _(spark, d):
     return _latest_kpis(spark, out)
 
 
-@query("str05_micro_batch_upsert", READABLE + "select strftime(w, '%Y-%m-%dT%H-%M-%S') || '_' || strftime(w + interval 1 hour, '%Y-%m-%dT%H-%M-%S') as doc_id, count(*) as events_in_window from win group by w", E)
+@query("str05_micro_batch_upsert", READABLE + "select strftime(w, '%Y-%m-%dT%H-%M-%S') || '_' || strftime(w + interval 1 hour, '%Y-%m-%dT%H-%M-%S') as doc_id, count(*) as throughput_per_min from win group by w", E)
 def _(spark, d):
     out = scratch_path(spark, "kpis")
     stream = J.kpi_stream(file_stream(spark, _in_two_files(spark, payloads(spark, d)), files_per_batch=1), "40 days", **HOUR)
     _run(stream, J.upsert_kpis(out), scratch_path(spark, "state"))
-    return read_latest(spark, out, "doc_id", DOCUMENT).select("doc_id", "events_in_window")
+    return read_latest(spark, out, "doc_id", DOCUMENT).select("doc_id", "throughput_per_min")
 
 
 ATTEMPT = T.StructType([
@@ -240,3 +241,30 @@ def _(spark, d):
     out = scratch_path(spark, "answers")
     _run(ST.hit_or_miss_stream(stream), J.upsert(out), scratch_path(spark, "state"), "append")
     return spark.read.schema(ST.REUSE_OUT).parquet(out).select("request_id", "cache_key", "cache")
+
+
+MESSAGE = T.StructType([T.StructField("uuid", T.StringType()), T.StructField("retry_count", T.LongType())])
+
+
+@query("str12_failed_messages_come_back", HISTORY + "select uuid, state, attempts from hist where state <> 'pending'", A)
+def _(spark, d):
+    """Messages go out on the main topic; failed ones return from the retry topic with a raised count, till they succeed or
+    end as dead letters. Whether a try succeeds is looked up in the attempts; messages without a further one stay pending."""
+    tries = attempts(spark, d).select("uuid", (F.col("attempt") - 1).alias("retry_count"), "ok")
+    topics, out, state = (scratch_path(spark, n) for n in ("topics", "routed", "state"))
+    first = tries.where("retry_count = 0").select("uuid", "retry_count")
+    topic_sink(path=topics)(topic_records(first, "main", F.col("uuid")), 0)
+    for n, topic in enumerate(("main", "retry", "retry")):
+        lines = file_stream(spark, f"{topics}/topic={topic}", topic)
+        messages = parse_json(lines.select(F.get_json_object("value", "$.value").alias("value")), MESSAGE)
+        tried = messages.where(F.col("retry_count") == n).join(tries, ["uuid", "retry_count"]).withColumns(
+            {"key": F.col("uuid"), "attempt": F.col("retry_count") + 1})
+        # sink batches of the rounds have numbers of their own
+        sink = topic_sink(path=topics)
+        handle = J.handle_messages(f"{out}/round={n}", lambda records, batch_id, n=n: sink(records, 1000 * (n + 1) + batch_id))
+        _run(tried, handle, f"{state}-{n}", "append")
+    done = spark.read.schema("uuid string, attempt bigint, target string").option("recursiveFileLookup", "false").parquet(*[
+        f"{out}/round={n}" for n in range(3)])
+    last = done.where("target in ('metrics', 'dead_letter')")
+    state_of = F.when(F.col("target") == "dead_letter", "dead_letter").when(F.col("attempt") == 1, "ok").otherwise("recovered")
+    return last.select("uuid", state_of.alias("state"), F.col("attempt").cast("int").alias("attempts"))

@@ -28,6 +28,11 @@ WINDOW_KPI = _struct(
     window_start=TIME, window_end=TIME, events_in_window=LONG, p50_ms=DOUBLE, p95_ms=DOUBLE,
     hit_rate=DOUBLE, retried_share=DOUBLE)
 
+# As the table of windows is published, with its document id.
+KPI_NAMES = {"events_in_window": "throughput_per_min", "retried_share": "retry_rate"}
+KPI_DOCUMENT = T.StructType([
+    *[T.StructField(KPI_NAMES.get(f.name, f.name), f.dataType) for f in WINDOW_KPI.fields], T.StructField("doc_id", TEXT)])
+
 PERCENTILES = _struct(p50=DOUBLE, p95=DOUBLE, p99=DOUBLE)
 BY_QUERY = _struct(
     hits=LONG, misses=LONG, total=LONG, hit_rate=DOUBLE, p50_ms=DOUBLE, p95_ms=DOUBLE, p99_ms=DOUBLE)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,31 +30,56 @@ def write_topic_files(records: DataFrame, path: str, mode: str = "append") -> No
 
 
 def kpi_documents(kpis: DataFrame) -> DataFrame:
-    """Windowed KPIs checked against their declared schema, with their document id."""
+    """Windowed KPIs checked against their declared schema, with the published names and their document id."""
     checked = schemas.require_schema(kpis, schemas.WINDOW_KPI)
-    return checked.withColumn("doc_id", C.window_doc_id("window_start", "window_end"))
+    return checked.withColumn("doc_id", C.window_doc_id("window_start", "window_end")).withColumnsRenamed(schemas.KPI_NAMES)
+
+
+def version_of(run: int, batch_id: int) -> int:
+    """Number of a version: that of a later run, or of a later batch of one run, is larger. `run` is the time of its start in ms."""
+    return (int(run) << 22) + int(batch_id)
+
+
+def this_run() -> int:
+    return time.time_ns() // 1_000_000
 
 
-def write_version(df: DataFrame, batch_id: int, path: str) -> None:
-    """Rows of one micro-batch as version `batch_id`.
+def write_version(df: DataFrame, batch_id: int, path: str, run: int = 0) -> None:
+    """Rows of one micro-batch as a version of their keys.
 
-    A replayed batch overwrites its own folder, and a failed write fails the
-    batch; readers take the newest version of each key.
+    A batch replayed in the same run overwrites its own folder; a run that starts
+    later, also one whose batches count from 0 again, writes newer versions. A
+    failed write fails the batch; readers take the newest version of each key.
     """
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+    df.write.mode("overwrite").parquet(f"{path}/version={version_of(run, batch_id)}")
 
 
 def read_latest(spark: SparkSession, path: str, key: str, schema: T.StructType) -> DataFrame:
-    """Newest version of each key."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    rows = spark.read.schema(with_batch).parquet(path)
-    kept = F.max_by(F.struct(*[f.name for f in schema.fields if f.name != key]), "batch_id")
-    return rows.groupBy(key).agg(kept.alias("d")).select(key, "d.*").select(*schema.names)
+    """Newest version of each key. Keys and version numbers find it; the rows are then picked, not sorted."""
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType())])).parquet(path)
+    newest = rows.groupBy(F.col(key).alias("_key")).agg(F.max("version").alias("_newest"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("version") == F.col("_newest"))
+    return rows.join(newest, same).select(*schema.names)
+
+
+def compact(spark: SparkSession, path: str, key: str, schema: T.StructType, target: str, run: int | None = None) -> None:
+    """Writes the newest versions as the first version of a new table, for a later switch of readers and writers.
+
+    Versions written to it afterwards by runs that start later replace these.
+    """
+    write_version(read_latest(spark, path, key, schema), 0, target, this_run() if run is None else run)
+
 
+def topic_sink(servers: str | None = None, path: str | None = None):
+    """Writer of (key, value, topic) batches: to Kafka, or to a folder per topic, in which a replayed batch replaces itself."""
+    def write(records: DataFrame, batch_id: int) -> None:
+        if servers is not None:
+            write_topics(records, servers)
+        else:
+            numbered = records.withColumn("batch", F.lit(int(batch_id)))
+            numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch").json(path)
 
-def compact(spark: SparkSession, path: str, key: str, schema: T.StructType, target: str, batch_id: int) -> None:
-    """Writes the newest versions as one batch of a new table, for a later switch of readers."""
-    write_version(read_latest(spark, path, key, schema), batch_id, target)
+    return write
 
 
 def save_snapshots(documents: DataFrame, path: str) -> None:

@@ -13,7 +13,7 @@ from zonetally.functions import columns as C
 from zonetally.operators import kpis as K
 from zonetally.operators import retries as R
 from zonetally.sources.readers import parse_json
-from zonetally.sources.writers import kpi_documents, write_version
+from zonetally.sources.writers import kpi_documents, this_run, write_version
 
 TRIGGER = {"processingTime": "10 seconds"}
 UNTIL_EMPTY = {"availableNow": True}
@@ -38,13 +38,15 @@ def start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint
     )
 
 
-def upsert_kpis(path: str) -> Callable[[DataFrame, int], None]:
-    """Keyed upsert of KPI documents: a replayed batch replaces its own rows only."""
-    return lambda batch, batch_id: write_version(kpi_documents(batch), batch_id, path)
+def upsert_kpis(path: str, run: int | None = None) -> Callable[[DataFrame, int], None]:
+    """Keyed upsert of KPI documents: a replayed batch replaces its own rows only. A new writer is a new run."""
+    run = this_run() if run is None else run
+    return lambda batch, batch_id: write_version(kpi_documents(batch), batch_id, path, run)
 
 
-def upsert(path: str) -> Callable[[DataFrame, int], None]:
-    return lambda batch, batch_id: write_version(batch, batch_id, path)
+def upsert(path: str, run: int | None = None) -> Callable[[DataFrame, int], None]:
+    run = this_run() if run is None else run
+    return lambda batch, batch_id: write_version(batch, batch_id, path, run)
 
 
 def route_attempts(path: str) -> Callable[[DataFrame, int], None]:
@@ -55,6 +57,23 @@ def route_attempts(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def handle_messages(path: str, publish: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Files every attempt under its target and sends failed messages on: to the retry topic with the raised count, at
+    the end to the dead letters. `publish` is a topic sink."""
+    file_away = route_attempts(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        file_away(batch, batch_id)
+        publish(R.messages_to_repeat(batch), batch_id)
+
+    return write
+
+
+def kpi_job(payloads: DataFrame, path: str, checkpoint: str, trigger: dict = TRIGGER, **windows: str) -> StreamingQuery:
+    """Topic to windowed KPIs to keyed documents, as one running query."""
+    return start(kpi_stream(payloads, **windows), upsert_kpis(path), checkpoint, trigger)
+
+
 def message_history_stream(attempts: DataFrame, keep: str = "1 day") -> DataFrame:
     """State of each message after every micro-batch that touched it (update mode).
 

@@ -41,8 +41,12 @@ def hit_or_miss_stream(requests: DataFrame, delay: str = "2 minutes") -> DataFra
     """HIT or MISS per request (append mode); needs request_id, cache_key, us and ttl_us.
 
     A stored answer is forgotten once the watermark passes its end, which no later
-    request could have used.
+    request could have used. Batches must come in the order of time: a request that
+    is earlier than one of an earlier batch is judged by the state that one left,
+    and one beyond the watermark is dropped by it. Requests without a key or a time are
+    left out; `hit_or_miss` labels them null.
     """
+    requests = requests.where("cache_key is not null and us is not null and ttl_us is not null")
     timed = requests.withColumn("event_time", F.timestamp_micros("us")).withWatermark("event_time", delay)
     return timed.groupBy("cache_key").applyInPandasWithState(
         _reuse, REUSE_OUT, REUSE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
