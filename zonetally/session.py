@@ -67,13 +67,19 @@ def build_session(app: str = "zonetally", master: str | None = None, partitions:
     return builder.getOrCreate()
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """What the operators need from a session that somebody else built.
 
     Times are read in UTC. The package is shipped to the executors, since a few
-    operators run its Python code in tasks.
+    operators run its Python code in tasks. Batches for that code have fewer rows
+    than by default, since rows can hold long texts; another setting is left as it is.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "1000")
     _ship_package(spark)
     return spark
 
