@@ -27,3 +27,11 @@ def test_columns_and_rows(spark, name):
         assert n == spark.read.parquet(f"{sf}/pages.parquet").count()
     elif not name.startswith(("op8", "op10")):
         assert n == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+@pytest.mark.parametrize("name", sorted(entry.LLM_SQL))
+def test_same_rows_as_sql(spark, name):
+    from compare import check, connect
+
+    sf = "/root/testdata/sf0.001"
+    assert check(entry.queries()[name](spark, sf), connect(sf), entry.LLM_SQL[name]) == ""

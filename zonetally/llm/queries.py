@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonetally.llm import decontamination, near_duplicates, packing, personal_data, preference, repeats, sharding, substrings, token_files, wrappers
+from zonetally.llm import decontamination, near_duplicates, packing, personal_data, preference, repeats, sharding, sql, substrings, token_files, wrappers
 from zonetally.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,7 +51,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.judge(_table(spark, sf_dir, "documents"))
+    return repeats.judge(_table(spark, sf_dir, "documents")).drop("longest_repeat")
 
 
 @_query
@@ -94,3 +94,10 @@ def op6_preference_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     scored = preference.score(docs, preference.learn(docs, labels.where(~held_out)))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= preference.CUT).cast("int").alias("predicted"))
+
+
+ORACLE_SQL |= {
+    "op3_near_duplicates": sql.near_duplicates(),
+    "op5_repetition": sql.repetition(repeats.LEAST, repeats.MOST_COVERED, repeats.LONGEST),
+    "op7_substring_dedup": sql.substring_dedup(substrings.WIDTH),
+}
