@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from zonetally.functions import domains as D
 from zonetally.functions.columns import path_or
 from zonetally.operators.kpis import run_summary, type_block
+from zonetally.operators.percentiles import same_group
 
 PERCENTILE_NAMES = ("p50", "p95", "p99")
 
@@ -20,14 +21,34 @@ def _by_query() -> Column:
     return F.expr("map({})".format(", ".join(f"'{q}', {type_block(q)}" for q in D.QUERY_TYPES)))
 
 
-def documents(facts: DataFrame, queue: DataFrame | None, group: str, extra: dict[str, str] | None = None) -> DataFrame:
-    """One nested document per run from its facts and its queue health."""
+def newest_eviction(rates: DataFrame, group: str, seconds: str) -> DataFrame:
+    """(group, total_evicted, rate_per_min) at each run's last poll; `rates` as `counter_rate` gives them, a row per poll."""
+    last = rates.groupBy(F.col(group).alias("_group")).agg(F.max(seconds).alias("_last"))
+    at_last = rates[group].eqNullSafe(F.col("_group")) & (F.col(seconds) == F.col("_last"))
+    return rates.join(last, at_last).select(group, F.col("evicted").cast("bigint").alias("total_evicted"), "rate_per_min")
+
+
+def documents(facts: DataFrame, queue: DataFrame | None, group: str, extra: dict[str, str] | None = None,
+              eviction: DataFrame | None = None, lags: DataFrame | None = None) -> DataFrame:
+    """One nested document per run from its facts, its queue health, its evictions and its lag by topic.
+
+    `eviction` has total_evicted and rate_per_min, `lags` a row per topic with its `lag`.
+    """
     joined = run_summary(facts, group, _by_query().alias("by_query"))
-    health = F.lit(None).cast("struct<backlog_total:bigint,peak_backlog:bigint,recovery_time_sec:double,draining:boolean>")
+    health = F.lit(None).cast("struct<backlog_by_topic:map<string,bigint>,backlog_total:bigint,peak_backlog:bigint,recovery_time_sec:double,draining:boolean>")
+    by_topic = F.lit(None).cast("map<string,bigint>")
+    if lags is not None:
+        entries = F.map_from_entries(F.collect_list(F.struct("topic", F.col("lag").cast("bigint"))))  # a handful of topics
+        joined = same_group(joined, lags.groupBy(group).agg(entries.alias("_topics")), [group], "left")
+        by_topic = F.col("_topics")
     if queue is not None:
         block = F.struct("backlog_total", F.col("peak_backlog").cast("bigint").alias("peak_backlog"), "recovery_time_sec", "draining")
-        joined = joined.join(queue.select(group, block.alias("_queue")), group, "left")
-        health = F.col("_queue")
+        joined = same_group(joined, queue.select(group, block.alias("_queue")), [group], "left")
+        health = F.when(F.col("_queue").isNotNull(), F.struct(by_topic.alias("backlog_by_topic"), "_queue.*"))
+    evicted = F.lit(None).cast("struct<total_evicted:bigint,rate_per_min:double>")
+    if eviction is not None:
+        joined = same_group(joined, eviction.select(group, F.struct("total_evicted", "rate_per_min").alias("_eviction")), [group], "left")
+        evicted = F.col("_eviction")
     entries = [F.lit(v) for pair in (extra or {}).items() for v in pair]
     extras = F.create_map(*entries) if entries else F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     return joined.select(
@@ -43,7 +64,7 @@ def documents(facts: DataFrame, queue: DataFrame | None, group: str, extra: dict
             "throughput_processed_qps_total", "throughput_processed_qps_recent_10s",
             _percentiles("e2e").alias("latency_e2e_ms"), "retry_rate", "recovery_rate", "dlq_rate",
         ).alias("async_kpis"),
-        health.alias("queue_health"), "by_query", extras.alias("extra"), "snapshot_ts",
+        evicted.alias("eviction"), health.alias("queue_health"), "by_query", extras.alias("extra"), "snapshot_ts",
     )
 
 

@@ -360,11 +360,11 @@ def _(spark, d):
     return newest_overall(query_events(spark, d), "ts", "event_id", 200).select("event_id", "cache")
 
 
-def evictions(spark, d):
-    """Daily polls of a counter that only grows, per worker."""
+def evictions(spark, d, by="worker"):
+    """Daily polls of a counter that only grows, per worker (or run)."""
     e = query_events(spark, d).where(F.col("event") == "miss")
-    daily = e.groupBy("worker", (F.floor(F.col("ts") / 86400.0) * 86400.0).cast("double").alias("poll_sec")).agg(F.count(F.lit(1)).alias("_n"))
-    return prefix.running_sum(daily, ["worker"], ["poll_sec"], prefix.time_chunk("poll_sec", 604800.0), F.col("_n"), "evicted").drop("_n")
+    daily = e.groupBy(by, (F.floor(F.col("ts") / 86400.0) * 86400.0).cast("double").alias("poll_sec")).agg(F.count(F.lit(1)).alias("_n"))
+    return prefix.running_sum(daily, [by], ["poll_sec"], prefix.time_chunk("poll_sec", 604800.0), F.col("_n"), "evicted").drop("_n")
 
 
 @query("win03_counter_rate", """

@@ -10,7 +10,7 @@ from zonetally.operators import backlog as B
 from zonetally.operators import kpis as K
 from zonetally.operators import reports as R
 from zonetally.plans.fixtures import query_events, runs, spans
-from zonetally.plans.kpi_queries import RUNS, by_query_sql, events, summary_sql
+from zonetally.plans.kpi_queries import RUNS, by_query_sql, events, evictions, summary_sql
 from zonetally.plans.queue_queries import recovery_sql
 from zonetally.plans.registry import query, rounded
 from zonetally.session import scratch_path
@@ -61,6 +61,28 @@ def _(spark, d):
         F.element_at("by_query", "Q1")["total"].alias("q1_total"), F.size("by_query").cast("bigint").alias("types"))
 
 
+@query("jn07_documents_with_evictions", """
+with e as (select scenario, floor(ts / 86400) * 86400 as poll, count(*) as n from query_events where event = 'miss' group by 1, 2),
+p as (select scenario, poll, (sum(n) over w)::bigint as total, n, lag(poll) over w as before from e window w as (partition by scenario order by poll)),
+q as (select *, row_number() over (partition by scenario order by poll desc) as rn from p),
+t as (select scenario, case when retry_count > 1 then 'retry' else 'main' end as topic, count(*) as lag from query_events where event = 'retry' group by 1, 2)
+select scenario as label, total as total_evicted, round(n * 60::double / (poll - before), 2) as rate_per_min,
+  (select max(lag) from t where t.scenario = q.scenario and topic = 'main') as main_lag, (select max(lag) from t where t.scenario = q.scenario and topic = 'retry') as retry_lag
+from q where rn = 1""", E)
+def _(spark, d):
+    """Eviction counters and waiting messages by topic as parts of the documents."""
+    polled = K.counter_rate(evictions(spark, d, "scenario"), "scenario", "poll_sec", "evicted", "rate_per_min", 604800.0)
+    waiting = query_events(spark, d).where(F.col("event") == "retry").groupBy(
+        "scenario", F.when(F.col("retry_count") > 1, "retry").otherwise("main").alias("topic")).agg(F.count(F.lit(1)).alias("lag"))
+    work = spans(spark, d, seconds_per_value=6)
+    queue = B.recovery(B.in_flight(work, "scenario", "start_sec", "end_sec"), "scenario")
+    facts = K.run_facts(events(spark, d), "scenario", runs=D.SCENARIOS)
+    docs = R.documents(facts, queue, "scenario", eviction=R.newest_eviction(polled, "scenario", "poll_sec"), lags=waiting)
+    topics = F.col("queue_health.backlog_by_topic")
+    return docs.select("label", "eviction.total_evicted", "eviction.rate_per_min",
+                       topics["main"].alias("main_lag"), topics["retry"].alias("retry_lag"))
+
+
 @query("prj12_nested_paths", SCENARIO + """
 select label, coalesce(hit_rate, 0) as hit_rate, coalesce(e2e_p50, 0) as e2e_p50, coalesce(recovery_time_sec, 0) as recovery_time_sec,
   coalesce(peak_backlog, 0) as peak_backlog from doc""", ES)
