@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries a memo of a Python worker holds before it starts anew; it bounds memory, never results.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 200_000
 #: Words handled by one round of vector operations, unless one text alone has more.
 CHUNK_WORDS = 60_000
 
