@@ -11,28 +11,32 @@ from pyspark.sql import functions as F
 
 from zonetally.llm import decontamination, near_duplicates, packing, personal_data, repeats
 from zonetally.llm.text import without
-from zonetally.session import scratch_path, store
+from zonetally.session import prepare, scratch_path, store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that are short or repeat themselves."""
+    prepare(spark)
     return repeats.passing(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near-duplicates."""
+    prepare(spark)
     groups = near_duplicates.group(docs)
     return without(docs, store(spark, groups.where(~F.col("kept")).select("doc_id"), "dropped"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that quote a benchmark item."""
+    prepare(spark)
     found = decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return without(docs, store(spark, found.select("doc_id"), "dropped"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts the kind of data in the place of each span; n_chars follows the new text."""
+    prepare(spark)
     found = personal_data.find(docs)
     text = personal_data.masked(F.col("text"), F.col("spans"))
     rows = found.withColumn("text", text)
@@ -45,6 +49,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Pieces of documents and their places in sequences of 2048 tokens."""
     import public_tokenizers
 
+    prepare(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
