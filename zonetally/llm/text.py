@@ -20,6 +20,16 @@ MEMO_ENTRIES = 200_000
 CHUNK_WORDS = 60_000
 
 
+#: What frees the memory that other operators' tasks left in this worker for their next ones.
+AT_OTHER_WORK: list[Callable[[], None]] = []
+
+
+def forget() -> None:
+    """To be called as a task begins: workers go from one operator to the next, and memos would add up."""
+    for free in AT_OTHER_WORK:
+        free()
+
+
 class WordHashes(dict):
     """64-bit hash by word, computed when first asked for."""
 
@@ -92,6 +102,7 @@ def texts_only(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 def map_texts(docs: DataFrame, fn: Callable[[list, list[bytes]], pa.RecordBatch], schema: str) -> DataFrame:
     """fn over (keys, texts) of every Arrow batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch.column(0).to_pylist(), batch.column(1).to_pylist())

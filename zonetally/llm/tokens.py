@@ -17,6 +17,8 @@ import re
 
 import numpy as np
 
+from zonetally.llm.text import AT_OTHER_WORK
+
 #: White space as the tokenizer files see it: the Unicode property, without the separators 0x1C-0x1F.
 _RUN_AND_WORD = re.compile(r"[^\S\x1c-\x1f]*(?:[^\s]|[\x1c-\x1f])+|[^\S\x1c-\x1f]+")
 _MARK = re.compile(rb"[.,](?<=[A-Za-z].)(?=[ \t-\r]|\Z)")
@@ -114,6 +116,7 @@ class Encoder:
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
+AT_OTHER_WORK.append(_encoders.clear)
 
 
 def encoder(path: str, keeps_space: bool) -> Encoder:
