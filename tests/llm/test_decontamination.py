@@ -43,6 +43,32 @@ def test_copies_and_edits_are_found(spark):
     assert dc.contaminated(documents(spark, rows), benchmark.limit(0)).count() == 0
 
 
+def edited(words, every, kind):
+    out = []
+    for k, word in enumerate(words):
+        change = k % every == every - 1
+        if not (change and kind == "drop"):
+            out.append(f"new{k}" if change and kind == "change" else word)
+        if change and kind == "insert":
+            out.append(f"new{k}")
+    return out
+
+
+def test_edited_copies_against_brute_force(spark):
+    items = {k: prose(700 + k, n).split() for k, n in enumerate([12, 15, 12, 23, 31, 40, 9, 18])}
+    near = [(k, "change", 5) for k in items] + [(k, kind, every) for k in items for kind in ("change", "drop", "insert") for every in (4, 6, 7)]
+    docs = {n: [*prose(2 * n, 9).split(), *edited(items[k], every, kind), *prose(2 * n + 1, 9).split()] for n, (k, kind, every) in enumerate(near)}
+    docs[900] = [*prose(900, 5).split(), *items[0][:5], "another", *items[0][6:]]
+    docs[901] = ["changed" if k in (4, 9) else word for k, word in enumerate(items[1])]
+    docs[902] = [*items[5][:20], *prose(902, 30).split(), *items[5][20:]]  # many words let into the middle
+    want = {(d, k): score / (2 * len(item)) for d, words in docs.items() for k, item in items.items()
+            if (score := by_hand(item, words)) >= len(item)}
+    got = dc.contaminated(documents(spark, [(d, " ".join(words)) for d, words in docs.items()]),
+                          spark.createDataFrame([(k, " ".join(item)) for k, item in items.items()], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): r.score for r in got.collect()} == want
+    assert want[900, 0] == 0.875 and want[901, 1] == 0.8 and want[902, 5] == 0.625 and len(want) >= len(near)
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     items = [(k, prose(400 + k, 25)) for k in range(8)]
     docs = documents(spark, [(k, f"{prose(k, 20)} {t}") for k, t in items])

@@ -1,18 +1,22 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. One pass over all documents reports where they hold a GRAM-word sequence of
-   a benchmark item; grams are counted over all documents.
-2. Of every SPREAD consecutive grams of an item, the one in the fewest documents
-   is a seed. Rarity is relative to the item, so an item that very many
-   documents quote keeps its seeds, and any stretch of an item with
-   SPREAD + GRAM - 1 unchanged words holds one.
-3. Documents and items that share a seed are joined. Where two seeds of an item
-   (one, if the item has but one) lie at nearly the same distance as in the item,
-   the passage is aligned with the item: Smith-Waterman over words, +2 for equal
-   words, -1 for others and for gaps. The score is the best alignment's sum as a
-   share of the item's full score; copies with edits, insertions or
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+1. Every GRAM-word sequence of a benchmark item is a seed, whatever other
+   documents hold, and one seed is enough: an edit breaks only the grams that
+   span it, and any three unchanged words in a row still lead to the item.
+2. One pass over the documents looks up their grams in an index of the items and
+   passes over only what can't reach the score: a sum of 2 for each equal word
+   asks for as many equal words, in the document and then around the seeds, as
+   the least score has.
+3. What is left around the seeds is aligned with the item: Smith-Waterman over
+   words, +2 for equal words, -1 for others and for gaps. The passage reaches as
+   far as an alignment of the least score can. The score is the best alignment's
+   sum as a share of the item's full score; copies with edits, insertions or
    omissions lower it gradually.
 
+So every pair is reported whose best alignment reaches the least score and keeps
+GRAM words in a row. Where edits leave no three words together (every third word
+changed: 0.5, for items of some ten words up to 0.63), nothing leads to the item.
+
 Words are runs of ASCII letters, digits and non-ASCII bytes, in lower case. Null and empty texts, on either side, match nothing; items shorter
 than a gram are one gram; rows with a null doc_id are not reported; documents
 or items that share an id are compared each and reported with the best score;
@@ -25,19 +29,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonetally.llm.text import map_texts, mix, ngram_hashes, only, signed, texts_only
-from zonetally.session import store
+from zonetally.llm.text import map_texts, mix, ngram_hashes, texts_only
 
-GRAM, SPREAD = 3, 4
+GRAM = 3
 #: Pairs below this share of the item's full score are not reported.
 LEAST_SCORE = 0.5
-#: Words by which seeds of one passage may shift against each other.
-SHIFT = 8
 #: Bytes of benchmark text searched in one pass over the documents; larger benchmarks take more passes.
 BLOCK_BYTES = 32 << 20
+MATCHES = "doc_id long, item_id long, score double, first_word long, end_word long"
 
 _PLAIN = bytes(k + 32 if 65 <= k <= 90 else k if 97 <= k <= 122 or 48 <= k <= 57 or k >= 128 else 32 for k in range(256))
 
@@ -96,66 +98,91 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
         yield some
 
 
-def hits(docs: DataFrame, wanted: np.ndarray, vocabulary: Vocabulary, widths: set[int]) -> DataFrame:
-    """(doc_id, gram, at) of every gram of the items in every document."""
-    shared = docs.sparkSession.sparkContext.broadcast((wanted, vocabulary))  # a block of the benchmark
-
-    def run(keys: list, texts: list[bytes]) -> pa.RecordBatch:
-        known, words = shared.value
-        ids, found, places = [], [], []
-        for key, text in zip(keys, texts, strict=True):
-            of = words.of(plain_words(text))
-            for width in range(1, GRAM + 1):  # narrower grams are those of items with so few words
-                if width in widths and len(of) >= width:
-                    at = np.flatnonzero(of[:len(of) - width + 1])
-                    at = at[(of[at + width - 1] > 0)]
-                    with np.errstate(over="ignore"):
-                        code = ngram_hashes(mix(of + np.uint64(1)), width, seed=13)[at]
-                    hit = known[np.minimum(np.searchsorted(known, code), len(known) - 1)] == code
-                    ids.append(np.full(int(hit.sum()), key if key is not None else -1))
-                    found.append(code[hit])
-                    places.append(at[hit])
-        join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.empty(0, kind)
-        return pa.RecordBatch.from_arrays([pa.array(join(ids, np.int64)), pa.array(signed(join(found, np.uint64))), pa.array(join(places, np.int32))],
-                                          ["doc_id", "gram", "at"])
-
-    return map_texts(texts_only(docs).where("doc_id is not null"), run, "doc_id long, gram long, at int")
-
-
-def _aligned(rows: DataFrame, block, least: float) -> DataFrame:
-    """rows: doc_id, text, and arrays item, at, item_at of its seeds."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, words = block.value
-        for batch in batches:
-            out: list[tuple] = []
-            for doc, text, seeds in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), batch["seeds"].to_pylist(), strict=True):
-                of = words.of(plain_words(text))
-                by_item: dict[int, list[tuple[int, int]]] = {}
-                for seed in seeds:
-                    by_item.setdefault(seed["k"], []).append((seed["at"] - seed["item_at"], seed["item_at"]))
-                for k, found in by_item.items():
-                    item_id, item, n_seeds = items[k]
-                    found.sort()
-                    cuts = [0, *(j for j in range(1, len(found)) if found[j][0] - found[j - 1][0] > SHIFT), len(found)]
-                    for a, b in zip(cuts, cuts[1:], strict=False):
-                        if len({x[1] for x in found[a:b]}) < min(2, n_seeds):
-                            continue
-                        start, end = max(0, found[a][0] - SHIFT), found[b - 1][0] + len(item) + SHIFT
-                        score, first, last = alignment(item, of[start:end])
-                        if score >= least * 2 * len(item):
-                            out.append((doc, item_id, score / (2 * len(item)), start + first, start + last))
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "item_id", "score", "first_word", "end_word"])
-
-    return rows.mapInArrow(run, "doc_id long, item_id long, score double, first_word long, end_word long")
+class Items:
+    """A block of items: their words, and which of them hold a gram."""
+
+    def __init__(self, block: list[tuple[int, list[bytes]]]):
+        self.vocabulary = Vocabulary()
+        self.ids = [item_id for item_id, _ in block]
+        self.words = [self.vocabulary.number(words) for _, words in block]
+        self.sizes = np.array([len(words) for words in self.words], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.concatenate(self.words)
+        self.widths = sorted({min(GRAM, len(words)) for words in self.words})
+        codes = [np.unique(grams(words)) for words in self.words]
+        code, k = np.concatenate(codes), np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])
+        order = np.argsort(code, kind="stable")
+        self.holders = k[order]
+        self.grams, first = np.unique(code[order], return_index=True)
+        self.bounds = np.append(first, len(code))
+
+    def holding(self, gram: int) -> np.ndarray:
+        return self.holders[self.bounds[gram]:self.bounds[gram + 1]]
+
+    def seeds(self, of: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """The grams of the items in a document, each with its places."""
+        found, places = [], []
+        for width in self.widths:  # narrower grams are those of items with so few words
+            if len(of) >= width:
+                at = np.flatnonzero((of[:len(of) - width + 1] > 0) & (of[width - 1:] > 0))
+                with np.errstate(over="ignore"):
+                    code = ngram_hashes(mix(of + np.uint64(1)), width, seed=13)[at]
+                number = np.minimum(np.searchsorted(self.grams, code), len(self.grams) - 1)
+                hit = self.grams[number] == code
+                found.append(number[hit])
+                places.append(at[hit])
+        if not sum(map(len, found)):
+            return []
+        number, at = np.concatenate(found), np.concatenate(places)
+        order = np.argsort(number, kind="stable")
+        distinct, first = np.unique(number[order], return_index=True)
+        return list(zip(distinct.tolist(), np.split(at[order], first[1:]), strict=True))
+
+    def likely(self, of: np.ndarray, seeds: list[tuple[int, np.ndarray]], least: float) -> np.ndarray:
+        """Flags of the items with a seed and so many words in the document as the least score needs."""
+        met = np.zeros(len(self.ids), bool)
+        for gram, _ in seeds:
+            met[self.holding(gram)] = True
+        k = np.flatnonzero(met)
+        held = np.zeros(len(self.vocabulary) + 1, np.int64)
+        held[of] = 1
+        held[0] = 0
+        ends = np.cumsum(self.sizes[k])
+        at = np.arange(ends[-1]) + np.repeat(self.starts[k] - ends + self.sizes[k], self.sizes[k])
+        met[k] = np.add.reduceat(held[self.flat[at]], ends - self.sizes[k]) >= least * self.sizes[k]
+        return met
+
+    def matches(self, of: np.ndarray, least: float) -> Iterator[tuple[int, float, int, int]]:
+        """(item_id, score, first word, end word) of the passages around seeds that reach the least score."""
+        seeds = self.seeds(of)
+        if not seeds:
+            return
+        likely = self.likely(of, seeds, least)
+        places: dict[int, list[np.ndarray]] = {}
+        for gram, at in seeds:
+            some = self.holding(gram)
+            for k in some[likely[some]].tolist():
+                places.setdefault(k, []).append(at)
+        for k, parts in places.items():
+            item, at = self.words[k], np.sort(np.concatenate(parts))
+            full = 2 * len(item)
+            reach = len(item) + int(full * (1 - least)) + 1  # more words between would cost more than the score may lack
+            cuts = np.flatnonzero(np.diff(at) > 2 * reach) + 1
+            for part in np.split(at, cuts):
+                start, passage = max(0, int(part[0]) - reach), of[max(0, int(part[0]) - reach):int(part[-1]) + reach]
+                if np.isin(item, passage).sum() < least * len(item):
+                    continue
+                score, end = _best_end(item, passage)
+                if score >= least * full:
+                    _, first, last = alignment(item, passage[:end])
+                    yield self.ids[k], score / full, start + first, start + last
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """doc_id, item_id, score, and the words [first_word, end_word) of the best matching passage, for every pair found."""
     spark = docs.sparkSession
     items = texts_only(benchmark, "item_id").where("item_id is not null")
-    out = spark.createDataFrame([], "doc_id long, item_id long, score double, first_word long, end_word long")
+    out = spark.createDataFrame([], MATCHES)
     for block in _blocks(items):
         out = out.union(_block_matches(docs, [x for x in block if x[1]], least))
     best = F.max_by(F.struct("score", "first_word", "end_word"), F.struct("score", -F.col("first_word"), -F.col("end_word")))
@@ -164,29 +191,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCO
 
 def _block_matches(docs: DataFrame, block: list[tuple[int, list[bytes]]], least: float) -> DataFrame:
     spark = docs.sparkSession
-    vocabulary = Vocabulary()
-    numbered = [(item_id, vocabulary.number(words)) for item_id, words in block]
-    widths = {min(GRAM, len(words)) for _, words in numbered}
-    rows = [(k, at, code) for k, (_, words) in enumerate(numbered) for at, code in enumerate(signed(grams(words)).tolist())]
-    k, at, code = zip(*rows, strict=True) if rows else ((), (), ())
-    table = spark.createDataFrame(pa.table({"k": pa.array(k, pa.int64()), "item_at": pa.array(at, pa.int32()), "gram": pa.array(code, pa.int64())}))
-    wanted = np.unique(np.array(code, np.int64).view(np.uint64))
-    if not len(wanted):
-        return spark.createDataFrame([], "doc_id long, item_id long, score double, first_word long, end_word long")
-
-    found = store(spark, hits(docs, wanted, vocabulary, widths), "hits")
-    df = found.groupBy("gram").agg(F.countDistinct("doc_id").alias("df"))
-    ahead = Window.partitionBy("k").orderBy("item_at").rowsBetween(0, SPREAD - 1)
-    full = F.count("*").over(ahead) == F.least(F.lit(SPREAD), F.count("*").over(Window.partitionBy("k")))
-    seeds = (table.join(df, "gram", "left").withColumn("rarest", F.min(F.struct(F.coalesce("df", F.lit(0)), "item_at", "gram")).over(ahead))
-             .withColumn("full", full).where("full").select("k", "rarest.item_at", "rarest.gram").distinct())
-    seeds = store(spark, seeds, "seeds")
-    n_seeds = {row.k: row.n for row in seeds.groupBy("k").agg(F.count("*").alias("n")).collect()}  # one row per item of the block
-    shared = spark.sparkContext.broadcast(([(item_id, words, n_seeds.get(k, 0)) for k, (item_id, words) in enumerate(numbered)], vocabulary))
-
-    met = found.join(seeds, "gram")
-    enough = met.groupBy("doc_id", "k").agg(F.countDistinct("item_at").alias("n"))
-    wanted_pairs = enough.join(seeds.groupBy("k").agg(F.count("*").alias("all")), "k").where(F.col("n") >= F.least(F.lit(2), F.col("all")))
-    per_doc = store(spark, met.join(wanted_pairs.select("doc_id", "k"), ["doc_id", "k"], "left_semi").groupBy("doc_id").agg(
-        F.collect_list(F.struct("k", "at", "item_at")).alias("seeds")), "passages")
-    return _aligned(only(texts_only(docs), per_doc).join(per_doc, "doc_id").select("doc_id", "text", "seeds"), shared, least)
+    if not block:
+        return spark.createDataFrame([], MATCHES)
+    shared = spark.sparkContext.broadcast(Items(block))  # a block of the benchmark
+
+    def run(keys: list, texts: list[bytes]) -> pa.RecordBatch:
+        items = shared.value
+        out = [(key, *found) for key, text in zip(keys, texts, strict=True) for found in items.matches(items.vocabulary.of(plain_words(text)), least)]
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "item_id", "score", "first_word", "end_word"])
+
+    return map_texts(texts_only(docs).where("doc_id is not null"), run, MATCHES)
