@@ -45,6 +45,34 @@ def test_copies_do_not_become_template(spark):
     assert all(prose(j, 15) in text for text in got for j in range(5))
 
 
+def plain(title, main, kind="div", end=""):
+    return f"<html><head><title>{title}</title></head><body><{kind}>{main}</{kind}>{end}</body></html>"
+
+
+def test_constants_of_pages_with_one_title_or_none(spark):
+    notice = "Reprinted by kind leave of the makers of this site."
+    rows = [(k, "http://a.example.com/", plain("Site", f"<p>{prose(k, 20)}</p><p>{notice}</p>")) for k in range(10)]
+    rows += [(100 + k, "http://b.example.com/", f"<body><div><p>{prose(100 + k, 20)}</p><p>{notice}</p></div></body>") for k in range(10)]
+    rows += [(200 + k, "http://c.example.com/", plain(f"T{k % 3}", f"<p>{prose(200 + k, 20)}</p><p>{notice}</p>")) for k in range(3)]
+    got = {r.page_id: r.text for r in wr.main_texts(pages(spark, rows)).collect()}
+    assert got == {k: prose(k, 20) for k, _, _ in rows}
+
+
+def test_constants_of_a_layout(spark):
+    rows = [(k, "http://a.example.com/", plain(f"T{k}", f"<p>{prose(k, 20)}</p>" + "<p>Kept in the archive of the paper.</p>" * (k % 10 < 3), "section" if k % 10 < 3 else "div"))
+            for k in range(100)]
+    got = {r.page_id: r.text for r in wr.main_texts(pages(spark, rows)).collect()}
+    assert got == {k: prose(k, 20) for k in range(100)}
+
+
+def test_revisions_do_not_become_template(spark):
+    article = "".join(f"<p>{prose(j, 15)}</p>" for j in range(5))
+    rows = [(k, "http://a.example.com/x", plain(f"T{k}", f"{article}<p>{prose(50, 15)} rev{'abcdef'[k]} {prose(51, 15)}</p>")) for k in range(6)]
+    rows += [(9, "http://b.example.com/x", plain("T", f"{article}<p>Seen {k} times</p>")) for k in range(6)]
+    got = {r.text for r in wr.main_texts(pages(spark, rows)).collect()}
+    assert all(prose(j, 15) in text for text in got for j in range(5))
+
+
 def test_matching_keeps_order():
     one, _ = wr.parse("<div><h1>a</h1><p>b</p><ul><li>c</li></ul></div>")
     two, _ = wr.parse("<div><p>b</p><h1>a</h1><ul><li>c</li></ul></div>")

@@ -3,23 +3,26 @@
 Pages become trees in which children of one parent with the same signature
 (tag and class) are one node, so lists and paragraphs of any number align.
 
-1. For each host, up to EXEMPLARS pages with different titles are chosen by
-   aggregation. This bounded sample is only what wrappers are learned from.
-2. Their trees are aligned by simple tree matching (the best order-preserving
-   matching of children, recursively) and merged into the host's wrapper. A
-   wrapper node keeps how much text it held, how much of that in links, and the
-   block texts that most exemplars share: those are template, what varies is
-   content.
+1. Every page is parsed. Its blocks outside chrome (navigation, footers, adverts,
+   forms, comments, ... and all inside them) are counted over all pages of the
+   host, by place (path of nodes) and text, a page for each article: pages of a
+   layout whose main text is the same but for digits are copies and count once.
+   A block is template if most articles of the host, or of one layout of the
+   host, hold it. A layout is the set of containers down to the main region.
+2. The trees of up to EXEMPLARS pages with different articles are aligned by
+   simple tree matching (the best order-preserving matching of children,
+   recursively) and merged into the host's wrapper. This bounded sample only
+   gives the shape: how much text a node held, how much of that in links, roles.
+   Blocks of exemplars that differ in few words besides, revisions of one
+   article, aren't template.
 3. Every page is aligned with its host's wrapper in the same way. Kept are the
    varying blocks of the main region; template blocks and regions that are
-   chrome by role (navigation, footers, adverts, forms, comments, link lists,
-   ...) go. Nodes the wrapper lacks go by their own role and their parent's.
-
-Exemplars that repeat much of an earlier one don't count, so copies of an
-article don't turn it into template. Null and empty pages have no text; pages
-without a host share the wrapper of the empty host; every row is extracted by
-itself, so repeated rows and null page_ids don't matter; an empty table gives
-no rows.
+   chrome by role or are link lists go. Nodes the wrapper lacks go by their own
+   role and their parent's.
+
+Null and empty pages have no text; pages without a host share the wrapper of
+the empty host; every row is extracted by itself, so repeated rows and null
+page_ids don't matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +30,6 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,8 +40,10 @@ from pyspark.sql import functions as F
 from zonetally.session import store
 
 EXEMPLARS = 8
-#: Share of the exemplars, and their least number, that must hold a block for it to be template.
+#: Share of a host's or a layout's different articles, and their least number, that must hold a block for it to be template.
 TEMPLATE_SHARE, TEMPLATE_LEAST = 0.6, 3
+#: Groups of articles from which a host's exemplars are drawn, one of each at most.
+SLOTS = 64
 #: Tables of exemplars and wrappers are broadcast up to so many rows and characters, else joined by shuffle.
 MOST_ROWS, MOST_CHARACTERS = 100_000, 32 << 20
 
@@ -69,27 +73,44 @@ _MAIN_NAMES = re.compile(r"(?:^|[-_\s])(?:article|post|entry|story)(?:[-_]?(?:bo
 class Node:
     """A node of a page's tree or of a wrapper."""
 
-    __slots__ = ("name", "tag", "kids", "chrome", "main", "chars", "linked", "links", "blocks", "pages")
+    __slots__ = ("name", "tag", "kids", "chrome", "main", "chars", "linked", "links", "pages")
 
     def __init__(self, name: str, tag: str, chrome: bool = False, main: bool = False):
         self.name, self.tag, self.chrome, self.main = name, tag, chrome, main
         self.kids: dict[str, Node] = {}
         self.chars = self.linked = self.links = self.pages = 0
-        self.blocks: Counter = Counter()
 
-    def as_list(self, common: int) -> list:
-        held = sorted(k for k, n in self.blocks.items() if n >= common)
-        return [self.name, self.tag, self.chrome, self.main, self.chars, self.linked, self.links, held, [k.as_list(common) for k in self.kids.values()]]
+    def as_list(self) -> list:
+        return [self.name, self.tag, self.chrome, self.main, self.chars, self.linked, self.links, [k.as_list() for k in self.kids.values()]]
 
     @classmethod
     def of_list(cls, x: list) -> Node:
         node = cls(*x[:4])
         node.chars, node.linked, node.links = x[4:7]
-        node.blocks = Counter(x[7])
-        node.kids = {k[0]: cls.of_list(k) for k in x[8]}
+        node.kids = {k[0]: cls.of_list(k) for k in x[7]}
         return node
 
 
+class Wrapper:
+    """The shape of a host's pages, and its template blocks by layout; those of layout 0 hold for all."""
+
+    def __init__(self, tree: Node, constants: dict[int, set[int]]):
+        self.tree, self.constants = tree, constants
+
+    def as_json(self) -> str:
+        return json.dumps([self.tree.as_list(), [[k, sorted(x)] for k, x in sorted(self.constants.items())]], separators=(",", ":"))
+
+    @classmethod
+    def of_json(cls, text: str | None) -> Wrapper:
+        if not text:
+            return cls(Node("", ""), {})
+        tree, constants = json.loads(text)
+        return cls(Node.of_list(tree), {k: set(x) for k, x in constants})
+
+    def template(self, layout: int) -> set[int]:
+        return self.constants.get(0, set()) | self.constants.get(layout, set())
+
+
 def _child(parent: Node, tag: str, attributes: str) -> Node:
     found = {m[1].lower(): next((v for v in m.groups()[1:] if v is not None), "") for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
     classes = " ".join(sorted(found.get("class", "").split()))
@@ -200,8 +221,43 @@ def matching(one: Node, two: Node) -> tuple[int, list[tuple[Node, Node]]]:
     return 1 + best[0][0], pairs
 
 
-def _hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text) >> 1
+_CONTAINERS = frozenset("html body div section main article aside nav header footer form table".split())
+_DIGITS = re.compile(r"\d+")
+
+
+def _outline(tree: Node) -> tuple[dict[int, tuple[int, bool, bool]], int]:
+    """Path, whether in chrome and whether in a main region, by id of the node; and the layout."""
+    places: dict[int, tuple[int, bool, bool]] = {}
+    layout: list[int] = []
+    stack = [(tree, 0, False, False)]
+    while stack:
+        x, path, chrome, main = stack.pop()
+        path = xxhash.xxh64_intdigest(x.name, path)
+        if x.tag in _CONTAINERS and not chrome and not main:
+            layout.append(path)
+        chrome, main = chrome or x.chrome, main or x.main
+        places[id(x)] = (path, chrome, main)
+        stack += [(kid, path, chrome, main) for kid in x.kids.values()]
+    return places, _hash(repr(sorted(layout)))
+
+
+def _hash(text: str, seed: int = 0) -> int:
+    return xxhash.xxh64_intdigest(text, seed) >> 1
+
+
+def outside_chrome(tree: Node, blocks: list[tuple[Node, str, bool]]) -> tuple[int, dict[int, str], dict[int, str]]:
+    """The layout, the blocks outside chrome by hash of place and text, and those of them in the main region if it has any."""
+    places, layout = _outline(tree)
+    held: dict[int, str] = {}
+    article: dict[int, str] = {}
+    for node, text, _ in blocks:
+        path, chrome, main = places[id(node)]
+        if not chrome:
+            key = _hash(text, path)
+            held[key] = text
+            if main:
+                article[key] = text
+    return layout, held, article or held
 
 
 def _adopted(tree: Node, wrapper: Node) -> None:
@@ -211,7 +267,6 @@ def _adopted(tree: Node, wrapper: Node) -> None:
     def walk(x: Node, y: Node) -> None:
         y.chars, y.linked, y.links, y.pages = y.chars + x.chars, y.linked + x.linked, y.links + x.links, y.pages + 1
         y.chrome, y.main = y.chrome or x.chrome, y.main or x.main
-        y.blocks.update(x.blocks.keys())
         for kid in x.kids.values():
             to = matched.get(id(kid)) or y.kids.get(kid.name)
             if to is None:
@@ -221,21 +276,27 @@ def _adopted(tree: Node, wrapper: Node) -> None:
     walk(tree, wrapper)
 
 
-def induce(pages: list[str]) -> str:
-    """The wrapper of some pages of a host."""
-    wrapper, seen, used = Node("", ""), Counter(), 0
+def induce(pages: list[str], constants: dict[int, set[int]]) -> Wrapper:
+    """The wrapper of some pages of a host, from what is constant on all its pages."""
+    wrapper = Wrapper(Node("", ""), constants)
+    articles: list[set[str]] = []
+    holders: dict[tuple[int, int], list[int]] = {}
     for page in pages:
         tree, blocks = parse(page)
-        for node, text, _ in blocks:
-            node.blocks[_hash(text)] = 1
-        article = {_hash(text): len(text) for node, text, _ in blocks if not node.chrome}
-        if used and sum(n for k, n in article.items() if seen[k] == 1 and used > 1 or used == 1 and k in seen) > 0.5 * sum(article.values()):
-            continue
-        seen.update(article.keys())
-        _adopted(tree, wrapper)
-        used += 1
-    common = max(TEMPLATE_LEAST, -(-int(100 * TEMPLATE_SHARE) * used // 100))
-    return json.dumps(wrapper.as_list(common), separators=(",", ":"))
+        _adopted(tree, wrapper.tree)
+        layout, held, article = outside_chrome(tree, blocks)
+        template = wrapper.template(layout)
+        words = {w for key, text in article.items() if key not in template for w in _DIGITS.sub("", text).split()}
+        which = next((k for k, other in enumerate(articles) if 2 * len(words & other) >= len(words | other)), len(articles))
+        if which == len(articles):
+            articles.append(words)
+        for scope in (0, layout):
+            for key in constants.get(scope, set()) & held.keys():
+                holders.setdefault((scope, key), []).append(which)
+    revised = {x for x, of in holders.items() if len(of) > 1 and len(set(of)) == 1}
+    everywhere = {key for key in constants.get(0, set()) if (0, key) not in revised}
+    kept = {scope: {key for key in keys if (scope, key) not in revised} - (everywhere if scope else set()) for scope, keys in constants.items()}
+    return Wrapper(wrapper.tree, {scope: keys for scope, keys in kept.items() if keys})
 
 
 def _is_link_list(node: Node) -> bool:
@@ -259,12 +320,13 @@ def _regions(wrapper: Node) -> bool:
     return False
 
 
-def extract(page: str, wrapper: Node) -> str:
+def extract(page: str, wrapper: Wrapper) -> str:
     """The page's main text, blocks joined by a line end."""
     tree, blocks = parse(page)
-    matched = {id(x): y for x, y in matching(tree, wrapper)[1]}
-    has_main = _regions(tree) or _regions(wrapper)
-    template: dict[int, Counter] = {}
+    matched = {id(x): y for x, y in matching(tree, wrapper.tree)[1]}
+    has_main = _regions(tree) or _regions(wrapper.tree)
+    places, layout = _outline(tree)
+    template = wrapper.template(layout)
     kept: dict[int, bool] = {}
 
     def walk(x: Node, y: Node | None, inside: bool, chrome: bool) -> None:
@@ -272,33 +334,64 @@ def extract(page: str, wrapper: Node) -> str:
         chrome = chrome or x.tag == "header" and not inside or x.tag in ("ul", "ol", "table") and _is_link_list(y or x)
         inside = inside or x.main or y is not None and y.main
         kept[id(x)] = not chrome and (inside or not has_main)
-        template[id(x)] = y.blocks if y is not None else Counter()
         for kid in x.kids.values():
             walk(kid, matched.get(id(kid)), inside, chrome)
 
-    walk(tree, wrapper, False, False)
-    return "\n".join(text for node, text, _ in blocks if kept[id(node)] and _hash(text) not in template[id(node)])
+    walk(tree, wrapper.tree, False, False)
+    return "\n".join(text for node, text, _ in blocks if kept[id(node)] and _hash(text, places[id(node)][0]) not in template)
 
 
 def _host(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def articles(known: DataFrame) -> DataFrame:
+    """host, layout, digest of the main text, page and its blocks outside chrome: a page for each article of a layout."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            layouts, digests, held_by = [], [], []
+            for page in batch["html"].to_pylist():
+                layout, held, article = outside_chrome(*parse(page))
+                layouts.append(layout)
+                digests.append(_hash(_DIGITS.sub("", "\n".join(article.values()))))
+                held_by.append(sorted(held))
+            yield pa.RecordBatch.from_arrays([batch["host"], pa.array(layouts, pa.int64()), pa.array(digests, pa.int64()), batch["page"], pa.array(held_by, pa.list_(pa.int64()))],
+                                             ["host", "layout", "digest", "page", "held"])
+
+    rows = known.select("host", "page", "html").mapInArrow(run, "host string, layout long, digest long, page long, held array<long>")
+    return rows.groupBy("host", "layout", "digest").agg(F.min(F.struct("page", "held")).alias("p")).select("host", "layout", "digest", "p.*")
+
+
+def constants(different: DataFrame) -> DataFrame:
+    """host, constants (layout, or 0 for all pages of the host, and block), counted over all articles."""
+    spark = different.sparkSession
+    scoped = different.where(F.size("held") > 0).withColumn("scope", F.explode(F.array(F.lit(0).cast("long"), "layout")))
+    totals = store(spark, scoped.groupBy("host", "scope").agg(F.count("*").alias("all")).where(F.col("all") >= TEMPLATE_LEAST), "articles")
+    counts = scoped.select("host", "scope", F.explode("held").alias("block")).groupBy("host", "scope", "block").agg(F.count("*").alias("n")).where(F.col("n") >= TEMPLATE_LEAST)
+    most = counts.join(F.broadcast(totals) if totals.count() <= MOST_ROWS else totals, ["host", "scope"]).where(F.col("n") >= TEMPLATE_SHARE * F.col("all"))
+    return most.groupBy("host").agg(F.collect_list(F.struct("scope", "block")).alias("constants"))
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper) of every host."""
     spark = pages.sparkSession
-    title = F.xxhash64(F.regexp_extract("html", r"(?is)<title\b[^>]*>(.*?)</title", 1))
-    known = pages.where("length(html) > 0").select(_host(F.col("url")).alias("host"), "html").withColumn("title", title)
-    slot = F.pmod("title", F.lit(EXEMPLARS))
-    picked = store(spark, known.groupBy("host", slot.alias("slot")).agg(F.min(F.struct("title", F.xxhash64("html").alias("page"))).alias("p")).select("host", "p.page"), "exemplars")
+    known = pages.where("length(html) > 0").select(_host(F.col("url")).alias("host"), "html").withColumn("page", F.xxhash64("html"))
+    different = store(spark, articles(known), "different")
+    slot = different.groupBy("host", F.pmod("digest", F.lit(SLOTS)).alias("slot")).agg(F.min(F.struct("digest", "page")).alias("p"))
+    some = F.slice(F.sort_array(F.collect_list("p")), 1, EXEMPLARS)  # of SLOTS rows of a host at most
+    picked = store(spark, slot.groupBy("host").agg(some.alias("p")).select("host", F.explode("p.page").alias("page")), "exemplars")
     picked = F.broadcast(picked) if picked.count() <= MOST_ROWS else picked
-    chosen = known.withColumn("page", F.xxhash64("html")).join(picked, ["host", "page"], "left_semi").dropDuplicates(["host", "page"])
+    chosen = known.join(picked, ["host", "page"], "left_semi").dropDuplicates(["host", "page"])
 
     def learn(table: pa.Table) -> pa.Table:
         some = table.sort_by("page")
-        return pa.table({"host": some["host"].slice(0, 1).cast(pa.string()), "wrapper": pa.array([induce(some["html"].to_pylist())], pa.string())})
+        found: dict[int, set[int]] = {}
+        for x in some["constants"][0].as_py() or []:
+            found.setdefault(x["scope"], set()).add(x["block"])
+        return pa.table({"host": some["host"].slice(0, 1).cast(pa.string()), "wrapper": pa.array([induce(some["html"].to_pylist(), found).as_json()], pa.string())})
 
-    return chosen.select("host", "page", "html").groupBy("host").applyInArrow(learn, "host string, wrapper string")
+    with_constants = chosen.select("host", "page", "html").join(store(spark, constants(different), "constants"), "host", "left")
+    return with_constants.groupBy("host").applyInArrow(learn, "host string, wrapper string")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -310,13 +403,13 @@ def main_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", "html", _host(F.col("url")).alias("host")).join(learned, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, Node] = {}
+        known: dict[str, Wrapper] = {}
         for batch in batches:
             texts = []
             for page, host, wrapper in zip(batch["html"].to_pylist(), batch["host"].to_pylist(), batch["wrapper"].to_pylist(), strict=True):
                 if host not in known:
                     known.clear() if len(known) > 2_000 else None
-                    known[host] = Node.of_list(json.loads(wrapper)) if wrapper else Node("", "")
+                    known[host] = Wrapper.of_json(wrapper)
                 texts.append(extract(page or "", known[host]))
             yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
