@@ -65,6 +65,15 @@ def test_constants_of_a_layout(spark):
     assert got == {k: prose(k, 20) for k in range(100)}
 
 
+def test_short_articles_under_long_constants(spark):
+    menu = "<nav>" + "".join(f"<ul><li><a href='/{j}'>{prose(900 + j, 6)}</a></li></ul>" for j in range(20)) + "</nav>"
+    boilerplate = "".join(f"<p>{prose(950 + j, 30)}</p>" for j in range(3))
+    for_menu = [(k, "http://a.example.com/", f"<title>T{k}</title><body>{menu}<div><p>{prose(k, 6)}</p><p>Printed with leave.</p></div></body>") for k in range(9)]
+    for_text = [(50 + k, "http://b.example.com/", plain(f"T{k}", f"<p>{prose(50 + k, 6)}</p>{boilerplate}")) for k in range(9)]
+    got = {r.page_id: r.text for r in wr.main_texts(pages(spark, for_menu + for_text)).collect()}
+    assert got == {k: prose(k, 6) for k, _, _ in for_menu + for_text}
+
+
 def test_revisions_do_not_become_template(spark):
     article = "".join(f"<p>{prose(j, 15)}</p>" for j in range(5))
     rows = [(k, "http://a.example.com/x", plain(f"T{k}", f"{article}<p>{prose(50, 15)} rev{'abcdef'[k]} {prose(51, 15)}</p>")) for k in range(6)]
