@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonetally.llm import decontamination, near_duplicates, packing, personal_data, preference, repeats, sharding, sql, substrings, token_files, wrappers
+from zonetally.llm import (
+    decontamination,
+    hard_negatives,
+    lexical_search,
+    mixing,
+    near_duplicates,
+    packing,
+    personal_data,
+    preference,
+    repeats,
+    sharding,
+    sql,
+    substrings,
+    token_files,
+    wrappers,
+)
 from zonetally.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,7 +111,28 @@ def op6_preference_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= preference.CUT).cast("int").alias("predicted"))
 
 
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
+@_query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weight = F.element_at(F.array(F.lit(5), F.lit(2), F.lit(1)), (F.col("nth") % 3 + 1).cast("int"))
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), weight)
+    return mixed.select("doc_id", "size", "source_size", "target", mixing.taken().alias("taken"))
+
+
 ORACLE_SQL |= {
+    "op11_hard_negatives": sql.hard_negatives(),
+    "op12_lexical_search": sql.lexical_search(),
+    "op13_mixing": sql.mixing(mixing.BLOCK),
     "op3_near_duplicates": sql.near_duplicates(),
     "op5_repetition": sql.repetition(repeats.LEAST, repeats.MOST_COVERED, repeats.LONGEST),
     "op7_substring_dedup": sql.substring_dedup(substrings.WIDTH),
