@@ -9,6 +9,8 @@ COLUMNS = {
     "op1": "doc_id start n_tokens ids_crc32", "op2": "doc_id slot shard", "op3": "doc_id n_shingles component_id kept", "op4": "page_id url text n_chars",
     "op5": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", "op6": "doc_id held_out score predicted",
     "op7": "doc_id n_words n_removed kept_sha256", "op8": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op11": "anchor_id positive_id rank negative_id positive_score negative_score", "op12": "item_id rank doc_id score",
+    "op13": "doc_id size source_size target taken",
     "op9": "doc_id n_email n_ip n_card n_phone base_sha256 spans", "op10": "doc_id item_id score",
 }
 
@@ -25,7 +27,7 @@ def test_columns_and_rows(spark, name):
     n = got.count()
     if name.startswith("op4"):
         assert n == spark.read.parquet(f"{sf}/pages.parquet").count()
-    elif not name.startswith(("op8", "op10")):
+    elif not name.startswith(("op8", "op10", "op11", "op12")):
         assert n == spark.read.parquet(f"{sf}/documents.parquet").count()
 
 

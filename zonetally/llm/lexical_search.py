@@ -9,8 +9,8 @@
 2. Upper bounds: a term found at a step but not at the next occurs at most as often as the
    next step less one. Weighted sums of the slices of an item's terms, times what a step can add to
    a document's score, bound the score from above.
-3. The documents with the highest bounds are scored exactly. The score that the last wanted
-   one of them reaches is a floor: every document whose bound is at least that is scored
+3. Several times as many documents as are wanted, those with the highest bounds, are scored exactly. The score that
+   the last wanted one of them reaches is a floor: every document whose bound is at least that is scored
    exactly from its whole text, so nothing but documents that provably rank lower is left out.
 
 Score of a document: over the item's distinct terms, w * (10^9 tf div (1000 tf + 8 m)), with
@@ -41,11 +41,13 @@ from zonetally.session import small, store
 #: ASCII letters and digits and all bytes of other characters belong to terms; A-Z count as a-z.
 _TERM_BYTES = bytes(k if k > 127 else ord(chr(k).lower()) if chr(k).isalnum() else 32 for k in range(256))
 #: Bits of a document's signature per term of the block's largest document, and slices a term has.
-BITS, HASHES = 16, 3
+BITS, HASHES = 24, 4
 #: A block is closed at so many documents, or so many terms of documents in all.
 BLOCK_DOCS, BLOCK_TERMS = 512, 100_000
 #: Bytes of signatures in a bin, about.
 BIN_BYTES = 8_000_000
+#: Times the wanted documents that are scored for the floor: the highest bounds have terms that aren't there.
+PROMISING = 8
 #: Items whose bounds are computed together.
 ITEMS_AT_ONCE = 64
 _SCALE = 1_000_000_000
@@ -64,10 +66,10 @@ def steps(top: int) -> list[int]:
 
 
 def slices_of(hashes: np.ndarray, width: int) -> np.ndarray:
-    """The numbers of each term's slices; width is a power of 2."""
+    """The numbers of each term's slices."""
     with np.errstate(over="ignore"):
         each = [mix(hashes + np.uint64(0x9E3779B97F4A7C15) * np.uint64(k + 1)) for k in range(HASHES)]
-    return (np.stack(each, axis=1) & np.uint64(width - 1)).astype(np.int64)
+    return (np.stack(each, axis=1) % np.uint64(width)).astype(np.int64)
 
 
 def saturation(tf: int | np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -108,7 +110,7 @@ class _Block:
         for step in steps(top):
             here = tfs >= step
             most = int(np.bincount(doc[here]).max())
-            width = 1 << max(6, (BITS * most - 1).bit_length())
+            width = BITS * most
             bits = np.zeros((width, len(self.ids)), bool)
             for slices in slices_of(hashes[here], width).T:
                 bits[slices, doc[here]] = True
@@ -284,8 +286,8 @@ def search(docs: DataFrame, items: DataFrame, most: int = 10) -> DataFrame:
 
     asked = wanted.select("item_id", "hashes", "weights")
     schema = "item_id long, doc_id long, bound long"
-    promising = meet(held, each_bin(asked, bins), keep, _most_promising(most), schema)
-    promising = store(spark, promising.withColumn("rank", _place("bound")).where(F.col("rank") <= most), "promising")
+    promising = meet(held, each_bin(asked, bins), keep, _most_promising(PROMISING * most), schema)
+    promising = store(spark, promising.withColumn("rank", _place("bound")).where(F.col("rank") <= PROMISING * most), "promising")
     first = exact_scores(promising, docs, wanted, n_docs, n_terms).withColumn("rank", _place("score"))
     floor = first.where(F.col("rank") == most).select("item_id", F.col("score").alias("floor"))
 

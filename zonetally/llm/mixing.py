@@ -31,7 +31,7 @@ from zonetally.session import store
 #: Words of a block, and shards of the mix.
 BLOCK, SHARDS = 64, 16
 #: Documents of a chunk, about.
-CHUNK_DOCS = 100_000
+CHUNK_DOCS = 5_000
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
