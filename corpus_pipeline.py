@@ -37,12 +37,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts the kind of data in the place of each span; n_chars follows the new text."""
     prepare(spark)
-    found = personal_data.find(docs)
-    text = personal_data.masked(F.col("text"), F.col("spans"))
-    rows = found.withColumn("text", text)
+    # the columns travel as one, so that none of them can have a name that the operator uses
+    found = personal_data.find(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"), "text"), keep=["document"])
+    text = personal_data.masked(F.col("document.text"), F.col("spans"))
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        changed["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return found.select(*(changed.get(c, F.col(f"document.`{c}`")).alias(c) for c in docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

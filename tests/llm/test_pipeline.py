@@ -43,6 +43,21 @@ def test_stages(spark, tables, tmp_path):
     assert masked[5].text == prose(5, 90)
 
 
+def test_columns_of_any_name_stay(spark, tables, tmp_path):
+    folder, rows = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr(
+        "*", *(f"concat('{c}-', doc_id) as `{c}`" for c in ("base", "spans", "host", "row", "document", "more", "bands", "tag", "a.b")))
+    first = {r.doc_id: r.asDict() for r in docs.collect() if r.doc_id is not None}
+    for k, (_, stage) in enumerate(cp.STAGES[:-1]):
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/any-{k}")
+        again = spark.read.parquet(f"{tmp_path}/any-{k}")
+        assert again.schema == docs.schema
+        docs = again
+    last = {r.doc_id: r.asDict() for r in docs.collect() if r.doc_id is not None}
+    changed = {"text", "n_chars"}
+    assert len(last) > 15 and all({c: v for c, v in row.items() if c not in changed} == {c: v for c, v in first[k].items() if c not in changed} for k, row in last.items())
+
+
 def test_run(spark, tables):
     folder, _ = tables
     got, tokens = cp.run(spark, folder).collect(), defaultdict(int)

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonetally.llm.meeting import each_bin, meet, one_bin
-from zonetally.llm.text import WordHashes, forget, mix, only, signed, texts_only
+from zonetally.llm.text import WordHashes, forget, mix, only, released, signed, texts_only
 from zonetally.session import small, store
 
 #: ASCII letters and digits and all bytes of other characters belong to terms; A-Z count as a-z.
@@ -143,7 +143,7 @@ def index(docs: DataFrame) -> DataFrame:
             number += 1
             yield block.row(number)
 
-    return texts_only(docs).mapInArrow(run, INDEX)
+    return texts_only(docs).mapInArrow(released(run), INDEX)
 
 
 def item_terms(items: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonetally.llm.text import forget
+from zonetally.llm.text import forget, released
 
 
 def each_bin(df: DataFrame, bins: int) -> DataFrame:
@@ -60,4 +60,4 @@ def meet(held: DataFrame, streamed: DataFrame, keep: Callable[[list[dict]], obje
                     yield from fn(state, pa.RecordBatch.from_struct_array(part["streamed"]))
                 start = end
 
-    return first.union(second).repartition("bin").sortWithinPartitions("bin", "side").mapInArrow(run, schema)
+    return first.union(second).repartition("bin").sortWithinPartitions("bin", "side").mapInArrow(released(run), schema)

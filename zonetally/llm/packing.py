@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonetally.llm.text import texts_only
+from zonetally.llm.text import released, texts_only
 from zonetally.llm.tokens import encoder, few_at_a_time
 from zonetally.session import scratch_path
 
@@ -53,7 +53,7 @@ def cut(docs: DataFrame, tokenizer: str, keeps_space: bool, length: int, end: in
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     path = scratch_path(docs.sparkSession, "pieces")
-    texts_only(docs).mapInArrow(run, _PIECES).write.option("compression", "zstd").parquet(path)
+    texts_only(docs).mapInArrow(released(run), _PIECES).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(_PIECES).parquet(path)
 
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from zonetally.llm.text import WordHashes, chunks, forget, map_texts, mix, texts_only
+from zonetally.llm.text import WordHashes, chunks, forget, map_texts, mix, released, texts_only
 
 _SPACE = bytes([32, *range(9, 14)])
 _NOT_COUNTED = _SPACE + bytes(range(0x80, 0xC0))  # white space, and bytes that continue a character
@@ -142,7 +142,7 @@ def passing(docs: DataFrame, text: str = "text", least: int = LEAST, most_covere
             texts = [x.encode() if x else b"" for x in batch[text].to_pylist()]
             yield batch.filter(pa.array([x[-1] for x in verdicts(texts, hashes, least, most_covered, longest)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def judge(docs: DataFrame, least: int = LEAST, most_covered: int = MOST_COVERED, longest: int = LONGEST) -> DataFrame:

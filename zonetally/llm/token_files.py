@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonetally.llm.text import texts_only
+from zonetally.llm.text import released, texts_only
 from zonetally.llm.tokens import encoder, few_at_a_time
 
 _FILE = "shard int, block int, doc_ids array<long>, sizes array<long>, ranks binary, control binary, data binary"
@@ -92,7 +92,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, keeps_space: bool = Fa
             yield row()
 
     in_order = texts_only(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    in_order.mapInArrow(run, _FILE).write.parquet(path)
+    in_order.mapInArrow(released(run), _FILE).write.parquet(path)
 
 
 def _decoded(spark: SparkSession, path: str, kind: str, arrow: pa.DataType, column) -> DataFrame:

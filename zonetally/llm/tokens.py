@@ -17,7 +17,7 @@ import re
 
 import numpy as np
 
-from zonetally.llm.text import AT_OTHER_WORK
+from zonetally.llm.text import AT_END, AT_OTHER_WORK
 
 #: White space as the tokenizer files see it: the Unicode property, without the separators 0x1C-0x1F.
 _RUN_AND_WORD = re.compile(r"[^\S\x1c-\x1f]*(?:[^\s]|[\x1c-\x1f])+|[^\S\x1c-\x1f]+")
@@ -119,6 +119,14 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 AT_OTHER_WORK.append(_encoders.clear)
 
 
+def _drop_memos() -> None:
+    for code in _encoders.values():
+        code.memo.clear()
+
+
+AT_END.append(_drop_memos)
+
+
 def encoder(path: str, keeps_space: bool) -> Encoder:
     """The worker's encoder for this file, loaded once."""
     if (path, keeps_space) not in _encoders:
