@@ -10,7 +10,7 @@ from zonetally.operators import generate as G
 @pytest.fixture(scope="module")
 def items(spark):
     ids = spark.range(0, 3000, 3).select((F.col("id") * 7 % 3001).alias("item"))
-    ranked = G.rank_by(ids, "item", F.floor(F.col("item") / 100))
+    ranked = G.rank_by(ids, "item")
     return G.zipf_probabilities(ranked, "rank", 1.2)
 
 
@@ -23,13 +23,13 @@ def test_ranks_and_probabilities(items):
 
 
 def test_intervals_cover_the_unit_interval(items):
-    rows = G.cumulative_intervals(items, "rank", F.floor(F.col("rank") / 64)).orderBy("rank").collect()
+    rows = G.cumulative_intervals(items, "rank").orderBy("rank").collect()
     assert rows[0]["lo"] == 0.0 and rows[-1]["hi"] == 1.0
     assert all(a["hi"] == b["lo"] for a, b in zip(rows, rows[1:]))
 
 
 def test_every_draw_gets_one_item(spark, items):
-    intervals = G.cumulative_intervals(items, "rank", F.floor(F.col("rank") / 64))
+    intervals = G.cumulative_intervals(items, "rank")
     draws = spark.range(20000).select("id", C.uniform01("t", F.col("id")).alias("u"))
     edge = spark.createDataFrame([(-1, 0.0), (-2, 1.0 - 2 ** -52)], "id bigint, u double")
     out = G.sample_items(draws.unionByName(edge), "u", intervals)

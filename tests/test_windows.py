@@ -22,29 +22,66 @@ def series():
         "t": np.round(rng.random(n) * 1000, 3), "id": np.arange(n), "v": rng.integers(-5, 9, n)})
 
 
-@pytest.mark.parametrize("width", [0.5, 7.0, 150.0, 10000.0])
-def test_running_operators(spark, series, width):
-    df = spark.createDataFrame(series)
-    chunk = prefix.time_chunk("t", width)
-    s = series.sort_values(["g", "t", "id"])
-    want = pd.DataFrame({
-        "id": s["id"], "total": s.groupby("g")["v"].cumsum(), "top": s.groupby("g")["v"].cummax(), "before": s.groupby("g")["v"].shift(1)})
-    out = prefix.running_sum(df, ["g"], ["t", "id"], chunk, F.col("v"), "total")
-    out = prefix.running_max(out, ["g"], ["t", "id"], chunk, F.col("v"), "top")
-    out = prefix.previous(out, ["g"], ["t", "id"], chunk, {"before": F.col("v")})
-    got = out.select("id", "total", "top", "before").toPandas().sort_values("id").reset_index(drop=True)
-    pd.testing.assert_frame_equal(got.astype(float), want.sort_values("id").reset_index(drop=True).astype(float))
-
-
-def test_running_sum_without_groups(spark, series):
-    out = prefix.running_sum(spark.createDataFrame(series), [], ["id"], F.floor(F.col("id") / 13), F.col("v"), "total")
+@pytest.fixture(params=[1, 3, 40])
+def ranges(spark, request):
+    """Many ranges, few rows each; AQE would put them together."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def running(df):
+    out = prefix.running_sum(df, ["g"], ["t", "id"], F.col("v"), "total")
+    out = prefix.running_max(out, ["g"], ["t", "id"], F.col("v"), "top")
+    return prefix.previous(out, ["g"], ["t", "id"], {"before": F.col("v")})
+
+
+def wanted(series):
+    s = series.sort_values(["t", "id"])
+    by = s.groupby("g", dropna=False)["v"]
+    return pd.DataFrame({"id": s["id"], "total": by.cumsum(), "top": by.cummax(), "before": by.shift(1)}).sort_values("id").reset_index(drop=True).astype(float)
+
+
+def test_running_operators(spark, series, ranges):
+    got = running(spark.createDataFrame(series)).select("id", "total", "top", "before").toPandas()
+    pd.testing.assert_frame_equal(got.sort_values("id").reset_index(drop=True).astype(float), wanted(series))
+
+
+def test_null_groups_and_a_spike(spark, series, ranges):
+    """Half of the rows have no group, and all rows of a group fall into one second."""
+    odd = series.assign(g=np.where(series["id"] % 2 == 0, None, series["g"]), t=np.where(series["g"] == "hot", 5.0, series["t"]))
+    df = spark.createDataFrame(list(odd.itertuples(index=False, name=None)), "g string, t double, id long, v long")
+    got = running(df).select("id", "total", "top", "before").toPandas()
+    pd.testing.assert_frame_equal(got.sort_values("id").reset_index(drop=True).astype(float), wanted(odd))
+    counts = {r["id"]: r["n"] for r in prefix.rolling_count(df, ["g"], "t", 10.0, "n").collect()}
+    us = (odd["t"] * 1e6).round().astype("int64")
+    for i, row in odd.iterrows():
+        same = odd["g"].isna() if row["g"] is None else odd["g"] == row["g"]
+        assert counts[row["id"]] == (same & (us <= us[i]) & (us >= us[i] - 10_000_000)).sum()
+
+
+@pytest.mark.parametrize("ranges", [16], indirect=True)
+def test_a_spike_is_cut_evenly(spark, ranges):
+    """Ninety percent of the rows in one second of one group: no chunk has over twice the mean."""
+    df = spark.range(100_000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 70)).alias("g"),
+                                     F.when(F.col("id") % 10 > 0, 7.0).otherwise(F.col("id").cast("double")).alias("t"), "id")
+    sizes = [r["count"] for r in prefix._chunked(df, ["g"], ["t", "id"], None).groupBy(prefix.CHUNK).count().collect()]
+    assert len(sizes) > 8 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    out = prefix.running_sum(df, ["g"], ["t", "id"], F.lit(1), "n")
+    assert out.where("g = 'hot'").agg(F.max("n"), F.count_distinct("n")).first()[:] == (90_000, 90_000)
+
+
+def test_running_sum_without_groups(spark, series, ranges):
+    out = prefix.running_sum(spark.createDataFrame(series), [], ["id"], F.col("v"), "total")
     got = out.toPandas().sort_values("id")
     assert got["total"].tolist() == series["v"].cumsum().tolist()
 
 
-@pytest.mark.parametrize("width", [None, 33.0, 5000.0])
-def test_rolling_count(spark, series, width):
-    out = prefix.rolling_count(spark.createDataFrame(series), ["g"], "t", 10.0, "n", width).toPandas().set_index("id")["n"]
+def test_rolling_count(spark, series, ranges):
+    out = prefix.rolling_count(spark.createDataFrame(series), ["g"], "t", 10.0, "n").toPandas().set_index("id")["n"]
     assert len(out) == len(series)
     us = (series["t"] * 1e6).round().astype("int64")
     for i, row in series.iterrows():
@@ -115,6 +152,20 @@ def test_reuse_chain_matches_walk(spark, batch):
         assert [got[r[0]] for r in mine] == chain(us, 10_000_000), key
 
 
+def test_one_key_with_most_rows(spark):
+    """Nine of ten requests have one key: they are linked without bringing a key's records together."""
+    rng = np.random.default_rng(8)
+    rows = [(i, "hot" if i % 10 else f"k{i % 70}", float(t)) for i, t in enumerate(np.round(rng.random(20_000) * 40_000, 3))]
+    df = spark.createDataFrame(rows, "request_id bigint, cache_key string, at double")
+    out = ttl.hit_or_miss(df, "at", F.lit(10), "request_id")
+    got = {r["request_id"]: r["cache"] for r in out.collect()}
+    for key in {"hot", "k0", "k10"}:
+        mine = sorted((round(t * 1e6), i) for i, k, t in rows if k == key)
+        assert [got[i] for _, i in mine] == chain([us for us, _ in mine], 10_000_000), key
+    times = df.select("cache_key", F.floor(F.col("at") / (10 * ttl.CHUNK_TTLS)).alias("chunk")).groupBy("cache_key", "chunk").count()
+    assert times.agg(F.max("count")).first()[0] <= 0.01 * len(rows)
+
+
 def test_requests_without_key_or_time_are_no_hits(spark):
     rows = [(1, "a", 0.0), (2, None, 1.0), (3, "a", None), (4, None, None), (5, "a", 1.0), (6, "a", 0.0)]
     df = spark.createDataFrame(rows, "request_id bigint, cache_key string, at double")
@@ -141,14 +192,13 @@ def peak_and_recovery(points):
     return v.max(), t[last], done, not (zeros > last).any()
 
 
-@pytest.mark.parametrize("width", [1.0, 10.0, 1000.0])
-def test_recovery(spark, width):
+def test_recovery(spark, ranges):
     rng = np.random.default_rng(11)
     series = {"two drains": [0, 3, 1, 0, 2, 0, 5, 4, 0, 1], "never": [1, 2, 3], "flat": [0, 0, 0], "old value stays": [4, 0, 6, 1],
               "random": [int(x) for x in np.maximum(0, rng.integers(-6, 12, 200))]}
     rows = [(k, float(t) * 1.5, int(v)) for k, vs in series.items() for t, v in enumerate(vs)]
     df = spark.createDataFrame(rows, "k string, t double, total bigint")
-    got = {r["k"]: r for r in B.recovery(df, "k", width).collect()}
+    got = {r["k"]: r for r in B.recovery(df, "k").collect()}
     for k in series:
         points = [(t, v) for kk, t, v in rows if kk == k]
         peak, peak_t, done, draining = peak_and_recovery(points)

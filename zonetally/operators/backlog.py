@@ -28,33 +28,29 @@ def total_lag(polls: DataFrame, topics: list[str]) -> DataFrame:
     )
 
 
-def in_flight(spans: DataFrame, key: str, start: str, end: str, chunk_seconds: float = 3600.0) -> DataFrame:
+def in_flight(spans: DataFrame, key: str, start: str, end: str) -> DataFrame:
     """Number of open spans after each change: (key, t, total), one row per key and time."""
     changes = spans.select(key, F.inline(F.array(
         F.struct(F.col(start).alias("t"), F.lit(1).alias("step")),
         F.struct(F.col(end).alias("t"), F.lit(-1).alias("step")),
     ))).groupBy(key, "t").agg(F.sum("step").alias("step"))
-    return prefix.running_sum(
-        changes, [key], ["t"], prefix.time_chunk("t", chunk_seconds), F.col("step"), "total"
-    ).drop("step")
+    return prefix.running_sum(changes, [key], ["t"], F.col("step"), "total").drop("step")
 
 
-def running_peak(backlog: DataFrame, key: str, chunk_seconds: float = 3600.0) -> DataFrame:
+def running_peak(backlog: DataFrame, key: str) -> DataFrame:
     """Adds `peak`, the largest total so far (at least 0)."""
-    return prefix.running_max(
-        backlog, [key], ["t"], prefix.time_chunk("t", chunk_seconds),
-        F.greatest(F.col("total"), F.lit(0)), "peak")
+    return prefix.running_max(backlog, [key], ["t"], F.greatest(F.col("total"), F.lit(0)), "peak")
 
 
-def new_peaks(backlog: DataFrame, key: str, chunk_seconds: float = 3600.0) -> DataFrame:
+def new_peaks(backlog: DataFrame, key: str) -> DataFrame:
     """Every time the peak grew, and to what. Peaks only grow, so a peak's first row set it."""
     return (
-        running_peak(backlog, key, chunk_seconds).where(F.col("peak") > 0)
+        running_peak(backlog, key).where(F.col("peak") > 0)
         .groupBy(key, "peak").agg(F.min("t").alias("peak_time"))
     )
 
 
-def recovery(backlog: DataFrame, key: str, chunk_seconds: float = 3600.0) -> DataFrame:
+def recovery(backlog: DataFrame, key: str) -> DataFrame:
     """Peak and recovery time per key.
 
     Each value of the running peak names one segment: the rows from that peak to
@@ -63,7 +59,7 @@ def recovery(backlog: DataFrame, key: str, chunk_seconds: float = 3600.0) -> Dat
     """
     first_zero = F.min(F.when(F.col("total") == 0, F.col("t")))
     segments = (
-        running_peak(backlog, key, chunk_seconds)
+        running_peak(backlog, key)
         .groupBy(key, "peak").agg(F.min("t").alias("peak_time"), first_zero.alias("zero_time"),
                                   F.max("t").alias("end"), F.max_by("total", "t").alias("total"))
     )

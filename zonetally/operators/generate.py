@@ -19,21 +19,21 @@ def zipf_probabilities(items: DataFrame, rank: str, s: float = 1.2) -> DataFrame
     return weighted.withColumn("probability", F.col("_w") / total).drop("_w")
 
 
-def rank_by(items: DataFrame, order: str, chunk: Column, out: str = "rank") -> DataFrame:
-    """Position of each item in the order of a unique column, counted chunk by chunk."""
-    return prefix.running_sum(items, [], [order], chunk, F.lit(1), out)
+def rank_by(items: DataFrame, order: str, out: str = "rank") -> DataFrame:
+    """Position of each item in the order of a unique column, counted range by range."""
+    return prefix.running_sum(items, [], [order], F.lit(1), out)
 
 
-def cumulative_intervals(items: DataFrame, order: str, chunk: Column) -> DataFrame:
+def cumulative_intervals(items: DataFrame, order: str) -> DataFrame:
     """Gives each item the part [lo, hi) of the unit interval that its probability fills.
 
     Each part begins where the one before ends and the last ends at 1, so every
     number in [0, 1) lies in exactly one of them.
     """
     last = items.agg(F.max(order)).scalar()
-    summed = prefix.running_sum(items, [], [order], chunk, F.col("probability"), "hi")
+    summed = prefix.running_sum(items, [], [order], F.col("probability"), "hi")
     closed = summed.withColumn("hi", F.when(F.col(order) == last, 1.0).otherwise(F.least("hi", F.lit(1.0))))
-    bounded = prefix.previous(closed, [], [order], chunk, {"lo": F.col("hi")})
+    bounded = prefix.previous(closed, [], [order], {"lo": F.col("hi")})
     return bounded.withColumn("lo", F.coalesce("lo", F.lit(0.0)))
 
 
@@ -82,7 +82,7 @@ def arrival_times(rows: DataFrame, order: str, gap: Column, chunk: Column, rate:
     The gaps are summed at unit rate. With a spike, the first arrival at or after
     `spike_at` is found on the base rate, and later gaps run at the spike rate.
     """
-    summed = prefix.running_sum(rows.withColumn("_gap", gap), [], [order], chunk, F.col("_gap"), "_sum")
+    summed = prefix.running_sum(rows.withColumn("_gap", gap), [], [order], F.col("_gap"), "_sum", chunk)
     at = F.col("_sum") - F.col("_gap")
     if spike_at is None or spike_rate is None:
         return summed.withColumn("arrival_sec", at / rate).drop("_gap", "_sum")

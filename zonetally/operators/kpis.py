@@ -269,10 +269,10 @@ def newest_hit_rate(events: DataFrame, group: str, n: int = 200, buffer: int = 1
         F.round(C.ratio(F.count_if(F.col("cache") == "HIT"), F.count(F.lit(1))), 4).alias("hit_rate_window"))
 
 
-def counter_rate(polls: DataFrame, source: str, seconds: str, counter: str, out: str, chunk_seconds: float = 86400.0) -> DataFrame:
+def counter_rate(polls: DataFrame, source: str, seconds: str, counter: str, out: str) -> DataFrame:
     """Change per minute of a cumulative counter since the poll before; null without a time step."""
     with_previous = prefix.previous(
-        polls, [source], [seconds], prefix.time_chunk(seconds, chunk_seconds),
+        polls, [source], [seconds],
         {"_counter": F.col(counter), "_seconds": F.col(seconds)})
     step = F.col(seconds) - F.col("_seconds")
     return with_previous.withColumn(

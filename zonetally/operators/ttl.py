@@ -23,6 +23,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonetally.operators import prefix
+from zonetally.session import store
+
 CHUNK_TTLS = 16
 NEVER = -(2 ** 62)
 
@@ -97,25 +100,6 @@ def _summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "entry_us": t[idx], "exit_us": exits})
 
 
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """End time with which each chunk starts."""
-    key, until = None, NEVER
-    for pdf in _whole_groups(batches, ["cache_key", "chunk"]):
-        g = _group_numbers(pdf, ["cache_key", "chunk"])
-        heads = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
-        tails = np.r_[heads[1:], len(g)]
-        keys, entries, exits = pdf["cache_key"].to_numpy(), pdf["entry_us"].to_numpy(), pdf["exit_us"].to_numpy()
-        starts = np.empty(len(heads), dtype=np.int64)
-        for i, (a, b) in enumerate(zip(heads, tails)):
-            if keys[a] != key:
-                key, until = keys[a], NEVER
-            starts[i] = until
-            first = a + int(np.searchsorted(entries[a:b], until))
-            if first < b:
-                until = int(exits[first])
-        yield pd.DataFrame({"cache_key": keys[heads], "chunk": pdf["chunk"].to_numpy()[heads], "valid_until_us": starts})
-
-
 def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Store times of each chunk."""
     for pdf in _whole_groups(batches, ["cache_key", "chunk"]):
@@ -134,6 +118,51 @@ def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"cache_key": pdf["cache_key"].to_numpy()[idx], "stored_us": t[idx]})
 
 
+def _links(steps: DataFrame) -> DataFrame:
+    """Each record with `next`, `after` (its key's next two chunks that have records: chunk, first, last), `passes` (whether
+    its end time lies beyond the records of the next) and `to`, the entry that follows from it; null at the end of a key.
+
+    An end time lies less than a ttl inside the chunk behind its own. If all requests there are earlier, that chunk stores nothing and
+    the first entry of the one after follows.
+    """
+    chunks = steps.groupBy("cache_key", "chunk").agg(F.min("entry_us").alias("first"), F.max("entry_us").alias("last"))
+    of = F.struct("chunk", "first", "last")
+    lead = prefix.previous(chunks.withColumn("_down", -F.col("chunk")), ["cache_key"], ["_down"], {"next": of}).drop("_down")
+    lead = store(steps.sparkSession, lead, "chunks")
+    beyond = lead.select("cache_key", F.struct("chunk", "next").alias("_of"))
+    beyond = beyond.select(F.col("cache_key").alias("_key"), F.col("_of.chunk").alias("_chunk"), F.col("_of.next").alias("after"))
+    lead = lead.join(beyond, F.expr("cache_key = _key and next.chunk = _chunk"), "left").select("cache_key", "chunk", "next", "after")
+    records = steps.join(lead, ["cache_key", "chunk"]).withColumn("passes", F.col("exit_us") > F.col("next.last"))
+    # the first entry at or after each end time: both stand in one order, ends before entries of the same time
+    ask = records.where("not passes").select("cache_key", F.col("next.chunk").alias("chunk"), F.col("exit_us").alias("us"), F.col("entry_us").alias("asks"))
+    there = steps.select("cache_key", "chunk", F.col("entry_us").alias("us"), F.lit(None).cast("bigint").alias("asks"))
+    on = Window.partitionBy("cache_key", "chunk").orderBy("us", F.col("asks").isNull()).rowsBetween(0, Window.unboundedFollowing)
+    found = ask.union(there).withColumn("_to", F.min(F.when(F.col("asks").isNull(), F.col("us"))).over(on)).where("asks is not null")
+    found = found.select("cache_key", F.col("asks").alias("entry_us"), "_to")
+    out = records.join(found, ["cache_key", "entry_us"], "left")
+    return out.withColumn("to", F.when(F.col("passes"), F.col("after.first")).otherwise(F.col("_to"))).drop("_to")
+
+
+def _first_ends(steps: DataFrame) -> DataFrame:
+    """(cache_key, chunk, valid_until_us): the end time with which every chunk but a key's first starts."""
+    spark = steps.sparkSession
+    links = store(spark, _links(steps), "links")
+    jumps = store(spark, links.where("to is not null").select("cache_key", "entry_us", "to"), "jumps")
+    levels = []
+    while not jumps.isEmpty():
+        levels.append(jumps)
+        onward = jumps.select("cache_key", F.col("entry_us").alias("to"), F.col("to").alias("_to"))
+        jumps = store(spark, jumps.join(onward, ["cache_key", "to"]).select("cache_key", "entry_us", F.col("_to").alias("to")), "jumps")
+    reached = links.groupBy("cache_key").agg(F.min("entry_us").alias("entry_us"))
+    for level in reversed(levels):  # who is reached in steps of 2^k, from the longest to single ones
+        both = F.when(F.col("to").isNull(), F.array("entry_us")).otherwise(F.array("entry_us", "to"))
+        reached = reached.join(level, ["cache_key", "entry_us"], "left").select("cache_key", F.explode(both).alias("entry_us"))
+    on_path = links.join(reached, ["cache_key", "entry_us"], "left_semi")
+    behind = F.when(F.col("passes"), F.array("next", "after")).otherwise(F.array("next"))
+    return on_path.select("cache_key", "exit_us", F.explode(behind).alias("c")).where("c is not null").select(
+        "cache_key", F.col("c.chunk").alias("chunk"), F.col("exit_us").alias("valid_until_us"))
+
+
 def store_times(requests: DataFrame, seconds: str, ttl_seconds: Column) -> DataFrame:
     """(cache_key, stored_us): when each key's answer was stored."""
     times = requests.select(
@@ -145,12 +174,9 @@ def store_times(requests: DataFrame, seconds: str, ttl_seconds: Column) -> DataF
     placed = times.repartition("cache_key", "chunk").distinct()  # equal times count once; no further shuffle
     steps = placed.sortWithinPartitions("cache_key", "chunk", "us").mapInPandas(
         _summarise, "cache_key string, chunk bigint, entry_us bigint, exit_us bigint")
-    starts = (
-        steps.repartition("cache_key").sortWithinPartitions("cache_key", "chunk", "entry_us")
-        .mapInPandas(_walk, "cache_key string, chunk bigint, valid_until_us bigint")
-    )
+    starts = _first_ends(store(requests.sparkSession, steps, "steps"))
     return (
-        placed.join(starts.hint("shuffle_merge"), ["cache_key", "chunk"])
+        placed.join(starts.hint("shuffle_merge"), ["cache_key", "chunk"], "left").na.fill(NEVER, ["valid_until_us"])
         .sortWithinPartitions("cache_key", "chunk", "us")
         .mapInPandas(_replay, "cache_key string, stored_us bigint")
     )

@@ -135,7 +135,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("m"), F.col("user_id").cast("string"), F.lit("-"), F.col("ts").cast("date").cast("string")).alias("uuid"),
         C.epoch_seconds("ts").alias("ts"), "event_id", (F.col("user_id") % 6).alias("worker"),
         (~F.col("event_type").isin("error", "signup")).alias("ok"))
-    numbered = prefix.running_sum(e, ["uuid"], ["ts", "event_id"], prefix.time_chunk("ts"), F.lit(1), "attempt")
+    numbered = prefix.running_sum(e, ["uuid"], ["ts", "event_id"], F.lit(1), "attempt", prefix.time_chunk("ts"))
     return numbered.withColumn("retry_count", F.col("attempt") - 1)
 
 

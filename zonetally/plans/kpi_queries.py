@@ -364,7 +364,7 @@ def evictions(spark, d, by="worker"):
     """Daily polls of a counter that only grows, per worker (or run)."""
     e = query_events(spark, d).where(F.col("event") == "miss")
     daily = e.groupBy(by, (F.floor(F.col("ts") / 86400.0) * 86400.0).cast("double").alias("poll_sec")).agg(F.count(F.lit(1)).alias("_n"))
-    return prefix.running_sum(daily, [by], ["poll_sec"], prefix.time_chunk("poll_sec", 604800.0), F.col("_n"), "evicted").drop("_n")
+    return prefix.running_sum(daily, [by], ["poll_sec"], F.col("_n"), "evicted").drop("_n")
 
 
 @query("win03_counter_rate", """
@@ -373,7 +373,7 @@ polls as (select worker, poll_sec, (sum(n) over (partition by worker order by po
 select worker, poll_sec, evicted, round((evicted - lag(evicted) over w) * 60.0::double / (poll_sec - lag(poll_sec) over w), 2) as rate_per_min
 from polls window w as (partition by worker order by poll_sec)""", E)
 def _(spark, d):
-    return K.counter_rate(evictions(spark, d), "worker", "poll_sec", "evicted", "rate_per_min", 604800.0)
+    return K.counter_rate(evictions(spark, d), "worker", "poll_sec", "evicted", "rate_per_min")
 
 
 @query("win07_rolling_count", """

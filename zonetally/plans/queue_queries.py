@@ -74,7 +74,7 @@ pk as (select *, case when total > coalesce(max(total) over (partition by topic
 select topic, max(total) as peak_backlog, max(case when np = 1 then t end) as peak_time from pk group by 1""", P)
 def _(spark, d):
     lag = B.topic_lag(offset_polls(spark, d)).select("topic", F.unix_timestamp("poll_ts").cast("double").alias("t"), F.col("lag").alias("total"))
-    return B.recovery(lag, "topic", 604800.0).select("topic", "peak_backlog", "peak_time")
+    return B.recovery(lag, "topic").select("topic", "peak_backlog", "peak_time")
 
 
 @query("str06_routed_attempts_batch", """

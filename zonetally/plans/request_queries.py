@@ -317,7 +317,7 @@ bounds as (select *, sum(probability) over (order by rank) as hi, sum(probabilit
 def _users(spark, d):
     """Users in the order of their ids, with the probability of their rank."""
     users = table(spark, d, "events").select("user_id").distinct()
-    ranked = G.rank_by(users, "user_id", F.floor(F.col("user_id") / 1000))
+    ranked = G.rank_by(users, "user_id")
     return G.zipf_probabilities(ranked, "rank")
 
 
@@ -330,7 +330,7 @@ def _(spark, d):
 select event_id, b.user_id, b.rank from (select event_id, {_u_sql("'draw'", "event_id")} as u from events) e
 join bounds b on u >= lo and u < hi""")
 def _(spark, d):
-    intervals = G.cumulative_intervals(_users(spark, d), "rank", F.floor(F.col("rank") / 1000))
+    intervals = G.cumulative_intervals(_users(spark, d), "rank")
     draws = table(spark, d, "events").select("event_id", C.uniform01("draw", F.col("event_id")).alias("u"))
     return G.sample_items(draws, "u", intervals).select("event_id", "user_id", "rank")
 
