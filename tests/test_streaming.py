@@ -125,14 +125,20 @@ def test_history_over_several_batches(spark, topic, tmp_path):
     assert got == want and {(r[0], r[1]) for r in got} == {("a", "dead_letter"), ("b", "ok"), ("c", "recovered"), ("d", "pending")}
 
 
-def test_reuse_over_several_batches(spark, topic, tmp_path):
+def test_reuse_out_of_order(spark, topic, tmp_path):
+    """Batches overlap in time; each row comes within the delay, but for late ones that are counted and left out."""
     rng = np.random.default_rng(8)
     times = np.sort(np.round(rng.random(120) * 300, 3))
     rows = [{"request_id": i, "cache_key": "hot" if i % 3 else f"k{i % 7}", "us": int(round(t * 1e6)), "ttl_us": 20_000_000} for i, t in enumerate(times)]
-    stream = ST.hit_or_miss_stream(parse_json(file_stream(spark, str(topic.path)), REQUEST))
-    for part in range(0, 120, 30):
-        topic.add(rows[part:part + 30])
-        run(stream, J.upsert(str(tmp_path / "out")), tmp_path, "append")
+    came = sorted(rows, key=lambda r: r["us"] + rng.integers(0, 100_000_000))
+    closing = {"request_id": None, "cache_key": None, "us": 10_000_000_000, "ttl_us": None}
+    no_answer = [{"request_id": 900, "cache_key": None, "us": 5_000_000, "ttl_us": 1}, {"request_id": 901, "cache_key": "hot", "us": 6_000_000, "ttl_us": None}]
+    stream, late = ST.hit_or_miss_stream(parse_json(file_stream(spark, str(topic.path)), REQUEST), "110 seconds"), 0
+    for batch in ([*came[:40], *no_answer], came[40:80], came[80:], [closing], rows[:9]):
+        topic.add(batch)
+        query = J.start(stream, J.upsert(str(tmp_path / "out")), str(tmp_path / "state"), J.UNTIL_EMPTY, "append")
+        query.awaitTermination()
+        late += ST.late_rows(query)
     got = {r["request_id"]: r["cache"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     until: dict[str, int] = {}
     for r in rows:
@@ -140,6 +146,7 @@ def test_reuse_over_several_batches(spark, topic, tmp_path):
         if miss:
             until[r["cache_key"]] = r["us"] + r["ttl_us"]
         assert got[r["request_id"]] == ("MISS" if miss else "HIT")
+    assert len(got) == len(rows) and late == 9
 
 
 def test_routing_writes_each_target(spark, topic, tmp_path):

@@ -95,8 +95,24 @@ def test_newest(spark, series, n):
     want = series.assign(t=series["t"].round(0)).sort_values(["t", "id"], ascending=False)
     per_group = set(want.groupby("g").head(n)["id"])
     assert {r["id"] for r in newest_of_few(df, "g", ["hot", "a", "b", "c", "d"], "t", "id", n, 50.0).collect()} == per_group
-    assert {r["id"] for r in newest_of_many(df, ["g"], "t", "id", n, 100.0).collect()} == per_group
-    assert {r["id"] for r in newest_overall(df, "t", "id", n, 50.0).collect()} == set(want.head(n)["id"])
+    assert {r["id"] for r in newest_of_many(df, ["g"], "t", "id", n).collect()} == per_group
+    assert {r["id"] for r in newest_overall(df, "t", "id", n).collect()} == set(want.head(n)["id"])
+
+
+def test_newest_of_a_spike(spark, monkeypatch):
+    """A million rows of one group in one second: tasks and heats send no more than n rows of it each."""
+    from zonetally.operators import newest
+
+    monkeypatch.setattr(newest, "HEATS", 4)
+    df = spark.range(0, 1_000_000, 1, 20).select(F.lit("hot").alias("g"), F.lit(5.0).alias("t"), "id")
+    out = newest_of_many(df, ["g"], "t", "id", 50)
+    assert sorted(r["id"] for r in out.collect()) == list(range(999_950, 1_000_000))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4
+    sent = newest._round(df.withColumn("_heat", F.spark_partition_id() % 4), ["g", "_heat"], "t", "id", 50)
+    assert sent.count() == 4 * 50
+    top = newest_overall(df, "t", "id", 50)
+    assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString() and top.count() == 50
 
 
 def test_exact_percentiles(spark):

@@ -1,16 +1,30 @@
-"""The newest N rows of each group."""
+"""The newest N rows of each group.
+
+Rows compete in rounds. Each task first keeps the newest N of every group among its own rows (Spark's
+group limit in front of a ranked window). Winners of tasks meet in one of a fixed number of heats per
+group, and the heats' winners in a final. So no task ranks more than N rows of a group per task or heat that
+sends them, also if all of a group's rows have one time.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Heats of a group.
+HEATS = 256
 
-def _ranked(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int) -> DataFrame:
+
+def _round(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int) -> DataFrame:
     w = Window.partitionBy(*groups).orderBy(F.desc(seconds), F.desc(tie))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def _ranked(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int) -> DataFrame:
+    heats = _round(df.withColumn("_heat", F.spark_partition_id() % HEATS), [*groups, "_heat"], seconds, tie, n)
+    return _round(heats.drop("_heat"), groups, seconds, tie, n)
+
+
 def newest_of_few(df: DataFrame, group: str, members: list, seconds: str, tie: str, n: int, slot_seconds: float = 60.0) -> DataFrame:
     """Newest N rows of each group in a fixed list; other groups are not asked for.
 
@@ -31,24 +45,11 @@ def newest_of_few(df: DataFrame, group: str, members: list, seconds: str, tie: s
     return _ranked(candidates, [group], seconds, tie, n)
 
 
-def newest_of_many(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int, chunk_seconds: float = 86400.0) -> DataFrame:
-    """Newest N rows for any number of groups.
-
-    Ranked inside (group, time chunk) first, so that a group with a large part
-    of all rows is cut in many tasks before its survivors meet in one.
-    """
-    chunked = df.withColumn("_chunk", F.floor(F.col(seconds) / F.lit(float(chunk_seconds))))
-    survivors = _ranked(chunked, [*groups, "_chunk"], seconds, tie, n).drop("_chunk")
-    return _ranked(survivors, groups, seconds, tie, n)
+def newest_of_many(df: DataFrame, groups: list[str], seconds: str, tie: str, n: int) -> DataFrame:
+    """Newest N rows for any number of groups."""
+    return _ranked(df, groups, seconds, tie, n)
 
 
-def newest_overall(df: DataFrame, seconds: str, tie: str, n: int, slot_seconds: float = 60.0) -> DataFrame:
-    """The newest N rows of all. The cut-off is one value, so the scan can filter by it."""
-    slot = F.floor(F.col(seconds) / F.lit(float(slot_seconds)))
-    newer = Window.orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
-    cut = (
-        df.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_newer", F.coalesce(F.sum("_n").over(newer), F.lit(0))).where(F.col("_newer") < n)
-        .agg(F.min("_slot")).scalar()
-    )
-    return df.where(slot >= cut).orderBy(F.desc(seconds), F.desc(tie)).limit(n)
+def newest_overall(df: DataFrame, seconds: str, tie: str, n: int) -> DataFrame:
+    """The newest N rows of all: each task sends its own N."""
+    return df.orderBy(F.desc(seconds), F.desc(tie)).limit(n)

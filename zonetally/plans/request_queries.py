@@ -196,7 +196,7 @@ def _(spark, d):
     return _flat(R.answer_requests(_broken(spark, d), buildings(spark, d), Z.zone_dimension(spark)))
 
 
-CUT = 1705276800.0  # 2024-01-15
+CUT = 1704153600.0  # 2024-01-02
 STORED = f"""
 with k as (select *, {KEY} as cache_key from requests where query_type <> 'Q6'),
 stored as (select cache_key, max(created_at) as stored_at from k where created_at < {CUT} group by 1)

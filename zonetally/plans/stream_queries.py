@@ -232,15 +232,57 @@ REQUEST = T.StructType([
     T.StructField("us", T.LongType()), T.StructField("ttl_us", T.LongType())])
 
 
-@query("str11_hit_or_miss_stream", TTL + "select request_id, cache_key, cache from flag", RQ)
-def _(spark, d):
-    keyed = with_key(requests(spark, d)).where(F.col("query_type") != "Q6").select(
+def _reuse_requests(spark, d):
+    return with_key(requests(spark, d)).where(F.col("query_type") != "Q6").select(
         "request_id", "cache_key", F.round(F.col("created_at") * 1e6).cast("bigint").alias("us"),
         (_long_ttl().cast("bigint") * 1000000).alias("ttl_us"))
-    stream = parse_json(_text_stream(spark, _json(keyed)), REQUEST)
+
+
+def _closing(keyed):
+    """A row without a request, a year after the last one: it has the requests before it judged."""
+    year = 366 * 86400 * 1000000
+    return keyed.agg(F.lit(None).cast("bigint").alias("request_id"), F.lit(None).cast("string").alias("cache_key"),
+                     (F.max("us") + year).alias("us"), F.lit(None).cast("bigint").alias("ttl_us"))
+
+
+def _judged(spark, path, delay, files_per_batch=None):
+    """The answers, and how many rows were late."""
+    stream = parse_json(file_stream(spark, path, files_per_batch=files_per_batch), REQUEST)
     out = scratch_path(spark, "answers")
-    _run(ST.hit_or_miss_stream(stream), J.upsert(out), scratch_path(spark, "state"), "append")
-    return spark.read.schema(ST.REUSE_OUT).parquet(out).select("request_id", "cache_key", "cache")
+    run = J.start(ST.hit_or_miss_stream(stream, delay), J.upsert(out), scratch_path(spark, "state"), J.UNTIL_EMPTY, "append")
+    run.awaitTermination()
+    return spark.read.schema(ST.REUSE_OUT).parquet(out).select("request_id", "cache_key", "cache"), ST.late_rows(run)
+
+
+@query("str11_hit_or_miss_stream", TTL + "select request_id, cache_key, cache from flag", RQ)
+def _(spark, d):
+    keyed, path = _reuse_requests(spark, d), scratch_path(spark, "in")
+    for rows in (keyed, _closing(keyed)):
+        _json(rows).write.mode("append").text(path)
+    return _judged(spark, path, "2 minutes")[0]
+
+
+def _out_of_order(spark, d, again=None):
+    """Requests in three files, each row up to ten days later than it was made; then the closing row. Rows that come
+    `again` are late: the batch after the closing row's judges the others, and the one behind that finds them passed."""
+    keyed, path = _reuse_requests(spark, d), scratch_path(spark, "in")
+    days = F.floor((F.col("us") / 86400000000 + F.pmod(F.xxhash64("request_id"), F.lit(10))) / 10)
+    first = keyed.agg(F.min(days)).first()[0] or 0
+    part = F.least(days - first, F.lit(2))
+    for rows in (*(keyed.where(part == n) for n in range(3)), _closing(keyed), *([_closing(keyed), again(keyed)] if again else [])):
+        _json(rows).coalesce(1).write.mode("append").text(path)
+    return path
+
+
+@query("str13_requests_out_of_order", TTL + "select request_id, cache_key, cache from flag", RQ)
+def _(spark, d):
+    return _judged(spark, _out_of_order(spark, d), "40 days", 1)[0]
+
+
+@query("str14_late_requests_counted", "select count(*) as late, (select count(*) from requests where query_type <> 'Q6') as judged from requests where query_type <> 'Q6' and request_id % 7 = 0", RQ)
+def _(spark, d):
+    answers, late = _judged(spark, _out_of_order(spark, d, lambda keyed: keyed.where("request_id % 7 = 0")), "40 days", 1)
+    return answers.agg(F.lit(late).cast("bigint").alias("late"), F.count(F.lit(1)).alias("judged"))
 
 
 MESSAGE = T.StructType([T.StructField("uuid", T.StringType()), T.StructField("retry_count", T.LongType())])
