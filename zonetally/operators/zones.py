@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from zonetally.functions import columns as C
 from zonetally.functions import domains as D
-from zonetally.session import small
+from zonetally.session import small, store
 
 
 def zone_dimension(spark: SparkSession, more: list[tuple] | None = None) -> DataFrame:
@@ -86,7 +86,9 @@ def _with_all(rows: DataFrame, zones: DataFrame, out: str) -> DataFrame:
 
 
 def compare_zones(densities: DataFrame) -> DataFrame:
-    """Denser zone of every ordered pair; a tie goes to the second zone."""
+    """Denser zone of every ordered pair; a tie goes to the second zone. Densities are stored, one row per zone, so
+    that pairs, zones and their number are read from them and buildings are summed up once."""
+    densities = store(densities.sparkSession, densities, "densities")
     b = densities.select(F.col("zone_id").alias("zone_b"), F.col("density_per_km2").alias("density_b"))
     pairs = _with_all(densities, densities, "zone_b").select(
         F.col("zone_id").alias("zone_a"), "confidence_min", F.col("density_per_km2").alias("density_a"), "zone_b")
