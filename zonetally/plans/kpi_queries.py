@@ -9,11 +9,13 @@ from zonetally.functions import columns as C
 from zonetally.functions import domains as D
 from zonetally.operators import kpis as K
 from zonetally.operators import prefix
+from zonetally.operators import sketches as SK
 from zonetally.operators.newest import newest_of_few, newest_of_many, newest_overall
 from zonetally.operators.percentiles import exact_percentiles
 from zonetally.plans.fixtures import query_events, table
 from zonetally.plans.registry import query, rounded
-from zonetally.sources.readers import parse_json, read_events
+from zonetally.session import store
+from zonetally.sources.readers import parse_json, read_events, together
 
 E = ("query_events",)
 RUNS = [f"{p}_{s}_{t}" for p in D.POLICIES for s in D.SIZES for t in D.DISTRIBUTIONS]
@@ -290,6 +292,41 @@ def _(spark, d):
     return iso_windows(windowed(spark, d))
 
 
+PANE = 1800
+
+
+def stored_panes(spark, d):
+    records = K.metric_records(query_events(spark, d)).withColumn("event_time", C.event_time())
+    return store(spark, SK.window_panes(records, seconds=PANE), "panes")
+
+
+@query("agg17_windows_from_panes", WINDOWS + WINDOW_ROWS, E)
+def _(spark, d):
+    return iso_windows(SK.windows_of_panes(stored_panes(spark, d), PANE, 3600, 1800))
+
+
+OTHER_LENGTHS = ((3600 * 2, 1800), (3600 * 6, 3600 * 3), (86400, 86400))
+OTHER_WINDOWS = """
+with rec as (select make_timestamp(cast(round(ts * 1e6) as bigint)) as t, end_to_end_ms as latency_ms, cache, retry_count
+  from query_events where event = 'processed'),
+len(length, slide) as (values """ + ", ".join(f"({a}, {b})" for a, b in OTHER_LENGTHS) + """),
+win as (select length, to_timestamp(cast(floor(epoch(t) / slide) as bigint) * slide - k * slide)::timestamp as w, rec.*
+  from rec, len, range(48) r(k) where k < length / slide)
+select length, strftime(w, '%Y-%m-%dT%H:%M:%S') as window_start, count(*) as events_in_window,
+  quantile_disc(latency_ms, 0.5) as p50_ms, quantile_disc(latency_ms, 0.95) as p95_ms,
+  round(avg(case when cache = 'HIT' then 1::double else 0 end), 6) as hit_rate from win group by length, w"""
+
+
+@query("agg17_other_lengths_from_panes", OTHER_WINDOWS, E)
+def _(spark, d):
+    """Windows of three lengths out of one table of panes; the events are read once, for the panes."""
+    panes = stored_panes(spark, d)
+    kpis = [SK.windows_of_panes(panes, PANE, length, slide).select(
+        F.lit(length).alias("length"), C.iso("window_start").alias("window_start"), "events_in_window", "p50_ms", "p95_ms", "hit_rate")
+        for length, slide in OTHER_LENGTHS]
+    return rounded(together(*kpis), 6, "hit_rate")
+
+
 @query("prj03_window_bounds", WINDOWS + """select strftime(w, '%Y-%m-%dT%H:%M:%S') as window_start,
   strftime(w + interval 1 hour, '%Y-%m-%dT%H:%M:%S') as window_end, count(*) as n from win group by w""", E)
 def _(spark, d):
@@ -323,6 +360,22 @@ def _(spark, d):
         F.percentile_approx("value", 0.5, 1000000).alias("p50"), F.percentile_approx("value", 0.95, 1000000).alias("p95"))
 
 
+@query("agg19_merged_sketches", """
+select event_type, count(*) as n, true as p50_within_1_percent, true as p95_within_1_percent, true as p99_within_1_percent from events group by 1""")
+def _(spark, d):
+    """Sketches of days, stored and merged by type: whether the ranks of their percentiles among all values are right to 1 %."""
+    e = table(spark, d, "events").select("event_type", "value", F.to_date("ts").alias("day"))
+    days = store(spark, e.groupBy("event_type", "day").agg(SK.quantile_sketch("value").alias("values")), "sketches")
+    shares = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    found = days.groupBy("event_type").agg(SK.merged_quantiles("values").alias("values")).select(
+        "event_type", F.kll_sketch_get_n_double("values").alias("n"), *[SK.quantile("values", q).alias(p) for p, q in shares.items()])
+    ranks = e.join(F.broadcast(found), "event_type").groupBy("event_type", "n").agg(*[
+        F.struct(F.avg((F.col("value") < F.col(p)).cast("int")).alias("below"), F.avg((F.col("value") <= F.col(p)).cast("int")).alias("to")).alias(p)
+        for p in shares])
+    return ranks.select("event_type", "n", *[
+        ((F.col(f"{p}.below") <= q + 0.01) & (F.col(f"{p}.to") >= q - 0.01)).alias(f"{p}_within_1_percent") for p, q in shares.items()])
+
+
 # ---- ordered windows ---------------------------------------------------------
 
 @query("win01_newest_per_list", f"""

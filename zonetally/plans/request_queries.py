@@ -9,12 +9,14 @@ from zonetally.functions import columns as C
 from zonetally.functions import domains as D
 from zonetally.operators import generate as G
 from zonetally.operators import requests as R
+from zonetally.operators import sketches as SK
 from zonetally.operators import ttl
 from zonetally.operators import zones as Z
 from zonetally.plans.fixtures import buildings, requests, table
 from zonetally.plans.kpi_queries import payloads
 from zonetally.plans.registry import query, rounded
 from zonetally.plans.zone_queries import _index_sql
+from zonetally.session import store
 from zonetally.sources.readers import split_json
 from zonetally.sources.writers import topic_records
 
@@ -240,6 +242,20 @@ def _(spark, d):
     return spark.range(1).select((F.abs(about - exact) <= F.greatest(F.lit(3), exact * 0.03)).alias("within_3_percent"))
 
 
+@query("agg23_distinct_keys_of_periods", f"""
+select weekofyear(t) as week, query_type in ('Q1', 'Q2', 'Q3') as one_zone, count(*) as n, count(distinct cache_key) as exact_keys, true as within_3_percent
+from (select {KEY} as cache_key, query_type, make_timestamp(cast(round(created_at * 1e6) as bigint)) as t from requests) group by 1, 2""", RQ)
+def _(spark, d):
+    """Distinct keys per week and group of types out of stored sketches per day and type, next to the exact counts."""
+    asked = [F.weekofyear("day").alias("week"), F.col("query_type").isin("Q1", "Q2", "Q3").alias("one_zone")]
+    daily = keyed(spark, d).withColumn("day", F.to_date(F.timestamp_seconds("created_at")))
+    sketches = store(spark, SK.distinct_sketches(daily, ["query_type", "day"]), "sketches")
+    about = SK.distinct_of(sketches, asked)
+    exact = daily.groupBy(*asked).agg(F.count_distinct("cache_key").alias("exact_keys"))
+    near = F.abs(F.col("n_keys") - F.col("exact_keys")) <= F.col("exact_keys") * 0.03
+    return about.join(exact, ["week", "one_zone"]).select("week", "one_zone", "n", "exact_keys", near.alias("within_3_percent"))
+
+
 TTL = f"""
 with k as (select request_id, {KEY} as cache_key, cast(round(created_at * 1e6) as bigint) as us,
   720000000::bigint * case query_type when 'Q1' then 300 when 'Q2' then 300 when 'Q3' then 180 when 'Q4' then 120 else 600 end as ttl

@@ -13,6 +13,7 @@ from zonetally import schemas
 from zonetally.functions import columns as C
 from zonetally.operators import backlog as B
 from zonetally.operators import kpis as K
+from zonetally.operators import sketches as SK
 from zonetally.operators.requests import with_key
 from zonetally.plans.fixtures import attempts, offset_polls, query_events, requests
 from zonetally.plans.kpi_queries import WINDOW_ROWS, WINDOWS, iso_windows, payloads
@@ -123,6 +124,16 @@ def _(spark, d):
         T.StructField("window_start", T.StringType()), T.StructField("n", T.LongType())]))
 
 
+@query("str02_windows_from_stored_panes", READABLE + WINDOW_ROWS, E)
+def _(spark, d):
+    """A stream stores panes, in two batches; the windows are put together from them on reading."""
+    out = scratch_path(spark, "panes")
+    stream = file_stream(spark, _in_two_files(spark, payloads(spark, d)), files_per_batch=1)
+    panes = J.pane_stream(stream, "40 days", 1800)
+    _run(panes, J.upsert(out), scratch_path(spark, "state"))
+    return iso_windows(SK.windows_of_panes(read_latest(spark, out, "pane_start", panes.schema), 1800, 3600, 1800))
+
+
 def _in_two_files(spark, lines):
     """The same rows as two files, each over the whole time."""
     path = scratch_path(spark, "in")
@@ -159,6 +170,45 @@ def _(spark, d):
     return read_latest(spark, out, "doc_id", DOCUMENT).select("doc_id", "throughput_per_min")
 
 
+@query("flt03_unreadable_by_batch", """
+select event_id % 2 as batch_id, count(*) as payloads, count(*) filter (where event_id % 97 = 0) as unreadable
+from query_events where event = 'processed' group by 1""", E)
+def _(spark, d):
+    """Counts that the progress reports of the KPI job carry."""
+    lines = J.with_payload_counts(file_stream(spark, _in_two_files(spark, payloads(spark, d)), files_per_batch=1))
+    job = J.kpi_job(lines, scratch_path(spark, "kpis"), scratch_path(spark, "state"), J.UNTIL_EMPTY, delay="40 days", **HOUR)
+    job.awaitTermination()
+    return J.progress_counts(J.recent_progress(job))
+
+
+SORTED = """
+with p as (select event_id, event_id % 2 as batch_id, case when event_id % 97 <> 0 then make_timestamp(cast(round(ts * 1e6) as bigint)) end as t
+  from query_events where event = 'processed'),
+k as (select *, case when t is null then 'unreadable'
+  when batch_id = 1 and t < (select max(t) from p where batch_id = 0) - interval 10 days then 'late' else 'kept' end as kind from p)
+"""
+
+
+def _sorted(spark, d):
+    out = scratch_path(spark, "sorted")
+    stream = file_stream(spark, _in_two_files(spark, payloads(spark, d)), files_per_batch=1)
+    _run(stream, J.sort_payloads(out, "10 days"), scratch_path(spark, "state"), "append")
+    return out
+
+
+@query("str04_late_and_unreadable_counted", SORTED + """
+select batch_id, count(*) as payloads, count(*) filter (where kind = 'unreadable') as unreadable, 0::bigint as untimed,
+  count(*) filter (where kind = 'late') as late, count(*) filter (where kind = 'kept') as kept from k group by 1""", E)
+def _(spark, d):
+    return J.batch_reports(spark, _sorted(spark, d)).drop("newest")
+
+
+@query("str04_late_rows_kept_apart", SORTED + "select batch_id, strftime(t, '%Y-%m-%dT%H:%M:%S') as at, count(*) as n from k where kind = 'late' group by 1, 2", E)
+def _(spark, d):
+    late = J.sorted_payloads(spark, _sorted(spark, d), "late")
+    return late.groupBy("batch_id", C.iso("event_time").alias("at")).agg(F.count(F.lit(1)).alias("n"))
+
+
 ATTEMPT = T.StructType([
     T.StructField("uuid", T.StringType()), T.StructField("ts", T.DoubleType()), T.StructField("attempt", T.LongType()),
     T.StructField("retry_count", T.LongType()), T.StructField("ok", T.BooleanType())])

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,7 +13,8 @@ from zonetally import schemas
 from zonetally.functions import columns as C
 from zonetally.operators import kpis as K
 from zonetally.operators import retries as R
-from zonetally.sources.readers import parse_json
+from zonetally.operators import sketches as SK
+from zonetally.sources.readers import is_json, parse_json
 from zonetally.sources.writers import kpi_documents, this_run, write_version
 
 TRIGGER = {"processingTime": "10 seconds"}
@@ -29,6 +31,11 @@ def kpi_stream(payloads: DataFrame, delay: str = "2 minutes", length: str = "1 m
     return K.window_kpis(timed_records(payloads).withWatermark("event_time", delay), "event_time", length, slide)
 
 
+def pane_stream(payloads: DataFrame, delay: str = "2 minutes", seconds: int = 30) -> DataFrame:
+    """Panes of a stream, to be stored by their start; `windows_of_panes` makes windows of any length of the stored table."""
+    return SK.window_panes(timed_records(payloads).withWatermark("event_time", delay), "event_time", seconds)
+
+
 def start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
           trigger: dict = TRIGGER, mode: str = "update") -> StreamingQuery:
     """Runs `write` on every micro-batch. An error in it stops the query, so no batch is lost."""
@@ -57,6 +64,67 @@ def route_attempts(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def payload_counts() -> list[Column]:
+    """What is counted of the payloads of a batch: all, and those that are no JSON."""
+    return [F.count(F.lit(1)).alias("payloads"), F.count_if(~is_json()).alias("unreadable")]
+
+
+def with_payload_counts(payloads: DataFrame) -> DataFrame:
+    """The same stream, whose progress reports carry the counts of each batch; they come from the job that runs anyway."""
+    return payloads.observe("payload_counts", *payload_counts())
+
+
+SORTED_COUNTS = ("payloads", "unreadable", "untimed", "late", "kept")
+REPORT = "batch_id bigint, newest timestamp, " + ", ".join(f"{c} bigint" for c in SORTED_COUNTS)
+
+
+def batch_reports(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch that `sort_payloads` has written: its counts and the newest time that it held."""
+    try:
+        return spark.read.schema(REPORT).parquet(f"{path}/reports")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], REPORT)
+
+
+def sort_payloads(path: str, delay: str = "2 minutes") -> Callable[[DataFrame, int], None]:
+    """Files every payload of a batch under what it is, and reports how many there were of each kind.
+
+    `unreadable` is no JSON, `untimed` has no time, `late` is older than the newest time of all earlier batches less
+    the delay, the rest is `kept`. So rows that windowed KPIs leave out are neither lost nor uncounted. The counts are observed
+    in the one job that writes the rows. A replayed batch replaces its rows and its report; earlier reports, which decide
+    what is late, stay as they are.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = batch_reports(spark, path).where(F.col("batch_id") < int(batch_id))
+        limit = earlier.agg((F.max("newest") - F.expr(f"interval {delay}")).cast("string")).first()[0]
+        time = F.timestamp_seconds(F.get_json_object("value", "$.ts").try_cast("double"))
+        timed = batch.withColumn("event_time", F.when(is_json(), time))
+        kind = (
+            F.when(~is_json(), "unreadable").when(F.col("event_time").isNull(), "untimed")
+            .when(F.col("event_time") < F.lit(limit).cast("timestamp"), "late").otherwise("kept")
+        )
+        seen = Observation()
+        counts = [F.count_if(F.col("kind") == k).alias(k) for k in SORTED_COUNTS[1:]]
+        sorted_rows = timed.withColumn("kind", kind).observe(
+            seen, F.count(F.lit(1)).alias("payloads"), *counts, F.max("event_time").cast("string").alias("newest"))
+        sorted_rows.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/rows/batch_id={int(batch_id)}")
+        found = seen.get
+        row = spark.range(1).select(
+            F.lit(found["newest"]).cast("timestamp").alias("newest"), *[F.lit(found[c]).cast("bigint").alias(c) for c in SORTED_COUNTS])
+        row.write.mode("overwrite").parquet(f"{path}/reports/batch_id={int(batch_id)}")
+
+    return write
+
+
+def sorted_payloads(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The filed rows of one kind, with the batch that brought them; only their folders are opened."""
+    rows = spark.read.schema("key string, value string, topic string, event_time timestamp, batch_id bigint, kind string").parquet(f"{path}/rows")
+    return rows.where(F.col("kind") == kind).drop("kind")
+
+
 def handle_messages(path: str, publish: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """Files every attempt under its target and sends failed messages on: to the retry topic with the raised count, at
     the end to the dead letters. `publish` is a topic sink."""
@@ -99,9 +167,14 @@ def progress_offsets(progress: DataFrame, value: str = "value") -> DataFrame:
              F.col("_done")[F.col("part")].alias("committed_offset"))
 
 
+def progress_counts(progress: DataFrame, value: str = "value") -> DataFrame:
+    """The counts of `with_payload_counts` per batch, from the progress reports of a query."""
+    fields = "batchId bigint, observedMetrics struct<payload_counts: struct<payloads: bigint, unreadable: bigint>>"
+    report = F.from_json(value, fields)
+    return progress.select(report.alias("r")).select(F.col("r.batchId").alias("batch_id"), "r.observedMetrics.payload_counts.*").where("payloads > 0")
+
+
 def recent_progress(query: StreamingQuery) -> DataFrame:
     """The last reports a running query keeps (a short fixed number) as a table."""
-    from pyspark.sql import SparkSession
-
     spark = SparkSession.getActiveSession()
     return spark.createDataFrame([(p.json if hasattr(p, "json") else str(p),) for p in query.recentProgress], "value string")
