@@ -10,9 +10,10 @@ from zonetally import schemas
 from zonetally.functions import columns as C
 from zonetally.operators import kpis as K
 from zonetally.operators import retries as RT
+from zonetally.operators import sketches as SK
 from zonetally.plans.stream_queries import ATTEMPT, DOCUMENT, REQUEST
 from zonetally.sources.readers import file_stream, parse_json
-from zonetally.sources.writers import compact, kpi_documents, read_latest, write_version
+from zonetally.sources.writers import compact, kpi_documents, read_latest, read_merged, write_merging, write_version
 from zonetally.streaming import jobs as J
 from zonetally.streaming import stateful as ST
 
@@ -187,3 +188,84 @@ def test_kpi_program(spark, topic, tmp_path):
                "--compact-to", str(tmp_path / "c")])
     assert kpis(spark, tmp_path) == batch_kpis(spark, records)
     assert spark.read.parquet(str(tmp_path / "c")).count() == len(kpis(spark, tmp_path))
+
+
+def test_panes_of_a_stream_give_windows_of_any_length(spark, topic, tmp_path):
+    rng = np.random.default_rng(8)
+    rows = [record(1000.0 + i * 2.5, float(np.round(rng.random() * 50, 2)), str(rng.choice(["HIT", "MISS"])), int(rng.integers(3))) for i in range(240)]
+    panes = J.pane_stream(file_stream(spark, str(topic.path), files_per_batch=1))
+    for part in range(0, 240, 80):
+        topic.add(rows[part:part + 80] + ["garbage"])
+        run(panes, J.upsert_merging(str(tmp_path / "panes"), "pane_start", every=2), tmp_path)
+    stored = read_merged(spark, str(tmp_path / "panes"), "pane_start", panes.schema)
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], schemas.METRIC_RECORD).withColumn("event_time", C.event_time())
+    for length, slide in ((60, 30), (300, 150)):
+        want = {r[0]: tuple(r) for r in K.window_kpis(df, length=f"{length} seconds", slide=f"{slide} seconds").collect()}
+        got = {r[0]: tuple(r) for r in SK.windows_of_panes(stored, 30, length, slide).collect()}
+        assert got.keys() == want.keys() and all(got[k][1:] == (want[k][1], *(pytest.approx(x) for x in want[k][2:])) for k in want)
+
+
+def test_payloads_are_sorted_and_counted_by_batch(spark, topic, tmp_path):
+    out = str(tmp_path / "sorted")
+    batches = [
+        [record(1000.0), record(1200.0), "garbage", "{}", '{"ts": "x"}'],
+        [record(1079.0), record(1080.0), record(1500.0), ""],   # the limit is 1200 - 120
+        [record(1379.0), record(1380.0)],
+    ]
+    for batch in batches:
+        topic.add(batch)
+        run(file_stream(spark, str(topic.path), files_per_batch=1), J.sort_payloads(out), tmp_path, "append")
+    reports = [tuple(r)[2:] for r in J.batch_reports(spark, out).orderBy("batch_id").collect()]
+    assert reports == [(5, 1, 2, 0, 2), (4, 1, 0, 1, 2), (2, 0, 0, 1, 1)]
+    late = J.sorted_payloads(spark, out, "late")
+    assert sorted((r["batch_id"], json.loads(r["value"])["ts"]) for r in late.collect()) == [(1, 1079.0), (2, 1379.0)]
+    assert sorted(r["value"] for r in J.sorted_payloads(spark, out, "unreadable").collect()) == ["", "garbage"]
+
+
+def test_replayed_batch_is_sorted_as_before(spark, tmp_path):
+    out, lines = str(tmp_path / "sorted"), "key string, value string, topic string"
+    write = J.sort_payloads(out)
+    first, second = ([(None, json.dumps(record(t)), None) for t in times] for times in ((1000.0, 2000.0), (500.0, 9000.0)))
+    for batch_id, rows in ((0, first), (1, second), (0, first), (1, second), (2, [])):
+        write(spark.createDataFrame(rows, lines), batch_id)
+    reports = [(r["batch_id"], r["payloads"], r["late"], r["kept"]) for r in J.batch_reports(spark, out).orderBy("batch_id").collect()]
+    assert reports == [(0, 2, 0, 2), (1, 2, 1, 1), (2, 0, 0, 0)]
+    assert J.sorted_payloads(spark, out, "kept").count() == 3
+
+
+def test_progress_reports_carry_the_counts(spark, topic, tmp_path):
+    topic.add([record(1000.0), "garbage", "more garbage"])
+    stream = J.kpi_stream(J.with_payload_counts(file_stream(spark, str(topic.path), files_per_batch=1)))
+    found = []
+    for rows in ([], [record(1010.0)]):
+        if rows:
+            topic.add(rows)
+        q = run(stream, J.upsert_kpis(str(tmp_path / "out")), tmp_path)
+        found += [tuple(r)[1:] for r in J.progress_counts(J.recent_progress(q)).collect()]
+    assert found == [(3, 2), (1, 0)]
+
+
+def test_many_batches_are_merged(spark, tmp_path):
+    """60 batches of two runs, replays and a merge that failed before it was named: right rows, few files."""
+    out, schema = str(tmp_path / "table"), T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    want, every = {}, 8
+    for number in range(60):
+        run_no, batch = (1, number) if number < 27 else (2, number - 27)
+        rows = [(f"k{number % 5}", number), (f"n{number}", number), (None, number)]
+        for _replay in range(2 if number % 7 in (0, 1) else 1):
+            write_merging(spark.createDataFrame(rows, schema), batch, out, "k", run_no, every)
+        want |= dict(rows)
+        if number == 40:
+            # a later batch's base that was written in part and never named
+            spark.createDataFrame([("k0", -1)], schema).write.parquet(f"{out}/base=99999999/version=99999999")
+    got = read_merged(spark, out, "k", schema)
+    assert {r["k"]: r["v"] for r in got.collect()} == want and got.count() == len(want)
+    folders = {f.rsplit("/", 1)[0] for f in got.inputFiles()}
+    assert len(folders) <= every and len({f.rsplit("/", 1)[0] for f in folders}) == 1
+
+
+def test_merge_in_the_first_batch(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    write_merging(spark.createDataFrame([("a", 1)], schema), 0, str(tmp_path / "t"), "k", 1, every=1)
+    write_merging(spark.createDataFrame([("a", 2), ("b", 3)], schema), 1, str(tmp_path / "t"), "k", 1, every=1)
+    assert {tuple(r) for r in read_merged(spark, str(tmp_path / "t"), "k", schema).collect()} == {("a", 2), ("b", 3)}

@@ -20,9 +20,11 @@ from zonetally.plans.kpi_queries import WINDOW_ROWS, WINDOWS, iso_windows, paylo
 from zonetally.plans.queue_queries import HISTORY, LAG
 from zonetally.plans.registry import query, rounded
 from zonetally.plans.request_queries import TTL, _long_ttl
-from zonetally.session import scratch_path
+from zonetally.session import scratch_path, store
 from zonetally.sources.readers import file_stream, parse_json, together
-from zonetally.sources.writers import kpi_documents, read_latest, topic_records, topic_sink, write_topic_files, write_version
+from zonetally.sources.writers import (
+    kpi_documents, read_latest, read_merged, topic_records, topic_sink, write_merging, write_topic_files, write_version,
+)
 from zonetally.streaming import jobs as J
 from zonetally.streaming import stateful as ST
 
@@ -102,6 +104,18 @@ def _(spark, d):
     return _latest_kpis(spark, out)
 
 
+@query("snk02_merged_versions", WINDOWS + WINDOW_ROWS, E)
+def _(spark, d):
+    """Two runs of batches, each with a sixth of the windows; the first run's are all replaced. Every fourth batch merges."""
+    out = scratch_path(spark, "merged")
+    full = store(spark, kpi_documents(K.window_kpis(K.metric_records(query_events(spark, d)).withColumn("event_time", C.event_time()), **HOUR)), "kpis")
+    for run, documents in ((1, full.withColumn("hit_rate", F.lit(0.0))), (2, full)):
+        for batch in range(6):
+            part = documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(6)) == batch)
+            write_merging(part, batch, out, "doc_id", run, every=4)
+    return iso_windows(read_merged(spark, out, "doc_id", DOCUMENT).drop("doc_id").withColumnsRenamed(INNER_NAMES))
+
+
 @query("snk03_kpi_contract", WINDOWS + "select strftime(w, '%Y-%m-%dT%H-%M-%S') || '_' || strftime(w + interval 1 hour, '%Y-%m-%dT%H-%M-%S') as doc_id from win group by w", E)
 def _(spark, d):
     full = K.window_kpis(K.metric_records(query_events(spark, d)).withColumn("event_time", C.event_time()), **HOUR)

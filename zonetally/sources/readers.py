@@ -36,7 +36,7 @@ def file_stream(spark: SparkSession, path: str, topic: str | None = None, files_
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path).select(F.lit(None).cast("string").alias("key"), "value", F.lit(topic).alias("topic"))
+    return reader.load(path).select(F.lit(None).cast("string").alias("key"), "value", F.lit(topic).cast("string").alias("topic"))
 
 
 def together(*inputs: DataFrame) -> DataFrame:

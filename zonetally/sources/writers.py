@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +57,17 @@ def write_version(df: DataFrame, batch_id: int, path: str, run: int = 0) -> None
 
 def read_latest(spark: SparkSession, path: str, key: str, schema: T.StructType) -> DataFrame:
     """Newest version of each key. Keys and version numbers find it; the rows are then picked, not sorted."""
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType())])).parquet(path)
+    return _newest(_versions(spark, path, schema), key).select(*schema.names)
+
+
+def _versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType())])).parquet(path)
+
+
+def _newest(rows: DataFrame, key: str) -> DataFrame:
     newest = rows.groupBy(F.col(key).alias("_key")).agg(F.max("version").alias("_newest"))
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("version") == F.col("_newest"))
-    return rows.join(newest, same).select(*schema.names)
+    return rows.join(newest, same).drop("_key", "_newest")
 
 
 def compact(spark: SparkSession, path: str, key: str, schema: T.StructType, target: str, run: int | None = None) -> None:
@@ -70,6 +78,49 @@ def compact(spark: SparkSession, path: str, key: str, schema: T.StructType, targ
     write_version(read_latest(spark, path, key, schema), 0, target, this_run() if run is None else run)
 
 
+def current_base(spark: SparkSession, path: str) -> int:
+    """Version whose rows hold all that was written before it; 0 before the first merge."""
+    try:
+        merged = spark.read.schema("base bigint").parquet(f"{path}/merged")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return merged.agg(F.max("base")).first()[0] or 0
+
+
+def write_merging(df: DataFrame, batch_id: int, path: str, key: str, run: int = 0, every: int = 50) -> None:
+    """`write_version` into a table that every so many batches becomes one version again.
+
+    Versions lie in the folder of the base that they follow. A merge writes the newest rows of all keys, with those of its own batch, as
+    the next base, and only then names it; until then readers see the old base, and a merge that fails is done again
+    with the batch. A base that is named is never written again. Readers open the newest base and less than `every` versions
+    of each run since, whatever has been written before. Replaced bases stay for readers that have opened them; the owner of the
+    folder clears them.
+    """
+    spark, version = df.sparkSession, version_of(run, batch_id)
+    base = current_base(spark, path)
+    if base >= version:
+        return  # replayed after its merge, or older than it
+    if (int(batch_id) + 1) % every:
+        df.write.mode("overwrite").parquet(f"{path}/base={base}/version={version}")
+        return
+    batch = df.withColumn("version", F.lit(version))
+    try:
+        earlier = _versions(spark, f"{path}/base={base}", df.schema).where(F.col("version") < version)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        earlier = batch.limit(0)
+    _newest(earlier.unionByName(batch), key).select(*df.columns).write.mode("overwrite").parquet(f"{path}/base={version}/version={version}")
+    spark.range(1).select(F.lit(version).alias("base")).write.mode("overwrite").parquet(f"{path}/merged/at={version}")
+
+
+def read_merged(spark: SparkSession, path: str, key: str, schema: T.StructType) -> DataFrame:
+    """Newest rows of a table that `write_merging` writes."""
+    return read_latest(spark, f"{path}/base={current_base(spark, path)}", key, schema)
+
+
 def topic_sink(servers: str | None = None, path: str | None = None):
     """Writer of (key, value, topic) batches: to Kafka, or to a folder per topic, in which a replayed batch replaces itself."""
     def write(records: DataFrame, batch_id: int) -> None:

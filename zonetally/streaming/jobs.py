@@ -15,7 +15,7 @@ from zonetally.operators import kpis as K
 from zonetally.operators import retries as R
 from zonetally.operators import sketches as SK
 from zonetally.sources.readers import is_json, parse_json
-from zonetally.sources.writers import kpi_documents, this_run, write_version
+from zonetally.sources.writers import kpi_documents, this_run, write_merging, write_version
 
 TRIGGER = {"processingTime": "10 seconds"}
 UNTIL_EMPTY = {"availableNow": True}
@@ -56,6 +56,12 @@ def upsert(path: str, run: int | None = None) -> Callable[[DataFrame, int], None
     return lambda batch, batch_id: write_version(batch, batch_id, path, run)
 
 
+def upsert_merging(path: str, key: str, run: int | None = None, every: int = 50) -> Callable[[DataFrame, int], None]:
+    """As `upsert`, for streams that run long: every so many batches the table becomes one version again."""
+    run = this_run() if run is None else run
+    return lambda batch, batch_id: write_merging(batch, batch_id, path, key, run, every)
+
+
 def route_attempts(path: str) -> Callable[[DataFrame, int], None]:
     """Writes each attempt to the folder of its target, all targets of a batch in one job."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -81,7 +87,8 @@ REPORT = "batch_id bigint, newest timestamp, " + ", ".join(f"{c} bigint" for c i
 def batch_reports(spark: SparkSession, path: str) -> DataFrame:
     """One row per batch that `sort_payloads` has written: its counts and the newest time that it held."""
     try:
-        return spark.read.schema(REPORT).parquet(f"{path}/reports")
+        found = spark.read.schema(REPORT).parquet(f"{path}/reports")
+        return found.select("batch_id", "newest", *SORTED_COUNTS)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
