@@ -79,3 +79,38 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert nd.group(documents(spark, [])).count() == 0
+
+
+def test_signatures_in_slices_are_those_of_the_whole(monkeypatch):
+    rng = np.random.default_rng(2)
+    sets = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (1, 700, 3, 0, 2500, 40)]
+    whole = nd.signatures(sets, 240)
+    monkeypatch.setattr(nd, "WALKERS", 64)
+    assert (nd.signatures(sets, 240) == whole).all()
+
+
+def _form_letters(spark, letters, common, own, more=()):
+    rng = np.random.default_rng(6)
+    template = rng.integers(1, 2**62, common)
+    rows = [(k, k, bytearray(np.sort(np.concatenate([template, rng.integers(1, 2**62, n)])).astype(np.int64).tobytes()))
+            for k, n in enumerate([own] * letters + list(more))]
+    return spark.createDataFrame(rows, "doc_id long, root long, shingles binary")
+
+
+def test_form_letters_do_not_meet(spark):
+    """300 letters with 156 common and 38 own shingles, and longer ones: the join makes hardly more rows than it reads."""
+    sets = _form_letters(spark, 300, 156, 38, more=[45] * 100 + [60] * 50)
+    small, large = nd.prefixes(sets)
+    read, met = small.count() + large.count(), small.join(large, ["shingle", "level"]).count()
+    assert met <= read + 10 * nd.prefix_pairs(sets).count()
+
+
+def test_sizes_at_the_bound_meet(spark):
+    """Letters of 100 to 140 elements, 96 of them common: every pair of at least 75 % is found."""
+    own = [4, 4, 11, 18, 20, 20, 28, 32, 33, 44] * 2
+    sets = _form_letters(spark, 0, 96, 0, more=own)
+    found = {tuple(r) for r in nd.prefix_pairs(sets).collect()}
+    for a in range(len(own)):
+        for b in range(a + 1, len(own)):
+            if 100 * 96 >= 75 * (96 + own[a] + own[b]):
+                assert (a, b) in found

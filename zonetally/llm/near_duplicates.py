@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonetally.llm.components import components
@@ -42,10 +42,38 @@ BANDS, ROWS = 48, 5
 #: Links need this share of common elements, in percent.
 PERCENT = 75
 _LEVEL = np.uint64(44)  # bits of a rank within its step
+#: Elements that walk at once; each holds a permutation of the slots meanwhile.
+WALKERS = 1 << 16
+#: Sets whose sizes differ by less than this factor share a length class.
+_CLASS = 1.1
 
 
 def signatures(sets: list[np.ndarray], m: int) -> np.ndarray:
-    """SuperMinHash of each set of 64-bit elements, as rows of m numbers: step << 44 | rank in the step. m is 256 at most."""
+    """SuperMinHash of each set of 64-bit elements, as rows of m numbers: step << 44 | rank in the step. m is 256 at most.
+
+    Elements walk in slices, and a set's signature is the minimum over its slices: memory doesn't grow with a set.
+    """
+    best = np.full((len(sets), m), np.iinfo(np.uint64).max, np.uint64)
+    for some in _slices(sets):
+        np.minimum.at(best, [i for i, _ in some], _walk([part for _, part in some], m))
+    return best
+
+
+def _slices(sets: list[np.ndarray]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Parts of the sets with their set's number, `WALKERS` elements at a time."""
+    some, room = [], WALKERS
+    for i, elements in enumerate(sets):
+        while len(elements):
+            some.append((i, elements[:room]))
+            elements, room = elements[room:], room - len(some[-1][1])
+            if not room:
+                yield some
+                some, room = [], WALKERS
+    if some:
+        yield some
+
+
+def _walk(sets: list[np.ndarray], m: int) -> np.ndarray:
     sizes = np.array([len(s) for s in sets])
     elements, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     best = np.full(len(sets) * m, np.iinfo(np.uint64).max, np.uint64)
@@ -149,25 +177,39 @@ def _elements(sets: DataFrame) -> DataFrame:
     return sets.select("doc_id", "root", "shingles").mapInArrow(run, "doc_id long, root long, n long, shingle long")
 
 
-def prefix_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of sets with different roots that can share `percent` of their union; misses none that do.
+def prefixes(sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Elements under which the smaller and the larger set of a pair can meet: (shingle, level, doc_id, root, n, place) each.
 
     For an overlap of `need` = ceil(percent / (100 + percent) * (n_a + n_b)), the first common element in any order
-    must leave need - 1 elements behind it in both sets.
+    must leave need - 1 elements behind it in both sets. The larger set of a pair thus meets in its first 25 % (at 75 percent), the
+    smaller one in its first 14 %, and there each place bounds how large the other can be. `level` is the length class of the larger set;
+    rows of the smaller one are repeated for the few classes that their place allows.
     """
     rows = _elements(sets)
     shared = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     own = Window.partitionBy("doc_id")
     # elements of one set alone come first; they meet nothing and only take places
     place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "shingle"))
-    placed = rows.join(shared, "shingle").withColumn("place", place)
-    prefix = placed.where(F.expr(f"100 * (n - place + 1) >= {percent} * n")).drop("df")
-    one = prefix.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "root", "n", "place")))
-    two = prefix.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("doc_id", "root", "n", "place")))
-    met = one.join(two, "shingle").where(f"""doc_id_a < doc_id_b and root_a <> root_b
+    placed = rows.join(shared, "shingle").withColumn("place", place).drop("df")
+
+    def level(n: Column) -> Column:
+        return F.floor(F.log(n) / F.lit(float(np.log(_CLASS))))
+
+    largest = F.expr(f"({100 + percent} * (n - place + 1)) div {percent} - n")
+    smaller = placed.where(largest >= F.col("n")).withColumn("level", F.explode(F.sequence(level(F.col("n")), level(largest))))
+    larger = placed.where(F.expr(f"100 * (n - place + 1) >= {percent} * n")).withColumn("level", level(F.col("n")))
+    return smaller, larger
+
+
+def prefix_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) of sets with different roots that can share `percent` of their union; misses none that do."""
+    small, large = (
+        side.select("shingle", "level", *(F.col(c).alias(f"{c}_{name}") for c in ("doc_id", "root", "n", "place")))
+        for name, side in zip(("a", "b"), prefixes(sets, percent), strict=True))
+    met = small.join(large, ["shingle", "level"]).where(f"""(n_a < n_b or n_a = n_b and doc_id_a < doc_id_b) and root_a <> root_b
         and (100 + {percent}) * least(n_a - place_a + 1, n_b - place_b + 1) >= {percent} * (n_a + n_b)
-        and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)""")
-    return met.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
+        and 100 * n_a >= {percent} * n_b""")
+    return met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
