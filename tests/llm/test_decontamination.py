@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from cases import awkward, documents, prose
+from pyspark.sql import functions as F
 
 from zonetally.llm import decontamination as dc
 
@@ -69,13 +70,42 @@ def test_edited_copies_against_brute_force(spark):
     assert want[900, 0] == 0.875 and want[901, 1] == 0.8 and want[902, 5] == 0.625 and len(want) >= len(near)
 
 
-def test_blocks_of_items_give_the_same(spark, monkeypatch):
-    items = [(k, prose(400 + k, 25)) for k in range(8)]
-    docs = documents(spark, [(k, f"{prose(k, 20)} {t}") for k, t in items])
-    benchmark = spark.createDataFrame(items, "item_id long, text string")
-    one = sorted(map(tuple, dc.contaminated(docs, benchmark).collect()))
-    monkeypatch.setattr(dc, "BLOCK_BYTES", 300)
-    assert sorted(map(tuple, dc.contaminated(docs, benchmark).collect())) == one and len(one) == 8
+def test_common_grams_and_salted_joins_give_the_same(spark, monkeypatch):
+    items = {k: prose(700 + k, n).split() for k, n in enumerate([12, 15, 12, 23, 31, 40, 9, 18, 2, 1])}
+    docs = [(10 * k + every, f"{prose(k, 20)} {' '.join(edited(words, every, kind))} {prose(90 + k, 15)}") for k, words in items.items()
+            for every, kind in ((4, "change"), (5, "insert"), (6, "drop"), (7, "change"))]
+    docs, benchmark = documents(spark, docs), spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    plain = sorted(map(tuple, dc.contaminated(docs, benchmark).collect()))
+    assert len({r[1] for r in plain}) == len(items)
+    monkeypatch.setattr(dc, "MOST_NUMBERS", -1)
+    monkeypatch.setattr(dc, "RARE_DOCS", 0)  # every gram is a common one
+    monkeypatch.setattr(dc, "LISTED", 1)
+    assert sorted(map(tuple, dc.contaminated(docs, benchmark).collect())) == plain
+
+
+def test_items_that_share_a_gram_are_aligned_only_where_their_words_are(spark):
+    draw = np.random.default_rng(4)
+    letters = np.array([f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "bdfgklmnprst"] * 12, object) + np.repeat([f"o{k}" for k in range(12)], 720)
+    items = [(k, "which of the " + " ".join(draw.choice(letters, 14))) for k in range(10_000)]
+    docs = [(k, f"{' '.join(draw.choice(letters, 60))} which of the {' '.join(draw.choice(letters, 60))}") for k in range(60)]
+    docs += [(100 + k, f"{' '.join(draw.choice(letters, 40))} {items[k][1]} {' '.join(draw.choice(letters, 40))}") for k in range(40)]
+    texts = dc.texts_only(documents(spark, docs)).withColumn("tag", F.xxhash64("text"))
+    known = dc.store(spark, dc.item_words(spark.createDataFrame(items, "item_id long, text string")), "items")
+    pairs = dc.seeded_pairs(texts, known, 0.5).groupBy("doc_id", "item").count().count()
+    assert 40 <= pairs < 0.03 * 100 * 10_000  # all of them hold the gram
+    got = dc.contaminated(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(100 + k, k) for k in range(40)}
+
+
+def test_share_found_of_items_with_every_third_word_changed(spark):
+    items = {k: prose(1700 + k, 10 + k % 20).split() for k in range(60)}
+    docs = {k: [*prose(k, 9).split(), *edited(words, 3, "change"), *prose(k + 99, 9).split()] for k, words in items.items()}
+    want = {k for k, words in docs.items() if by_hand(items[k], words) >= len(items[k])}
+    got = dc.contaminated(documents(spark, [(k, " ".join(w)) for k, w in docs.items()]),
+                          spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string"))
+    found = {r.doc_id for r in got.collect() if r.doc_id == r.item_id}
+    print(f"every third word: {len(found & want)} of {len(want)} found")
+    assert found <= want and len(want) > 30
 
 
 @pytest.mark.parametrize("text,words", [("Don't É-2 x", ["don", "t", "é", "2", "x"]), ("", [])])

@@ -1,13 +1,16 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-1. Every GRAM-word sequence of a benchmark item is a seed, whatever other
-   documents hold, and one seed is enough: an edit breaks only the grams that
-   span it, and any three unchanged words in a row still lead to the item.
-2. One pass over the documents looks up their grams in an index of the items and
-   passes over only what can't reach the score: a sum of 2 for each equal word
-   asks for as many equal words, in the document and then around the seeds, as
-   the least score has.
-3. What is left around the seeds is aligned with the item: Smith-Waterman over
+"""Benchmark decontamination: rare n-gram seeds join documents to items, Smith-Waterman scores the passages.
+
+1. Every GRAM-word sequence of an item is a gram. One pass over the documents
+   finds those they hold (a bitmap of fixed size passes over the others) and so
+   in how many documents each gram is.
+2. Rare grams are seeds by themselves: a join on them leads to their items. A
+   common gram (in many documents, or in many items) is a seed only together
+   with KEPT words: an alignment of the least score keeps at least that share of
+   the item's words, so KEPT of the item's rarest words, if these are KEPT more
+   than it may lose. A second pass looks for these words within reach of common
+   grams; the join is on (gram, word). Grams that no document holds lead nowhere
+   and push no other seed out.
+3. The passage around the seeds is aligned with the item: Smith-Waterman over
    words, +2 for equal words, -1 for others and for gaps. The passage reaches as
    far as an alignment of the least score can. The score is the best alignment's
    sum as a share of the item's full score; copies with edits, insertions or
@@ -16,29 +19,41 @@
 So every pair is reported whose best alignment reaches the least score and keeps
 GRAM words in a row. Where edits leave no three words together (every third word
 changed: 0.5, for items of some ten words up to 0.63), nothing leads to the item.
+The rows of common seeds of an item are its common grams times half its words.
 
 Words are runs of ASCII letters, digits and non-ASCII bytes, in lower case. Null and empty texts, on either side, match nothing; items shorter
-than a gram are one gram; rows with a null doc_id are not reported; documents
+than a gram are one gram; rows with a null doc_id or item_id are not reported; documents
 or items that share an id are compared each and reported with the best score;
 empty tables give no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonetally.llm.text import map_texts, mix, ngram_hashes, texts_only
+from zonetally.llm.text import WordHashes, forget, mix, ngram_hashes, only, released, signed, texts_only
+from zonetally.session import store
 
 GRAM = 3
 #: Pairs below this share of the item's full score are not reported.
 LEAST_SCORE = 0.5
-#: Bytes of benchmark text searched in one pass over the documents; larger benchmarks take more passes.
-BLOCK_BYTES = 32 << 20
+#: Documents up to which a gram is rare, and items up to which one that is in more than so many documents is.
+RARE_DOCS, RARE_ITEMS = 10_000, 8
+#: The item's rare words that a common gram needs around it.
+KEPT = 2
+#: Bits of a bitmap, a power of two. A full one lets more rows through to the join, which is exact.
+BITS = 1 << 27
+#: Numbers (8 bytes each) up to which the items' side of a join is broadcast; they are counted first.
+MOST_NUMBERS = 1 << 21
+#: Parts of a key in a join of larger sides.
+SALTS = 16
+#: Items of a document that travel with one copy of its text.
+LISTED = 4096
 MATCHES = "doc_id long, item_id long, score double, first_word long, end_word long"
 
 _PLAIN = bytes(k + 32 if 65 <= k <= 90 else k if 97 <= k <= 122 or 48 <= k <= 57 or k >= 128 else 32 for k in range(256))
@@ -48,19 +63,14 @@ def plain_words(text: bytes) -> list[bytes]:
     return (text if text.isascii() else text.decode().lower().encode()).translate(_PLAIN).split()
 
 
-class Vocabulary(dict):
-    """Numbers from 1 for the words of the items; other words are 0."""
+def grams(words: np.ndarray, width: int = GRAM) -> np.ndarray:
+    """Hash of every `width` words in a row; of all of them if there are fewer."""
+    return ngram_hashes(words, min(width, max(1, len(words))), seed=13)
 
-    def number(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter((self.setdefault(w, len(self) + 1) for w in words), np.uint64, len(words))
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter((self.get(w, 0) for w in words), np.uint64, len(words))
-
-
-def grams(words: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return ngram_hashes(mix(words + np.uint64(1)), min(GRAM, max(1, len(words))), seed=13)
+def reach(n: int, least: float) -> int:
+    """Words around a seed that an alignment can touch: more between would cost more than the score may lack."""
+    return n + int(2 * n * (1 - least)) + 1
 
 
 def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -84,122 +94,242 @@ def _best_end(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
-    """Items in blocks of bounded size, read a block at a time."""
-    some: list = []
-    size = 0
-    for row in items.toLocalIterator():
-        some.append((row.item_id, plain_words(bytes(row.text))))
-        size += len(row.text)
-        if size >= BLOCK_BYTES:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
-
-
-class Items:
-    """A block of items: their words, and which of them hold a gram."""
-
-    def __init__(self, block: list[tuple[int, list[bytes]]]):
-        self.vocabulary = Vocabulary()
-        self.ids = [item_id for item_id, _ in block]
-        self.words = [self.vocabulary.number(words) for _, words in block]
-        self.sizes = np.array([len(words) for words in self.words], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.flat = np.concatenate(self.words)
-        self.widths = sorted({min(GRAM, len(words)) for words in self.words})
-        codes = [np.unique(grams(words)) for words in self.words]
-        code, k = np.concatenate(codes), np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])
-        order = np.argsort(code, kind="stable")
-        self.holders = k[order]
-        self.grams, first = np.unique(code[order], return_index=True)
-        self.bounds = np.append(first, len(code))
-
-    def holding(self, gram: int) -> np.ndarray:
-        return self.holders[self.bounds[gram]:self.bounds[gram + 1]]
-
-    def seeds(self, of: np.ndarray) -> list[tuple[int, np.ndarray]]:
-        """The grams of the items in a document, each with its places."""
-        found, places = [], []
-        for width in self.widths:  # narrower grams are those of items with so few words
-            if len(of) >= width:
-                at = np.flatnonzero((of[:len(of) - width + 1] > 0) & (of[width - 1:] > 0))
-                with np.errstate(over="ignore"):
-                    code = ngram_hashes(mix(of + np.uint64(1)), width, seed=13)[at]
-                number = np.minimum(np.searchsorted(self.grams, code), len(self.grams) - 1)
-                hit = self.grams[number] == code
-                found.append(number[hit])
-                places.append(at[hit])
-        if not sum(map(len, found)):
-            return []
-        number, at = np.concatenate(found), np.concatenate(places)
-        order = np.argsort(number, kind="stable")
-        distinct, first = np.unique(number[order], return_index=True)
-        return list(zip(distinct.tolist(), np.split(at[order], first[1:]), strict=True))
-
-    def likely(self, of: np.ndarray, seeds: list[tuple[int, np.ndarray]], least: float) -> np.ndarray:
-        """Flags of the items with a seed and so many words in the document as the least score needs."""
-        met = np.zeros(len(self.ids), bool)
-        for gram, _ in seeds:
-            met[self.holding(gram)] = True
-        k = np.flatnonzero(met)
-        held = np.zeros(len(self.vocabulary) + 1, np.int64)
-        held[of] = 1
-        held[0] = 0
-        ends = np.cumsum(self.sizes[k])
-        at = np.arange(ends[-1]) + np.repeat(self.starts[k] - ends + self.sizes[k], self.sizes[k])
-        met[k] = np.add.reduceat(held[self.flat[at]], ends - self.sizes[k]) >= least * self.sizes[k]
-        return met
-
-    def matches(self, of: np.ndarray, least: float) -> Iterator[tuple[int, float, int, int]]:
-        """(item_id, score, first word, end word) of the passages around seeds that reach the least score."""
-        seeds = self.seeds(of)
-        if not seeds:
-            return
-        likely = self.likely(of, seeds, least)
-        places: dict[int, list[np.ndarray]] = {}
-        for gram, at in seeds:
-            some = self.holding(gram)
-            for k in some[likely[some]].tolist():
-                places.setdefault(k, []).append(at)
-        for k, parts in places.items():
-            item, at = self.words[k], np.sort(np.concatenate(parts))
-            full = 2 * len(item)
-            reach = len(item) + int(full * (1 - least)) + 1  # more words between would cost more than the score may lack
-            cuts = np.flatnonzero(np.diff(at) > 2 * reach) + 1
-            for part in np.split(at, cuts):
-                start, passage = max(0, int(part[0]) - reach), of[max(0, int(part[0]) - reach):int(part[-1]) + reach]
-                if np.isin(item, passage).sum() < least * len(item):
-                    continue
-                score, end = _best_end(item, passage)
-                if score >= least * full:
-                    _, first, last = alignment(item, passage[:end])
-                    yield self.ids[k], score / full, start + first, start + last
+def _arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for batch in batches:
+            if batch.num_rows:
+                yield from fn(batch)
 
+    return df.mapInArrow(released(run), schema)
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """doc_id, item_id, score, and the words [first_word, end_word) of the best matching passage, for every pair found."""
-    spark = docs.sparkSession
-    items = texts_only(benchmark, "item_id").where("item_id is not null")
-    out = spark.createDataFrame([], MATCHES)
-    for block in _blocks(items):
-        out = out.union(_block_matches(docs, [x for x in block if x[1]], least))
-    best = F.max_by(F.struct("score", "first_word", "end_word"), F.struct("score", -F.col("first_word"), -F.col("end_word")))
-    return out.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
 
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat, kind))
+
+
+def item_words(benchmark: DataFrame) -> DataFrame:
+    """item (a number for the id and its text), item_id, n, words (hashes in order) of items with words."""
+    hashes = WordHashes()
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        words = [signed(hashes.of(plain_words(text))) for text in batch["text"].to_pylist()]
+        sizes = pa.array([len(w) for w in words], pa.int32())
+        yield pa.RecordBatch.from_arrays([batch["item"], batch["item_id"], sizes, _lists(words, pa.int64())], ["item", "item_id", "n", "words"])
+
+    known = texts_only(benchmark, "item_id").where("item_id is not null").distinct().withColumn("item", F.xxhash64("item_id", "text"))
+    return _arrow(known.select("item", "item_id", "text"), run, "item long, item_id long, n int, words array<long>").where("n > 0")
+
+
+def item_grams(items: DataFrame) -> DataFrame:
+    """gram, item, n: every distinct gram of every item."""
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for item, n, words in zip(batch["item"].to_pylist(), batch["n"].to_pylist(), batch["words"], strict=True):
+            found = np.unique(grams(words.values.to_numpy().view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(np.full(len(found), item)), pa.array(np.full(len(found), n, np.int32))], ["gram", "item", "n"])
+
+    return _arrow(items.select("item", "n", "words"), run, "gram long, item long, n int")
+
+
+class Bitmap:
+    """Which numbers may be in a column: BITS bits, however many rows there are."""
+
+    def __init__(self, df: DataFrame, column: str):
+        cell = F.col(column).bitwiseAND(F.lit(BITS - 1))
+        bit = F.expr(f"shiftleft(1L, cast({column} & 63 as int))")
+        rows = df.groupBy(F.shiftright(cell, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        bits = np.zeros(BITS // 64, np.uint64)
+        bits[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+        self.shared = df.sparkSession.sparkContext.broadcast(bits)
+
+    def has(self, codes: np.ndarray) -> np.ndarray:
+        return (self.shared.value[(codes & np.uint64(BITS - 1)) >> np.uint64(6)] >> (codes & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _by_code(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct codes, each with its places."""
+    order = np.argsort(codes, kind="stable")
+    distinct, first = np.unique(codes[order], return_index=True)
+    return distinct, np.split(at[order], first[1:]) if len(first) else []
 
-def _block_matches(docs: DataFrame, block: list[tuple[int, list[bytes]]], least: float) -> DataFrame:
-    spark = docs.sparkSession
-    if not block:
-        return spark.createDataFrame([], MATCHES)
-    shared = spark.sparkContext.broadcast(Items(block))  # a block of the benchmark
 
-    def run(keys: list, texts: list[bytes]) -> pa.RecordBatch:
-        items = shared.value
-        out = [(key, *found) for key, text in zip(keys, texts, strict=True) for found in items.matches(items.vocabulary.of(plain_words(text)), least)]
+def _found(docs: DataFrame, name: str, search: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """doc_id, tag, `name`, at (places): what `search` finds in the words of each text, a row per distinct code."""
+    hashes = WordHashes()
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for doc, tag, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "tag", "text")), strict=True):
+            codes, places = _by_code(*search(hashes.of(plain_words(text))))
+            if len(codes):
+                columns = [pa.array(np.full(len(codes), doc)), pa.array(np.full(len(codes), tag)), pa.array(signed(codes)), _lists(places, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", name, "at"])
+
+    return _arrow(docs.select("doc_id", "tag", "text"), run, f"doc_id long, tag long, {name} long, at array<int>")
+
+
+def held_grams(docs: DataFrame, bitmap: Bitmap, widths: list[int]) -> DataFrame:
+    """doc_id, tag, gram, at: the grams of items in each text (and some of the same bits)."""
+    def search(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        codes = [grams(words, w) if len(words) >= w else np.empty(0, np.uint64) for w in widths]
+        places = [np.flatnonzero(bitmap.has(c)) for c in codes]
+        return np.concatenate([c[p] for c, p in zip(codes, places, strict=True)]), np.concatenate(places)
+
+    return _found(docs, "gram", search)
+
+
+def _with_span(gram: np.ndarray, span: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(gram + np.uint64(span) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _with_word(of: np.ndarray, word: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(of * np.uint64(0xC2B2AE3D27D4EB4F) + word)
+
+
+def rare_words(items: DataFrame, least: float) -> DataFrame:
+    """item, rare: the item's words in the fewest items, so many places that an alignment of the least score keeps KEPT of them."""
+    each = items.select("item", "n", F.explode("words").alias("word"))
+    known = each.groupBy("word").agg(F.count_distinct("item").alias("in_items"))
+    places = met(each, known, "word", 2).groupBy("item", "n").agg(F.array_sort(F.collect_list(F.struct("in_items", "word"))).alias("w"))
+    asked = F.col("n") - F.ceil(F.col("n") * F.lit(least)) + KEPT
+    return places.select("item", F.slice("w.word", F.lit(1), F.least(asked, F.col("n")).cast("int")).alias("rare"))
+
+
+def common_seeds(common: DataFrame, items: DataFrame, least: float) -> DataFrame:
+    """key (of a common gram and one of the item's rarest words), span (bits of the reach), code (of gram and span), item, n, places (of the word)."""
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for gram, item, n, rare in zip(batch["gram"].to_numpy().view(np.uint64), batch["item"].to_pylist(), batch["n"].to_pylist(), batch["rare"], strict=True):
+            span = reach(n, least).bit_length()
+            code = _with_span(np.array([gram]), span)
+            key, places = np.unique(_with_word(code, rare.values.to_numpy().view(np.uint64)), return_counts=True)
+            full = [signed(key), np.full(len(key), span, np.int32), np.full(len(key), signed(code)[0]), np.full(len(key), item), np.full(len(key), n, np.int32), places.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in full], ["key", "span", "code", "item", "n", "places"])
+
+    rows = common.select("gram", "item", "n").join(rare_words(items, least), "item").select("gram", "item", "n", "rare")
+    return _arrow(rows, run, "key long, span int, code long, item long, n int, places int")
+
+
+def near_common(docs: DataFrame, seeds: DataFrame, widths: list[int]) -> DataFrame:
+    """doc_id, tag, key, at: common grams with one of their words within reach, in each text."""
+    spans = sorted(r.span for r in seeds.select("span").distinct().collect())  # numbers of bits
+    codes, keys = Bitmap(seeds.select("code"), "code"), Bitmap(seeds.select("key"), "key")
+
+    def search(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for width in widths:
+            if len(words) < width:
+                continue
+            gram = grams(words, width)
+            for span in spans:
+                code = _with_span(gram, span)
+                at = np.flatnonzero(codes.has(code))
+                around = np.arange(-(1 << span), (1 << span) + 1)
+                some = max(1, 1_000_000 // len(around))
+                for k in range(0, len(at), some):
+                    part = at[k:k + some]
+                    place = part[:, None] + around
+                    key = _with_word(code[part][:, None], words[np.clip(place, 0, len(words) - 1)])
+                    hit = np.nonzero(keys.has(key) & (place >= 0) & (place < len(words)))
+                    one = np.unique(np.stack([key[hit], part[hit[0]].astype(np.uint64)]), axis=1)
+                    found.append(one[0])
+                    places.append(one[1].astype(np.int64))
+        return np.concatenate(found), np.concatenate(places)
+
+    return _found(docs, "key", search)
+
+
+def met(many: DataFrame, few: DataFrame, key: str, numbers: int | Column) -> DataFrame:
+    """Join by key. `few` is broadcast if its rows of so many numbers are within MOST_NUMBERS; else hot keys are parted."""
+    size = few.agg(F.sum(F.lit(numbers) if isinstance(numbers, int) else numbers)).first()[0] or 0
+    if size <= MOST_NUMBERS:
+        return many.join(F.broadcast(few), key)
+    salted = many.withColumn("salt", (F.rand(1) * SALTS).cast("int"))
+    return salted.join(few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [key, "salt"]).drop("salt")
+
+
+def passages(docs: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """doc_id, item, start, passage: the words around the seeds of each pair (doc_id, tag, item, n, at)."""
+    hashes = WordHashes()
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for doc, text, some in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "some")), strict=True):
+            words = signed(hashes.of(plain_words(text)))
+            items, starts, cut = [], [], []
+            for one in some:
+                far, at = reach(one["n"], least), np.unique(np.array(one["at"], np.int64))
+                for part in np.split(at, np.flatnonzero(np.diff(at) > 2 * far) + 1):
+                    start = max(0, int(part[0]) - far)
+                    items.append(one["item"])
+                    starts.append(start)
+                    cut.append(words[start:int(part[-1]) + far])
+                    if sum(map(len, cut)) > 500_000:
+                        yield _passages(doc, items, starts, cut)
+                        items, starts, cut = [], [], []
+            if items:
+                yield _passages(doc, items, starts, cut)
+
+    def _passages(doc: int, items: list, starts: list, cut: list) -> pa.RecordBatch:
+        columns = [pa.array(np.full(len(items), doc)), pa.array(items, pa.int64()), pa.array(starts, pa.int64()), _lists(cut, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "item", "start", "passage"])
+
+    one = pairs.groupBy("doc_id", "tag", "item", "n").agg(F.flatten(F.collect_list("at")).alias("at"))
+    parts = F.floor(F.count("*").over(Window.partitionBy("doc_id", "tag")) / LISTED).cast("int") + 1
+    listed = one.withColumn("part", F.pmod("item", parts)).groupBy("doc_id", "tag", "part").agg(F.collect_list(F.struct("item", "n", "at")).alias("some"))
+    listed = store(docs.sparkSession, listed, "seeded")
+    texts = only(docs, listed).join(listed, ["doc_id", "tag"])
+    return _arrow(texts.select("doc_id", "text", "some"), run, "doc_id long, item long, start long, passage array<long>")
+
+
+def aligned(found: DataFrame, least: float) -> DataFrame:
+    """The passages whose best alignment with the item reaches the least score."""
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        out = []
+        for doc, item_id, start, passage, words in zip(*(batch[c].to_pylist() for c in ("doc_id", "item_id", "start")), batch["passage"], batch["words"], strict=True):
+            item, of = words.values.to_numpy(), passage.values.to_numpy()
+            full = 2 * len(item)
+            if np.isin(item, of).sum() < least * len(item):
+                continue
+            score, end = _best_end(item, of)
+            if score >= least * full:
+                _, first, last = alignment(item, of[:end])
+                out.append((doc, item_id, score / full, start + first, start + last))
         columns = list(zip(*out, strict=True)) or [[]] * 5
         types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "item_id", "score", "first_word", "end_word"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "item_id", "score", "first_word", "end_word"])
+
+    return _arrow(found.select("doc_id", "item_id", "start", "passage", "words"), run, MATCHES)
+
+
+def seeded_pairs(docs: DataFrame, items: DataFrame, least: float) -> DataFrame:
+    """doc_id, tag, item, n, at: the items that seeds lead to from each text, with the seeds' places."""
+    spark = docs.sparkSession
+    known = store(spark, item_grams(items), "grams")
+    widths = sorted(r.w for r in known.select(F.least("n", F.lit(GRAM)).alias("w")).distinct().collect())  # 1 to GRAM
+    if not widths:
+        return spark.createDataFrame([], "doc_id long, tag long, item long, n int, at array<int>")
+    held = store(spark, held_grams(docs, Bitmap(known, "gram"), widths), "held")
+    in_docs = held.groupBy("gram").agg(F.count("*").alias("in_docs"))
+    in_items = known.groupBy("gram").agg(F.count("*").alias("in_items"))
+    common = (F.col("in_docs") > RARE_DOCS) | ((F.col("in_items") > RARE_ITEMS) & (F.col("in_docs") > RARE_ITEMS))
+    rated = store(spark, known.join(in_docs.join(in_items, "gram").select("gram", common.alias("common")), "gram"), "rated")
+    pairs = met(held, rated.where("not common").select("gram", "item", "n"), "gram", 3)
+    seeds = store(spark, common_seeds(rated.where("common"), items, least), "seeds")
+    if not seeds.isEmpty():
+        near = store(spark, near_common(docs, seeds, widths), "near")
+        some = met(near, seeds.drop("span"), "key", 5).groupBy("doc_id", "tag", "item", "n", "code").agg(F.flatten(F.collect_list("at")).alias("at"), F.sum("places").alias("kept"))
+        enough = some.where(F.col("kept") >= F.least(F.lit(KEPT), F.ceil(F.col("n") * F.lit(least))))
+        pairs = pairs.drop("gram").unionByName(enough.drop("code", "kept"))
+    return pairs.select("doc_id", "tag", "item", "n", "at")
 
-    return map_texts(texts_only(docs).where("doc_id is not null"), run, MATCHES)
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """doc_id, item_id, score, and the words [first_word, end_word) of the best matching passage, for every pair found."""
+    spark = docs.sparkSession
+    items = store(spark, item_words(benchmark), "items")
+    texts = texts_only(docs).where("doc_id is not null").withColumn("tag", F.xxhash64("text"))
+    found = passages(texts, seeded_pairs(texts, items, least), least)
+    matched = aligned(met(found, items.select("item", "item_id", "words"), "item", F.size("words") + 2), least)
+    best = F.max_by(F.struct("score", "first_word", "end_word"), F.struct("score", -F.col("first_word"), -F.col("end_word")))
+    return matched.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
