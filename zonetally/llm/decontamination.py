@@ -36,14 +36,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonetally.llm.text import WordHashes, forget, mix, ngram_hashes, only, released, signed, texts_only
+from zonetally.llm.text import CHUNK_WORDS, WordHashes, forget, mix, ngram_hashes, only, released, signed, texts_only
 from zonetally.session import store
 
 GRAM = 3
 #: Pairs below this share of the item's full score are not reported.
 LEAST_SCORE = 0.5
 #: Documents up to which a gram is rare, and items up to which one that is in more than so many documents is.
-RARE_DOCS, RARE_ITEMS = 10_000, 8
+RARE_DOCS, RARE_ITEMS = 1_000, 8
 #: The item's rare words that a common gram needs around it.
 KEPT = 2
 #: Bits of a bitmap, a power of two. A full one lets more rows through to the join, which is exact.
@@ -147,33 +147,60 @@ class Bitmap:
         return (self.shared.value[(codes & np.uint64(BITS - 1)) >> np.uint64(6)] >> (codes & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _by_code(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The distinct codes, each with its places."""
-    order = np.argsort(codes, kind="stable")
-    distinct, first = np.unique(codes[order], return_index=True)
-    return distinct, np.split(at[order], first[1:]) if len(first) else []
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[list[bytes]]]]:
+    """Rows of the batch and their words, cut so that a chunk has about CHUNK_WORDS words."""
+    rows, words, size = [], [], 0
+    for k, text in enumerate(batch["text"].to_pylist()):
+        rows.append(k)
+        words.append(plain_words(text))
+        size += len(words[-1])
+        if size >= CHUNK_WORDS:
+            yield rows, words
+            rows, words, size = [], [], 0
+    if rows:
+        yield rows, words
 
 
-def _found(docs: DataFrame, name: str, search: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """doc_id, tag, `name`, at (places): what `search` finds in the words of each text, a row per distinct code."""
+def _found(docs: DataFrame, name: str, search: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """doc_id, tag, `name`, at (places): a row per text and distinct code. `search` has the words of several texts in a row
+    and the number of each word's text; it tells codes and their places."""
     hashes = WordHashes()
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for doc, tag, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "tag", "text")), strict=True):
-            codes, places = _by_code(*search(hashes.of(plain_words(text))))
-            if len(codes):
-                columns = [pa.array(np.full(len(codes), doc)), pa.array(np.full(len(codes), tag)), pa.array(signed(codes)), _lists(places, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", name, "at"])
+        for rows, words in _chunks(batch):
+            sizes = np.array([len(w) for w in words])
+            of = np.repeat(np.arange(len(words)), sizes)
+            codes, places = search(hashes.of([w for some in words for w in some]), of)
+            if not len(codes):
+                continue
+            order = np.lexsort((places, codes, of[places]))
+            codes, places = codes[order], places[order]
+            text = of[places]
+            new = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (text[1:] != text[:-1])))
+            row = pa.array(np.array(rows)[text[new]])
+            at = pa.array((places - (np.cumsum(sizes) - sizes)[text]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(codes)).astype(np.int32)), at)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(row), batch["tag"].take(row), pa.array(signed(codes[new])), lists], ["doc_id", "tag", name, "at"])
 
     return _arrow(docs.select("doc_id", "tag", "text"), run, f"doc_id long, tag long, {name} long, at array<int>")
 
 
+def _grams_within(words: np.ndarray, of: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of texts that follow each other, and where they start; none reaches into the next text."""
+    at = np.flatnonzero(of[:len(of) - width + 1] == of[width - 1:])
+    return ngram_hashes(words, width, seed=13)[at], at
+
+
 def held_grams(docs: DataFrame, bitmap: Bitmap, widths: list[int]) -> DataFrame:
     """doc_id, tag, gram, at: the grams of items in each text (and some of the same bits)."""
-    def search(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        codes = [grams(words, w) if len(words) >= w else np.empty(0, np.uint64) for w in widths]
-        places = [np.flatnonzero(bitmap.has(c)) for c in codes]
-        return np.concatenate([c[p] for c, p in zip(codes, places, strict=True)]), np.concatenate(places)
+    def search(words: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = [(np.empty(0, np.uint64), np.empty(0, np.int64))]
+        for width in widths:
+            if len(words) >= width:
+                code, at = _grams_within(words, of, width)
+                hit = bitmap.has(code)
+                found.append((code[hit], at[hit]))
+        return tuple(map(np.concatenate, zip(*found, strict=True)))
 
     return _found(docs, "gram", search)
 
@@ -216,26 +243,26 @@ def near_common(docs: DataFrame, seeds: DataFrame, widths: list[int]) -> DataFra
     spans = sorted(r.span for r in seeds.select("span").distinct().collect())  # numbers of bits
     codes, keys = Bitmap(seeds.select("code"), "code"), Bitmap(seeds.select("key"), "key")
 
-    def search(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    def search(words: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = [(np.empty(0, np.uint64), np.empty(0, np.int64))]
         for width in widths:
             if len(words) < width:
                 continue
-            gram = grams(words, width)
+            gram, start = _grams_within(words, of, width)
             for span in spans:
                 code = _with_span(gram, span)
-                at = np.flatnonzero(codes.has(code))
+                hit = codes.has(code)
+                code, at = code[hit], start[hit]
                 around = np.arange(-(1 << span), (1 << span) + 1)
                 some = max(1, 1_000_000 // len(around))
                 for k in range(0, len(at), some):
-                    part = at[k:k + some]
-                    place = part[:, None] + around
-                    key = _with_word(code[part][:, None], words[np.clip(place, 0, len(words) - 1)])
-                    hit = np.nonzero(keys.has(key) & (place >= 0) & (place < len(words)))
-                    one = np.unique(np.stack([key[hit], part[hit[0]].astype(np.uint64)]), axis=1)
-                    found.append(one[0])
-                    places.append(one[1].astype(np.int64))
-        return np.concatenate(found), np.concatenate(places)
+                    place = at[k:k + some, None] + around
+                    inside = np.clip(place, 0, len(words) - 1)
+                    key = _with_word(code[k:k + some, None], words[inside])
+                    row, column = np.nonzero(keys.has(key) & (place == inside) & (of[inside] == of[at[k:k + some]][:, None]))
+                    one = np.unique(np.stack([key[row, column], at[k:k + some][row].astype(np.uint64)]), axis=1)
+                    found.append((one[0], one[1].astype(np.int64)))
+        return tuple(map(np.concatenate, zip(*found, strict=True)))
 
     return _found(docs, "key", search)
 
@@ -254,24 +281,26 @@ def passages(docs: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     hashes = WordHashes()
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        docs_of, items, starts, cut, size = [], [], [], [], 0
         for doc, text, some in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "some")), strict=True):
             words = signed(hashes.of(plain_words(text)))
-            items, starts, cut = [], [], []
             for one in some:
                 far, at = reach(one["n"], least), np.unique(np.array(one["at"], np.int64))
-                for part in np.split(at, np.flatnonzero(np.diff(at) > 2 * far) + 1):
+                for part in np.split(at, np.flatnonzero(np.diff(at) > 2 * far) + 1) if len(at) > 1 else [at]:
                     start = max(0, int(part[0]) - far)
+                    docs_of.append(doc)
                     items.append(one["item"])
                     starts.append(start)
                     cut.append(words[start:int(part[-1]) + far])
-                    if sum(map(len, cut)) > 500_000:
-                        yield _passages(doc, items, starts, cut)
-                        items, starts, cut = [], [], []
-            if items:
-                yield _passages(doc, items, starts, cut)
-
-    def _passages(doc: int, items: list, starts: list, cut: list) -> pa.RecordBatch:
-        columns = [pa.array(np.full(len(items), doc)), pa.array(items, pa.int64()), pa.array(starts, pa.int64()), _lists(cut, pa.int64())]
+                    size += len(cut[-1])
+                if size > 500_000:
+                    yield _passages(docs_of, items, starts, cut)
+                    docs_of, items, starts, cut, size = [], [], [], [], 0
+        if items:
+            yield _passages(docs_of, items, starts, cut)
+
+    def _passages(docs_of: list, items: list, starts: list, cut: list) -> pa.RecordBatch:
+        columns = [*(pa.array(c, pa.int64()) for c in (docs_of, items, starts)), _lists(cut, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "item", "start", "passage"])
 
     one = pairs.groupBy("doc_id", "tag", "item", "n").agg(F.flatten(F.collect_list("at")).alias("at"))
