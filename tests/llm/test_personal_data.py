@@ -51,6 +51,52 @@ def test_candidates_are_added_and_masked(spark):
     assert pd_.find(documents(spark, [])).count() == 0
 
 
+def iban(country, account):
+    digits = "".join(str(int(c, 36)) for c in f"{account}{country}00")
+    return f"{country}{98 - int(digits) % 97:02d}{account}"
+
+
+def planted(draw):
+    """(kind, true?, text before, candidate) of every kind."""
+    hexed = lambda n: "".join(draw.choice("0123456789abcdef") for _ in range(n))
+    word = lambda: "".join(draw.choice("abcdefghiklmnoprstu") for _ in range(9))
+    number = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
+    good = iban("DE", number(18))
+    bad = good[:2] + f"{(int(good[2:4]) + 7) % 97:02d}" + good[4:]
+    return [
+        ("secret", True, "", f"password={word()[:4]}{number(3)}{word()[:3]}{number(2)}"), ("secret", True, "the ", f"api_key: {word()[:5]}{number(4)}x{number(2)}"),
+        ("secret", False, "", "token: placeholder"), ("secret", False, "then ", f"password = changeme{word()}"), ("secret", False, "a ", f"secret: {word()}"),
+        ("spelled_email", True, "write to ", f"{word()} (at) {word()} (dot) org"), ("spelled_email", False, "meet ", f"{word()} (at) {word()}.{number(2)}"),
+        ("national_id", True, "ssn: ", f"{draw.randint(100, 665)}-{draw.randint(10, 99)}-{draw.randint(1000, 9999)}"),
+        ("national_id", False, "part ", f"9{number(2)}-00-{number(4)}"),
+        ("local_phone", True, "call ", f"({draw.randint(200, 999)}) {draw.randint(200, 999)}-{number(4)}"), ("local_phone", False, "order ", f"1{number(2)}-0{number(2)}-{number(4)}"),
+        ("iban", True, "account: ", good), ("iban", False, "serial ", bad),
+        ("key", True, "api key: ", hexed(40)), ("key", True, "", "AKIA" + "".join(draw.choice("ABCDEFGHIJKL0123456789") for _ in range(16))),
+        ("key", False, "checksum ", hexed(32)), ("key", False, "commit ", hexed(40)),
+    ]
+
+
+def test_classifier_tells_true_from_false_candidates(spark):
+    import random
+
+    draw, rows, want = random.Random(7), [], []
+    for k in range(40):
+        for n, (kind, true, before, candidate) in enumerate(planted(draw)):
+            lead = f"{prose(100 * k + n, 6)} {before}"
+            rows.append((1000 * k + n, f"{lead}{candidate} , {prose(k, 4)}"))
+            want.append((1000 * k + n, kind, true, len(lead)))
+    rows += [(10**6 + k, f"{prose(k, 8)} user{k}@mail.org and 10.0.0.{k % 250} {prose(k, 3)}") for k in range(2000)]  # many base spans
+    found = {r.doc_id: {(s.kind, s.start) for s in r.spans} for r in pd_.find(documents(spark, rows), keep=["doc_id"]).collect()}
+    candidates = {r.doc_id: {s.kind for s in r.more} for r in pd_.candidates(documents(spark, rows)).select("doc_id", "more").collect()}
+    for kind in pd_.MORE:
+        hits = [((kind, start) in found[doc], true) for doc, k, true, start in want if k == kind]
+        right = sum(hit and true for hit, true in hits)
+        assert right >= 0.9 * sum(true for _, true in hits), kind
+        assert right >= 0.9 * sum(hit for hit, _ in hits), kind
+    false = [(doc, k) for doc, k, true, _ in want if not true]
+    assert sum(k in candidates[doc] for doc, k in false) > 0.9 * len(false)  # they were candidates
+
+
 def test_reliabilities_recover_the_truth():
     import itertools
     import random

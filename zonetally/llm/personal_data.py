@@ -3,14 +3,17 @@
 1. Spans. Regular expressions find e-mail addresses, IP addresses, card and phone
    numbers (the base, always kept) and candidates of further kinds. Positions
    follow from the lengths of matches and of what lies between them.
-2. Labelers vote on every span (1, -1 or 0 for abstaining): its form (regular
-   expressions), word lists (gazetteers) and what stands around it (context).
+2. Labelers vote on every candidate (1, -1 or 0 for abstaining): its form (regular
+   expressions, check digits), word lists (gazetteers) and what stands around it
+   (context). Each can vote both ways. Base spans are certain and don't vote, so
+   that their number says nothing about candidates.
 3. Expectation-maximisation estimates each labeler's reliability from the counts
    of vote patterns over all documents, and so a probability for each pattern.
    Only these counts (at most 3 ** 6 rows) reach the driver.
 4. A logistic span classifier is trained on the probabilities, with the votes,
    kind and length as features, again from counts of patterns. Candidates
-   it finds likely are added to the base, unless they overlap it.
+   it finds likely are added to the base, unless they overlap it; others,
+   such as placeholders, checksums and part numbers, are rejected.
 
 A null or empty text has no spans; each row is searched by itself, so repeated
 rows and null doc_ids don't matter; an empty table gives no rows and the
@@ -44,16 +47,19 @@ MORE = {
     "spelled_email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+ ?[\[({{] ?(?i:at) ?[\])}}] ?[A-Za-z0-9-]++"
                      r"(?: ?(?:\.|[\[({] ?(?i:dot) ?[\])}]) ?[A-Za-z0-9-]++)++",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "local_phone": r"(?<![0-9+.() -])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "local_phone": r"(?<![0-9+.(-])(?<![0-9)] )\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}+(?: ?[A-Z0-9]{1,3}+)?(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|[0-9a-f]{32,128}+)(?![A-Za-z0-9])",
 }
 KINDS = [*BASE, *MORE]
 #: Gazetteers: words that announce personal data, and words of examples.
 _ANNOUNCING = r"(?i)(?<!\p{L})(?:e-?mail|mail|contact|phone|tel|telefono|téléphone|telefon|call|fax|mobile|ssn|social security|iban|account|konto|cuenta|compte|password|passwd|pwd|secret|token|key|card|carte|tarjeta|karte|address)(?!\p{L})"
+#: Words that announce numbers and codes of other kinds.
+_OTHER = r"(?i)(?<!\p{L})(?:checksum|sha-?[0-9]*|md5|hash|digest|commit|revision|etag|build|part|item|order|invoice|isbn|version|serial|model|sample|example|ratio|score|range|lot|sku)(?!\p{L})"
 _EXAMPLES = r"(?i)(?:xxx|000-00-0000|123-45-6789|changeme|placeholder|your[_-]|<|\.\.\.|foobar|lorem)"
 _CONTEXT = 24  # characters looked at before a span
 LABELERS = 6
+PRIOR = 3.0
 
 
 def _spans(text: Column, kind: str, pattern: str) -> Column:
@@ -102,26 +108,51 @@ def number_of(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def _mod_97(iban: Column) -> Column:
+    """The number's remainder by 97, which is 1 in valid ones: the first four characters go to the end, letters are 10 to 35."""
+    plain = F.regexp_replace(iban, " ", "")
+    turned = F.concat(F.substring(plain, 5, 64), F.substring(plain, 1, 4))
+
+    def add(state: Column, ch: Column) -> Column:
+        return F.when(ch.rlike("[0-9]"), state * 10 + F.ascii(ch) - 48).otherwise(state * 100 + F.ascii(ch) - 55) % 97
+
+    return F.aggregate(F.split(turned, "(?<=.)(?=.)"), F.lit(0), add)
+
+
 def _votes(span: Column, text: Column) -> list[Column]:
-    """The labelers' votes on a span."""
+    """The labelers' votes on a candidate."""
     found, kind = span["found"], span["kind"]
     before = F.substring(text, F.greatest(F.lit(1), span["start"] - (_CONTEXT - 1)), F.least(F.lit(_CONTEXT), span["start"]))
-    digits = F.length(F.regexp_replace(found, "[^0-9]", ""))
-    n = F.length(found)
-    variety = F.size(F.array_distinct(F.split(F.lower(F.substring(found, 1, 256)), "(?<=.)(?=.)")))
+    value = F.regexp_replace(found, r"^[A-Za-z _-]+[\"']? ?[=:] ?[\"']?", "")  # of a secret, without its name
+    variety = F.size(F.array_distinct(F.split(F.lower(F.substring(value, 1, 256)), "(?<=.)(?=.)")))
+    announced, other = before.rlike(_ANNOUNCING), before.rlike(_OTHER)
     vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
+    either = lambda yes: F.when(yes, 1).otherwise(-1)
+    form = (
+        F.when(kind == "secret", either(value.rlike("[0-9]") & value.rlike(r"[A-Za-z!@#$%^&*]")))
+        .when(kind == "spelled_email", either(found.rlike(r"[A-Za-z]{2,}[A-Za-z0-9._%+-]* ?[\[({].*[^A-Za-z0-9][A-Za-z]{2,6}$")))
+        .when(kind == "national_id", either(found.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$")))
+        .when(kind == "local_phone", either(found.rlike(r"^\(?[2-9][0-9]{2}\)?[ .-][2-9]")))
+        .when(kind == "iban", either(_mod_97(found) == 1))
+        .otherwise(either(found.rlike("^AKIA") | (announced & ~other)))
+    )
+    mixed = (
+        F.when(kind == "secret", either(value.rlike("[A-Za-z][0-9]|[0-9][A-Za-z]|[0-9][^A-Za-z0-9]|[^A-Za-z0-9][0-9]")))
+        .when(kind == "spelled_email", vote(found.rlike(r"[\[({] ?(?i:dot)"), ~found.rlike(r"[A-Za-z]$")))
+        .otherwise(0)
+    )
     return [
-        vote(kind.isin("email", "ip", "card", "phone", "national_id", "spelled_email"), F.lit(False)),
-        vote(found.rlike(r"[A-Za-z][0-9]|[0-9][A-Za-z]|[0-9]{2}"), ~found.rlike("[0-9]") & ~found.rlike("@|(?i:at)")),
-        vote(before.rlike(_ANNOUNCING) | found.rlike(_ANNOUNCING), F.lit(False)),
-        vote(F.lit(False), found.rlike(_EXAMPLES)),
-        vote(before.rlike(r"[:=(\"'+] ?$") | found.rlike("[=:@]"), before.rlike(r"[A-Za-z0-9]$")),
-        vote((variety >= 6) & (n >= 7), variety < 4),
+        form,
+        mixed,
+        vote((announced | (kind == "secret")) & ~other, other & ~announced),
+        either(~found.rlike(_EXAMPLES)),
+        F.when(kind == "secret", either(found.rlike("=|[\"']") | value.rlike("[0-9]"))).otherwise(vote(before.rlike(r"[:=(\"'+] ?$"), before.rlike(r"[A-Za-z0-9]$"))),
+        vote(variety >= 6, variety < 5),
     ]
 
 
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with `base` and `more`: arrays of spans; those of `more` overlap none of `base`."""
+    """The rows with `base` and `more`: arrays of spans; those of `more` overlap none of `base` and have votes."""
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs
     for kind, pattern in {**BASE, **MORE}.items():
@@ -143,18 +174,20 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                                                     F.array(*_votes(s, whole)).alias("votes")))
 
-    return rows.withColumn("base", judged(F.col("_base"))).withColumn("more", judged(clear)).drop("_base", "_more", *(f"_{k}" for k in KINDS))
+    certain = F.transform("_base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return rows.withColumn("base", certain).withColumn("more", judged(clear)).drop("_base", "_more", *(f"_{k}" for k in KINDS))
 
 
 def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 40) -> dict[tuple[int, ...], float]:
     """Expectation-maximisation over vote patterns and their counts: the probability of each pattern.
 
-    Labelers are taken as independent given the truth; each has its own chance of every vote for either truth.
+    Labelers are taken as independent given the truth; each has its own chance of every vote for either truth, and
+    PRIOR votes seen beforehand on which it is right, so that few candidates don't turn its meaning round.
     """
     share = {votes: min(0.95, max(0.05, 0.5 + sum(votes) / (2 * LABELERS))) for votes, _ in patterns}
     for _ in range(rounds):
         weight = [sum((share[v] if y else 1 - share[v]) * n for v, n in patterns) + 1.0 for y in (0, 1)]
-        chance = {(k, vote, y): (sum((share[v] if y else 1 - share[v]) * n for v, n in patterns if v[k] == vote) + 0.5) / (weight[y] + 0.5)
+        chance = {(k, vote, y): (sum((share[v] if y else 1 - share[v]) * n for v, n in patterns if v[k] == vote) + (PRIOR if vote == 2 * y - 1 else 0.5)) / (weight[y] + PRIOR)
                   for k in range(LABELERS) for vote in (-1, 0, 1) for y in (0, 1)}
         for v, _ in patterns:
             log = [math.log(weight[y] / sum(weight)) + sum(math.log(chance[k, v[k], y]) for k in range(LABELERS)) for y in (0, 1)]
@@ -169,8 +202,8 @@ def _features(votes, kind, size) -> list:
 
 
 def train(found: DataFrame, steps: int = 300, rate: float = 2.0) -> list[float]:
-    """Weights of the span classifier (the last is the constant), from counts over all spans of all documents."""
-    spans = found.select(F.explode(F.concat("base", "more")).alias("s")).select("s.votes", "s.kind", (F.least(F.col("s.end") - F.col("s.start"), F.lit(64)) / 8).cast("int").alias("size"))
+    """Weights of the span classifier (the last is the constant), from counts over all candidates of all documents."""
+    spans = found.select(F.explode("more").alias("s")).select("s.votes", "s.kind", (F.least(F.col("s.end") - F.col("s.start"), F.lit(64)) / 8).cast("int").alias("size"))
     counts = [(tuple(r.votes), r.kind, r.size * 8, r.n) for r in spans.groupBy("votes", "kind", "size").agg(F.count("*").alias("n")).collect()]
     by_votes: dict[tuple[int, ...], int] = {}
     for votes, _, _, n in counts:
@@ -201,7 +234,7 @@ def detect(found: DataFrame, weights: list[float]) -> DataFrame:
         return reduce(lambda a, b: a + b, terms) + F.lit(weights[-1]) > 0
 
     added = F.filter("more", accepted)
-    return (found.withColumn("spans", F.array_sort(F.transform(F.concat("base", added), _place)))
+    return (found.withColumn("spans", F.array_sort(F.concat(F.transform("base", _place), F.transform(added, _place))))
             .withColumn("base", F.array_sort(F.transform("base", _place))).drop("more"))
 
 
