@@ -27,3 +27,12 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - set(entry.LLM_SQL)))
 def test_same_rows(spark, duck, name):
     assert check(entry.queries()[name](spark, SF), duck, entry.oracle_sql()[name]) == ""
+
+
+def test_documents_hold_all_evictions(spark):
+    """Each scenario's counter at its last poll has counted all its misses."""
+    from zonetally.plans.fixtures import query_events
+
+    misses = query_events(spark, SF).where("event = 'miss'").groupBy("scenario").count().collect()
+    got = entry.queries()["jn07_documents_with_evictions"](spark, SF).collect()
+    assert {r.label: r.total_evicted for r in got} == {r["scenario"]: r["count"] for r in misses}

@@ -71,7 +71,7 @@ select scenario as label, total as total_evicted, round(n * 60::double / (poll -
 from q where rn = 1""", E)
 def _(spark, d):
     """Eviction counters and waiting messages by topic as parts of the documents."""
-    polled = K.counter_rate(evictions(spark, d, "scenario"), "scenario", "poll_sec", "evicted", "rate_per_min", 604800.0)
+    polled = K.counter_rate(evictions(spark, d, "scenario"), "scenario", "poll_sec", "evicted", "rate_per_min")
     waiting = query_events(spark, d).where(F.col("event") == "retry").groupBy(
         "scenario", F.when(F.col("retry_count") > 1, "retry").otherwise("main").alias("topic")).agg(F.count(F.lit(1)).alias("lag"))
     work = spans(spark, d, seconds_per_value=6)
