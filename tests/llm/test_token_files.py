@@ -6,7 +6,8 @@ import pytest
 from cases import awkward, documents
 from tokenizers import Tokenizer
 
-from zonetally.llm import token_files
+from zonetally.llm import token_files, tokens
+from zonetally.llm.text import released
 from zonetally.llm.tokens import Encoder
 
 FILES = [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)]
@@ -21,6 +22,23 @@ def test_pieces_give_the_ids_of_the_whole_text(file, keeps_space):
     assert [x.tolist() for x in mine] == [x.ids + [1] for x in whole]
 
 
+@pytest.mark.parametrize("file,keeps_space", FILES)
+def test_words_that_meet_in_one_call(file, keeps_space, monkeypatch):
+    """Joined words get their own ids, also with marks, digits, line ends and special tokens; a worker learns them once for all its tasks."""
+    path = public_tokenizers.path(file)
+    words = ["Ünï", "x1", "don't", "'s", "##", "a|b", "...", "é.", "<|endoftext|>", "a<|endoftext|>b", "ÄŠĠ", "Ġ", "\u0120x", "12", "ſ", "İ", "ａ", "e\u0301"]
+    texts = [" ".join(words[k:] + words[:k]) + "\n" + "\n".join(words[::-1]) for k in range(len(words))] + ["", " x", "a b\u2003c", "x  y"]
+    whole = [x.ids + [1] for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    learned = []
+    learn = Encoder._learn
+    monkeypatch.setattr(Encoder, "_learn", lambda self, keys: learned.extend(keys) or learn(self, keys))
+    monkeypatch.setattr(tokens, "_encoders", {})
+    for _ in range(2):
+        out = list(released(lambda batches: iter([tokens.encoder(path, keeps_space).ids([t.encode() for t in texts], 1)]))(iter(())))
+        assert [x.tolist() for x in out[0]] == whole
+    assert len(learned) == len(set(learned)) > len(words)
+
+
 def test_codec_round_trip():
     draw = np.random.default_rng(1)
     for high in (1, 256, 257, 70_000, 1 << 24, 1 << 32):

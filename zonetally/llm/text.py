@@ -32,10 +32,6 @@ def forget() -> None:
         free()
 
 
-#: What a worker drops as a task ends. An idle worker gets no next task that could do it.
-AT_END: list[Callable[[], None]] = []
-
-
 def _trim() -> None:
     """Gives freed memory back to the system, where the C library can."""
     with contextlib.suppress(OSError, AttributeError):
@@ -43,13 +39,11 @@ def _trim() -> None:
 
 
 def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function for mapInArrow after which the worker holds no memos and no unused memory, also if it ends early."""
+    """A function for mapInArrow after which the worker holds no unused memory, also if it ends early."""
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
-            for free in AT_END:
-                free()
             pa.default_memory_pool().release_unused()
             _trim()
 
