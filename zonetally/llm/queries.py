@@ -107,7 +107,8 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_preference_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    scored = preference.score(docs, preference.learn(docs, labels.where(~held_out)))
+    rows = preference.featured(docs)
+    scored = preference.score_featured(rows, preference.learn_featured(rows, labels.where(~held_out)))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= preference.CUT).cast("int").alias("predicted"))
 
 
