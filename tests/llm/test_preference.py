@@ -64,3 +64,12 @@ def test_order_statistics(spark):
     values = [3.0] * 50 + [1.0, -2.5, 1e300, 5e-324, 0.0] + [float(k) / 7 for k in range(90)]
     rows = spark.createDataFrame([(v,) for v in values], "v double")
     assert [pf._order_statistic(rows, "v", k, 4) for k in range(0, len(values), 9)] == sorted(values)[::9]
+
+
+def test_labels_joined_by_shuffle(spark, monkeypatch):
+    docs = documents(spark, [(k, prose(k, 20 + k % 7).upper() if k % 4 == 0 else prose(k, 20)) for k in range(200)])
+    labels = spark.range(200).selectExpr("id as doc_id", "cast(id % 4 > 0 as int) as quality")
+    one = pf.learn(docs, labels)
+    monkeypatch.setattr(pf, "MOST_IDS", 0)
+    two = pf.learn(docs, labels)
+    assert np.allclose(one.weights, two.weights, atol=1e-6) and abs(one.cut - two.cut) < 1e-6

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from cases import awkward, documents
+from cases import awkward, documents, prose
 from tokenizers import Tokenizer
 
 from zonetally.llm import token_files, tokens
@@ -39,6 +39,17 @@ def test_words_that_meet_in_one_call(file, keeps_space, monkeypatch):
     assert len(learned) == len(set(learned)) > len(words)
 
 
+def test_words_in_use_outlive_a_memo(monkeypatch):
+    monkeypatch.setattr(tokens, "_REMEMBERED", 20)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    code, learned, learn = Encoder(path, True), [], Encoder._learn
+    monkeypatch.setattr(Encoder, "_learn", lambda self, keys: learned.extend(keys) or learn(self, keys))
+    texts = [f"often seen words {prose(k, 12)}." for k in range(30)]
+    whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert [code.ids([t.encode()], 1)[0].tolist() for t in texts] == [x.ids + [1] for x in whole]
+    assert learned.count(b"seen") == 1 and len(code.memo) + len(code.older) < 100
+
+
 def test_codec_round_trip():
     draw = np.random.default_rng(1)
     for high in (1, 256, 257, 70_000, 1 << 24, 1 << 32):

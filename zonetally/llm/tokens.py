@@ -34,8 +34,9 @@ _UNUSUAL_SPACE = (b"  ", b" \n", b"\n ", b"\n\n", b"\xc2\x85", b"\xc2\xa0", b"\x
 _START, _TIGHT = b"\x00", b"\x02"
 #: Longer pieces are encoded but not remembered.
 _LONGEST_KEPT = 64
-#: Pieces a worker remembers before it starts anew; it bounds memory, never results.
-_REMEMBERED = 1_000_000
+#: Pieces a worker learns before it begins a new memo. It asks the one before it, too, from which pieces in use move on. It
+#: bounds memory, never results.
+_REMEMBERED = 500_000
 
 
 class Encoder:
@@ -51,6 +52,7 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.memo: dict = {}
+        self.older: dict = {}
         self.border = self._borders()
 
     def _borders(self) -> np.ndarray | None:
@@ -116,7 +118,8 @@ class Encoder:
         found = list(map(self.memo.get, keys))
         if None in found:
             new = [key for key, ids in zip(keys, found, strict=True) if ids is None]
-            known = self._learn(new)
+            known = {key: ids for key, ids in zip(new, map(self.older.get, new), strict=True) if ids is not None}
+            known.update(self._learn([key for key in new if key not in known]))
             found = [known[key] if ids is None else ids for key, ids in zip(keys, found, strict=True)]
             self.memo.update((key, ids) for key, ids in known.items() if len(key) <= _LONGEST_KEPT)
         return found
@@ -135,7 +138,7 @@ class Encoder:
     def ids(self, texts: list[bytes], end: int) -> list[np.ndarray]:
         """Ids of each text, then `end`."""
         if len(self.memo) > _REMEMBERED:
-            self.memo.clear()
+            self.older, self.memo = self.memo, {}
         last = np.array([end], self.dtype).tobytes()
         spaced = [self._spaced(text) for text in texts]
         usual = iter(self._usual([x for x in spaced if x is not None]))
@@ -163,7 +166,7 @@ def encoder(path: str, keeps_space: bool) -> Encoder:
     return _encoders[path, keeps_space]
 
 
-def few_at_a_time(keys: list, texts: list[bytes], size: int = 2_000_000):
+def few_at_a_time(keys: list, texts: list[bytes], size: int = 4_000_000):
     """Keys and texts in runs of about `size` bytes."""
     some_keys: list = []
     some_texts: list[bytes] = []
