@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from cases import awkward, documents, prose
@@ -111,3 +113,35 @@ def test_share_found_of_items_with_every_third_word_changed(spark):
 @pytest.mark.parametrize("text,words", [("Don't É-2 x", ["don", "t", "é", "2", "x"]), ("", [])])
 def test_words(text, words):
     assert [w.decode() for w in dc.plain_words(text.encode())] == words
+
+
+def test_hashes_of_many_texts_are_those_of_their_words(monkeypatch):
+    monkeypatch.setattr(dc, "CHUNK_WORDS", 5)
+    lengths = [1, 2, 7, 8, 9, 15, 16, 17, 63, 64, 65, 200]
+    words = [letter * n for n in lengths for letter in "ab"] + [f"{'a' * (n - 1)}b" for n in lengths[1:]] + [f"b{'a' * (n - 1)}" for n in lengths[1:]]
+    texts = ["", " ".join(words), "...", words[5], " ".join(words[::-1]).upper(), "É-2 İstanbul\0日本語\x80x Don't", "", "a\x00b a\tb\n", "-a"]
+    texts = [text.encode() for text in texts]
+    hashes, sizes = dc.word_hashes(texts)
+    known = [word for text in texts for word in dc.plain_words(text)]
+    assert sizes.tolist() == [len(dc.plain_words(text)) for text in texts]
+    assert len(hashes) == len(known) and len(set(hashes.tolist())) == len(set(known)) == len(set(zip(known, hashes.tolist(), strict=True)))
+    assert [len(part) for part in dc.word_hashes([b"", b""])] == [0, 2]
+
+
+def test_hashing_takes_a_fraction_of_the_time_of_one_word_after_the_other():
+    texts = [prose(k, 3_000).encode() for k in range(100)]
+
+    def seconds(fn):
+        def once():
+            start = time.process_time()
+            fn()
+            return time.process_time() - start
+        return min(once() for _ in range(3))
+
+    def one_by_one():
+        memo = {}
+        for text in texts:
+            for word in dc.plain_words(text):
+                memo.setdefault(word, len(memo))
+
+    assert seconds(lambda: dc.word_hashes(texts)) < 0.7 * seconds(one_by_one)

@@ -33,10 +33,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonetally.llm.text import CHUNK_WORDS, WordHashes, forget, mix, ngram_hashes, only, released, signed, texts_only
+from zonetally.llm.text import CHUNK_WORDS, forget, mix, ngram_hashes, only, released, signed, texts_only
 from zonetally.session import store
 
 GRAM = 3
@@ -54,13 +55,58 @@ MOST_NUMBERS = 1 << 21
 SALTS = 16
 #: Items of a document that travel with one copy of its text.
 LISTED = 4096
+#: Bytes of texts whose words are hashed together, unless one text alone has more.
+CHUNK_BYTES = 1 << 19
+#: Bytes beyond which a word is hashed by itself.
+LONG_WORD = 64
 MATCHES = "doc_id long, item_id long, score double, first_word long, end_word long"
 
 _PLAIN = bytes(k + 32 if 65 <= k <= 90 else k if 97 <= k <= 122 or 48 <= k <= 57 or k >= 128 else 32 for k in range(256))
 
 
+#: The bytes of a little-endian number that belong to a word with so many bytes left.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _lower(text: bytes) -> bytes:
+    return text if text.isascii() else text.decode().lower().encode()
+
+
 def plain_words(text: bytes) -> list[bytes]:
-    return (text if text.isascii() else text.decode().lower().encode()).translate(_PLAIN).split()
+    return _lower(text).translate(_PLAIN).split()
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the `plain_words` of several texts, one after the other, and the number of each text's words.
+
+    Eight bytes of all words are taken at a time; words have no zero bytes, so those
+    of up to eight bytes never share a hash.
+    """
+    lower = [_lower(text) for text in texts]
+    data = b" ".join([b"", *lower, bytes(8)]).translate(_PLAIN)  # begins and ends outside words
+    inside = np.frombuffer(data, np.uint8) != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    hashes = np.empty(len(start), np.uint64)
+    for k in range(0, len(start), CHUNK_WORDS):
+        hashes[k:k + CHUNK_WORDS] = _hashes_at(data, start[k:k + CHUNK_WORDS], size[k:k + CHUNK_WORDS])
+    ends = np.cumsum([len(text) + 1 for text in lower])
+    return hashes, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
+def _hashes_at(data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    hashes = mix(eight[start] & _FIRST_BYTES[np.minimum(size, 8)])
+    for done in range(8, LONG_WORD, 8):
+        more = np.flatnonzero((size > done) & (size <= LONG_WORD))
+        if not len(more):
+            break
+        part = eight[start[more] + done] & _FIRST_BYTES[np.minimum(size[more] - done, 8)]
+        with np.errstate(over="ignore"):
+            hashes[more] = mix(hashes[more] * np.uint64(0x9E3779B97F4A7C15) + part)
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        hashes[k] = xxhash.xxh64_intdigest(data[start[k]:start[k] + size[k]])
+    return hashes
 
 
 def grams(words: np.ndarray, width: int = GRAM) -> np.ndarray:
@@ -111,12 +157,10 @@ def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def item_words(benchmark: DataFrame) -> DataFrame:
     """item (a number for the id and its text), item_id, n, words (hashes in order) of items with words."""
-    hashes = WordHashes()
-
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        words = [signed(hashes.of(plain_words(text))) for text in batch["text"].to_pylist()]
-        sizes = pa.array([len(w) for w in words], pa.int32())
-        yield pa.RecordBatch.from_arrays([batch["item"], batch["item_id"], sizes, _lists(words, pa.int64())], ["item", "item_id", "n", "words"])
+        words, sizes = word_hashes(batch["text"].to_pylist())
+        lists = _lists(np.split(signed(words), np.cumsum(sizes)[:-1]), pa.int64())
+        yield pa.RecordBatch.from_arrays([batch["item"], batch["item_id"], pa.array(sizes.astype(np.int32)), lists], ["item", "item_id", "n", "words"])
 
     known = texts_only(benchmark, "item_id").where("item_id is not null").distinct().withColumn("item", F.xxhash64("item_id", "text"))
     return _arrow(known.select("item", "item_id", "text"), run, "item long, item_id long, n int, words array<long>").where("n > 0")
@@ -147,37 +191,34 @@ class Bitmap:
         return (self.shared.value[(codes & np.uint64(BITS - 1)) >> np.uint64(6)] >> (codes & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[list[bytes]]]]:
-    """Rows of the batch and their words, cut so that a chunk has about CHUNK_WORDS words."""
-    rows, words, size = [], [], 0
-    for k, text in enumerate(batch["text"].to_pylist()):
-        rows.append(k)
-        words.append(plain_words(text))
-        size += len(words[-1])
-        if size >= CHUNK_WORDS:
-            yield rows, words
-            rows, words, size = [], [], 0
-    if rows:
-        yield rows, words
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of the batch and the row of the first, cut so that a chunk has about CHUNK_BYTES."""
+    first, texts, size = 0, [], 0
+    for text in batch["text"].to_pylist():
+        texts.append(text)
+        size += len(text)
+        if size >= CHUNK_BYTES:
+            yield first, texts
+            first, texts, size = first + len(texts), [], 0
+    if texts:
+        yield first, texts
 
 
 def _found(docs: DataFrame, name: str, search: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """doc_id, tag, `name`, at (places): a row per text and distinct code. `search` has the words of several texts in a row
     and the number of each word's text; it tells codes and their places."""
-    hashes = WordHashes()
-
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for rows, words in _chunks(batch):
-            sizes = np.array([len(w) for w in words])
-            of = np.repeat(np.arange(len(words)), sizes)
-            codes, places = search(hashes.of([w for some in words for w in some]), of)
+        for first, texts in _chunks(batch):
+            words, sizes = word_hashes(texts)
+            of = np.repeat(np.arange(len(texts)), sizes)
+            codes, places = search(words, of)
             if not len(codes):
                 continue
             order = np.lexsort((places, codes, of[places]))
             codes, places = codes[order], places[order]
             text = of[places]
             new = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (text[1:] != text[:-1])))
-            row = pa.array(np.array(rows)[text[new]])
+            row = pa.array(first + text[new])
             at = pa.array((places - (np.cumsum(sizes) - sizes)[text]).astype(np.int32))
             lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(codes)).astype(np.int32)), at)
             yield pa.RecordBatch.from_arrays([batch["doc_id"].take(row), batch["tag"].take(row), pa.array(signed(codes[new])), lists], ["doc_id", "tag", name, "at"])
@@ -278,12 +319,10 @@ def met(many: DataFrame, few: DataFrame, key: str, numbers: int | Column) -> Dat
 
 def passages(docs: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     """doc_id, item, start, passage: the words around the seeds of each pair (doc_id, tag, item, n, at)."""
-    hashes = WordHashes()
-
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         docs_of, items, starts, cut, size = [], [], [], [], 0
         for doc, text, some in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "some")), strict=True):
-            words = signed(hashes.of(plain_words(text)))
+            words = signed(word_hashes([text])[0])
             for one in some:
                 far, at = reach(one["n"], least), np.unique(np.array(one["at"], np.int64))
                 for part in np.split(at, np.flatnonzero(np.diff(at) > 2 * far) + 1) if len(at) > 1 else [at]:
